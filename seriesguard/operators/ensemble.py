@@ -105,6 +105,7 @@ def err_timesteps(laid_rows: DataFrame, keys: Sequence[str], model: str, W: int,
     rc = F.col(f"rowerr__{model}")
     lags = F.array(*[F.lag(rc, W - 1 - p).over(w) if W - 1 - p > 0 else rc for p in range(W)])
     full = F.count(rc).over(w.rowsBetween(-(W - 1), 0)) == W
-    win = laid_rows.withColumn("_errs", lags).where(window_end(W, step) & full)
+    win = (laid_rows.withColumn("_errs", lags).withColumn("_full", full)
+           .where(window_end(W, step) & F.col("_full")))
     win = L.drop_halo(win)
     return win.select(*keys, "split", F.col(ts).alias("win_end_ts"), F.posexplode("_errs").alias("pos", "err"))

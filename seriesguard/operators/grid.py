@@ -31,42 +31,59 @@ def with_deltas(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Se
     return L.drop_halo(laid)
 
 
-def modal_delta(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Most common time step per series; ties go to the step seen first."""
-    d = with_deltas(df, keys, ts, tiebreak).where(F.col("delta_us").isNotNull())
-    per = d.groupBy(*keys, "delta_us").agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_seen"))
-    rank = F.struct(F.col("n"), (-micros(F.col("first_seen"))).alias("neg_first"))
-    return per.groupBy(*keys).agg(F.max_by("delta_us", rank).alias("delta_us"),
-                                  F.max_by("n", rank).alias("n"))
-
-
-def infer_freq(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """``fixed`` (one distinct step), ``month`` (consecutive month starts), ``business_day``
-    (weekday midnights, steps of 1 day or Friday-to-Monday) or null; needs at least 3 rows."""
-    d = with_deltas(df, keys, ts, tiebreak)
+def _delta_groups(d: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """One partial aggregate per ``(series, step)`` that all frequency statistics are derived from."""
     t = F.col(ts)
     midnight = F.date_trunc("day", t) == t
-    month_idx = F.year(t) * 12 + F.month(t)
     dow = F.dayofweek(t)  # 1 = Sunday ... 7 = Saturday
-    prev_dow = F.dayofweek(t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("delta_us") / 1e6))
+    prev_dow = F.dayofweek(F.timestamp_micros(micros(t) - F.col("delta_us")))
     bday_step = F.col("delta_us").isNull() | (F.col("delta_us") == DAY_US) | (
         (F.col("delta_us") == 3 * DAY_US) & (prev_dow == 6))
-    agg = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("delta_us").alias("n_steps"),
-        F.min("delta_us").alias("min_step"),
-        F.bool_and(midnight & (F.dayofmonth(t) == 1)).alias("all_month_start"),
-        (F.max(month_idx) - F.min(month_idx) + 1).alias("month_span"),
-        F.count_distinct(month_idx).alias("n_months"),
-        F.bool_and(midnight & (dow >= 2) & (dow <= 6)).alias("all_weekday"),
-        F.bool_and(bday_step).alias("bday_steps"))
+    month_idx = F.year(t) * 12 + F.month(t)
+    return d.groupBy(*keys, "delta_us").agg(
+        F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_seen"),
+        F.min(micros(t)).alias("min_us"), F.max(micros(t)).alias("max_us"),
+        F.min(month_idx).alias("min_month"), F.max(month_idx).alias("max_month"),
+        F.bool_and(midnight & (F.dayofmonth(t) == 1)).alias("month_start"),
+        F.bool_and(midnight & (dow >= 2) & (dow <= 6)).alias("weekday"),
+        F.bool_and(bday_step).alias("bday"))
+
+
+def _frequency(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """D6 + D7 + bounds per series from the per-step groups (the null step is the first row)."""
+    step = F.col("delta_us")
+    rank = F.when(step.isNotNull(), F.struct(F.col("n"), (-micros(F.col("first_seen"))).alias("neg_first")))
+    agg = groups.groupBy(*keys).agg(
+        F.sum("n").alias("n_rows"), F.count(step).alias("n_steps"), F.min(step).alias("min_step"),
+        F.max_by(step, rank).alias("modal_us"), F.max_by(F.when(step.isNotNull(), F.col("n")), rank).alias("modal_n"),
+        F.min("min_us").alias("min_us"), F.max("max_us").alias("max_us"),
+        (F.max("max_month") - F.min("min_month") + 1).alias("month_span"),
+        F.bool_and("month_start").alias("all_month_start"), F.bool_and("weekday").alias("all_weekday"),
+        F.bool_and("bday").alias("bday_steps"))
     kind = (F.when(F.col("n_rows") < 3, F.lit(None).cast("string"))
             .when(F.col("n_steps") == 1, F.lit("fixed"))
-            .when(F.col("all_month_start") & (F.col("n_months") == F.col("n_rows"))
-                  & (F.col("month_span") == F.col("n_rows")), F.lit("month"))
+            .when(F.col("all_month_start") & (F.col("month_span") == F.col("n_rows")), F.lit("month"))
             .when(F.col("all_weekday") & F.col("bday_steps"), F.lit("business_day")))
-    return agg.select(*keys, kind.alias("freq_kind"),
-                      F.when(kind == "fixed", F.col("min_step")).alias("freq_us"))
+    return agg.withColumn("freq_kind", kind).withColumn(
+        "freq_us", F.coalesce(F.when(kind == "fixed", F.col("min_step")), F.col("modal_us")))
+
+
+def frequency(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Per series: rows, first/last time, inferred kind, modal step and grid step (one layout, two aggregates)."""
+    return _frequency(_delta_groups(with_deltas(df, keys, ts, tiebreak), keys, ts), keys)
+
+
+def modal_delta(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Most common time step per series; ties go to the step seen first."""
+    f = frequency(df, keys, ts, tiebreak).where(F.col("modal_us").isNotNull())
+    return f.select(*keys, F.col("modal_us").alias("delta_us"), F.col("modal_n").alias("n"))
+
+
+def infer_freq(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """``fixed`` (one distinct step), ``month`` (consecutive month starts), ``business_day``
+    (weekday midnights, steps of 1 day or Friday-to-Monday) or null; needs at least 3 rows."""
+    f = frequency(df, keys, ts, tiebreak)
+    return f.select(*keys, "freq_kind", F.when(F.col("freq_kind") == "fixed", F.col("min_step")).alias("freq_us"))
 
 
 def series_bounds(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
@@ -75,23 +92,12 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFra
                                  F.max(us).alias("max_us"))
 
 
-def grid_frequency(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The step used for the grid: the inferred fixed step, else the modal step (D6 then D7)."""
-    d = with_deltas(df, keys, ts, tiebreak)
-    inf = infer_freq(d, keys, ts, tiebreak)
-    mod = modal_delta(d, keys, ts, tiebreak).select(*keys, F.col("delta_us").alias("modal_us"))
-    return (inf.join(mod, list(keys), "left")
-            .select(*keys, "freq_kind", F.coalesce("freq_us", "modal_us").alias("freq_us")))
-
-
 def irregularity(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Expected grid length from first to last row at the step, compared by length only."""
-    b = series_bounds(df, keys, ts)
-    f = grid_frequency(df, keys, ts, tiebreak)
+    f = frequency(df, keys, ts, tiebreak)
     expected = F.when(F.col("freq_us") > 0,
                       F.floor((F.col("max_us") - F.col("min_us")) / F.col("freq_us")) + F.lit(1))
-    return (b.join(f, list(keys), "left")
-            .withColumn("expected_len", expected.cast("long"))
+    return (f.withColumn("expected_len", expected.cast("long"))
             .withColumn("is_irregular", F.when(F.col("freq_kind").isin("month", "business_day"), F.lit(False))
                         .otherwise(F.coalesce(F.col("expected_len") != F.col("n_rows"), F.lit(False)))))
 

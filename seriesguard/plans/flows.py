@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 
 from seriesguard.operators import clean, ensemble, features, grid, recon, split
 from seriesguard.plans import layout
-from seriesguard.session import configure
+from seriesguard.session import materialize
 
 
 def prepare(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
@@ -25,21 +25,15 @@ def prepare(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "
     The result is materialised (reliable checkpoint in the shared checkpoint folder): it is the stage
     every later step reads, and cutting the lineage here keeps plans small and recovery cheap.
     """
+    stage = materialize if checkpoint else (lambda d, name=None: d)
     df = clean.drop_null_ts(df, ts)
     df = clean.dedup_first(df.select(*keys, ts, *tiebreak, *cols), keys, ts, tiebreak)
-    df = layout.row_index(df.select(*keys, ts, *cols), keys, ts, count_col=None)
+    df = stage(layout.row_index(df.select(*keys, ts, *cols), keys, ts, count_col=None), "indexed")
     if fill:
-        df = clean.fill_missing(df, keys, cols, ts)
+        df = stage(clean.fill_missing(df, keys, cols, ts), "filled")
     if resample:
         df = grid.resample_ffill(df, keys, cols, ts, keep_leading=keep_leading)
-    df = df.select(*keys, ts, *cols)
-    return materialize(df) if checkpoint else df
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a stage to the shared checkpoint folder (``spark.checkpoint.dir``) and read it back."""
-    configure(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return stage(df.select(*keys, ts, *cols), "prepared")
 
 
 @dataclass
@@ -58,14 +52,16 @@ def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int
               models: Sequence[str] = recon.MODELS, normalization: str = "zscore",
               method: str = "quantile", q: float = ensemble.DEFAULT_Q, k: float = ensemble.DEFAULT_K,
               ts: str = "ts", phase: Column | None = None, pooled: bool = False,
-              val_ratio: float = 0.2, test_ratio: float = 0.2, rows_per_block: int | None = None) -> Fitted:
+              val_ratio: float = 0.2, test_ratio: float = 0.2, rows_per_block: int | None = None,
+              checkpoint: bool = True) -> Fitted:
     extra = {"rows_per_block": rows_per_block} if rows_per_block else {}
-    sp = split.chrono_split(panel, keys, ts, val_ratio=val_ratio, test_ratio=test_ratio)
+    stage = materialize if checkpoint else (lambda d, name=None: d)
+    sp = stage(split.chrono_split(panel, keys, ts, val_ratio=val_ratio, test_ratio=test_ratio), "split")
     scaler = features.scaler_fit(sp, keys, cols, pooled=pooled)
     scaled = features.scaler_apply(sp, scaler, keys, cols, pooled=pooled)
-    errs = recon.detect(scaled, keys, cols, W, step, models, ts, phase, **extra)
+    errs = stage(recon.detect(scaled, keys, cols, W, step, models, ts, phase, **extra), "errors")
     norms = ensemble.normalizers_fit(errs, keys, pooled=pooled) if normalization == "zscore" else None
-    scores = ensemble.ensemble(errs, keys, normalization, norms, models, pooled=pooled, ts=ts)
+    scores = stage(ensemble.ensemble(errs, keys, normalization, norms, models, pooled=pooled, ts=ts), "scores")
     thr = ensemble.threshold_fit(scores, keys, method, q, k, pooled=pooled)
     flagged = ensemble.flags(scores, thr, keys, pooled=pooled)
     return Fitted(sp, scaler, scaled, errs, norms, scores, thr, flagged)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesguard.operators import clean, ensemble, features, grid, recon, split, windows
-from seriesguard.plans import flows, layout, panels
+from seriesguard.plans import flows, layout, panels, stages
 from seriesguard.plans.panels import P1_FEATURES, P3_FEATURES
 
 KEYS = ["series_key"]
@@ -41,25 +41,32 @@ def _final(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---------------------------------------------------------------- shared chains
 
 def p2_clean(spark, sf_dir) -> DataFrame:
-    p2 = clean.drop_null_ts(panels.dirty_events(spark, sf_dir))
-    return clean.dedup_first(p2, KEYS, "ts", ["tie"])
+    def build():
+        p2 = clean.drop_null_ts(panels.dirty_events(spark, sf_dir))
+        return clean.dedup_first(p2, KEYS, "ts", ["tie"])
+    return stages.stage(spark, sf_dir, "p2_clean", build)
 
 
 def p1_prepared(spark, sf_dir) -> DataFrame:
-    return flows.prepare(panels.hourly_panel(spark, sf_dir), KEYS, P1_FEATURES)
+    return stages.stage(spark, sf_dir, "p1_prepared",
+                        lambda: flows.prepare(panels.hourly_panel(spark, sf_dir), KEYS, P1_FEATURES))
 
 
 def p1_split(spark, sf_dir) -> DataFrame:
-    return split.chrono_split(p1_prepared(spark, sf_dir), KEYS)
+    return stages.stage(spark, sf_dir, "p1_split", lambda: split.chrono_split(p1_prepared(spark, sf_dir), KEYS))
 
 
 def p1_scaled(spark, sf_dir) -> DataFrame:
-    sp = p1_split(spark, sf_dir)
-    return features.scaler_apply(sp, features.scaler_fit(sp, KEYS, P1_FEATURES), KEYS, P1_FEATURES)
+    def build():
+        sp = p1_split(spark, sf_dir)
+        return features.scaler_apply(sp, features.scaler_fit(sp, KEYS, P1_FEATURES), KEYS, P1_FEATURES)
+    return stages.stage(spark, sf_dir, "p1_scaled", build)
 
 
 def p1_fitted(spark, sf_dir, **kw) -> flows.Fitted:
-    return flows.fit_score(p1_prepared(spark, sf_dir), KEYS, P1_FEATURES, W=W, **kw)
+    name = "p1_fitted:" + ",".join(f"{k}={v}" for k, v in sorted(kw.items()))
+    return stages.stage(spark, sf_dir, name,
+                        lambda: flows.fit_score(p1_prepared(spark, sf_dir), KEYS, P1_FEATURES, W=W, **kw))
 
 
 # ---------------------------------------------------------------- B7/B8, D: clean and grid

@@ -70,3 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "seriesguard-tables", name)
+
+
+def materialize(df, name: str = "stage"):
+    """Write a stage table under the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of recomputing the chain), keeps logical
+    plans small when a stage is read several times, and gives the optimizer real size statistics for
+    its broadcast decisions. Computed once (unlike an eager RDD checkpoint, which runs the job twice).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
