@@ -380,3 +380,192 @@ SELECT series_key, split, ts, round(score, 6) AS score, round(threshold, 6) AS t
 
 ORACLE["results_table"] = with_(*DETECT, *ensemble_ctes()) + """
 SELECT series_key, ts AS timestamp, round(score, 6) AS ensemble_error, flag FROM flagged WHERE split = 'test'"""
+
+
+# ---------------------------------------------------------------- J: statistics
+
+FITTED = DETECT + ensemble_ctes()
+
+
+def _unpivot(src: str, cols: list[str], extra: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT series_key{extra}, '{c}' AS feature, {c} AS x FROM {src}" for c in cols)
+
+
+WROWS = [f"""wrows AS (SELECT s.*, CASE WHEN t._T >= {W} THEN CAST(greatest(0,
+            floor(least(s.rn_split, t._T - {W}) / 1) - ceil(greatest(0, s.rn_split - {W - 1}) / 1) + 1) AS DOUBLE)
+            ELSE 0.0 END AS _w
+          FROM scaled s JOIN (SELECT series_key, max(rn_split) + 1 AS _T FROM scaled WHERE split = 'train' GROUP BY 1) t
+          USING (series_key) WHERE s.split = 'train')""",
+         "wlong AS (SELECT l.*, w._w FROM (" + _unpivot("wrows", P1_FEATURES, ", rn") + ") l "
+         "JOIN wrows w USING (series_key, rn))"]
+FS_REF = """fs_ref AS (SELECT series_key, feature, sum(_w * x) / sum(_w) AS mean,
+            sqrt(greatest(sum(_w * x * x) / sum(_w) - (sum(_w * x) / sum(_w)) * (sum(_w * x) / sum(_w)), 1e-12)) AS std
+          FROM wlong GROUP BY 1, 2 HAVING sum(_w) > 0)"""
+_SX = " + ".join(P1_FEATURES)
+_SXX = " + ".join(f"{c} * {c}" for c in P1_FEATURES)
+GS_REF = f"""gs_ref AS (SELECT series_key, sum(_w * ({_SX})) / (sum(_w) * {d(float(len(P1_FEATURES)))}) AS global_mean,
+            sqrt(greatest(sum(_w * ({_SXX})) / (sum(_w) * {d(float(len(P1_FEATURES)))})
+              - (sum(_w * ({_SX})) / (sum(_w) * {d(float(len(P1_FEATURES)))}))
+              * (sum(_w * ({_SX})) / (sum(_w) * {d(float(len(P1_FEATURES)))})), 1e-12)) AS global_std
+          FROM wrows GROUP BY 1 HAVING sum(_w) > 0)"""
+ES_REF = """es_ref AS (SELECT series_key, quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.95) AS p95
+          FROM scores WHERE split = 'val' GROUP BY 1)"""
+RATE = "rate AS (SELECT series_key, split, avg(flag) AS anomaly_rate FROM flagged GROUP BY 1, 2)"
+STATS = FITTED + WROWS + [FS_REF, GS_REF, ES_REF, RATE]
+
+ORACLE["error_stats"] = with_(*STATS) + "SELECT series_key, round(median, 6) AS median, round(p95, 6) AS p95 FROM es_ref"
+
+ORACLE["error_by_model"] = with_(*FITTED) + """
+SELECT series_key, model, split, round(avg(err), 6) AS err_mean, round(quantile_cont(err, 0.95), 6) AS err_p95
+FROM errs GROUP BY 1, 2, 3"""
+
+ORACLE["feature_stats_ref"] = with_(*STATS) + """
+SELECT series_key, feature, round(mean, 6) AS mean, round(std, 6) AS std FROM fs_ref"""
+
+ORACLE["global_stats_ref"] = with_(*STATS) + """
+SELECT series_key, round(global_mean, 6) AS global_mean, round(global_std, 6) AS global_std FROM gs_ref"""
+
+ORACLE["feature_stats_live"] = with_(*P1_SCALED, "lv AS (" + _unpivot(
+    "(SELECT * FROM scaled WHERE split = 'test')", P1_FEATURES) + ")") + """
+SELECT series_key, feature, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std FROM lv GROUP BY 1, 2"""
+
+ORACLE["global_stats_live"] = with_(*P1_SCALED, "lv AS (" + _unpivot(
+    "(SELECT * FROM scaled WHERE split = 'test')", P1_FEATURES) + ")") + """
+SELECT series_key, round(avg(x), 6) AS global_mean, round(stddev_pop(x), 6) AS global_std FROM lv GROUP BY 1"""
+
+ORACLE["anomaly_rate"] = with_(*STATS) + "SELECT series_key, split, round(anomaly_rate, 6) AS anomaly_rate FROM rate"
+
+_META_COLS = ", ".join(
+    [f"round(max(CASE WHEN n.model = '{m}' THEN n.mean END), 6) AS norm_mean_{m}, "
+     f"round(max(CASE WHEN n.model = '{m}' THEN n.std END), 6) AS norm_std_{m}" for m in ("seasonal", "ewma", "local")]
+    + [f"round(max(CASE WHEN f.feature = '{c}' THEN f.mean END), 6) AS feature_mean_{c}, "
+       f"round(max(CASE WHEN f.feature = '{c}' THEN f.std END), 6) AS feature_std_{c}" for c in P1_FEATURES])
+ORACLE["meta_record"] = with_(*STATS) + f"""
+SELECT t.series_key, 'zscore' AS normalization, round(t.threshold, 6) AS threshold, 'quantile' AS threshold_method,
+       {d(DEFAULT_Q)} AS q, {d(DEFAULT_K)} AS k, round(e.median, 6) AS error_median, round(e.p95, 6) AS error_p95,
+       round(r.anomaly_rate, 6) AS anomaly_rate_ref, round(g.global_mean, 6) AS global_mean,
+       round(g.global_std, 6) AS global_std, {_META_COLS}
+FROM thr t LEFT JOIN es_ref e USING (series_key) LEFT JOIN (SELECT * FROM rate WHERE split = 'val') r USING (series_key)
+LEFT JOIN gs_ref g USING (series_key) LEFT JOIN norms n USING (series_key) LEFT JOIN fs_ref f USING (series_key)
+GROUP BY t.series_key, t.threshold, e.median, e.p95, r.anomaly_rate, g.global_mean, g.global_std"""
+
+ORACLE["feature_histogram"] = with_(*P1_SCALED, "hl AS (" + _unpivot("scaled", P1_FEATURES, ", split") + ")",
+                                    """he AS (SELECT series_key, feature, min(x) AS lo, max(x) AS hi FROM hl
+                                       WHERE split = 'train' GROUP BY 1, 2)""") + """
+SELECT series_key, feature, split, CAST(CASE WHEN x < lo THEN 0 WHEN x > hi THEN 11 WHEN hi = lo THEN 1
+         ELSE least(10, CAST(floor((x - lo) / (hi - lo) * 10.0) AS INTEGER) + 1) END AS INTEGER) AS bin,
+       count(*) AS n
+FROM hl JOIN he USING (series_key, feature) WHERE x IS NOT NULL GROUP BY 1, 2, 3, 4"""
+
+
+# ---------------------------------------------------------------- K: drift and alerts
+
+BLK = 6 * 3600 * 1_000_000
+TICK = 30 * 60 * 1_000_000
+LOOKBACK = 24 * 3600 * 1_000_000
+
+
+def _blk(col: str) -> str:
+    return f"make_timestamp(CAST((floor(epoch_us({col}) / {BLK}) + 1) * {BLK} AS BIGINT))"
+
+
+SAMPLES = STATS + [
+    "ref_ts AS (SELECT series_key, max(ts) AS rts FROM sp WHERE split = 'val' GROUP BY 1)",
+    f"lrows AS (SELECT *, {_blk('ts')} AS bts FROM scaled WHERE split = 'test')",
+    "llong AS (" + _unpivot("lrows", P1_FEATURES, ", bts") + ")",
+    f"lwin AS (SELECT *, {_blk('ts')} AS bts FROM flagged WHERE split = 'test')",
+    """samples AS (
+      SELECT 'feature_mean_ref' AS metric, feature, series_key AS model_version, rts AS ts, mean AS value
+        FROM fs_ref JOIN ref_ts USING (series_key)
+      UNION ALL SELECT 'feature_std_ref', feature, series_key, rts, std FROM fs_ref JOIN ref_ts USING (series_key)
+      UNION ALL SELECT 'feature_global_mean_ref', '', series_key, rts, global_mean FROM gs_ref JOIN ref_ts USING (series_key)
+      UNION ALL SELECT 'feature_global_std_ref', '', series_key, rts, global_std FROM gs_ref JOIN ref_ts USING (series_key)
+      UNION ALL SELECT 'error_median_ref', '', series_key, rts, median FROM es_ref JOIN ref_ts USING (series_key)
+      UNION ALL SELECT 'error_p95_ref', '', series_key, rts, p95 FROM es_ref JOIN ref_ts USING (series_key)
+      UNION ALL SELECT 'anomaly_rate_ref', '', series_key, rts, anomaly_rate FROM rate JOIN ref_ts USING (series_key)
+        WHERE split = 'val'
+      UNION ALL SELECT 'feature_mean_live', feature, series_key, bts, avg(x) FROM llong GROUP BY series_key, feature, bts
+      UNION ALL SELECT 'feature_std_live', feature, series_key, bts, stddev_pop(x) FROM llong GROUP BY series_key, feature, bts
+      UNION ALL SELECT 'feature_global_mean_live', '', series_key, bts, avg(x) FROM llong GROUP BY series_key, bts
+      UNION ALL SELECT 'feature_global_std_live', '', series_key, bts, stddev_pop(x) FROM llong GROUP BY series_key, bts
+      UNION ALL SELECT 'error_median_live', '', series_key, bts, quantile_cont(score, 0.5) FROM lwin GROUP BY series_key, bts
+      UNION ALL SELECT 'error_p95_live', '', series_key, bts, quantile_cont(score, 0.95) FROM lwin GROUP BY series_key, bts
+      UNION ALL SELECT 'anomaly_rate_live', '', series_key, bts, avg(flag) FROM lwin GROUP BY series_key, bts)""",
+    "msamples AS (SELECT metric, feature, model_version, 'prod' AS env, ts, value FROM samples)",
+    """latest AS (SELECT metric, feature, model_version, env, max(ts) AS ts, arg_max(value, ts) AS value
+         FROM msamples GROUP BY 1, 2, 3, 4)""",
+    "live AS (SELECT * FROM msamples WHERE metric LIKE '%\\_live' ESCAPE '\\')",
+    """rng AS (SELECT model_version, min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM live GROUP BY 1)""",
+    f"""ticks AS (SELECT l.metric, l.feature, l.model_version, l.env, make_timestamp(t.g) AS ts FROM
+         (SELECT DISTINCT metric, feature, model_version, env FROM live) l JOIN
+         (SELECT model_version, unnest(generate_series(CAST(ceil(lo / {TICK}) * {TICK} AS BIGINT), hi, {TICK})) AS g
+          FROM rng) t USING (model_version))""",
+    f"""asofv AS (SELECT t.metric, t.feature, t.model_version, t.env, t.ts, s.value FROM ticks t
+         ASOF JOIN live s ON t.metric = s.metric AND t.feature = s.feature AND t.model_version = s.model_version
+           AND t.env = s.env AND t.ts >= s.ts
+         WHERE epoch_us(t.ts) - epoch_us(s.ts) <= {LOOKBACK})""",
+    """pairs AS (SELECT regexp_replace(a.metric, '_live$', '') AS base, a.feature, a.model_version, a.env, a.ts,
+           a.value AS live, r.value AS ref
+         FROM asofv a JOIN latest r ON regexp_replace(r.metric, '_ref$', '') = regexp_replace(a.metric, '_live$', '')
+           AND r.metric LIKE '%\\_ref' ESCAPE '\\'
+           AND r.feature = a.feature AND r.model_version = a.model_version AND r.env = a.env)""",
+    """rules(alert, base, kind, c, hold_s, severity, summary) AS (VALUES
+         ('EnsembleErrorMedianHigh', 'error_median', 'ratio', 2.0, 300, 'warning',
+          'Median reconstruction error doubled ({model_version})'),
+         ('EnsembleErrorP95High', 'error_p95', 'ratio', 2.0, 300, 'critical',
+          '95th percentile error > 2x baseline ({model_version})'),
+         ('AnomalyRateSpike', 'anomaly_rate', 'scaled', 3.0, 600, 'critical',
+          'Anomaly rate > 3x baseline ({model_version})'),
+         ('FeatureMeanShift', 'feature_mean', 'shift', 0.5, 600, 'warning',
+          'Feature[{feature}] mean drift > 0.5 ({model_version})'))""",
+    """spread AS (SELECT model_version, env, max(CASE WHEN base = 'error_p95' THEN ref END)
+           - max(CASE WHEN base = 'error_median' THEN ref END) AS sp FROM pairs
+         WHERE base IN ('error_median', 'error_p95') GROUP BY 1, 2)""",
+    """conds AS (SELECT r.alert, p.feature, p.model_version, p.env, p.ts, p.live, p.ref, r.hold_s, r.severity, r.summary,
+           COALESCE(CASE
+             WHEN r.kind = 'ratio' THEN CASE WHEN p.ref > 0 THEN p.live / p.ref > CAST(r.c AS DOUBLE)
+                                        ELSE p.live - p.ref > (CAST(r.c AS DOUBLE) - 1.0) * s.sp END
+             WHEN r.kind = 'scaled' THEN p.live > CAST(r.c AS DOUBLE) * p.ref
+             ELSE abs(p.live - p.ref) > CAST(r.c AS DOUBLE) END, false) AS active
+         FROM pairs p JOIN rules r ON p.base = r.base LEFT JOIN spread s USING (model_version, env))""",
+    """brk AS (SELECT *, CASE WHEN active AND NOT COALESCE(lag(active) OVER (PARTITION BY alert, feature,
+           model_version, env ORDER BY ts), false) THEN 1 ELSE 0 END AS _brk FROM conds)""",
+    """isl AS (SELECT *, sum(_brk) OVER (PARTITION BY alert, feature, model_version, env ORDER BY ts
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM brk)""",
+    """states AS (SELECT *, CASE WHEN active THEN min(ts) OVER (PARTITION BY alert, feature, model_version, env, island, active)
+           END AS active_since FROM isl)""",
+    """states2 AS (SELECT *, CASE WHEN NOT active THEN 'inactive'
+           WHEN epoch_us(ts) - epoch_us(active_since) >= CAST(hold_s AS BIGINT) * 1000000 THEN 'firing'
+           ELSE 'pending' END AS state FROM states)""",
+]
+
+ORACLE["metric_samples"] = with_(*SAMPLES) + """
+SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM msamples"""
+
+ORACLE["metric_latest"] = with_(*SAMPLES) + """
+SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM latest"""
+
+ORACLE["metric_asof"] = with_(*SAMPLES) + """
+SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM asofv"""
+
+ORACLE["drift_pairs"] = with_(*SAMPLES) + """
+SELECT base, feature, model_version, env, ts, round(live, 6) AS live, round(ref, 6) AS ref FROM pairs"""
+
+
+def _rule_sql(kind: str) -> str:
+    return with_(*SAMPLES) + f"""
+SELECT c.alert, c.feature, c.model_version, c.env, c.ts, round(c.live, 6) AS live, round(c.ref, 6) AS ref, c.active
+FROM conds c JOIN rules r USING (alert) WHERE r.kind = '{kind}'"""
+
+
+ORACLE["alert_ratio"] = _rule_sql("ratio")
+ORACLE["alert_rate"] = _rule_sql("scaled")
+ORACLE["alert_shift"] = _rule_sql("shift")
+
+ORACLE["alert_firing"] = with_(*SAMPLES) + """
+SELECT alert, feature, model_version, env, ts, active, state, active_since FROM states2"""
+
+ORACLE["alert_messages"] = with_(*SAMPLES) + """
+SELECT alert, feature, model_version, env, severity, active_since, min(ts) AS fired_at,
+       replace(replace(summary, '{model_version}', model_version), '{feature}', feature) AS message
+FROM states2 WHERE state = 'firing' GROUP BY alert, feature, model_version, env, severity, active_since, summary"""

@@ -295,3 +295,132 @@ def anomaly_flags(spark, sf_dir):
 
 
 __all__ = ["QUERIES", "anomaly_flags", "P3_FEATURES"]
+
+
+# ---------------------------------------------------------------- J: statistics
+
+from seriesguard.operators import drift, stats  # noqa: E402
+
+
+@query
+def error_stats(spark, sf_dir):
+    return _final(stats.error_stats(p1_fitted(spark, sf_dir).scores, KEYS))
+
+
+@query
+def error_by_model(spark, sf_dir):
+    return _final(stats.error_by_model(p1_fitted(spark, sf_dir).errors, KEYS))
+
+
+@query
+def feature_stats_ref(spark, sf_dir):
+    return _final(stats.feature_stats_ref(p1_fitted(spark, sf_dir).scaled, KEYS, P1_FEATURES, W))
+
+
+@query
+def global_stats_ref(spark, sf_dir):
+    return _final(stats.global_stats_ref(p1_fitted(spark, sf_dir).scaled, KEYS, P1_FEATURES, W))
+
+
+@query
+def feature_stats_live(spark, sf_dir):
+    return _final(stats.feature_stats_live(p1_fitted(spark, sf_dir).scaled, KEYS, P1_FEATURES))
+
+
+@query
+def global_stats_live(spark, sf_dir):
+    return _final(stats.global_stats_live(p1_fitted(spark, sf_dir).scaled, KEYS, P1_FEATURES))
+
+
+@query
+def anomaly_rate(spark, sf_dir):
+    return _final(stats.anomaly_rate(p1_fitted(spark, sf_dir).flagged, KEYS))
+
+
+@query
+def meta_record(spark, sf_dir):
+    m = stats.meta_record(p1_fitted(spark, sf_dir), KEYS, P1_FEATURES, W)
+    cols = [F.col("series_key"), F.col("normalization"), F.col("threshold"), F.col("threshold_method"),
+            F.col("threshold_params.q").alias("q"), F.col("threshold_params.k").alias("k"),
+            F.col("error_stats.median").alias("error_median"), F.col("error_stats.p95").alias("error_p95"),
+            F.col("anomaly_rate_ref"), F.col("feature_stats.global_mean").alias("global_mean"),
+            F.col("feature_stats.global_std").alias("global_std")]
+    for m_ in recon.MODELS:
+        cols += [F.col("normalizers")[m_]["mean"].alias(f"norm_mean_{m_}"),
+                 F.col("normalizers")[m_]["std"].alias(f"norm_std_{m_}")]
+    for i, c in enumerate(P1_FEATURES):
+        cols += [F.col("feature_stats.mean")[i].alias(f"feature_mean_{c}"),
+                 F.col("feature_stats.std")[i].alias(f"feature_std_{c}")]
+    return _final(m.select(*cols))
+
+
+@query
+def feature_histogram(spark, sf_dir):
+    return _final(stats.feature_histogram(p1_fitted(spark, sf_dir).scaled, KEYS, P1_FEATURES))
+
+
+# ---------------------------------------------------------------- K: drift and alerts
+
+def p1_samples(spark, sf_dir) -> DataFrame:
+    return stages.stage(spark, sf_dir, "p1_samples",
+                        lambda: drift.metric_samples(p1_fitted(spark, sf_dir), KEYS, P1_FEATURES))
+
+
+def p1_rule_states(spark, sf_dir) -> DataFrame:
+    def build():
+        conds = drift.evaluate_rules(drift.drift_pairs(p1_samples(spark, sf_dir)), drift.rules_table(spark))
+        return drift.alert_states(conds)
+    return stages.stage(spark, sf_dir, "p1_rule_states", build)
+
+
+@query
+def metric_samples(spark, sf_dir):
+    return _final(p1_samples(spark, sf_dir))
+
+
+@query
+def metric_latest(spark, sf_dir):
+    return _final(drift.metric_latest(p1_samples(spark, sf_dir)))
+
+
+@query
+def metric_asof(spark, sf_dir):
+    return _final(drift.metric_asof(p1_samples(spark, sf_dir)))
+
+
+@query
+def drift_pairs(spark, sf_dir):
+    return _final(drift.drift_pairs(p1_samples(spark, sf_dir)))
+
+
+def _rule_kind(spark, sf_dir, kind):
+    conds = drift.evaluate_rules(drift.drift_pairs(p1_samples(spark, sf_dir)), drift.rules_table(spark))
+    alerts = [r[0] for r in drift.RULES if r[2] == kind]
+    return _final(conds.where(F.col("alert").isin(alerts))
+                  .select("alert", "feature", "model_version", "env", "ts", "live", "ref", "active"))
+
+
+@query
+def alert_ratio(spark, sf_dir):
+    return _rule_kind(spark, sf_dir, "ratio")
+
+
+@query
+def alert_rate(spark, sf_dir):
+    return _rule_kind(spark, sf_dir, "scaled")
+
+
+@query
+def alert_shift(spark, sf_dir):
+    return _rule_kind(spark, sf_dir, "shift")
+
+
+@query
+def alert_firing(spark, sf_dir):
+    st = p1_rule_states(spark, sf_dir)
+    return _final(st.select("alert", "feature", "model_version", "env", "ts", "active", "state", "active_since"))
+
+
+@query
+def alert_messages(spark, sf_dir):
+    return _final(drift.alert_messages(p1_rule_states(spark, sf_dir)))
