@@ -46,7 +46,9 @@ def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[st
     Adds ``count_col`` (rows in the series) when given.
     """
     keys = list(keys)
-    us = F.coalesce(micros(F.col(ts)), F.lit(-(1 << 62)))
+    dtype = dict(df.dtypes)[ts]
+    pos = micros(F.col(ts)) if dtype.startswith("timestamp") or dtype == "date" else F.col(ts).cast("double")
+    us = F.coalesce(pos, F.lit(-(1 << 62)))
     base = df.withColumn("_us", us)
     stats = (base.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))

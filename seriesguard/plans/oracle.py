@@ -569,3 +569,133 @@ ORACLE["alert_messages"] = with_(*SAMPLES) + """
 SELECT alert, feature, model_version, env, severity, active_since, min(ts) AS fired_at,
        replace(replace(summary, '{model_version}', model_version), '{feature}', feature) AS message
 FROM states2 WHERE state = 'firing' GROUP BY alert, feature, model_version, env, severity, active_since, summary"""
+
+
+# ---------------------------------------------------------------- C: profile and detection
+
+NOW = "2025-01-01 00:00:00"
+P4_SPEC = [("ts_iso", "string"), ("ts_epoch_s", "numeric"), ("ts_epoch_ms", "numeric"), ("year", "numeric"),
+           ("junk", "string"), ("ts_native", "datetime"), ("value", "numeric")]
+
+
+def _col_rows(name: str, kind: str) -> str:
+    if kind == "numeric":
+        x = f"CASE WHEN isnan(CAST({name} AS DOUBLE)) THEN NULL ELSE CAST({name} AS DOUBLE) END"
+        t = f"CASE WHEN ({x}) IS NOT NULL THEN TIMESTAMP '1970-01-01 00:00:00' END"
+        raw_null = f"({x}) IS NULL"
+    elif kind == "string":
+        x, t, raw_null = "CAST(NULL AS DOUBLE)", f"try_cast({name} AS TIMESTAMP)", f"{name} IS NULL"
+    else:
+        x, t, raw_null = "CAST(NULL AS DOUBLE)", f"CAST({name} AS TIMESTAMP)", f"{name} IS NULL"
+    ts_ = f"CASE WHEN abs({x}) <= 9223372036 THEN make_timestamp(CAST(floor({x}) AS BIGINT) * 1000000) END"
+    tms = f"CASE WHEN abs({x}) <= 9223372036854 THEN make_timestamp(CAST(floor({x}) AS BIGINT) * 1000) END"
+    return (f"SELECT '{name}' AS col, '{kind}' AS kind, event_id AS o, {raw_null} AS raw_null, {x} AS x, {t} AS t, "
+            f"{ts_} AS t_s, {tms} AS t_ms FROM p4")
+
+
+def _inr(c: str) -> str:
+    return (f"CAST({c} >= TIMESTAMP '1900-01-01 00:00:00' AND {c} <= TIMESTAMP '{NOW}' + INTERVAL 50 YEAR AS BIGINT)")
+
+
+def _mono(v: str) -> str:
+    return f"""SELECT col, '{v}' AS variant, bool_and(ok) AS mono FROM (
+      SELECT col, COALESCE({v} >= lag({v}) OVER (PARTITION BY col ORDER BY o, {v}), true) AS ok
+      FROM plong WHERE {v} IS NOT NULL) GROUP BY 1"""
+
+
+PROFILE = [P4, "plong AS (" + " UNION ALL ".join(_col_rows(n, k) for n, k in P4_SPEC) + ")",
+           f"""pagg AS (SELECT col, kind, count(*) AS n_rows, sum(CAST(raw_null AS BIGINT)) AS n_null,
+                 min(x) AS num_min, max(x) AS num_max, count(t) AS n_parsed, count(t_s) AS n_parsed_s,
+                 count(t_ms) AS n_parsed_ms, sum({_inr('t')}) AS n_in_range, sum({_inr('t_s')}) AS n_in_range_s,
+                 sum({_inr('t_ms')}) AS n_in_range_ms, min(year(t)) AS min_year, max(year(t)) AS max_year,
+                 quantile_cont(x, 0.5) AS median
+               FROM plong GROUP BY 1, 2)""",
+           "pmono AS (" + " UNION ALL ".join(_mono(v) for v in ("t", "t_s", "t_ms")) + ")",
+           """prof AS (SELECT a.*, CAST(n_parsed AS DOUBLE) / n_rows AS parse_ratio,
+                 CAST(COALESCE(n_in_range, 0) AS DOUBLE) / n_rows AS frac_in_range,
+                 CAST(n_parsed_s AS DOUBLE) / n_rows AS parse_ratio_s,
+                 CAST(COALESCE(n_in_range_s, 0) AS DOUBLE) / n_rows AS frac_in_range_s,
+                 CAST(n_parsed_ms AS DOUBLE) / n_rows AS parse_ratio_ms,
+                 CAST(COALESCE(n_in_range_ms, 0) AS DOUBLE) / n_rows AS frac_in_range_ms,
+                 COALESCE((SELECT mono FROM pmono m WHERE m.col = a.col AND m.variant = 't'), true) AS mono_t,
+                 COALESCE((SELECT mono FROM pmono m WHERE m.col = a.col AND m.variant = 't_s'), true) AS mono_s,
+                 COALESCE((SELECT mono FROM pmono m WHERE m.col = a.col AND m.variant = 't_ms'), true) AS mono_ms
+               FROM pagg a)""",
+           f"""pscore AS (SELECT *,
+                 parse_ratio_s + {d(0.2)} * frac_in_range_s + CASE WHEN mono_s THEN {d(0.1)} ELSE 0.0 END AS s_score,
+                 parse_ratio_ms + {d(0.2)} * frac_in_range_ms + CASE WHEN mono_ms THEN {d(0.1)} ELSE 0.0 END AS ms_score
+               FROM prof)""",
+           f"""pdet AS (SELECT col, kind, CASE
+                   WHEN kind = 'datetime' THEN frac_in_range + CASE WHEN mono_t THEN {d(0.2)} ELSE 0.0 END
+                   WHEN kind = 'string' THEN parse_ratio + {d(0.2)} * frac_in_range
+                        + CASE WHEN mono_t THEN {d(0.1)} ELSE 0.0 END
+                   ELSE COALESCE(greatest(0.0, CASE WHEN median >= 10000000 THEN s_score END,
+                                          CASE WHEN median >= 1000000000000 THEN ms_score END), 0.0) END AS score,
+                 CASE WHEN kind = 'numeric' THEN CASE
+                   WHEN median >= 1000000000000 AND ms_score > COALESCE(CASE WHEN median >= 10000000 THEN s_score END, 0.0)
+                     THEN 'ms' WHEN median >= 10000000 THEN 's' END END AS unit,
+                 parse_ratio, parse_ratio_s, parse_ratio_ms, median
+               FROM pscore)"""]
+
+
+def _pick(columns: list[str], candidates: list[str]) -> str:
+    pos = "CASE col " + " ".join(f"WHEN '{c}' THEN {i + 1}" for i, c in enumerate(columns)) + " END"
+    cpos = ("CASE col " + " ".join(f"WHEN '{c}' THEN {i + 1}" for i, c in enumerate(candidates)) + " ELSE 0 END"
+            if candidates else "0")
+    return f"""
+SELECT col AS column, CASE stg WHEN 0 THEN 'candidate' WHEN 1 THEN 'datetime' WHEN 2 THEN 'string' ELSE 'epoch' END
+         AS stage, CASE WHEN stg = 3 THEN unit END AS unit
+FROM (SELECT *, {cpos} AS cpos, {pos} AS pos, CASE
+        WHEN {cpos} > 0 AND (CASE WHEN kind = 'datetime' THEN true WHEN kind = 'string' THEN parse_ratio >= 0.8
+             ELSE (median >= 10000000 AND parse_ratio_s >= 0.8) OR (median >= 1000000000000 AND parse_ratio_ms >= 0.8)
+             END) THEN 0
+        WHEN kind = 'datetime' THEN 1
+        WHEN kind = 'string' AND score >= 0.8 THEN 2
+        WHEN kind = 'numeric' AND score >= 0.8 THEN 3 END AS stg
+      FROM pdet WHERE col IN ({", ".join(f"'{c}'" for c in columns)}))
+WHERE stg IS NOT NULL
+ORDER BY stg, CASE WHEN stg = 0 THEN cpos ELSE 0 END, score DESC, pos LIMIT 1"""
+
+
+ORACLE["profile_parse_ratio"] = with_(*PROFILE) + """
+SELECT col AS column, kind, n_rows, n_parsed, round(parse_ratio, 6) AS parse_ratio FROM prof"""
+
+ORACLE["profile_plausible"] = with_(*PROFILE) + """
+SELECT col AS column, kind, round(parse_ratio, 6) AS parse_ratio, guard_ok,
+       guard_ok AND parse_ratio > 0.8 AND COALESCE(min_year > 1900 AND max_year < 2100, false) AS is_time_column
+FROM (SELECT *, CASE WHEN kind = 'numeric' THEN COALESCE(
+        (num_min BETWEEN 1e9 AND 2e9 AND num_max BETWEEN 1e9 AND 2e9) OR
+        (num_min BETWEEN 1900 AND 2100 AND num_max BETWEEN 1900 AND 2100), false) ELSE true END AS guard_ok FROM prof)"""
+
+ORACLE["gate_series"] = with_(*PROFILE) + """
+SELECT CAST(sum(CAST(t AS INTEGER)) AS BIGINT) AS n_time_columns,
+       CAST(sum(CAST(kind = 'numeric' AS INTEGER)) AS BIGINT) AS n_numeric_columns,
+       sum(CAST(t AS INTEGER)) >= 1 AND sum(CAST(kind = 'numeric' AS INTEGER)) >= 1 AS is_series
+FROM (SELECT kind, (CASE WHEN kind = 'numeric' THEN COALESCE(
+        (num_min BETWEEN 1e9 AND 2e9 AND num_max BETWEEN 1e9 AND 2e9) OR
+        (num_min BETWEEN 1900 AND 2100 AND num_max BETWEEN 1900 AND 2100), false) ELSE true END)
+        AND parse_ratio > 0.8 AND COALESCE(min_year > 1900 AND max_year < 2100, false) AS t FROM prof)"""
+
+ORACLE["frac_in_range"] = with_(*PROFILE) + """
+SELECT col AS column, round(frac_in_range, 6) AS frac_in_range, round(frac_in_range_s, 6) AS frac_in_range_s,
+       round(frac_in_range_ms, 6) AS frac_in_range_ms FROM prof"""
+
+ORACLE["is_monotonic"] = with_(*PROFILE) + "SELECT col AS column, mono_t, mono_s, mono_ms FROM prof"
+
+_P4_ORDER = [n for n, _ in P4_SPEC]
+ORACLE["detect_candidates"] = with_(*PROFILE) + _pick(_P4_ORDER, ["ts_epoch_ms", "ts_iso"])
+ORACLE["detect_time_column"] = with_(*PROFILE) + _pick([c for c in _P4_ORDER if c != "ts_native"], [])
+
+for _k, _kind in (("detect_datetime", "datetime"), ("detect_string", "string"), ("detect_epoch", "numeric")):
+    ORACLE[_k] = with_(*PROFILE) + f"""
+SELECT col AS column, kind, round(score, 6) AS score, unit FROM pdet WHERE kind = '{_kind}'"""
+
+ORACLE["null_profile"] = with_(P2) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count(*) - count({c}) AS BIGINT) AS n_null FROM p2"
+    for c in ("series_key", "event_id", "ts", "v", "tie"))
+
+ORACLE["head5"] = "SELECT event_id, ts, event_type, round(value, 6) AS value FROM events ORDER BY event_id LIMIT 5"
+
+ORACLE["ingest_metadata"] = with_(P1) + f"""
+SELECT series_key, min(ts) AS ts_min, max(ts) AS ts_max, count(*) AS n_rows, '{",".join(P1_FEATURES)}' AS features
+FROM p1 GROUP BY 1"""

@@ -424,3 +424,90 @@ def alert_firing(spark, sf_dir):
 @query
 def alert_messages(spark, sf_dir):
     return _final(drift.alert_messages(p1_rule_states(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- C: profile and detection
+
+from seriesguard.operators import profile  # noqa: E402
+
+NOW = "2025-01-01 00:00:00"
+P4_COLUMNS = ["ts_iso", "ts_epoch_s", "ts_epoch_ms", "year", "junk", "ts_native", "value"]
+
+
+def p4_profile(spark, sf_dir, columns=None) -> DataFrame:
+    cols = columns or P4_COLUMNS
+    return stages.stage(spark, sf_dir, "p4_profile:" + ",".join(cols), lambda: profile.profile_columns(
+        panels.text_columns(spark, sf_dir), "event_id", cols, now=NOW))
+
+
+@query
+def profile_parse_ratio(spark, sf_dir):
+    return _final(p4_profile(spark, sf_dir).select("column", "kind", "n_rows", "n_parsed", "parse_ratio"))
+
+
+@query
+def profile_plausible(spark, sf_dir):
+    return _final(profile.plausible(p4_profile(spark, sf_dir)))
+
+
+@query
+def gate_series(spark, sf_dir):
+    return _final(profile.gate_series(p4_profile(spark, sf_dir)))
+
+
+@query
+def frac_in_range(spark, sf_dir):
+    return _final(p4_profile(spark, sf_dir).select("column", "frac_in_range", "frac_in_range_s", "frac_in_range_ms"))
+
+
+@query
+def is_monotonic(spark, sf_dir):
+    return _final(p4_profile(spark, sf_dir).select("column", "mono_t", "mono_s", "mono_ms"))
+
+
+@query
+def detect_candidates(spark, sf_dir):
+    prof = p4_profile(spark, sf_dir)
+    return _final(profile.detect_time_column(prof, P4_COLUMNS, candidates=["ts_epoch_ms", "ts_iso"]))
+
+
+@query
+def detect_time_column(spark, sf_dir):
+    cols = [c for c in P4_COLUMNS if c != "ts_native"]
+    return _final(profile.detect_time_column(p4_profile(spark, sf_dir, cols), cols))
+
+
+def _scores(spark, sf_dir, kind):
+    sc = profile.detect_scores(p4_profile(spark, sf_dir))
+    return _final(sc.where(F.col("kind") == kind))
+
+
+@query
+def detect_datetime(spark, sf_dir):
+    return _scores(spark, sf_dir, "datetime")
+
+
+@query
+def detect_string(spark, sf_dir):
+    return _scores(spark, sf_dir, "string")
+
+
+@query
+def detect_epoch(spark, sf_dir):
+    return _scores(spark, sf_dir, "numeric")
+
+
+@query
+def null_profile(spark, sf_dir):
+    return _final(profile.null_profile(panels.dirty_events(spark, sf_dir)))
+
+
+@query
+def head5(spark, sf_dir):
+    ev = panels.table(spark, sf_dir, "events")
+    return _final(ev.orderBy("event_id").limit(5).select("event_id", "ts", "event_type", "value"))
+
+
+@query
+def ingest_metadata(spark, sf_dir):
+    return _final(profile.ingest_metadata(panels.hourly_panel(spark, sf_dir), KEYS, "ts", P1_FEATURES))
