@@ -699,3 +699,66 @@ ORACLE["head5"] = "SELECT event_id, ts, event_type, round(value, 6) AS value FRO
 ORACLE["ingest_metadata"] = with_(P1) + f"""
 SELECT series_key, min(ts) AS ts_min, max(ts) AS ts_max, count(*) AS n_rows, '{",".join(P1_FEATURES)}' AS features
 FROM p1 GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- A, B: sources, messages, routing
+
+ORACLE["scan_csv_roundtrip"] = with_(P1) + "SELECT series_key, ts, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in P1_FEATURES) + " FROM p1"
+
+ORACLE["events_to_json"] = """
+SELECT event_id, CAST(json_object('event_id', event_id, 'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
+       'user_id', user_id, 'event_type', event_type, 'value', value) AS VARCHAR) AS value FROM events"""
+
+ORACLE["project_features"] = with_(P1) + "SELECT series_key, ts, " + ", ".join(
+    f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in P1_FEATURES) + " FROM p1"
+
+ORACLE["ts_label"] = with_(P2) + """
+SELECT series_key, event_id, tie, COALESCE(strftime(ts, '%Y-%m-%d %H:%M:%S'), CAST(event_id AS VARCHAR)) AS label
+FROM p2"""
+
+P7 = """p7 AS (SELECT event_id, event_type AS source, ts, value, CAST(user_id AS DOUBLE) AS usr,
+          event_id % 50 = 0 AS bad, event_id % 7 = 0 AS nested FROM events)"""
+
+ORACLE["json_flatten"] = with_(P7) + """
+SELECT event_id, source, CASE WHEN nested THEN NULL ELSE round(value, 6) END AS value,
+       CASE WHEN nested THEN NULL ELSE round(usr, 6) END AS "user",
+       CASE WHEN nested THEN round(value, 6) END AS features_value,
+       CASE WHEN nested THEN round(usr, 6) END AS features_user
+FROM p7 WHERE NOT bad"""
+
+ORACLE["json_features"] = with_(P7) + """
+SELECT event_id, ts, source, round(value, 6) AS value, round(usr, 6) AS "user" FROM p7 WHERE NOT bad"""
+
+ORACLE["synth_ts"] = with_(P7) + "SELECT event_id, make_timestamp(event_id * 1000000) AS ts FROM p7 WHERE NOT bad"
+
+ORACLE["json_rejects"] = with_(P7) + "SELECT event_id, 'malformed' AS reason FROM p7 WHERE bad"
+
+ORACLE["flag_summary"] = with_(*FITTED) + """
+SELECT series_key, CAST(sum(flag) AS BIGINT) AS n_flagged, count(*) AS n_windows,
+       CASE WHEN count(*) = 0 THEN 'Not enough rows for one window' WHEN sum(flag) = 0 THEN 'No anomalies detected'
+            ELSE 'OK' END AS message
+FROM flagged WHERE split = 'test' GROUP BY 1"""
+
+VERDICT = with_(P3B, """ver AS (SELECT series_key, count(*) AS n_rows, count(ts) AS n_ts,
+      CASE WHEN CAST(count(ts) AS DOUBLE) / count(*) <= 0.8 THEN 'time column unparsable'
+           WHEN count(*) < 64 THEN 'fewer than 64 rows' END AS reason FROM p3b GROUP BY 1)""")
+
+ORACLE["route_valid"] = VERDICT + """
+SELECT series_key, event_id FROM p3b WHERE series_key IN (SELECT series_key FROM ver WHERE reason IS NULL)"""
+
+ORACLE["route_rejected"] = VERDICT + "SELECT series_key, n_rows, reason FROM ver WHERE reason IS NOT NULL"
+
+ORACLE["run_best_step"] = """
+SELECT run_id, key, arg_min(step, (value, step)) AS best_step, min(value) AS best_value FROM (
+  SELECT event_type AS run_id, 'avg_value' AS key, CAST(dayofyear(ts) - 1 AS INTEGER) AS step,
+         round(avg(value), 6) AS value FROM events GROUP BY 1, 2, 3) GROUP BY 1, 2"""
+
+ORACLE["best_model"] = with_(*FITTED) + """
+SELECT series_key, arg_min(model, (m, model)) AS best_model, round(min(m), 6) AS val_err FROM (
+  SELECT series_key, model, avg(err) AS m FROM errs WHERE split = 'val' GROUP BY 1, 2) GROUP BY 1"""
+
+ORACLE["latest_n"] = with_(P3B) + """
+SELECT series_key, event_id, ts, pos FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY series_key ORDER BY ts DESC, event_id DESC) AS INTEGER) AS pos FROM p3b)
+WHERE pos <= 10"""

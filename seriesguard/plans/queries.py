@@ -511,3 +511,118 @@ def head5(spark, sf_dir):
 @query
 def ingest_metadata(spark, sf_dir):
     return _final(profile.ingest_metadata(panels.hourly_panel(spark, sf_dir), KEYS, "ts", P1_FEATURES))
+
+
+# ---------------------------------------------------------------- A, B: sources, messages, routing
+
+from seriesguard.functions.columns import numeric_columns  # noqa: E402
+from seriesguard.operators import runs  # noqa: E402
+from seriesguard.session import scratch_path  # noqa: E402
+from seriesguard.sources import events as ev_src  # noqa: E402
+from seriesguard.sources import files  # noqa: E402
+
+
+@query
+def scan_csv_roundtrip(spark, sf_dir):
+    import uuid
+
+    path = scratch_path(spark, f"csv-roundtrip-{uuid.uuid4().hex}")
+    panels.hourly_panel(spark, sf_dir).write.option("header", True).csv(path)
+    back = files.read_series(spark, path, "csv")
+    return _final(back.select("series_key", F.col("ts").cast("timestamp").alias("ts"),
+                              *[F.col(c).cast("double").alias(c) for c in P1_FEATURES]))
+
+
+@query
+def events_to_json(spark, sf_dir):
+    ev = panels.table(spark, sf_dir, "events").select(
+        "event_id", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+        "user_id", "event_type", "value")
+    return ev.select("event_id", F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("value"))
+
+
+@query
+def project_features(spark, sf_dir):
+    p1 = panels.hourly_panel(spark, sf_dir)
+    feats = numeric_columns(p1)
+    return _final(p1.select("series_key", "ts", *[F.col(c).cast("double").alias(c) for c in feats]))
+
+
+@query
+def ts_label(spark, sf_dir):
+    p2 = panels.dirty_events(spark, sf_dir)
+    label = F.coalesce(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("event_id").cast("string"))
+    return _final(p2.select("series_key", "event_id", "tie", label.alias("label")))
+
+
+def _p7_parsed(spark, sf_dir):
+    return ev_src.parse_events(panels.event_json(spark, sf_dir)).where(F.col("_ok")).drop("_ok")
+
+
+@query
+def json_flatten(spark, sf_dir):
+    return _final(_p7_parsed(spark, sf_dir).drop("ts"))
+
+
+@query
+def json_features(spark, sf_dir):
+    p = ev_src.expand_features(_p7_parsed(spark, sf_dir), ["value", "user"])
+    return _final(p.select("event_id", F.to_timestamp("ts").alias("ts"), "source", "value", "user"))
+
+
+@query
+def synth_ts(spark, sf_dir):
+    p = _p7_parsed(spark, sf_dir).withColumn("ts", F.lit(None).cast("string"))
+    return _final(ev_src.synth_time(p, "ts", F.col("event_id")).select("event_id", "ts"))
+
+
+@query
+def json_rejects(spark, sf_dir):
+    p7 = panels.event_json(spark, sf_dir)
+    return _final(ev_src.rejects(p7, keep=["event_id"], required=["ts"]).select("event_id", "reason"))
+
+
+@query
+def flag_summary(spark, sf_dir):
+    fl = p1_fitted(spark, sf_dir).flagged.where(F.col("split") == "test")
+    return _final(runs.flag_summary(fl, KEYS))
+
+
+MIN_ROWS = 64
+
+
+def _verdicts(spark, sf_dir):
+    p3b = panels.user_series(spark, sf_dir)
+    return runs.series_verdicts(p3b, KEYS, "ts", min_rows=MIN_ROWS)
+
+
+@query
+def route_valid(spark, sf_dir):
+    p3b = panels.user_series(spark, sf_dir)
+    valid, _ = runs.route(p3b, _verdicts(spark, sf_dir), KEYS)
+    return _final(valid.select("series_key", "event_id"))
+
+
+@query
+def route_rejected(spark, sf_dir):
+    p3b = panels.user_series(spark, sf_dir)
+    _, rejected = runs.route(p3b, _verdicts(spark, sf_dir), KEYS)
+    return _final(rejected.select("series_key", "n_rows", "reason"))
+
+
+@query
+def run_best_step(spark, sf_dir):
+    return _final(runs.best_step(panels.metric_history(spark, sf_dir)))
+
+
+@query
+def best_model(spark, sf_dir):
+    from seriesguard.operators import stats as st
+    by_model = st.error_by_model(p1_fitted(spark, sf_dir).errors, KEYS)
+    return _final(runs.best_model(by_model, KEYS))
+
+
+@query
+def latest_n(spark, sf_dir):
+    out = clean.latest_n(panels.user_series(spark, sf_dir), KEYS, 10, "ts", ["event_id"])
+    return _final(out.select("series_key", "event_id", "ts", "pos"))
