@@ -68,21 +68,22 @@ def ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts
           tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
     """D3: forward fill every listed column in time order."""
     laid = _laid(df, keys, ts, tiebreak, rows_per_block)
-    return L.drop_halo(L.carry_forward(laid, keys, cols))
+    return L.drop_halo(L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block))
 
 
 def bfill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
           tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
     """Backward fill, over the same ordering as D3 with a following frame."""
     laid = _laid(df, keys, ts, tiebreak, rows_per_block)
-    return L.drop_halo(L.carry_backward(laid, keys, cols))
+    return L.drop_halo(L.carry_backward(laid, keys, cols, rows_per_block=rows_per_block))
 
 
 def fill_missing(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
                  tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
     """D3 then D4 over one layout (one shuffle for both)."""
     laid = _laid(df, keys, ts, tiebreak, rows_per_block)
-    return L.drop_halo(L.carry_backward(L.carry_forward(laid, keys, cols), keys, cols))
+    fwd = L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block)
+    return L.drop_halo(L.carry_backward(fwd, keys, cols, rows_per_block=rows_per_block))
 
 
 def interpolate_time(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
@@ -99,8 +100,8 @@ def interpolate_time(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts
         laid = laid.withColumn(f"_p_{c}", pt).withColumn(f"_n_{c}", pt)
         pcols.append(f"_p_{c}")
         ncols.append(f"_n_{c}")
-    laid = L.carry_forward(laid, keys, pcols)
-    laid = L.carry_backward(laid, keys, ncols)
+    laid = L.carry_forward(laid, keys, pcols, rows_per_block=rows_per_block)
+    laid = L.carry_backward(laid, keys, ncols, rows_per_block=rows_per_block)
     for c in cols:
         p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
         span = (n["t"] - p["t"]).cast("double")

@@ -46,6 +46,14 @@ def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[st
     Adds ``count_col`` (rows in the series) when given.
     """
     keys = list(keys)
+    order = [F.col(ts).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tiebreak]
+    if max_series_rows(df, keys) <= rows_per_segment:
+        # Every series fits one segment: a single window per series is bounded and needs one exchange.
+        w = Window.partitionBy(*keys).orderBy(*order)
+        res = df.withColumn(out, F.row_number().over(w) - F.lit(1))
+        if count_col:
+            res = res.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        return res
     dtype = dict(df.dtypes)[ts]
     pos = micros(F.col(ts)) if dtype.startswith("timestamp") or dtype == "date" else F.col(ts).cast("double")
     us = F.coalesce(pos, F.lit(-(1 << 62)))
@@ -61,7 +69,6 @@ def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[st
     counts = with_seg.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    order = [F.col(ts).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tiebreak]
     w = Window.partitionBy(*keys, "_seg").orderBy(*order)
     res = (with_seg.join(offsets, keys + ["_seg"])
            .withColumn(out, F.col("_off") + F.row_number().over(w) - F.lit(1)))
@@ -70,6 +77,16 @@ def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[st
     return res.drop("_us", "_n", "_lo", "_hi", "_nseg", "_width", "_seg", "_off")
 
 
+def max_series_rows(df: DataFrame, keys: Sequence[str], rn: str | None = None) -> int:
+    """Rows of the largest series: one partial aggregate whose one-number result picks the plan
+    (statistics-driven, like AQE). With ``rn`` present it is ``max(rn) + 1`` without a shuffle."""
+    if rn and rn in df.columns:
+        v = df.agg(F.max(rn)).first()[0]
+        return 0 if v is None else int(v) + 1
+    v = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(v or 0)
+
+
 def with_blocks(df: DataFrame, keys: Sequence[str], lookback: int, rn: str = "rn",
                 rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Cut each series into blocks of ``rows_per_block`` rows plus a halo of ``lookback`` earlier rows."""
@@ -99,18 +116,20 @@ def _block_summary(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn:
     return base.groupBy(*keys, BLK).agg(*aggs)
 
 
-def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn") -> DataFrame:
+def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn",
+                  rows_per_block: int | None = None) -> DataFrame:
     """Forward fill (``last ignore nulls`` over all earlier rows) on a frame laid out by ``with_blocks``.
 
     Inside a block the frame is a window; what comes from earlier blocks is read from a per-block summary
-    (one row per block) with a running ``last`` over blocks.
+    (one row per block) with a running ``last`` over blocks. Given the layout's ``rows_per_block``, the
+    summary is skipped when every series fits one block.
     """
     keys = list(keys)
     inside = seq_window(df, keys, rn).rowsBetween(Window.unboundedPreceding, 0)
     out = df
     for c in cols:
         out = out.withColumn(c, F.last(F.col(c), ignorenulls=True).over(inside))
-    if BLK not in df.columns:
+    if BLK not in df.columns or (rows_per_block and max_series_rows(df, keys, rn) <= rows_per_block):
         return out
     summ = _block_summary(df, keys, cols, rn, last=True)
     prev = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
@@ -122,14 +141,15 @@ def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: s
     return out
 
 
-def carry_backward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn") -> DataFrame:
+def carry_backward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn",
+                  rows_per_block: int | None = None) -> DataFrame:
     """Backward fill (``first ignore nulls`` over all later rows), the mirror of ``carry_forward``."""
     keys = list(keys)
     inside = seq_window(df, keys, rn).rowsBetween(0, Window.unboundedFollowing)
     out = df
     for c in cols:
         out = out.withColumn(c, F.first(F.col(c), ignorenulls=True).over(inside))
-    if BLK not in df.columns:
+    if BLK not in df.columns or (rows_per_block and max_series_rows(df, keys, rn) <= rows_per_block):
         return out
     summ = _block_summary(df, keys, cols, rn, last=False)
     nxt = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(1, Window.unboundedFollowing)
