@@ -626,3 +626,33 @@ def best_model(spark, sf_dir):
 def latest_n(spark, sf_dir):
     out = clean.latest_n(panels.user_series(spark, sf_dir), KEYS, 10, "ts", ["event_id"])
     return _final(out.select("series_key", "event_id", "ts", "pos"))
+
+
+# ---------------------------------------------------------------- H4-H7: learned detectors (rows-only checks)
+
+from seriesguard.operators import learned  # noqa: E402
+
+
+def p1_windows(spark, sf_dir) -> DataFrame:
+    return stages.stage(spark, sf_dir, "p1_windows", lambda: windows.sliding_windows(
+        p1_scaled(spark, sf_dir), KEYS, P1_FEATURES, W, 1).select("series_key", "split", "ts", "win"))
+
+
+@query
+def recon_pca(spark, sf_dir):
+    return _final(learned.recon_pca(p1_windows(spark, sf_dir), k=4).select("series_key", "split", "ts", "err"))
+
+
+@query
+def recon_dense_losses(spark, sf_dir):
+    flat = learned.flat_windows(p1_windows(spark, sf_dir))
+    _, hist = learned.recon_dense(flat, hidden=8, epochs=5)
+    return _final(hist)
+
+
+@query
+def score_external(spark, sf_dir):
+    flat = learned.flat_windows(p1_windows(spark, sf_dir))
+    mean, pc = learned.fit_pca(flat, 4)
+    out = learned.score_windows(flat, learned.pca_predict_fn(mean, pc), dim=W * len(P1_FEATURES))
+    return _final(out.select("series_key", "split", "ts", "err"))
