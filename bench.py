@@ -29,9 +29,12 @@ def run(df):
 
 def q_prepare_window(spark, sf):
     """Clean -> split -> scale -> W=16 windows over every user series."""
+    from seriesguard.operators import features, split
+    from seriesguard.plans import layout
     p = flows.prepare(panels.user_series(spark, sf), KEYS, ["value"], tiebreak=["event_id"], resample=False)
-    fx = flows.fit_score(p, KEYS, ["value"], W=16, models=["ewma"], checkpoint=True)
-    return windows.sliding_windows(fx.scaled, KEYS, ["value"], 16, 1).select(
+    sp = split.chrono_split(p, KEYS, max_rows=layout.max_series_rows(p, KEYS))
+    scaled = features.scaler_apply(sp, features.scaler_fit(sp, KEYS, ["value"]), KEYS, ["value"])
+    return windows.sliding_windows(scaled, KEYS, ["value"], 16, 1).select(
         "series_key", "ts", F.size("win").alias("n"))
 
 

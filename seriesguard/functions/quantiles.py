@@ -8,7 +8,7 @@ holds a third of all rows. ``group_quantile`` returns the same value (NumPy ``li
 * larger groups: narrowing rounds. A round counts the group's candidate values in ``bins`` equal-width
   bins (a partial aggregate with map-side combine) together with each bin's exact min and max, and keeps
   the bins holding the two wanted ranks. Bins are monotone in the value, so the kept range holds exactly
-  the kept bins' values and the counts stay exact. The small per-group state is checkpointed to the
+  the kept bins' values and the counts stay exact. The small per-group state is written to the
   shared checkpoint folder after each round, so lineage does not grow and a lost executor only redoes
   one round. Rounds stop when every group is small (or constant).
 """
@@ -26,10 +26,14 @@ MAX_ROUNDS = 64
 
 
 def group_quantile(df: DataFrame, keys: Sequence[str], col: str, qv: float, out: str = "quantile",
-                   small: int = SMALL_GROUP, bins: int = BINS) -> DataFrame:
-    """One row per group with at least one non-null value: ``keys`` and the exact ``qv`` quantile."""
+                   small: int = SMALL_GROUP, bins: int = BINS, max_group: int | None = None) -> DataFrame:
+    """One row per group with at least one non-null value: ``keys`` and the exact ``qv`` quantile.
+
+    ``max_group`` (an upper bound of the largest group, e.g. the largest series) skips the size check."""
     if not 0.0 <= qv <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {qv}")
+    from seriesguard.session import materialize
+
     keys = list(keys)
     vals = df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(qv))
@@ -39,9 +43,9 @@ def group_quantile(df: DataFrame, keys: Sequence[str], col: str, qv: float, out:
                      (h - F.floor(h)).alias("_frac"), "_lo", "_hi",
                      F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt")))
     open_groups = (F.col("_cnt") > small) & (F.col("_hi") > F.col("_lo"))
-    if state.where(open_groups).limit(1).count() > 0:
+    if (max_group is None or max_group > small) and state.where(open_groups).limit(1).count() > 0:
         for _ in range(MAX_ROUNDS):
-            state = _narrow(vals, state, keys, bins, open_groups).checkpoint(eager=True)
+            state = materialize(_narrow(vals, state, keys, bins, open_groups), "quantile-state")
             if state.where(open_groups).limit(1).count() == 0:
                 break
     cand = (vals.join(state, keys)

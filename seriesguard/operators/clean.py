@@ -58,41 +58,45 @@ def dedup_first(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Se
     return df.groupBy(*keys, ts).agg(agg).select(*keys, ts, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def _laid(df: DataFrame, keys, ts, tiebreak, rows_per_block, lookback=0) -> DataFrame:
+def _laid(df: DataFrame, keys, ts, tiebreak, rows_per_block, lookback=0, max_rows=None) -> DataFrame:
     if "rn" not in df.columns:
-        df = L.row_index(df, keys, ts, tiebreak)
-    return L.with_blocks(df, keys, lookback, rows_per_block=rows_per_block)
+        df = L.row_index(df, keys, ts, tiebreak, max_rows=max_rows)
+    return L.with_blocks(df, keys, lookback, rows_per_block=rows_per_block, max_rows=max_rows)
 
 
 def ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
-          tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+          tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK,
+          max_rows: int | None = None) -> DataFrame:
     """D3: forward fill every listed column in time order."""
-    laid = _laid(df, keys, ts, tiebreak, rows_per_block)
+    laid = _laid(df, keys, ts, tiebreak, rows_per_block, max_rows=max_rows)
     return L.drop_halo(L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block))
 
 
 def bfill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
-          tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+          tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK,
+          max_rows: int | None = None) -> DataFrame:
     """Backward fill, over the same ordering as D3 with a following frame."""
-    laid = _laid(df, keys, ts, tiebreak, rows_per_block)
+    laid = _laid(df, keys, ts, tiebreak, rows_per_block, max_rows=max_rows)
     return L.drop_halo(L.carry_backward(laid, keys, cols, rows_per_block=rows_per_block))
 
 
 def fill_missing(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
-                 tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+                 tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK,
+                 max_rows: int | None = None) -> DataFrame:
     """D3 then D4 over one layout (one shuffle for both)."""
-    laid = _laid(df, keys, ts, tiebreak, rows_per_block)
-    fwd = L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block)
-    return L.drop_halo(L.carry_backward(fwd, keys, cols, rows_per_block=rows_per_block))
+    laid = _laid(df, keys, ts, tiebreak, rows_per_block, max_rows=max_rows)
+    fwd = L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block, max_rows=max_rows)
+    return L.drop_halo(L.carry_backward(fwd, keys, cols, rows_per_block=rows_per_block, max_rows=max_rows))
 
 
 def interpolate_time(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
-                     tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+                     tiebreak: Sequence[str] = (), rows_per_block: int = L.ROWS_PER_BLOCK,
+                     max_rows: int | None = None) -> DataFrame:
     """Linear in time between the previous and next non-null value; edges take the nearest value.
 
     An all-null column stays null.
     """
-    laid = _laid(df, keys, ts, tiebreak, rows_per_block)
+    laid = _laid(df, keys, ts, tiebreak, rows_per_block, max_rows=max_rows)
     us = micros(F.col(ts))
     pcols, ncols = [], []
     for c in cols:
@@ -100,8 +104,8 @@ def interpolate_time(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts
         laid = laid.withColumn(f"_p_{c}", pt).withColumn(f"_n_{c}", pt)
         pcols.append(f"_p_{c}")
         ncols.append(f"_n_{c}")
-    laid = L.carry_forward(laid, keys, pcols, rows_per_block=rows_per_block)
-    laid = L.carry_backward(laid, keys, ncols, rows_per_block=rows_per_block)
+    laid = L.carry_forward(laid, keys, pcols, rows_per_block=rows_per_block, max_rows=max_rows)
+    laid = L.carry_backward(laid, keys, ncols, rows_per_block=rows_per_block, max_rows=max_rows)
     for c in cols:
         p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
         span = (n["t"] - p["t"]).cast("double")

@@ -66,14 +66,15 @@ def ensemble(errs: DataFrame, keys: Sequence[str], normalization: str = "zscore"
 
 
 def threshold_fit(scores: DataFrame, keys: Sequence[str], method: str = "quantile", q: float = DEFAULT_Q,
-                  k: float = DEFAULT_K, fit_split: str = "val", pooled: bool = False) -> DataFrame:
+                  k: float = DEFAULT_K, fit_split: str = "val", pooled: bool = False,
+                  max_group: int | None = None) -> DataFrame:
     """Exact quantile of the fit-split scores, or mean + k * population std."""
     if method not in THRESHOLD_METHODS:
         raise ValueError(f"Unknown threshold method: {method}")
     rows = scores.where(F.col("split") == fit_split)
     by = _by(keys, pooled)
     if method == "quantile":
-        return group_quantile(rows, by, "score", q, out="threshold")
+        return group_quantile(rows, by, "score", q, out="threshold", max_group=None if pooled else max_group)
     agg = (F.avg("score") + F.lit(float(k)) * F.stddev_pop("score")).alias("threshold")
     return rows.groupBy(*by).agg(agg) if by else rows.agg(agg)
 

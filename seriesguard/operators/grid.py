@@ -19,13 +19,13 @@ GRID_CHUNK = 4096
 
 
 def with_deltas(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
-                rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+                rows_per_block: int = L.ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
     """Time since the previous row of the series, in microseconds (null on the first row)."""
     if "delta_us" in df.columns:
         return df
     if "rn" not in df.columns:
-        df = L.row_index(df, keys, ts, tiebreak)
-    laid = L.with_blocks(df, keys, 1, rows_per_block=rows_per_block)
+        df = L.row_index(df, keys, ts, tiebreak, max_rows=max_rows)
+    laid = L.with_blocks(df, keys, 1, rows_per_block=rows_per_block, max_rows=max_rows)
     prev = F.lag(F.col(ts), 1).over(L.seq_window(laid, keys))
     laid = laid.withColumn("delta_us", micros(F.col(ts)) - micros(prev))
     return L.drop_halo(laid)
@@ -68,9 +68,10 @@ def _frequency(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
         "freq_us", F.coalesce(F.when(kind == "fixed", F.col("min_step")), F.col("modal_us")))
 
 
-def frequency(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+def frequency(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
+              max_rows: int | None = None) -> DataFrame:
     """Per series: rows, first/last time, inferred kind, modal step and grid step (one layout, two aggregates)."""
-    return _frequency(_delta_groups(with_deltas(df, keys, ts, tiebreak), keys, ts), keys)
+    return _frequency(_delta_groups(with_deltas(df, keys, ts, tiebreak, max_rows=max_rows), keys, ts), keys)
 
 
 def modal_delta(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -92,9 +93,10 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFra
                                  F.max(us).alias("max_us"))
 
 
-def irregularity(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+def irregularity(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
+                 max_rows: int | None = None) -> DataFrame:
     """Expected grid length from first to last row at the step, compared by length only."""
-    f = frequency(df, keys, ts, tiebreak)
+    f = frequency(df, keys, ts, tiebreak, max_rows=max_rows)
     expected = F.when(F.col("freq_us") > 0,
                       F.floor((F.col("max_us") - F.col("min_us")) / F.col("freq_us")) + F.lit(1))
     return (f.withColumn("expected_len", expected.cast("long"))
@@ -138,7 +140,8 @@ def _guard(df: DataFrame, keys: Sequence[str], length: str, ratio: float) -> Dat
 
 def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
                    tiebreak: Sequence[str] = (), keep_leading: bool = False, only_irregular: bool = True,
-                   max_grid_ratio: float = 100.0, rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+                   max_grid_ratio: float = 100.0, rows_per_block: int = L.ROWS_PER_BLOCK,
+                   max_rows: int | None = None) -> DataFrame:
     """Grid anchored at midnight of the first day; a grid point takes the last row at or before it.
 
     Rows must be unique per ``(series, ts)`` (run D2 first). Each row emits the grid points between the
@@ -147,7 +150,7 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts:
     ``keep_leading`` (X15). With ``only_irregular`` regular series pass through unchanged (D9).
     """
     keys = list(keys)
-    ir = irregularity(df, keys, ts, tiebreak)
+    ir = irregularity(df, keys, ts, tiebreak, max_rows=max_rows)
     anchor = micros(F.date_trunc("day", F.timestamp_micros(F.col("min_us"))))
     params = ir.select(*keys, "n_rows", "freq_us", "is_irregular", "min_us", "max_us",
                        anchor.alias("_anchor"))
@@ -162,8 +165,8 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts:
         regular = None
         work = base.where(F.col("freq_us").isNotNull())
     if "rn" not in work.columns:
-        work = L.row_index(work, keys, ts, tiebreak, count_col=None)
-    laid = L.with_blocks(work, keys, 1, rows_per_block=rows_per_block)
+        work = L.row_index(work, keys, ts, tiebreak, count_col=None, max_rows=max_rows)
+    laid = L.with_blocks(work, keys, 1, rows_per_block=rows_per_block, max_rows=max_rows)
     w = L.seq_window(laid, keys)
     us = micros(F.col(ts))
     prev_us = F.lag(us, 1).over(w)
@@ -179,7 +182,7 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts:
     on_grid_last = (F.col("rn") == F.col("n_rows") - 1) & (floor_g(us) == us)
     pts_last = F.when(on_grid_last, F.array(F.struct(us.alias("_g"), *own_vals)))
     pts = F.concat(F.coalesce(pts_prev, empty), F.coalesce(pts_last, empty))
-    exploded = (laid.withColumn("_pts", pts).where(~F.col(L.HALO))
+    exploded = (L.drop_halo(laid.withColumn("_pts", pts))
                 .select(*keys, F.col("rn").alias("_src"), F.explode("_pts").alias("_p")))
     if not keep_leading:
         exploded = exploded.where(F.col("_src") > 0)

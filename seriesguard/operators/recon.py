@@ -120,7 +120,8 @@ def errors_long(win: DataFrame, keys: Sequence[str], models: Sequence[str] = MOD
 def detect(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
            models: Sequence[str] = MODELS, ts: str = "ts", phase: Column | None = None,
            weights: Sequence[float] = EWMA_WEIGHTS, kernel: Sequence[float] = LOCAL_KERNEL,
-           keep_rows: bool = False, rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+           keep_rows: bool = False, rows_per_block: int = L.ROWS_PER_BLOCK,
+           max_rows: int | None = None) -> DataFrame:
     """H1-H3 + I1 in one layout: returns the long error table (or the laid rows with ``keep_rows``)."""
     models = list(models)
     unknown = set(models) - set(MODELS)
@@ -130,7 +131,7 @@ def detect(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16,
     if "seasonal" in models:
         df = recon_seasonal(df, keys, cols, phase, ts)
     lookback = W - 1 + (len(weights) if "ewma" in models else 0) + 2
-    laid = L.with_blocks(df, keys, lookback, rows_per_block=rows_per_block)
+    laid = L.with_blocks(df, keys, lookback, rows_per_block=rows_per_block, max_rows=max_rows)
     if "ewma" in models:
         laid = recon_ewma(laid, keys, cols, weights)
     if "local" in models:

@@ -14,13 +14,13 @@ SPLITS = ("train", "val", "test")
 
 def chrono_split(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
                  val_ratio: float = 0.2, test_ratio: float = 0.2,
-                 rows_per_segment: int = L.ROWS_PER_SEGMENT) -> DataFrame:
+                 rows_per_segment: int = L.ROWS_PER_SEGMENT, max_rows: int | None = None) -> DataFrame:
     """``n_test = int(n * test)``, ``n_val = int((n - n_test) * val)``; test is the tail.
 
     Adds ``rn`` (row index in the series), ``n_rows``, ``split`` and ``rn_split`` (index inside the split).
     """
     if "rn" not in df.columns:
-        df = L.row_index(df, keys, ts, tiebreak, rows_per_segment=rows_per_segment)
+        df = L.row_index(df, keys, ts, tiebreak, rows_per_segment=rows_per_segment, max_rows=max_rows)
     n = F.col("n_rows")
     n_test = F.floor(n.cast("double") * F.lit(float(test_ratio)))
     n_tv = n - n_test

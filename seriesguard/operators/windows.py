@@ -41,18 +41,18 @@ def window_end(W: int, step: int, extra_lookback: int = 0) -> Column:
 
 def sliding_windows(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
                     ts: str = "ts", tiebreak: Sequence[str] = (), out: str = "win",
-                    rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+                    rows_per_block: int = L.ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
     """One row per window, ``win`` is ``array<array<double>>`` of shape ``(W, C)``."""
     if W < 1 or step < 1:
         raise ValueError("window size and step must be positive")
     df = ensure_split(df, keys, ts, tiebreak)
-    laid = L.with_blocks(df, keys, W - 1, rows_per_block=rows_per_block)
+    laid = L.with_blocks(df, keys, W - 1, rows_per_block=rows_per_block, max_rows=max_rows)
     frame = L.seq_window(laid, keys).rowsBetween(-(W - 1), 0)
     row = F.array(*[F.col(q(c)).cast("double") for c in cols])
     laid = laid.withColumn(out, F.collect_list(row).over(frame))
-    kept = [k for k in keys] + ["split", "rn", "rn_split", ts, out]
-    return L.drop_halo(laid.where(window_end(W, step)).select(*kept, *( [L.HALO, L.BLK]
-                                                                       if L.HALO in laid.columns else [])))
+    kept = list(keys) + ["split", "rn", "rn_split", ts, out]
+    extra = [c for c in (L.HALO, L.BLK) if c in laid.columns]
+    return L.drop_halo(laid.where(window_end(W, step)).select(*kept, *extra))
 
 
 def window_count(T: Column, W: int, step: int) -> Column:

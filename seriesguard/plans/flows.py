@@ -22,17 +22,26 @@ def prepare(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "
             keep_leading: bool = False, checkpoint: bool = True) -> DataFrame:
     """Clean one panel; the row index is computed once and shared by fill, deltas and resampling.
 
-    The result is materialised (reliable checkpoint in the shared checkpoint folder): it is the stage
-    every later step reads, and cutting the lineage here keeps plans small and recovery cheap.
+    One small aggregate measures the largest series; that bound picks every plan below (single window
+    per series, or segments and blocks for huge series) without further jobs. The result is
+    materialised (a table in the shared checkpoint folder): every later step reads it, and cutting the
+    lineage here keeps plans small and recovery cheap. Huge series also materialise the row index,
+    because the skew-safe plans read it several times.
     """
     stage = materialize if checkpoint else (lambda d, name=None: d)
     df = clean.drop_null_ts(df, ts)
     df = clean.dedup_first(df.select(*keys, ts, *tiebreak, *cols), keys, ts, tiebreak)
-    df = stage(layout.row_index(df.select(*keys, ts, *cols), keys, ts, count_col=None), "indexed")
+    n_max = layout.max_series_rows(df, keys)
+    big = n_max > layout.ROWS_PER_SEGMENT
+    df = layout.row_index(df.select(*keys, ts, *cols), keys, ts, count_col=None, max_rows=n_max)
+    if big:
+        df = stage(df, "indexed")
     if fill:
-        df = stage(clean.fill_missing(df, keys, cols, ts), "filled")
+        df = clean.fill_missing(df, keys, cols, ts, max_rows=n_max)
+        if big and resample:
+            df = stage(df, "filled")
     if resample:
-        df = grid.resample_ffill(df, keys, cols, ts, keep_leading=keep_leading)
+        df = grid.resample_ffill(df, keys, cols, ts, keep_leading=keep_leading, max_rows=n_max)
     return stage(df.select(*keys, ts, *cols), "prepared")
 
 
@@ -56,12 +65,15 @@ def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int
               checkpoint: bool = True) -> Fitted:
     extra = {"rows_per_block": rows_per_block} if rows_per_block else {}
     stage = materialize if checkpoint else (lambda d, name=None: d)
-    sp = stage(split.chrono_split(panel, keys, ts, val_ratio=val_ratio, test_ratio=test_ratio), "split")
+    n_max = layout.max_series_rows(panel, keys)
+    sp = split.chrono_split(panel, keys, ts, val_ratio=val_ratio, test_ratio=test_ratio, max_rows=n_max)
+    if n_max > layout.ROWS_PER_SEGMENT:
+        sp = stage(sp, "split")
     scaler = features.scaler_fit(sp, keys, cols, pooled=pooled)
     scaled = features.scaler_apply(sp, scaler, keys, cols, pooled=pooled)
-    errs = stage(recon.detect(scaled, keys, cols, W, step, models, ts, phase, **extra), "errors")
+    errs = stage(recon.detect(scaled, keys, cols, W, step, models, ts, phase, max_rows=n_max, **extra), "errors")
     norms = ensemble.normalizers_fit(errs, keys, pooled=pooled) if normalization == "zscore" else None
     scores = stage(ensemble.ensemble(errs, keys, normalization, norms, models, pooled=pooled, ts=ts), "scores")
-    thr = ensemble.threshold_fit(scores, keys, method, q, k, pooled=pooled)
+    thr = ensemble.threshold_fit(scores, keys, method, q, k, pooled=pooled, max_group=n_max)
     flagged = ensemble.flags(scores, thr, keys, pooled=pooled)
     return Fitted(sp, scaler, scaled, errs, norms, scores, thr, flagged)

@@ -39,15 +39,16 @@ def seq_window(df: DataFrame, keys: Sequence[str], order: str | Sequence[str] =
 
 def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = (),
               out: str = "rn", count_col: str | None = "n_rows",
-              rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+              rows_per_segment: int = ROWS_PER_SEGMENT, max_rows: int | None = None) -> DataFrame:
     """0-based position of each row in its series ordered by ``(ts, *tiebreak)``.
 
     ``(ts, *tiebreak)`` must be a total order inside a series, otherwise numbers are not deterministic.
-    Adds ``count_col`` (rows in the series) when given.
+    Adds ``count_col`` (rows in the series) when given. ``max_rows`` (rows of the largest series, or an
+    upper bound) picks the plan without another job; without it one small aggregate measures it.
     """
     keys = list(keys)
     order = [F.col(ts).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tiebreak]
-    if max_series_rows(df, keys) <= rows_per_segment:
+    if (max_rows if max_rows is not None else max_series_rows(df, keys)) <= rows_per_segment:
         # Every series fits one segment: a single window per series is bounded and needs one exchange.
         w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, F.row_number().over(w) - F.lit(1))
@@ -88,8 +89,15 @@ def max_series_rows(df: DataFrame, keys: Sequence[str], rn: str | None = None) -
 
 
 def with_blocks(df: DataFrame, keys: Sequence[str], lookback: int, rn: str = "rn",
-                rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Cut each series into blocks of ``rows_per_block`` rows plus a halo of ``lookback`` earlier rows."""
+                rows_per_block: int = ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
+    """Cut each series into blocks of ``rows_per_block`` rows plus a halo of ``lookback`` earlier rows.
+
+    When ``max_rows`` shows that every series fits one block, the frame is returned as it is: window
+    functions then partition by the series key alone and reuse the exchange of the row index, so a chain
+    of sequential operators costs one shuffle.
+    """
+    if max_rows is not None and max_rows <= rows_per_block:
+        return df
     if lookback >= rows_per_block:
         raise ValueError(f"lookback {lookback} must be smaller than rows_per_block {rows_per_block}")
     blk = F.floor(F.col(rn) / F.lit(rows_per_block)).cast("long")
@@ -117,7 +125,7 @@ def _block_summary(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn:
 
 
 def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn",
-                  rows_per_block: int | None = None) -> DataFrame:
+                  rows_per_block: int | None = None, max_rows: int | None = None) -> DataFrame:
     """Forward fill (``last ignore nulls`` over all earlier rows) on a frame laid out by ``with_blocks``.
 
     Inside a block the frame is a window; what comes from earlier blocks is read from a per-block summary
@@ -129,7 +137,8 @@ def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: s
     out = df
     for c in cols:
         out = out.withColumn(c, F.last(F.col(c), ignorenulls=True).over(inside))
-    if BLK not in df.columns or (rows_per_block and max_series_rows(df, keys, rn) <= rows_per_block):
+    if BLK not in df.columns or (rows_per_block and (
+            max_rows if max_rows is not None else max_series_rows(df, keys, rn)) <= rows_per_block):
         return out
     summ = _block_summary(df, keys, cols, rn, last=True)
     prev = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
@@ -142,14 +151,15 @@ def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: s
 
 
 def carry_backward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn",
-                  rows_per_block: int | None = None) -> DataFrame:
+                  rows_per_block: int | None = None, max_rows: int | None = None) -> DataFrame:
     """Backward fill (``first ignore nulls`` over all later rows), the mirror of ``carry_forward``."""
     keys = list(keys)
     inside = seq_window(df, keys, rn).rowsBetween(0, Window.unboundedFollowing)
     out = df
     for c in cols:
         out = out.withColumn(c, F.first(F.col(c), ignorenulls=True).over(inside))
-    if BLK not in df.columns or (rows_per_block and max_series_rows(df, keys, rn) <= rows_per_block):
+    if BLK not in df.columns or (rows_per_block and (
+            max_rows if max_rows is not None else max_series_rows(df, keys, rn)) <= rows_per_block):
         return out
     summ = _block_summary(df, keys, cols, rn, last=False)
     nxt = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(1, Window.unboundedFollowing)
