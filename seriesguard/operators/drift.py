@@ -61,7 +61,7 @@ def reference_samples(fitted, keys: Sequence[str], cols: Sequence[str], W: int =
     ref_ts = (fitted.split.where(F.col("split") == "val").groupBy(*keys).agg(F.max("ts").alias("_ref_ts")))
     fs = stats.feature_stats_ref(fitted.scaled, keys, cols, W, step).join(ref_ts, keys)
     gs = stats.global_stats_ref(fitted.scaled, keys, cols, W, step).join(ref_ts, keys)
-    es = stats.error_stats(fitted.scores, keys).join(ref_ts, keys)
+    es = stats.error_stats(fitted.scores, keys, max_group=fitted.n_max).join(ref_ts, keys)
     rate = stats.anomaly_rate(fitted.flagged.where(F.col("split") == "val"), keys).join(ref_ts, keys)
     t = F.col("_ref_ts")
     return (_long_features(fs, keys, "feature_mean_ref", "feature_std_ref", t)
@@ -84,8 +84,8 @@ def live_samples(fitted, keys: Sequence[str], cols: Sequence[str], split: str =
     fs = stats.feature_stats_live(rows, keys, cols, None, by=["_blk_ts"])
     gs = stats.global_stats_live(rows, keys, cols, None, by=["_blk_ts"])
     by = keys + ["_blk_ts"]
-    es = group_quantile(win, by, "score", 0.5, out="median").join(
-        group_quantile(win, by, "score", 0.95, out="p95"), by)
+    es = group_quantile(win, by, "score", 0.5, out="median", max_group=fitted.n_max).join(
+        group_quantile(win, by, "score", 0.95, out="p95", max_group=fitted.n_max), by)
     rate = win.groupBy(*by).agg(F.avg("flag").alias("anomaly_rate"))
     t = F.col("_blk_ts")
     return (_long_features(fs, keys, "feature_mean_live", "feature_std_live", t)

@@ -75,7 +75,7 @@ def _in_range(t: Column, now: Column) -> Column:
     return (t >= F.lit(EARLIEST).cast("timestamp")) & (t <= F.add_months(now, 12 * RANGE_YEARS))
 
 
-def monotonic(long: DataFrame, rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+def monotonic(long: DataFrame, rows_per_block: int = L.ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
     """Per column and parse, are the non-null parsed times non-decreasing in input order?
 
     A column with no parsed value counts as monotonic (as an empty pandas series does)."""
@@ -84,8 +84,8 @@ def monotonic(long: DataFrame, rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFr
         variants.append(long.where(F.col(v).isNotNull())
                         .select("column", F.lit(v).alias("variant"), "o", F.col(v).alias("tv")))
     allv = variants[0].unionByName(variants[1]).unionByName(variants[2])
-    idx = L.row_index(allv, ["column", "variant"], "o", ["tv"], count_col=None)
-    laid = L.with_blocks(idx, ["column", "variant"], 1, rows_per_block=rows_per_block)
+    idx = L.row_index(allv, ["column", "variant"], "o", ["tv"], count_col=None, max_rows=max_rows)
+    laid = L.with_blocks(idx, ["column", "variant"], 1, rows_per_block=rows_per_block, max_rows=max_rows)
     prev = F.lag("tv").over(L.seq_window(laid, ["column", "variant"]))
     laid = laid.withColumn("_ok", F.coalesce(F.col("tv") >= prev, F.lit(True)))
     out = L.drop_halo(laid).groupBy("column").pivot("variant", ["t", "t_s", "t_ms"]).agg(F.bool_and("_ok"))
@@ -108,8 +108,10 @@ def profile_columns(df: DataFrame, order: str, columns: Sequence[str] | None = N
         F.sum(_in_range(F.col("t_s"), now_c).cast("long")).alias("n_in_range_s"),
         F.sum(_in_range(F.col("t_ms"), now_c).cast("long")).alias("n_in_range_ms"),
         F.min(F.year("t")).alias("min_year"), F.max(F.year("t")).alias("max_year"))
-    med = group_quantile(long.where(F.col("kind") == "numeric"), ["column"], "x", 0.5, out="median")
-    mono = monotonic(long, rows_per_block)
+    n_rows = df.count()  # one job; bounds every per-column group below
+    med = group_quantile(long.where(F.col("kind") == "numeric"), ["column"], "x", 0.5, out="median",
+                         max_group=n_rows)
+    mono = monotonic(long, rows_per_block, max_rows=n_rows)
     tot = F.col("n_rows").cast("double")
     return (agg.join(med, "column", "left").join(mono, "column", "left")
             .withColumn("parse_ratio", F.col("n_parsed") / tot)

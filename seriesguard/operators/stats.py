@@ -19,19 +19,20 @@ VAR_FLOOR = 1e-12
 HIST_BINS = 10
 
 
-def error_stats(scores: DataFrame, keys: Sequence[str], split: str = "val", col: str = "score") -> DataFrame:
+def error_stats(scores: DataFrame, keys: Sequence[str], split: str = "val", col: str = "score",
+                max_group: int | None = None) -> DataFrame:
     """Median and 95th percentile (linear) of the scores of one split."""
     rows = scores.where(F.col("split") == split) if split else scores
-    med = group_quantile(rows, keys, col, 0.5, out="median")
-    p95 = group_quantile(rows, keys, col, 0.95, out="p95")
+    med = group_quantile(rows, keys, col, 0.5, out="median", max_group=max_group)
+    p95 = group_quantile(rows, keys, col, 0.95, out="p95", max_group=max_group)
     return med.join(p95, list(keys))
 
 
-def error_by_model(errs: DataFrame, keys: Sequence[str]) -> DataFrame:
+def error_by_model(errs: DataFrame, keys: Sequence[str], max_group: int | None = None) -> DataFrame:
     """Mean and p95 of every model's window errors per split."""
     by = list(keys) + ["model", "split"]
     mean = errs.groupBy(*by).agg(F.avg("err").alias("err_mean"))
-    return mean.join(group_quantile(errs, by, "err", 0.95, out="err_p95"), by)
+    return mean.join(group_quantile(errs, by, "err", 0.95, out="err_p95", max_group=max_group), by)
 
 
 def coverage_weight(i, T, W: int, step: int):
@@ -105,7 +106,7 @@ def meta_record(fitted, keys: Sequence[str], cols: Sequence[str], W: int = 16, s
     keys = list(keys)
     norms = (fitted.normalizers.groupBy(*keys)
              .agg(F.map_from_entries(F.collect_list(F.struct("model", F.struct("mean", "std")))).alias("normalizers")))
-    es = error_stats(fitted.scores, keys)
+    es = error_stats(fitted.scores, keys, max_group=fitted.n_max)
     rate = anomaly_rate(fitted.flagged.where(F.col("split") == "val"), keys).drop("split")
     fs = feature_stats_ref(fitted.scaled, keys, cols, W, step)
     fs_arr = (fs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(

@@ -55,6 +55,7 @@ class Fitted:
     scores: DataFrame
     thresholds: DataFrame
     flagged: DataFrame
+    n_max: int | None = None  # rows of the largest series: bounds every per-series group downstream
 
 
 def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
@@ -76,4 +77,4 @@ def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int
     scores = stage(ensemble.ensemble(errs, keys, normalization, norms, models, pooled=pooled, ts=ts), "scores")
     thr = ensemble.threshold_fit(scores, keys, method, q, k, pooled=pooled, max_group=n_max)
     flagged = ensemble.flags(scores, thr, keys, pooled=pooled)
-    return Fitted(sp, scaler, scaled, errs, norms, scores, thr, flagged)
+    return Fitted(sp, scaler, scaled, errs, norms, scores, thr, flagged, n_max)

@@ -304,12 +304,14 @@ from seriesguard.operators import drift, stats  # noqa: E402
 
 @query
 def error_stats(spark, sf_dir):
-    return _final(stats.error_stats(p1_fitted(spark, sf_dir).scores, KEYS))
+    fx = p1_fitted(spark, sf_dir)
+    return _final(stats.error_stats(fx.scores, KEYS, max_group=fx.n_max))
 
 
 @query
 def error_by_model(spark, sf_dir):
-    return _final(stats.error_by_model(p1_fitted(spark, sf_dir).errors, KEYS))
+    fx = p1_fitted(spark, sf_dir)
+    return _final(stats.error_by_model(fx.errors, KEYS, max_group=fx.n_max))
 
 
 @query
