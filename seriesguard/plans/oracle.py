@@ -762,3 +762,29 @@ ORACLE["latest_n"] = with_(P3B) + """
 SELECT series_key, event_id, ts, pos FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY series_key ORDER BY ts DESC, event_id DESC) AS INTEGER) AS pos FROM p3b)
 WHERE pos <= 10"""
+
+
+# ---------------------------------------------------------------- F3-F5: one-hot on categorical orders
+
+P9_FIT = "p9fit AS (SELECT * FROM orders WHERE o_orderstatus <> 'P')"
+
+ORACLE["onehot_fit"] = with_(P9_FIT) + """
+SELECT 'o_orderpriority' AS column, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS categories
+FROM p9fit
+UNION ALL
+SELECT 'o_orderstatus', string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) FROM p9fit"""
+
+_CATS_CTE = with_(P9_FIT, """cp AS (SELECT o_orderpriority AS c, CAST(row_number() OVER (ORDER BY o_orderpriority) AS INTEGER)
+        AS pos FROM (SELECT DISTINCT o_orderpriority FROM p9fit))""",
+                  """cs AS (SELECT o_orderstatus AS c, CAST(row_number() OVER (ORDER BY o_orderstatus) AS INTEGER)
+        AS pos FROM (SELECT DISTINCT o_orderstatus FROM p9fit))""")
+
+ORACLE["onehot_apply"] = _CATS_CTE + """
+SELECT o.o_orderkey, COALESCE(cp.pos, 0) AS o_orderpriority_pos, COALESCE(cs.pos, 0) AS o_orderstatus_pos
+FROM orders o LEFT JOIN cp ON o.o_orderpriority = cp.c LEFT JOIN cs ON o.o_orderstatus = cs.c"""
+
+ORACLE["assemble"] = _CATS_CTE + """
+SELECT o.o_orderkey, CAST(1 + (SELECT count(*) FROM cp) + (SELECT count(*) FROM cs) AS INTEGER) AS n_features,
+       round(o.o_totalprice + CASE WHEN cp.pos IS NULL THEN 0.0 ELSE 1.0 END
+             + CASE WHEN cs.pos IS NULL THEN 0.0 ELSE 1.0 END, 6) AS feature_sum
+FROM orders o LEFT JOIN cp ON o.o_orderpriority = cp.c LEFT JOIN cs ON o.o_orderstatus = cs.c"""

@@ -658,3 +658,39 @@ def score_external(spark, sf_dir):
     mean, pc = learned.fit_pca(flat, 4)
     out = learned.score_windows(flat, learned.pca_predict_fn(mean, pc), dim=W * len(P1_FEATURES))
     return _final(out.select("series_key", "split", "ts", "err"))
+
+
+# ---------------------------------------------------------------- F3-F5: one-hot on categorical orders
+
+CATS = ["o_orderpriority", "o_orderstatus"]
+
+
+def _p9(spark, sf_dir):
+    p9 = panels.categorical_orders(spark, sf_dir)
+    # status 'P' is left out of the fit rows, so it is unknown when applied
+    return p9.withColumn("split", F.when(F.col("o_orderstatus") != "P", F.lit("train")).otherwise(F.lit("other")))
+
+
+@query
+def onehot_fit(spark, sf_dir):
+    fit = features.onehot_fit(_p9(spark, sf_dir), KEYS, CATS)
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.array_join(F.col(f"cats__{c}"), ",").alias("categories"))
+                        for c in CATS])
+    return fit.select(F.explode(entries).alias("_e")).select("_e.*")
+
+
+@query
+def onehot_apply(spark, sf_dir):
+    p9 = _p9(spark, sf_dir)
+    enc = features.onehot_apply(p9, features.onehot_fit(p9, KEYS, CATS), KEYS, CATS)
+    pos = [F.array_position(F.col(f"{c}__onehot"), F.lit(1.0)).cast("int").alias(f"{c}_pos") for c in CATS]
+    return enc.select("o_orderkey", *pos)
+
+
+@query
+def assemble(spark, sf_dir):
+    p9 = _p9(spark, sf_dir)
+    enc = features.onehot_apply(p9, features.onehot_fit(p9, KEYS, CATS), KEYS, CATS)
+    vec = features.assemble(enc, ["o_totalprice"], CATS)
+    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
+    return _final(vec.select("o_orderkey", F.size("features").alias("n_features"), total.alias("feature_sum")))
