@@ -32,9 +32,10 @@ def q_prepare_window(spark, sf):
     from seriesguard.operators import features, split
     from seriesguard.plans import layout
     p = flows.prepare(panels.user_series(spark, sf), KEYS, ["value"], tiebreak=["event_id"], resample=False)
-    sp = split.chrono_split(p, KEYS, max_rows=layout.max_series_rows(p, KEYS))
+    n_max = layout.max_series_rows(p, KEYS)
+    sp = split.chrono_split(p, KEYS, max_rows=n_max)
     scaled = features.scaler_apply(sp, features.scaler_fit(sp, KEYS, ["value"]), KEYS, ["value"])
-    return windows.sliding_windows(scaled, KEYS, ["value"], 16, 1).select(
+    return windows.sliding_windows(scaled, KEYS, ["value"], 16, 1, max_rows=n_max).select(
         "series_key", "ts", F.size("win").alias("n"))
 
 
