@@ -35,13 +35,40 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on, applied to a session someone else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``seriesguard`` importable in Python workers (pandas UDFs and ``mapInPandas`` pickle our
+    functions by reference). A zip of the package goes to every executor through ``addPyFile`` once per
+    application; with ``--py-files`` on a cluster this is already done and is harmless."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    path = scratch_path(spark, f"pyfiles-{app}/seriesguard.zip")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
