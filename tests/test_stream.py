@@ -88,3 +88,33 @@ def test_rejects_branch(spark):
     assert good.count() == 1
     reasons = sorted(r.reason for r in bad.collect())
     assert reasons == ["malformed", "malformed", "missing:ts"]
+
+
+def test_scored_stream_with_live_stats_sink(spark):
+    """Frozen parameters joined as static tables, per-batch live statistics appended."""
+    from seriesguard.operators import features
+
+    folder = tempfile.mkdtemp(prefix="sg-stream-score-")
+    _write_split_files(spark, folder, 3)
+    ev = panels.events(spark, SF).select(F.col("event_type").alias("source"),
+                                         F.col("value").cast("double").alias("value"),
+                                         F.col("user_id").cast("double").alias("user"))
+    scaler = features.scaler_fit(ev, ["source"], FEATS, split_col=None)
+    norm = spark.createDataFrame([(s, 1.0, 2.0) for s in ("click", "view", "error", "purchase", "signup")],
+                                 "source string, mean double, std double")
+    thr = spark.createDataFrame([(s, 0.5) for s in ("click", "view", "error", "purchase", "signup")],
+                                "source string, threshold double")
+    raw = S.read_event_stream(spark, folder, max_files_per_trigger=1)
+    good, _ = S.parse_stream(raw, FEATS)
+    scaled = S.scale_stream(good, scaler, FEATS)
+    scored = S.score_stream(S.stateful_windows(scaled, FEATS, W=16, watermark="3650 days"), norm, thr)
+    out = tempfile.mkdtemp(prefix="sg-live-")
+    q = (scored.writeStream.foreachBatch(S.live_stats_sink(os.path.join(out, "stats")))
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="sg-ckpt-")).start())
+    q.processAllAvailable()
+    h = S.health(q)
+    q.stop()
+    stats = spark.read.parquet(os.path.join(out, "stats"))
+    assert stats.agg(F.sum("n_windows")).first()[0] == 1000 - 5 * 19
+    assert stats.select("batch_id").distinct().count() >= 2
+    assert h["batch_id"] is not None
