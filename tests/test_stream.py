@@ -118,3 +118,26 @@ def test_scored_stream_with_live_stats_sink(spark):
     assert stats.agg(F.sum("n_windows")).first()[0] == 1000 - 5 * 19
     assert stats.select("batch_id").distinct().count() >= 2
     assert h["batch_id"] is not None
+
+
+def test_metrics_folder_reload(spark):
+    """New metric files are picked up incrementally; last write wins per label set (K2)."""
+    from seriesguard.operators import drift
+
+    folder = tempfile.mkdtemp(prefix="sg-metrics-")
+    schema = "metric string, feature string, model_version string, env string, ts timestamp, value double"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
+    name = f"latest_{int(time.time() * 1000)}"
+    q = (drift.metric_latest(stream).writeStream.outputMode("complete").format("memory").queryName(name)
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="sg-ckpt-")).start())
+    for i, v in enumerate([0.1, 0.4]):
+        p = os.path.join(folder, f"live-{i}.json")
+        with open(p, "w") as f:
+            f.write(json.dumps({"metric": "anomaly_rate_live", "feature": "", "model_version": "m", "env": "prod",
+                                "ts": f"2024-01-0{i + 1}T00:00:00", "value": v}) + "\n")
+        t = time.time() - 100 + i
+        os.utime(p, (t, t))
+        q.processAllAvailable()
+    q.stop()
+    rows = spark.table(name).collect()
+    assert len(rows) == 1 and rows[0].value == 0.4
