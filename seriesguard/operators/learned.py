@@ -125,12 +125,20 @@ def _pass(flat: DataFrame, params, with_grad: bool):
     sc = flat.sparkSession.sparkContext
     pb = sc.broadcast(params)
     schema = "loss double, n long, g array<double>"
-    parts = flat.select("x").mapInPandas(_grad_rows(pb, with_grad), schema)
-    agg = parts.agg(F.sum("loss").alias("loss"), F.sum("n").alias("n"),
-                    F.collect_list("g").alias("g")).first()  # one row per partition: bounded
-    pb.unpersist()
+    parts = flat.select("x").mapInPandas(_grad_rows(pb, with_grad), schema).cache()
+    agg = parts.agg(F.sum("loss").alias("loss"), F.sum("n").alias("n")).first()
     n = max(int(agg["n"] or 0), 1)
-    grad = np.sum(np.asarray([g for g in agg["g"] if g], dtype=float), axis=0) / n if with_grad else None
+    grad = None
+    if with_grad:
+        # element-wise sum of the per-partition gradients in Spark; only the model-sized vector returns
+        summed = (parts.select(F.posexplode("g").alias("i", "gi")).groupBy("i").agg(F.sum("gi").alias("gi"))
+                  .collect())
+        grad = np.zeros(len(summed))
+        for r in summed:
+            grad[r["i"]] = r["gi"]
+        grad = grad / n
+    parts.unpersist()
+    pb.unpersist()
     return float(agg["loss"] or 0.0) / n, grad
 
 
