@@ -788,3 +788,23 @@ SELECT o.o_orderkey, CAST(1 + (SELECT count(*) FROM cp) + (SELECT count(*) FROM
        round(o.o_totalprice + CASE WHEN cp.pos IS NULL THEN 0.0 ELSE 1.0 END
              + CASE WHEN cs.pos IS NULL THEN 0.0 ELSE 1.0 END, 6) AS feature_sum
 FROM orders o LEFT JOIN cp ON o.o_orderpriority = cp.c LEFT JOIN cs ON o.o_orderstatus = cs.c"""
+
+
+# ---------------------------------------------------------------- SURVEY §7 minimum slice (avg_value, ewma only)
+
+_SL = ["avg_value"]
+ORACLE["minimum_slice"] = with_(
+    "p1v AS (SELECT series_key, ts, avg_value FROM (" + P1.split(" AS (", 1)[1].rsplit(")", 1)[0] + "))",
+    *resample_ctes("p1v", "prep", _SL), *split_ctes("prep"), *scale_ctes("sp", _SL), *rows_ctes("scaled", _SL),
+    f"""we AS (SELECT series_key, split, ts, rn_split, CASE WHEN count(rowerr__ewma) OVER f = {W}
+          THEN avg(rowerr__ewma) OVER f END AS err FROM rows
+          WINDOW f AS (PARTITION BY series_key ORDER BY rn ROWS BETWEEN {W - 1} PRECEDING AND CURRENT ROW))""",
+    f"errs AS (SELECT * FROM we WHERE rn_split >= {W - 1} AND err IS NOT NULL)",
+    f"""norms AS (SELECT series_key, avg(err) AS mean, stddev_pop(err) + {d(STD_EPS)} AS std FROM errs
+          WHERE split = 'val' GROUP BY 1)""",
+    """scores AS (SELECT e.series_key, e.split, e.ts, (e.err - n.mean) / CASE WHEN n.std > 0 THEN n.std ELSE 1.0 END
+          AS score FROM errs e JOIN norms n USING (series_key))""",
+    f"""thr AS (SELECT series_key, quantile_cont(score, {d(DEFAULT_Q)}) AS threshold FROM scores
+          WHERE split = 'val' GROUP BY 1)""") + """
+SELECT s.series_key, s.split, s.ts, round(s.score, 6) AS score, CAST(s.score > t.threshold AS INTEGER) AS flag
+FROM scores s JOIN thr t USING (series_key)"""

@@ -694,3 +694,21 @@ def assemble(spark, sf_dir):
     vec = features.assemble(enc, ["o_totalprice"], CATS)
     total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
     return _final(vec.select("o_orderkey", F.size("features").alias("n_features"), total.alias("feature_sum")))
+
+
+# ---------------------------------------------------------------- SURVEY §7 minimum slice
+
+def p1_slice(spark, sf_dir) -> flows.Fitted:
+    """Hourly panel of ``avg_value`` -> prepare -> split -> scale -> ewma detector -> W=16 window error ->
+    per-series validation quantile -> flags: the minimum slice whose counts SURVEY §7 recorded."""
+    def build():
+        prep = flows.prepare(panels.hourly_panel(spark, sf_dir).select("series_key", "ts", "avg_value"),
+                             KEYS, ["avg_value"])
+        return flows.fit_score(prep, KEYS, ["avg_value"], W=W, models=["ewma"])
+    return stages.stage(spark, sf_dir, "p1_slice", build)
+
+
+@query
+def minimum_slice(spark, sf_dir):
+    fl = p1_slice(spark, sf_dir).flagged
+    return _final(fl.select("series_key", "split", "ts", "score", "flag"))
