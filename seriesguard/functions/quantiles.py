@@ -32,9 +32,35 @@ def group_quantile(df: DataFrame, keys: Sequence[str], col: str, qv: float, out:
     ``max_group`` (an upper bound of the largest group, e.g. the largest series) skips the size check."""
     if not 0.0 <= qv <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {qv}")
-    from seriesguard.session import materialize
+    return group_quantiles(df, keys, col, {out: qv}, small=small, bins=bins, max_group=max_group)
+
 
+def group_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: dict[str, float],
+                    small: int = SMALL_GROUP, bins: int = BINS, max_group: int | None = None) -> DataFrame:
+    """Several exact quantiles of ``col`` per group, one output column per entry of ``qs``.
+
+    When ``max_group <= small`` every group is known to be small, and Spark's exact ``percentile``
+    (same linear interpolation) is already bounded. All quantiles then come from one partial
+    aggregate.
+    """
     keys = list(keys)
+    if any(not 0.0 <= v <= 1.0 for v in qs.values()):
+        raise ValueError(f"quantiles must be in [0, 1], got {qs}")
+    if max_group is not None and max_group <= small:
+        vals = df.where(F.col(col).isNotNull())
+        aggs = [F.percentile(F.col(col).cast("double"), float(v)).alias(name) for name, v in qs.items()]
+        return vals.groupBy(*keys).agg(*aggs) if keys else vals.agg(*aggs)
+    out = None
+    for name, v in qs.items():
+        one = _group_quantile(df, keys, col, v, name, small, bins, max_group)
+        out = one if out is None else out.join(one, keys)
+    return out
+
+
+def _group_quantile(df: DataFrame, keys: list[str], col: str, qv: float, out: str, small: int, bins: int,
+                    max_group: int | None) -> DataFrame:
+    from seriesguard.session import materialize
+
     vals = df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(qv))
     state = (vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesguard.functions.columns import micros
-from seriesguard.functions.quantiles import group_quantile
+from seriesguard.functions.quantiles import group_quantiles
 from seriesguard.operators import stats
 
 LABELS = ["metric", "feature", "model_version", "env"]
@@ -84,8 +84,7 @@ def live_samples(fitted, keys: Sequence[str], cols: Sequence[str], split: str =
     fs = stats.feature_stats_live(rows, keys, cols, None, by=["_blk_ts"])
     gs = stats.global_stats_live(rows, keys, cols, None, by=["_blk_ts"])
     by = keys + ["_blk_ts"]
-    es = group_quantile(win, by, "score", 0.5, out="median", max_group=fitted.n_max).join(
-        group_quantile(win, by, "score", 0.95, out="p95", max_group=fitted.n_max), by)
+    es = group_quantiles(win, by, "score", {"median": 0.5, "p95": 0.95}, max_group=fitted.n_max)
     rate = win.groupBy(*by).agg(F.avg("flag").alias("anomaly_rate"))
     t = F.col("_blk_ts")
     return (_long_features(fs, keys, "feature_mean_live", "feature_std_live", t)

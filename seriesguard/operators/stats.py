@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesguard.functions.columns import q
-from seriesguard.functions.quantiles import group_quantile
+from seriesguard.functions.quantiles import group_quantile, group_quantiles
 
 VAR_FLOOR = 1e-12
 HIST_BINS = 10
@@ -23,9 +23,7 @@ def error_stats(scores: DataFrame, keys: Sequence[str], split: str = "val", col:
                 max_group: int | None = None) -> DataFrame:
     """Median and 95th percentile (linear) of the scores of one split."""
     rows = scores.where(F.col("split") == split) if split else scores
-    med = group_quantile(rows, keys, col, 0.5, out="median", max_group=max_group)
-    p95 = group_quantile(rows, keys, col, 0.95, out="p95", max_group=max_group)
-    return med.join(p95, list(keys))
+    return group_quantiles(rows, keys, col, {"median": 0.5, "p95": 0.95}, max_group=max_group)
 
 
 def error_by_model(errs: DataFrame, keys: Sequence[str], max_group: int | None = None) -> DataFrame:
