@@ -14,12 +14,12 @@ epoch re-reads it instead of recomputing its lineage.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,4 +189,4 @@ def dense_errors(flat: DataFrame, params: list[np.ndarray], out: str = "err") ->
 
 
 __all__ = ["flat_windows", "fit_pca", "projection_errors", "recon_pca", "score_windows", "pca_predict_fn",
-           "recon_dense", "dense_errors", "vector_to_array", "Sequence"]
+           "recon_dense", "dense_errors"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesguard.functions.columns import q
@@ -92,5 +92,5 @@ def frame_count(col: Column, df: DataFrame, keys: Sequence[str], W: int) -> Colu
     return F.count(col).over(L.seq_window(df, keys).rowsBetween(-(W - 1), 0))
 
 
-__all__ = ["Window", "ensure_split", "sliding_windows", "short_series", "window_shape", "window_summary",
+__all__ = ["ensure_split", "sliding_windows", "short_series", "window_shape", "window_summary",
            "window_count", "window_end", "frame_sum", "frame_count"]

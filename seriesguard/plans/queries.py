@@ -6,15 +6,21 @@ timestamps returned as ``timestamp_ntz`` only in the final select; flags are com
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesguard.operators import clean, ensemble, features, grid, recon, split, windows
+from seriesguard.functions.columns import numeric_columns
+from seriesguard.operators import (clean, drift, ensemble, features, grid, learned, profile, recon, runs, split,
+                                   stats, windows)
 from seriesguard.plans import flows, layout, panels, stages
-from seriesguard.plans.panels import P1_FEATURES, P3_FEATURES
+from seriesguard.plans.panels import P1_FEATURES
+from seriesguard.session import scratch_path
+from seriesguard.sources import events as ev_src
+from seriesguard.sources import files
 
 KEYS = ["series_key"]
 W = 16
@@ -294,13 +300,11 @@ def anomaly_flags(spark, sf_dir):
     return flags(spark, sf_dir)
 
 
-__all__ = ["QUERIES", "anomaly_flags", "P3_FEATURES"]
+__all__ = ["QUERIES", "anomaly_flags"]
 
 
 # ---------------------------------------------------------------- J: statistics
 
-from seriesguard.operators import drift, stats  # noqa: E402
-
 
 @query
 def error_stats(spark, sf_dir):
@@ -430,7 +434,6 @@ def alert_messages(spark, sf_dir):
 
 # ---------------------------------------------------------------- C: profile and detection
 
-from seriesguard.operators import profile  # noqa: E402
 
 NOW = "2025-01-01 00:00:00"
 P4_COLUMNS = ["ts_iso", "ts_epoch_s", "ts_epoch_ms", "year", "junk", "ts_native", "value"]
@@ -517,17 +520,9 @@ def ingest_metadata(spark, sf_dir):
 
 # ---------------------------------------------------------------- A, B: sources, messages, routing
 
-from seriesguard.functions.columns import numeric_columns  # noqa: E402
-from seriesguard.operators import runs  # noqa: E402
-from seriesguard.session import scratch_path  # noqa: E402
-from seriesguard.sources import events as ev_src  # noqa: E402
-from seriesguard.sources import files  # noqa: E402
-
 
 @query
 def scan_csv_roundtrip(spark, sf_dir):
-    import uuid
-
     path = scratch_path(spark, f"csv-roundtrip-{uuid.uuid4().hex}")
     panels.hourly_panel(spark, sf_dir).write.option("header", True).csv(path)
     back = files.read_series(spark, path, "csv")
@@ -619,8 +614,8 @@ def run_best_step(spark, sf_dir):
 
 @query
 def best_model(spark, sf_dir):
-    from seriesguard.operators import stats as st
-    by_model = st.error_by_model(p1_fitted(spark, sf_dir).errors, KEYS)
+    fx = p1_fitted(spark, sf_dir)
+    by_model = stats.error_by_model(fx.errors, KEYS, max_group=fx.n_max)
     return _final(runs.best_model(by_model, KEYS))
 
 
@@ -632,8 +627,6 @@ def latest_n(spark, sf_dir):
 
 # ---------------------------------------------------------------- H4-H7: learned detectors (rows-only checks)
 
-from seriesguard.operators import learned  # noqa: E402
-
 
 def p1_windows(spark, sf_dir) -> DataFrame:
     return stages.stage(spark, sf_dir, "p1_windows", lambda: windows.sliding_windows(
