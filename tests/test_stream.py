@@ -141,3 +141,13 @@ def test_metrics_folder_reload(spark):
     q.stop()
     rows = spark.table(name).collect()
     assert len(rows) == 1 and rows[0].value == 0.4
+
+
+def test_null_source_is_its_own_group(spark):
+    folder = tempfile.mkdtemp(prefix="sg-nullsrc-")
+    with open(os.path.join(folder, "a.json"), "w") as f:
+        f.write('{"event_id": 1, "ts": "2024-01-01T00:00:00", "value": 1.0}\n'
+                '{"event_id": 2, "ts": "2024-01-01T00:00:01", "source": null, "value": 2.0}\n'
+                '{"event_id": 3, "ts": "2024-01-01T00:00:02", "source": "s", "value": 3.0}\n')
+    good, _ = S.parse_stream(spark.read.text(folder), ["value"])
+    assert sorted((r.source, r.event_id) for r in good.collect()) == [(S.NO_SOURCE, 1), (S.NO_SOURCE, 2), ("s", 3)]

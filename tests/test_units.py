@@ -234,3 +234,25 @@ def test_flag_summary_messages(spark):
     df = spark.createDataFrame([("a", 0), ("a", 0), ("b", 1)], "k string, flag int")
     got = {r.k: r.message for r in runs.flag_summary(df, K).collect()}
     assert got == {"a": "No anomalies detected", "b": "OK"}
+
+
+def test_required_columns_checked_at_plan_time(spark):
+    df = frame(spark, [("a", ts(1), 1.0)])
+    with pytest.raises(ValueError, match="missing required columns"):
+        features.enforce_contract(df, ["v", "w"], "ts")
+    assert features.enforce_contract(df, ["v"], "ts").columns == ["ts", "v"]
+
+
+def test_business_day_frequency(spark):
+    days = [dt.datetime(2024, 1, d) for d in (1, 2, 3, 4, 5, 8, 9, 10, 11, 12, 15)]  # Mon..Fri, Mon..Fri, Mon
+    df = frame(spark, [("a", d, 1.0) for d in days])
+    r = grid.infer_freq(df, K).collect()[0]
+    assert r.freq_kind == "business_day"
+    assert grid.irregularity(df, K).collect()[0].is_irregular is False
+
+
+def test_run_log_rows(spark):
+    hist = spark.createDataFrame([(1, 0.5), (2, 0.4)], "epoch int, val_loss double")
+    log = runs.log_metrics(hist, "run-1", "epoch", "epoch", "val_loss").withColumn("key", F.lit("val_loss"))
+    assert [tuple(r) for r in log.orderBy("step").collect()] == [("run-1", "val_loss", 1, 0.5),
+                                                                 ("run-1", "val_loss", 2, 0.4)]
