@@ -152,18 +152,24 @@ def carry_forward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: s
 
 def carry_backward(df: DataFrame, keys: Sequence[str], cols: Sequence[str], rn: str = "rn",
                   rows_per_block: int | None = None, max_rows: int | None = None) -> DataFrame:
-    """Backward fill (``first ignore nulls`` over all later rows), the mirror of ``carry_forward``."""
+    """Backward fill (first non-null of all later rows), the mirror of ``carry_forward``.
+
+    Written as ``last ignore nulls`` over a *descending* order with an unbounded-preceding frame: Spark
+    evaluates that frame incrementally, while a ``current row .. unbounded following`` frame is recomputed
+    for every row (quadratic in the partition size).
+    """
     keys = list(keys)
-    inside = seq_window(df, keys, rn).rowsBetween(0, Window.unboundedFollowing)
+    parts = list(keys) + ([BLK] if BLK in df.columns else [])
+    inside = Window.partitionBy(*parts).orderBy(F.col(rn).desc()).rowsBetween(Window.unboundedPreceding, 0)
     out = df
     for c in cols:
-        out = out.withColumn(c, F.first(F.col(c), ignorenulls=True).over(inside))
+        out = out.withColumn(c, F.last(F.col(c), ignorenulls=True).over(inside))
     if BLK not in df.columns or (rows_per_block and (
             max_rows if max_rows is not None else max_series_rows(df, keys, rn)) <= rows_per_block):
         return out
     summ = _block_summary(df, keys, cols, rn, last=False)
-    nxt = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(1, Window.unboundedFollowing)
-    carry = summ.select(*keys, BLK, *[F.first(F.col(c), ignorenulls=True).over(nxt).alias(f"_cb_{c}")
+    nxt = Window.partitionBy(*keys).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(*keys, BLK, *[F.last(F.col(c), ignorenulls=True).over(nxt).alias(f"_cb_{c}")
                                       for c in cols])
     out = out.join(carry, keys + [BLK], "left")
     for c in cols:
