@@ -57,7 +57,12 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    path = scratch_path(spark, f"pyfiles-{app}/seriesguard.zip")
+    base = checkpoint_dir(spark)
+    if base.startswith("file:") or "://" not in base:
+        path = scratch_path(spark, f"pyfiles-{app}/seriesguard.zip")
+    else:
+        # a remote checkpoint URI cannot be written with os calls; addPyFile ships the driver's file
+        path = os.path.join(tempfile.mkdtemp(prefix="seriesguard-pyfiles-"), "seriesguard.zip")
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, names in os.walk(pkg):
