@@ -535,7 +535,7 @@ def events_to_json(spark, sf_dir):
     ev = panels.table(spark, sf_dir, "events").select(
         "event_id", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
         "user_id", "event_type", "value")
-    return ev.select("event_id", F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("value"))
+    return ev_src.to_events(ev, ["event_id", "ts", "user_id", "event_type", "value"], keep=["event_id"])
 
 
 @query
@@ -548,8 +548,7 @@ def project_features(spark, sf_dir):
 @query
 def ts_label(spark, sf_dir):
     p2 = panels.dirty_events(spark, sf_dir)
-    label = F.coalesce(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("event_id").cast("string"))
-    return _final(p2.select("series_key", "event_id", "tie", label.alias("label")))
+    return _final(p2.select("series_key", "event_id", "tie", ev_src.time_label("ts", "event_id").alias("label")))
 
 
 def _p7_parsed(spark, sf_dir):

@@ -18,10 +18,16 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
-def to_events(df: DataFrame, cols: Sequence[str] | None = None, key: str | None = None) -> DataFrame:
+def to_events(df: DataFrame, cols: Sequence[str] | None = None, key: str | None = None,
+              keep: Sequence[str] = ()) -> DataFrame:
     """A3: one JSON object per row (``value``), optionally with a message key, ready for a sink."""
     body = F.to_json(F.struct(*[F.col(c) for c in (cols or df.columns)])).alias("value")
-    return df.select(*([F.col(key).cast("string").alias("key")] if key else []), body)
+    return df.select(*keep, *([F.col(key).cast("string").alias("key")] if key else []), body)
+
+
+def time_label(ts: str, ordinal: str, fmt: str = "yyyy-MM-dd HH:mm:ss"):
+    """The time as a string, or the row's ordinal when there is no time."""
+    return F.coalesce(F.date_format(F.col(ts), fmt), F.col(ordinal).cast("string"))
 
 
 def is_object(raw: Column) -> Column:
