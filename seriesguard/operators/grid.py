@@ -141,16 +141,19 @@ def _guard(df: DataFrame, keys: Sequence[str], length: str, ratio: float) -> Dat
 def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
                    tiebreak: Sequence[str] = (), keep_leading: bool = False, only_irregular: bool = True,
                    max_grid_ratio: float = 100.0, rows_per_block: int = L.ROWS_PER_BLOCK,
-                   max_rows: int | None = None) -> DataFrame:
+                   max_rows: int | None = None, freq_us: int | None = None) -> DataFrame:
     """Grid anchored at midnight of the first day; a grid point takes the last row at or before it.
 
     Rows must be unique per ``(series, ts)`` (run D2 first). Each row emits the grid points between the
     previous row and itself, with the previous row's values (one ``lag``), so no as-of join and no
     per-series sort is needed. The point before the first row is null and dropped unless
     ``keep_leading`` (X15). With ``only_irregular`` regular series pass through unchanged (D9).
+    ``freq_us`` replaces the inferred step (D6/D7) with a given one.
     """
     keys = list(keys)
     ir = irregularity(df, keys, ts, tiebreak, max_rows=max_rows)
+    if freq_us is not None:  # a given grid step instead of the inferred one
+        ir = ir.withColumn("freq_us", F.lit(int(freq_us)).cast("long"))
     anchor = micros(F.date_trunc("day", F.timestamp_micros(F.col("min_us"))))
     params = ir.select(*keys, "n_rows", "freq_us", "is_irregular", "min_us", "max_us",
                        anchor.alias("_anchor"))

@@ -256,3 +256,14 @@ def test_run_log_rows(spark):
     log = runs.log_metrics(hist, "run-1", "epoch", "epoch", "val_loss").withColumn("key", F.lit("val_loss"))
     assert [tuple(r) for r in log.orderBy("step").collect()] == [("run-1", "val_loss", 1, 0.5),
                                                                  ("run-1", "val_loss", 2, 0.4)]
+
+
+def test_anchor_seven_hour_fixture(spark):
+    df = frame(spark, [("a", ts(10, 0, 30), 1.0), ("a", ts(11, 0, 30), 2.0), ("a", ts(12, 0, 30), 3.0),
+                       ("a", ts(14, 0, 30), 4.0)])
+    seven = 7 * 3600 * 1_000_000
+    got = {r.ts.hour: r.v for r in grid.resample_ffill(df, K, ["v"], only_irregular=False, freq_us=seven,
+                                                        keep_leading=True).collect()}
+    assert got == {7: None, 14: 3.0}
+    assert {r.ts.hour: r.v for r in grid.resample_ffill(df, K, ["v"], only_irregular=False,
+                                                         freq_us=seven).collect()} == {14: 3.0}
