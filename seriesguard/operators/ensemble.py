@@ -21,6 +21,12 @@ DEFAULT_K = 3.0
 STD_EPS = 1e-12
 
 
+def _one_row_join(df: DataFrame, params: DataFrame) -> DataFrame:
+    """Attach a one-row parameter table (pooled fit) to every row: a broadcast equi-join on a constant."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(params.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+
+
 def _by(keys: Sequence[str], pooled: bool) -> list[str]:
     return [] if pooled else list(keys)
 
@@ -82,7 +88,7 @@ def threshold_fit(scores: DataFrame, keys: Sequence[str], method: str = "quantil
 def flags(scores: DataFrame, thresholds: DataFrame, keys: Sequence[str], pooled: bool = False) -> DataFrame:
     """I8: ``flag = score > threshold`` (strict), on unrounded values."""
     by = _by(keys, pooled)
-    j = scores.crossJoin(F.broadcast(thresholds)) if not by else scores.join(thresholds, by)
+    j = _one_row_join(scores, thresholds) if not by else scores.join(thresholds, by)
     return j.withColumn("flag", (F.col("score") > F.col("threshold")).cast("int"))
 
 

@@ -20,6 +20,12 @@ ZERO_SCALE = 10 * 2.220446049250313e-16
 MAX_CATEGORIES = 10_000
 
 
+def _one_row_join(df: DataFrame, params: DataFrame) -> DataFrame:
+    """Attach a one-row parameter table (pooled fit) to every row: a broadcast equi-join on a constant."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(params.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+
+
 def _fit_rows(df: DataFrame, split_col: str | None, fit_split: str | None) -> DataFrame:
     if split_col and fit_split and split_col in df.columns:
         return df.where(F.col(split_col) == fit_split)
@@ -54,7 +60,7 @@ def scaler_apply(df: DataFrame, fit: DataFrame | None, keys: Sequence[str], cols
     if fit is None:
         return df.select(*[F.col(q(c)).cast("double").alias(c) if c in cols else F.col(q(c))
                            for c in df.columns])
-    joined = df.crossJoin(F.broadcast(fit)) if pooled else df.join(fit, list(keys), "left")
+    joined = _one_row_join(df, fit) if pooled else df.join(fit, list(keys), "left")
     out = joined
     for c in cols:
         out = out.withColumn(c, (F.col(q(c)).cast("double") - F.col(q(f"mean__{c}"))) / F.col(q(f"scale__{c}")))
@@ -80,7 +86,7 @@ def onehot_fit(df: DataFrame, keys: Sequence[str], cols: Sequence[str], split_co
 def onehot_apply(df: DataFrame, fit: DataFrame, keys: Sequence[str], cols: Sequence[str],
                  pooled: bool = True) -> DataFrame:
     """one 0/1 array per categorical column; unknown or null gives all zeros."""
-    joined = df.crossJoin(F.broadcast(fit)) if pooled else df.join(fit, list(keys), "left")
+    joined = _one_row_join(df, fit) if pooled else df.join(fit, list(keys), "left")
     out = joined
     for c in cols:
         val = F.col(q(c))
