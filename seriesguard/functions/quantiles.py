@@ -46,6 +46,9 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: dict[str,
     keys = list(keys)
     if any(not 0.0 <= v <= 1.0 for v in qs.values()):
         raise ValueError(f"quantiles must be in [0, 1], got {qs}")
+    if not keys:  # one pooled group: group by a constant, then drop it
+        res = group_quantiles(df.withColumn("_g", F.lit(1)), ["_g"], col, qs, small, bins, max_group)
+        return res.drop("_g")
     if max_group is not None and max_group <= small:
         vals = df.where(F.col(col).isNotNull())
         aggs = [F.percentile(F.col(col).cast("double"), float(v)).alias(name) for name, v in qs.items()]

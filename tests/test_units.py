@@ -267,3 +267,13 @@ def test_anchor_seven_hour_fixture(spark):
     assert got == {7: None, 14: 3.0}
     assert {r.ts.hour: r.v for r in grid.resample_ffill(df, K, ["v"], only_irregular=False,
                                                          freq_us=seven).collect()} == {14: 3.0}
+
+
+def test_pooled_threshold_and_scaler(spark):
+    df = spark.range(2385).select(F.lit("a").alias("k"), F.lit("val").alias("split"),
+                                  F.col("id").cast("double").alias("score"))
+    thr = ensemble.threshold_fit(df, K, "quantile", 0.99, pooled=True)
+    assert ensemble.flags(df, thr, K, pooled=True).where("flag = 1").count() == 24
+    rows = spark.createDataFrame([("a", "train", 1.0), ("b", "train", 3.0)], "k string, split string, x double")
+    fit = features.scaler_fit(rows, K, ["x"], pooled=True)
+    assert sorted(r.x for r in features.scaler_apply(rows, fit, K, ["x"], pooled=True).collect()) == [-1.0, 1.0]
