@@ -6,10 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, linededup, mixing, oracle
 from .common import table
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    mixed = mixing.mix(docs, mixing.temperature_shares(docs, alpha=0.5, total=200), block_docs=32)
+    return mixed.select("doc_id", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("source_stream"),
+                        "mix_block", "mix_slot", "mix_position")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = linededup.dedup_lines(docs, min_chars=40, min_docs=5)
+    return cut.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -17,5 +31,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op10_byte_bpe": op10_byte_bpe}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op7_line_dedup": op7_line_dedup, "op10_byte_bpe": op10_byte_bpe}
+ORACLE = {"op1_mix_sources": oracle.OP1, "op7_line_dedup": oracle.OP7}
