@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, mixing, oracle
+from . import bpe, linededup, mixing, oracle, quality
 from .common import table
 
 
@@ -17,6 +17,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "mix_block", "mix_slot", "mix_position")
 
 
+def op5_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.classify(docs, table(spark, sf_dir, "labels"), slim=True)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = linededup.dedup_lines(docs, min_chars=40, min_docs=5)
@@ -31,5 +36,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op7_line_dedup": op7_line_dedup, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op5_quality_kneser_ney": op5_quality_kneser_ney, "op7_line_dedup": op7_line_dedup,
+           "op10_byte_bpe": op10_byte_bpe}
 ORACLE = {"op1_mix_sources": oracle.OP1, "op7_line_dedup": oracle.OP7}
