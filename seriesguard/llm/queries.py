@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, mixing, oracle, quality
+from . import bpe, langid, linededup, mixing, oracle, quality
 from .common import table
 
 
@@ -29,6 +29,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.select("doc_id", "text", "lang"), sample_docs=400)
+    texts = docs.select("doc_id", langid.is_held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.identify(texts, model, drop_text=True)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -37,5 +44,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op5_quality_kneser_ney": op5_quality_kneser_ney, "op7_line_dedup": op7_line_dedup,
-           "op10_byte_bpe": op10_byte_bpe}
+           "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe}
 ORACLE = {"op1_mix_sources": oracle.OP1, "op7_line_dedup": oracle.OP7}
