@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, linededup, mixing, oracle, quality
+from . import bpe, html_text, langid, linededup, mixing, oracle, quality, topk
 from .common import table
 
 
@@ -17,6 +17,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "mix_block", "mix_slot", "mix_position")
 
 
+def op2_va_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(50)) == 0, k=5)
+
+
+def op3_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.classify(docs, table(spark, sf_dir, "labels"), slim=True)
@@ -43,6 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op5_quality_kneser_ney": op5_quality_kneser_ney, "op7_line_dedup": op7_line_dedup,
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_va_topk": op2_va_topk, "op3_site_templates": op3_site_templates,
+           "op5_quality_kneser_ney": op5_quality_kneser_ney, "op7_line_dedup": op7_line_dedup,
            "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe}
-ORACLE = {"op1_mix_sources": oracle.OP1, "op7_line_dedup": oracle.OP7}
+ORACLE = {"op1_mix_sources": oracle.OP1, "op2_va_topk": oracle.OP2, "op7_line_dedup": oracle.OP7}
