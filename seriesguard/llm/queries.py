@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, linededup, mixing, oracle, quality, topk
+from . import bpe, html_text, langid, linededup, mixing, oracle, quality, simhash, topk
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.select("doc_id", "text", "lang"), sample_docs=400)
@@ -54,5 +58,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_va_topk": op2_va_topk, "op3_site_templates": op3_site_templates,
            "op5_quality_kneser_ney": op5_quality_kneser_ney, "op7_line_dedup": op7_line_dedup,
-           "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe}
+           "op8_simhash": op8_simhash, "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe}
 ORACLE = {"op1_mix_sources": oracle.OP1, "op2_va_topk": oracle.OP2, "op7_line_dedup": oracle.OP7}
