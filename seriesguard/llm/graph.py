@@ -11,9 +11,10 @@ from ..session import materialize
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label`` (the smallest node it can reach) for all nodes of ``links`` (``a``, ``b``).
 
-    Each round hangs every label under the smallest label of its neighbours and then under that label's own, so
-    long chains shrink by halves; the rounds end when no link joins two labels. Nothing but a flag reaches
-    the driver, and links with a common label leave the later rounds.
+    Each round puts the smallest label among its neighbours, or the one that this label goes under, in the place
+    of every label, so long chains shrink by halves. The smallest node of a component keeps its label, and the rounds
+    end when no link joins two labels. Links with a common label leave the later rounds. Nothing but a
+    flag reaches the driver.
     """
     both = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     labels = materialize(both.select("node", F.col("node").alias("label")), "labels")
@@ -26,10 +27,7 @@ def components(links: DataFrame) -> DataFrame:
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
         if edges.isEmpty():
             return labels
-        up = materialize(edges.groupBy("b").agg(F.min("a").alias("up")), "up")
+        up = edges.groupBy("b").agg(F.min("a").alias("up"))
         over = up.select(F.col("b").alias("up"), F.col("up").alias("top"))
         up = up.join(over, "up", "left").select(F.col("b").alias("label"), F.coalesce("top", "up").alias("new"))
         labels = materialize(labels.join(up, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
-        # labels that are no roots any more follow their own label
-        own = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        labels = materialize(labels.join(own, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")

@@ -14,9 +14,10 @@ The Jaccard distance is a metric. Two documents link at a distance of at most r
 3. Inside regions, documents are pivots. Each document meets the smallest of its regions' pivots first:
    that one is its home, at a known distance. Then, round by round, every region whose members aren't all
    connected yet takes a new pivot; the members of other components meet it, unless the triangle inequality on a
-   common home rules the pair out (|d(x,h) - d(p,h)| > r); then the pivot leaves the region. Rounds end when no
-   region holds two components. A region of m members costs at most m pairs in a round, and a group of near copies
-   is connected after a few rounds without all its pairs.
+   common home rules the pair out (|d(x,h) - d(p,h)| > r); then the pivot leaves the region. In regions of up to
+   ``SMALL`` members all are pivots at once. Rounds end when no region holds two components. A region costs a bounded
+   number of pairs for each member in a round, and a group of near copies is connected after a few
+   rounds without all its pairs.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from .graph import components
 BAND = 1.4
 #: Ids are broadcast up to this many (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Regions with at most this many members left are finished in one round, by all their pairs.
+SMALL = 16
 _WORDS_HELD = 500_000
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _U = np.uint64
@@ -209,26 +212,33 @@ def _links(docs: DataFrame, member: DataFrame, n_words: int, pct: int, id_col: s
     links = materialize(met.where("link").select(F.col("x").alias("a"), F.col("p").alias("b")), "links")
     tested = met.select("x", "p")
     left = member.select("region", "rep", "n")
+    labels = components(links)
     while True:
-        labels = components(links)
         named = left.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
         named = named.select("region", "rep", "n", F.coalesce("label", "rep").alias("label"))
         # regions that still hold two components, and their next pivot: from the component with the largest label, so
         # that single documents are taken before the groups they may belong to
-        mixed = named.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+        mixed = named.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"),
                                             F.max(F.struct("label", "rep", "n")).alias("pivot")).where("low <> high")
-        mixed = mixed.select("region", F.col("pivot.rep").alias("p"), F.col("pivot.label").alias("p_label"), F.col("pivot.n").alias("np"))
+        mixed = mixed.select("region", "m", F.col("pivot.rep").alias("p"), F.col("pivot.label").alias("p_label"), F.col("pivot.n").alias("np"))
         left = materialize(named.join(mixed, "region"), "left")
         if left.isEmpty():
             return labels
-        pairs = left.where((F.col("label") != F.col("p_label")) & fits("n", "np")).select(F.col("rep").alias("x"), "p").distinct()
+        apart = (F.col("label") != F.col("p_label")) & fits("n", "np")
+        small = left.where(F.col("m") <= SMALL)  # every member is a pivot at once
+        others = small.select("region", F.col("rep").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("nq"))
+        pairs = small.select("region", "rep", "n", "label").join(others, "region").where(
+            (F.col("rep") > F.col("q")) & (F.col("label") != F.col("q_label")) & fits("n", "nq")).select(F.col("rep").alias("x"), F.col("q").alias("p"))
+        pairs = pairs.unionByName(left.where((F.col("m") > SMALL) & apart).select(F.col("rep").alias("x"), "p"))
+        pairs = pairs.select(F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
         of_x = homes.select(F.col("rep").alias("x"), F.col("home").alias("hx"), F.col("distance").alias("dx"))
         of_p = homes.select(F.col("rep").alias("p"), F.col("home").alias("hp"), F.col("distance").alias("dp"))
         far = (F.col("hx") == F.col("hp")) & (F.abs(F.col("dx") - F.col("dp")) > r + 1e-9)
         pairs = pairs.join(of_x, "x", "left").join(of_p, "p", "left").where(~F.coalesce(far, F.lit(False))).select("x", "p")
-        pairs = pairs.join(tested, ["x", "p"], "left_anti").join(
-            tested.select(F.col("x").alias("p"), F.col("p").alias("x")), ["x", "p"], "left_anti")
-        met = materialize(_meet(pairs, sets, pct), "met")
-        tested = materialize(tested.unionByName(met.select("x", "p")), "tested")
-        links = materialize(links.unionByName(met.where("link").select(F.col("x").alias("a"), F.col("p").alias("b"))), "links")
-        left = left.where("rep <> p").select("region", "rep", "n")
+        met = materialize(_meet(pairs.join(tested, ["x", "p"], "left_anti"), sets, pct), "met")
+        tested = tested.unionByName(met.select("x", "p"))
+        new = met.where("link").select(F.col("x").alias("a"), F.col("p").alias("b"))
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            labels = components(links)
+        left = left.where((F.col("rep") != F.col("p")) & (F.col("m") > SMALL)).select("region", "rep", "n")
