@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard, langid, linededup, mixing, oracle, quality, simhash, topk
+from . import bpe, html_text, jaccard, langid, linededup, mixing, oracle, quality, simhash, suffixes, topk
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op5_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, table(spark, sf_dir, "labels"), slim=True)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = linededup.dedup_lines(docs, min_chars=40, min_docs=5)
@@ -61,6 +65,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_va_topk": op2_va_topk, "op3_site_templates": op3_site_templates,
-           "op4_jaccard_join": op4_jaccard_join, "op5_quality_kneser_ney": op5_quality_kneser_ney, "op7_line_dedup": op7_line_dedup,
+           "op4_jaccard_join": op4_jaccard_join, "op5_quality_kneser_ney": op5_quality_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
+           "op7_line_dedup": op7_line_dedup,
            "op8_simhash": op8_simhash, "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe}
 ORACLE = {"op1_mix_sources": oracle.OP1, "op2_va_topk": oracle.OP2, "op7_line_dedup": oracle.OP7}
