@@ -11,23 +11,26 @@ from ..session import materialize
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label`` (the smallest node it can reach) for all nodes of ``links`` (``a``, ``b``).
 
-    Each round puts the smallest label among its neighbours, or the one that this label goes under, in the place
-    of every label, so long chains shrink by halves. The smallest node of a component keeps its label, and the rounds
-    end when no link joins two labels. Links with a common label leave the later rounds. Nothing but a
-    flag reaches the driver.
+    In each round a label goes under the smallest label beside it, or under the one that this goes under, so long
+    chains shrink by halves; links with a common label leave. A label is always a node of the same component and
+    no larger than its node, and after the last round all links of a component lead to one root; labels then jump to their
+    own labels until they are roots. Nothing but flags reaches the driver.
     """
     both = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     labels = materialize(both.select("node", F.col("node").alias("label")), "labels")
-    edges = materialize(links.select("a", "b").distinct(), "edges")
-    while True:
+    edges = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    while not edges.isEmpty():
+        up = edges.groupBy("b").agg(F.min("a").alias("up"))
+        over = up.select(F.col("b").alias("up"), F.col("up").alias("top"))
+        up = up.join(over, "up", "left").select(F.col("b").alias("label"), F.coalesce("top", "up").alias("new"))
+        labels = materialize(labels.join(up, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
         la = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
         lb = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
-        # links between labels, each label under its smallest neighbour
         edges = materialize(edges.join(la, "a").join(lb, "b").where("x <> y").select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-        if edges.isEmpty():
+    while True:
+        own = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        jumped = labels.join(own, "label")
+        if jumped.where("root <> label").isEmpty():
             return labels
-        up = edges.groupBy("b").agg(F.min("a").alias("up"))
-        over = up.select(F.col("b").alias("up"), F.col("up").alias("top"))
-        up = up.join(over, "up", "left").select(F.col("b").alias("label"), F.coalesce("top", "up").alias("new"))
-        labels = materialize(labels.join(up, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+        labels = materialize(jumped.select("node", F.col("root").alias("label")), "labels")
