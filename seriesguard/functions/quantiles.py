@@ -1,33 +1,36 @@
 """Exact linear-interpolated quantiles per group without gathering a large group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer, which breaks when a series
-holds a third of all rows. ``group_quantile`` returns the same value (NumPy ``linear`` / DuckDB
-``quantile_cont``) in two ways:
-
-* groups with at most ``small`` values: their values are sorted in one bounded buffer;
-* larger groups: narrowing rounds. A round counts the group's candidate values in ``bins`` equal-width
-  bins (a partial aggregate with map-side combine) together with each bin's exact min and max, and keeps
-  the bins holding the two wanted ranks. Bins are monotone in the value, so the kept range holds exactly
-  the kept bins' values and the counts stay exact. The small per-group state is written to the
-  shared checkpoint folder after each round, so lineage does not grow and a lost executor only redoes
-  one round. Rounds stop when every group is small (or constant).
+holds a third of all rows. ``group_quantiles`` returns the same values (NumPy ``linear`` / DuckDB
+``quantile_cont``). A quantile is a point between two neighbouring ranks, and every rank is looked up on
+its own:
+
+* ranks whose range holds at most ``small`` values: those values are sorted in one bounded buffer;
+* other ranks: narrowing rounds. A round cuts the range at about ``bins`` approximate percentiles of its values
+  (a mergeable sketch of bounded size), counts the values of each piece exactly (a partial aggregate with
+  map-side combine) together with its exact min and max, and the rank goes on in the one piece that holds
+  it. Pieces are monotone in the value, and the smallest and the largest value of a range always lie in pieces
+  of their own, so every round shrinks the range, by about ``bins`` whatever the values' distribution, and rounds end
+  when all ranges are small or constant. There is no cap on rounds.
+
+All ranks of all quantiles take part in the same rounds over one written table of values. The state (one row
+per group and rank) is written after each round, so lineage does not grow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SMALL_GROUP = 50_000
-BINS = 4096
-MAX_ROUNDS = 64
+BINS = 64
 
 
 def group_quantile(df: DataFrame, keys: Sequence[str], col: str, qv: float, out: str = "quantile",
                    small: int = SMALL_GROUP, bins: int = BINS, max_group: int | None = None) -> DataFrame:
-    """One row per group with at least one non-null value: ``keys`` and the exact ``qv`` quantile.
+    """One row per group with at least one value: ``keys`` and the exact ``qv`` quantile.
 
     ``max_group`` (an upper bound of the largest group, e.g. the largest series) skips the size check."""
     if not 0.0 <= qv <= 1.0:
@@ -39,71 +42,74 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: dict[str,
                     small: int = SMALL_GROUP, bins: int = BINS, max_group: int | None = None) -> DataFrame:
     """Several exact quantiles of ``col`` per group, one output column per entry of ``qs``.
 
-    When ``max_group <= small`` every group is known to be small, and Spark's exact ``percentile``
-    (same linear interpolation) is already bounded. All quantiles then come from one partial
-    aggregate.
+    Null and NaN values take no part. When ``max_group <= small`` every group is known to be small, and
+    Spark's exact ``percentile`` (same linear interpolation) is already bounded. All quantiles then
+    come from one partial aggregate.
     """
+    from seriesguard.session import materialize
+
     keys = list(keys)
-    if any(not 0.0 <= v <= 1.0 for v in qs.values()):
+    if not qs or any(not 0.0 <= v <= 1.0 for v in qs.values()):
         raise ValueError(f"quantiles must be in [0, 1], got {qs}")
+    if bins < 2 or small < 1:
+        raise ValueError("bins must be at least 2 and small at least 1")
     if not keys:  # one pooled group: group by a constant, then drop it
-        res = group_quantiles(df.withColumn("_g", F.lit(1)), ["_g"], col, qs, small, bins, max_group)
-        return res.drop("_g")
+        return group_quantiles(df.withColumn("_g", F.lit(1)), ["_g"], col, qs, small, bins, max_group).drop("_g")
+    x = F.col(col).cast("double")
+    vals = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     if max_group is not None and max_group <= small:
-        vals = df.where(F.col(col).isNotNull())
-        aggs = [F.percentile(F.col(col).cast("double"), float(v)).alias(name) for name, v in qs.items()]
-        return vals.groupBy(*keys).agg(*aggs) if keys else vals.agg(*aggs)
-    out = None
-    for name, v in qs.items():
-        one = _group_quantile(df, keys, col, v, name, small, bins, max_group)
-        out = one if out is None else out.join(one, keys)
-    return out
-
-
-def _group_quantile(df: DataFrame, keys: list[str], col: str, qv: float, out: str, small: int, bins: int,
-                    max_group: int | None) -> DataFrame:
-    from seriesguard.session import materialize
-
-    vals = df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(qv))
-    state = (vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                     F.max("_x").alias("_hi"))
-             .select(*keys, F.floor(h).cast("long").alias("_r0"), F.ceil(h).cast("long").alias("_r1"),
-                     (h - F.floor(h)).alias("_frac"), "_lo", "_hi",
-                     F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt")))
-    open_groups = (F.col("_cnt") > small) & (F.col("_hi") > F.col("_lo"))
-    if (max_group is None or max_group > small) and state.where(open_groups).limit(1).count() > 0:
-        for _ in range(MAX_ROUNDS):
-            state = materialize(_narrow(vals, state, keys, bins, open_groups), "quantile-state")
-            if state.where(open_groups).limit(1).count() == 0:
-                break
-    cand = (vals.join(state, keys)
-            .where((F.col("_cnt") <= small) & (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
-    picked = cand.groupBy(*keys).agg(F.sort_array(F.collect_list("_x")).alias("_v"))
-    res = state.join(picked, keys, "left")
-    i0 = (F.col("_r0") - F.col("_below") + F.lit(1)).cast("int")
-    i1 = (F.col("_r1") - F.col("_below") + F.lit(1)).cast("int")
-    v0, v1 = F.element_at("_v", i0), F.element_at("_v", i1)
-    value = F.when(F.col("_cnt") > small, F.col("_lo")).otherwise(v0 + (v1 - v0) * F.col("_frac"))
-    return res.select(*keys, value.alias(out))
-
-
-def _narrow(vals: DataFrame, state: DataFrame, keys: list[str], bins: int, open_groups) -> DataFrame:
-    big = state.where(open_groups)
-    done = state.where(~open_groups)
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    b = F.least(F.lit(bins - 1), F.floor((F.col("_x") - F.col("_lo")) / width)).cast("int")
-    counted = (vals.join(big.select(*keys, "_lo", "_hi"), keys)
-               .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-               .groupBy(*keys, b.alias("_b"))
+        return vals.groupBy(*keys).agg(*[F.percentile("_x", float(v)).alias(name) for name, v in qs.items()])
+    vals = materialize(vals, "quantile-values")
+    state = materialize(_ranks(vals, keys, qs), "quantile-state")
+    open_ranks = (F.col("_cnt") > small) & (F.col("_hi") > F.col("_lo"))
+    while not state.where(open_ranks).isEmpty():
+        state = materialize(_narrow(vals, state, keys, bins, open_ranks), "quantile-state")
+
+    last = state.where((F.col("_hi") > F.col("_lo")))
+    near = (vals.join(last, keys).where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+            .groupBy(*keys, "_q", "_side").agg(F.sort_array(F.collect_list("_x")).alias("_v")))
+    at = state.join(near, [*keys, "_q", "_side"], "left")
+    value = F.when(F.col("_hi") > F.col("_lo"), F.element_at("_v", (F.col("_r") - F.col("_below") + 1).cast("int")))
+    at = at.select(*keys, "_q", "_side", "_frac", value.otherwise(F.col("_lo")).alias("_value"))
+
+    def pick(name: str, side: int) -> Column:
+        return F.max(F.when((F.col("_q") == name) & (F.col("_side") == side), F.col("_value")))
+
+    def frac(name: str) -> Column:
+        return F.max(F.when(F.col("_q") == name, F.col("_frac")))
+
+    return at.groupBy(*keys).agg(*[(pick(n, 0) + (pick(n, 1) - pick(n, 0)) * frac(n)).alias(n) for n in qs])
+
+
+def _ranks(vals: DataFrame, keys: list[str], qs: dict[str, float]) -> DataFrame:
+    """The two ranks (``_side`` 0 and 1) of every quantile in every group, with the whole group as range."""
+    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+
+    def rank(name: str, v: float, side: int) -> Column:
+        h = (F.col("_cnt") - F.lit(1)).cast("double") * F.lit(float(v))
+        return F.struct(F.lit(name).alias("_q"), F.lit(side).alias("_side"),
+                        (F.ceil(h) if side else F.floor(h)).cast("long").alias("_r"), (h - F.floor(h)).alias("_frac"))
+
+    ranks = F.array(*[rank(n, v, s) for n, v in qs.items() for s in (0, 1)])
+    return (sizes.select(*keys, "_lo", "_hi", "_cnt", F.lit(0).cast("long").alias("_below"), F.explode(ranks).alias("_k"))
+            .select(*keys, "_k._q", "_k._side", "_k._r", "_k._frac", "_lo", "_hi", "_below", "_cnt"))
+
+
+def _narrow(vals: DataFrame, state: DataFrame, keys: list[str], bins: int, open_ranks: Column) -> DataFrame:
+    """One round: every open rank's range becomes the piece that holds the rank."""
+    big, done = state.where(open_ranks), state.where(~open_ranks)
+    ranges = [*keys, "_lo", "_hi"]  # ranks with the same range share its counts
+    inside = (vals.join(big.select(*ranges).distinct(), keys)
+              .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
+    cuts = inside.groupBy(*ranges).agg(F.percentile_approx("_x", [i / bins for i in range(1, bins)], 16 * bins).alias("_cuts"))
+    piece = (F.when(F.col("_x") <= F.col("_lo"), 0).when(F.col("_x") >= F.col("_hi"), bins + 1)
+             .otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col("_x"))) + 1))
+    counted = (inside.join(cuts, ranges).groupBy(*ranges, piece.alias("_b"))
                .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
-    cum = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.withColumn("_before", F.coalesce(F.sum("_c").over(cum), F.lit(0)))
-    j = counted.join(big.drop("_lo", "_hi", "_cnt"), keys)
+    before = Window.partitionBy(*ranges).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
     first = F.col("_below") + F.col("_before")
-    holds = lambda r: (F.col(r) >= first) & (F.col(r) < first + F.col("_c"))
-    narrowed = (j.where(holds("_r0") | holds("_r1"))
-                .groupBy(*keys, "_r0", "_r1", "_frac")
-                .agg(F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"),
-                     F.min(first).cast("long").alias("_below"), F.sum("_c").cast("long").alias("_cnt")))
-    return done.unionByName(narrowed.select(*done.columns))
+    held = (big.drop("_cnt").join(counted, ranges)
+            .where((F.col("_r") >= first) & (F.col("_r") < first + F.col("_c"))))
+    return done.unionByName(held.select(*keys, "_q", "_side", "_r", "_frac", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                                        first.cast("long").alias("_below"), F.col("_c").cast("long").alias("_cnt")))

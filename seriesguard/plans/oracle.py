@@ -375,6 +375,15 @@ SELECT series_key, round(threshold, 6) AS threshold FROM thr"""
 ORACLE["threshold_std"] = with_(*DETECT, *ensemble_ctes(method="std")) + """
 SELECT series_key, round(threshold, 6) AS threshold FROM thr"""
 
+ORACLE["threshold_pooled"] = """
+WITH l AS (SELECT CAST(l_extendedprice AS DOUBLE) AS price, l_returnflag, l_linenumber FROM lineitem),
+m AS (
+  SELECT 'price' AS metric, price AS x FROM l
+  UNION ALL SELECT 'returned', CAST(l_returnflag = 'R' AS DOUBLE) FROM l
+  UNION ALL SELECT 'clusters', CASE WHEN l_linenumber % 2 = 0 THEN price + 1e9 ELSE price * 1e-9 END FROM l)
+SELECT metric, round(quantile_cont(x, 0.5), 4) AS q50, round(quantile_cont(x, 0.75), 4) AS q75, round(quantile_cont(x, 0.99), 4) AS q99
+FROM m GROUP BY metric"""
+
 ORACLE["flags"] = with_(*DETECT, *ensemble_ctes()) + """
 SELECT series_key, split, ts, round(score, 6) AS score, round(threshold, 6) AS threshold, flag FROM flagged"""
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesguard.functions.columns import numeric_columns
+from seriesguard.functions.quantiles import group_quantiles
 from seriesguard.operators import (clean, drift, ensemble, features, grid, learned, profile, recon, runs, split,
                                    stats, windows)
 from seriesguard.plans import flows, layout, panels, stages
@@ -283,6 +284,18 @@ def threshold_std(spark, sf_dir):
     return _final(p1_fitted(spark, sf_dir, method="std").thresholds)
 
 
+@query
+def threshold_pooled(spark, sf_dir):
+    """Pooled quantiles of a spread, a 0/1 and a two-cluster column, forced through the narrowing rounds."""
+    li = panels.table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice").cast("double")
+    cols = {"price": price, "returned": (F.col("l_returnflag") == "R").cast("double"),
+            "clusters": F.when(F.col("l_linenumber") % 2 == 0, price + 1e9).otherwise(price * 1e-9)}
+    long = li.select(F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("x")) for k, v in cols.items()])).alias("_m"))
+    out = group_quantiles(long.select("_m.*"), ["metric"], "x", {"q50": 0.5, "q75": 0.75, "q99": 0.99}, small=100, bins=64)
+    return out.select("metric", *[F.round(c, 4).alias(c) for c in ("q50", "q75", "q99")])
+
+
 @query
 def flags(spark, sf_dir):
     fl = p1_fitted(spark, sf_dir).flagged

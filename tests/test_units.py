@@ -139,6 +139,34 @@ def test_q99_flags_24_of_2385(spark):
     assert rate == pytest.approx(0.010062893081761006)
 
 
+def test_quantiles_of_any_shape_through_the_rounds(spark):
+    import random
+
+    from seriesguard.functions.quantiles import group_quantiles
+    rnd = random.Random(3)
+    shapes = {"zero_one": [0.0] * 20 + [1.0] * 20, "clusters": [rnd.random() * 1e-9 for _ in range(600)] + [1 + rnd.random() * 1e-9 for _ in range(600)],
+              "runs": [5.0] * 300 + [7.0] * 300 + [float(i) for i in range(100)], "constant": [2.5] * 200, "one": [4.0],
+              "wide": [-1.7e308, 1.7e308, 0.0, 5e-324, 1e-300] * 30 + [float(i) for i in range(50)], "tiny": [0.0, 5e-324] * 60,
+              "exponents": [10.0 ** rnd.randint(-200, 200) for _ in range(400)]}
+    rows = [(g, x) for g, xs in shapes.items() for x in xs] + [("runs", None), ("runs", float("nan"))]
+    qs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}
+    got = {r.g: r for r in group_quantiles(spark.createDataFrame(rows, "g string, x double"), ["g"], "x", qs, small=3, bins=4).collect()}
+    for g, xs in shapes.items():
+        xs = sorted(xs)
+        for name, v in qs.items():
+            h = (len(xs) - 1) * v
+            lo, hi = xs[int(h)], xs[min(int(h) + 1, len(xs) - 1)]
+            want = lo if h == int(h) else lo + (hi - lo) * (h - int(h))
+            assert got[g][name] == pytest.approx(want, rel=1e-12, abs=0.0), (g, name)
+
+
+def test_recorded_flag_rate_through_the_rounds(spark):
+    """24 of 2,385 scores exceed their own 0.99 quantile."""
+    df = spark.range(2385).select(F.lit("s").alias("k"), (F.col("id") * F.col("id")).cast("double").alias("x"))
+    thr = group_quantile(df, ["k"], "x", 0.99, small=10, bins=8).first()["quantile"]
+    assert df.where(F.col("x") > thr).count() == 24
+
+
 def test_quantile_narrowing_equals_exact(spark):
     df = spark.range(20000).select((F.col("id") % 2).alias("g"), F.sin(F.col("id") * 1.7).alias("x"))
     got = {r.g: r.quantile for r in group_quantile(df, ["g"], "x", 0.37, small=500, bins=64).collect()}
