@@ -40,9 +40,13 @@ def q_prepare_window(spark, sf):
 
 
 def q_score_users(spark, sf):
-    """Three detectors, z-score ensemble, validation threshold and flags over every user series."""
+    """Three detectors, z-score ensemble, validation threshold and flags over every user series.
+
+    The series are short (45 to 99 rows), so normalisers and the threshold are pooled over all of them."""
     p = flows.prepare(panels.user_series(spark, sf), KEYS, ["value"], tiebreak=["event_id"], resample=False)
-    return flows.fit_score(p, KEYS, ["value"], W=16).flagged
+    flagged = flows.fit_score(p, KEYS, ["value"], W=16, pooled=True).flagged
+    assert flagged.where("flag is not null").limit(1).count() == 1, "no scored windows"
+    return flagged
 
 
 def q_flagship(spark, sf):

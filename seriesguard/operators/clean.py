@@ -44,7 +44,8 @@ def sort_series(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Se
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """One row per ``(series, ts)``, the first by ``tiebreak``.
+    """One row per ``(series, ts)``, the first by ``tiebreak``; without one, the smallest row by its other columns, so
+    that the kept row never depends on partitioning.
 
     ``min_by`` is a partial aggregate: copies are reduced on the map side, so a group holding a third of
     all rows is never gathered in one task.
@@ -53,7 +54,7 @@ def dedup_first(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Se
     rest = [c for c in df.columns if c not in keys and c != ts]
     if not rest:
         return df.select(*keys, ts).distinct()
-    order = F.struct(*[F.col(t) for t in tiebreak]) if tiebreak else F.lit(0)
+    order = F.struct(*[F.col(t) for t in (tiebreak or rest)])
     agg = F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row")
     return df.groupBy(*keys, ts).agg(agg).select(*keys, ts, *[F.col("_row")[c].alias(c) for c in rest])
 
@@ -69,7 +70,7 @@ def ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts
           max_rows: int | None = None) -> DataFrame:
     """D3: forward fill every listed column in time order."""
     laid = _laid(df, keys, ts, tiebreak, rows_per_block, max_rows=max_rows)
-    return L.drop_halo(L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block))
+    return L.drop_halo(L.carry_forward(laid, keys, cols, rows_per_block=rows_per_block, max_rows=max_rows))
 
 
 def bfill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
@@ -77,7 +78,7 @@ def bfill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts
           max_rows: int | None = None) -> DataFrame:
     """Backward fill, over the same ordering as D3 with a following frame."""
     laid = _laid(df, keys, ts, tiebreak, rows_per_block, max_rows=max_rows)
-    return L.drop_halo(L.carry_backward(laid, keys, cols, rows_per_block=rows_per_block))
+    return L.drop_halo(L.carry_backward(laid, keys, cols, rows_per_block=rows_per_block, max_rows=max_rows))
 
 
 def fill_missing(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",

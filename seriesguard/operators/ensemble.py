@@ -24,7 +24,7 @@ STD_EPS = 1e-12
 def _one_row_join(df: DataFrame, params: DataFrame) -> DataFrame:
     """Attach a one-row parameter table (pooled fit) to every row: a broadcast equi-join on a constant."""
     return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(params.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+            .join(F.broadcast(params.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
 
 
 def _by(keys: Sequence[str], pooled: bool) -> list[str]:
@@ -33,7 +33,7 @@ def _by(keys: Sequence[str], pooled: bool) -> list[str]:
 
 def _join(df: DataFrame, params: DataFrame, on: list[str]) -> DataFrame:
     # With no key the parameter table has exactly one row (per model): a proven size bound.
-    return df.join(F.broadcast(params), on) if not [k for k in on if k != "model"] else df.join(params, on)
+    return df.join(F.broadcast(params) if not [k for k in on if k != "model"] else params, on, "left")
 
 
 def normalizers_fit(errs: DataFrame, keys: Sequence[str], fit_split: str = "val",
@@ -47,13 +47,15 @@ def normalizers_fit(errs: DataFrame, keys: Sequence[str], fit_split: str = "val"
 def ensemble(errs: DataFrame, keys: Sequence[str], normalization: str = "zscore",
              normalizers: DataFrame | None = None, models: Sequence[str] | None = None,
              pooled: bool = False, ts: str = "ts") -> DataFrame:
-    """Mean over models of the (z-normalised) window errors; only windows scored by every model."""
+    """Mean over the models that scored a window of its (z-normalised) errors.
+
+    Every window with any error has a row; ``n_models`` counts the models behind its score. Without normalisers
+    for a series (no validation windows) its scores are null."""
     if normalization not in NORMALIZATIONS:
         raise ValueError(f"Unknown normalization: {normalization}")
     if models is not None and len(models) == 0:
         raise ValueError("the model set is empty")
     e = errs if models is None else errs.where(F.col("model").isin(list(models)))
-    n_models = len(models) if models is not None else None
     if normalization == "zscore":
         if normalizers is None:
             raise ValueError("normalization='zscore' requires normalizers")
@@ -61,14 +63,7 @@ def ensemble(errs: DataFrame, keys: Sequence[str], normalization: str = "zscore"
         e = _join(e, normalizers.select(*on, "mean", "std"), on)
         z = (F.col("err") - F.col("mean")) / F.when(F.col("std") > 0, F.col("std")).otherwise(F.lit(1.0))
         e = e.withColumn("err", z)
-    g = e.groupBy(*keys, "split", ts, "rn_split").agg(F.avg("err").alias("score"),
-                                                       F.count(F.lit(1)).alias("n_models"))
-    if n_models is None:
-        per = errs.groupBy(*keys).agg(F.count_distinct("model").alias("_m"))
-        g = g.join(per, list(keys)).where(F.col("n_models") == F.col("_m")).drop("_m")
-    else:
-        g = g.where(F.col("n_models") == n_models)
-    return g
+    return e.groupBy(*keys, "split", ts, "rn_split").agg(F.avg("err").alias("score"), F.count("err").alias("n_models"))
 
 
 def threshold_fit(scores: DataFrame, keys: Sequence[str], method: str = "quantile", q: float = DEFAULT_Q,
@@ -86,10 +81,13 @@ def threshold_fit(scores: DataFrame, keys: Sequence[str], method: str = "quantil
 
 
 def flags(scores: DataFrame, thresholds: DataFrame, keys: Sequence[str], pooled: bool = False) -> DataFrame:
-    """I8: ``flag = score > threshold`` (strict), on unrounded values."""
+    """I8: ``flag = score > threshold`` (strict), on unrounded values. A series without validation windows has no
+    threshold: its rows stay, with a null flag and status ``no_validation``."""
     by = _by(keys, pooled)
-    j = _one_row_join(scores, thresholds) if not by else scores.join(thresholds, by)
-    return j.withColumn("flag", (F.col("score") > F.col("threshold")).cast("int"))
+    j = _one_row_join(scores, thresholds) if not by else scores.join(thresholds, by, "left")
+    known = F.col("score").isNotNull() & F.col("threshold").isNotNull()
+    return (j.withColumn("flag", F.when(known, (F.col("score") > F.col("threshold")).cast("int")))
+            .withColumn("status", F.when(known, F.lit("ok")).otherwise(F.lit("no_validation"))))
 
 
 def results_table(flagged: DataFrame, keys: Sequence[str], ts: str = "ts", split: str | None = "test") -> DataFrame:
@@ -102,17 +100,30 @@ def err_timesteps(laid_rows: DataFrame, keys: Sequence[str], model: str, W: int,
                   ts: str = "ts") -> DataFrame:
     """Per-timestep error (mean over features) of every window, long form ``(window, pos, err)``.
 
-    Row errors of row detectors do not depend on the window, so each window position is a lag of the
-    row error at the window end: ``W`` lags in one window pass, then ``posexplode``.
+    Errors of H1 and H2 don't depend on the window, so each position is a lag of the row error at the window
+    end. H3 depends on the window's edges: the first position takes the left-edge term, the last one the
+    right-edge term. Positions without a reconstruction (the first row of a split under H2) have no row.
     """
     from seriesguard.operators.windows import window_end
     from seriesguard.plans import layout as L
 
     w = L.seq_window(laid_rows, keys)
-    rc = F.col(f"rowerr__{model}")
-    lags = F.array(*[F.lag(rc, W - 1 - p).over(w) if W - 1 - p > 0 else rc for p in range(W)])
-    full = F.count(rc).over(w.rowsBetween(-(W - 1), 0)) == W
-    win = (laid_rows.withColumn("_errs", lags).withColumn("_full", full)
-           .where(window_end(W, step) & F.col("_full")))
-    win = L.drop_halo(win)
-    return win.select(*keys, "split", F.col(ts).alias("win_end_ts"), F.posexplode("_errs").alias("pos", "err"))
+
+    def back(name: str, k: int):
+        return F.lag(F.col(name), k).over(w) if k else F.col(name)
+
+    if model == "local":  # edge terms of a row stand at the row after it
+        at = [back("_h3_left_prev", W - 2), *(back("_h3_mid_prev", W - 2 - p) for p in range(1, W - 1)), F.col("_h3_right")]
+    else:
+        at = [back(f"rowerr__{model}", W - 1 - p) for p in range(W)]
+    win = L.drop_halo(laid_rows.withColumn("_errs", F.array(*at)).where(window_end(W, step)))
+    return (win.select(*keys, "split", F.col(ts).alias("win_end_ts"), F.posexplode("_errs").alias("pos", "err"))
+            .where(F.col("err").isNotNull()))
+
+
+def err_timesteps_arrays(windows: DataFrame, keys: Sequence[str], win: str = "win", recon: str = "recon",
+                         ts: str = "ts") -> DataFrame:
+    """I2 for models that return window arrays: ``win`` and ``recon`` are (W, C) arrays of one window."""
+    errs = F.zip_with(win, recon, lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+                                                          lambda s, d: s + d) / F.size(a))
+    return windows.select(*keys, "split", F.col(ts).alias("win_end_ts"), F.posexplode(errs).alias("pos", "err"))

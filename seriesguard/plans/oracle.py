@@ -154,17 +154,18 @@ P1_SPLIT = P1_PREP + split_ctes("prep")
 P1_SCALED = P1_SPLIT + scale_ctes("sp", P1_FEATURES)
 
 
-def rows_ctes(src: str, cols: list[str]) -> list[str]:
-    """Row-level reconstructions (H1, H2) and the local-kernel terms (H3)."""
+def rows_ctes(src: str, cols: list[str], full_lags: bool = False) -> list[str]:
+    """Row-level reconstructions (H1, H2) and the local-kernel terms (H3). H2 is a weighted mean over the previous rows
+    of the split that exist; with full_lags rows lacking one of them have none."""
     wts = EWMA_WEIGHTS
-    tot = float(sum(wts))
-    K = len(wts)
+    first = len(wts) if full_lags else 1
+    wsum = " + ".join(f"CASE WHEN s.rn_split >= {k} THEN {d(wk)} ELSE 0.0 END" for k, wk in enumerate(wts, start=1))
     kl, kc, kr = (float(x) for x in LOCAL_KERNEL)
     ph = ", ".join(f"avg({c}) AS seasonal__{c}" for c in cols)
     ewma = ", ".join(
-        f"CASE WHEN s.rn_split >= {K} THEN "
-        + " + ".join(f"lag(s.{c}, {k}) OVER w * {d(wk / tot)}" for k, wk in enumerate(wts, start=1))
-        + f" END AS ewma__{c}" for c in cols)
+        f"CASE WHEN s.rn_split >= {first} THEN ("
+        + " + ".join(f"CASE WHEN s.rn_split >= {k} THEN lag(s.{c}, {k}) OVER w * {d(wk)} ELSE 0.0 END" for k, wk in enumerate(wts, start=1))
+        + f") / ({wsum}) END AS ewma__{c}" for c in cols)
     seas = msq([f"s.{c} - ph.seasonal__{c}" for c in cols])
     x1 = lambda c: f"lag(s.{c}, 1) OVER w"
     x2 = lambda c: f"lag(s.{c}, 2) OVER w"
@@ -188,7 +189,8 @@ def werr_ctes(step: int = 1) -> list[str]:
     return [
         f"""werr0 AS (SELECT series_key, split, ts, rn, rn_split,
                CASE WHEN count(rowerr__seasonal) OVER f = {W} THEN avg(rowerr__seasonal) OVER f END AS err__seasonal,
-               CASE WHEN count(rowerr__ewma) OVER f = {W} THEN avg(rowerr__ewma) OVER f END AS err__ewma,
+               CASE WHEN count(rowerr__ewma) OVER f = CASE WHEN rn_split = {W - 1} THEN {W - 1} ELSE {W} END
+                 THEN avg(rowerr__ewma) OVER f END AS err__ewma,
                (lag(h3_left_prev, {W - 2}) OVER w + sum(h3_mid_prev) OVER f3 + h3_right) / {d(float(W))} AS err__local
              FROM rows
              WINDOW w AS (PARTITION BY series_key ORDER BY rn),
@@ -217,7 +219,7 @@ def ensemble_ctes(normalization: str = "zscore", method: str = "quantile") -> li
     else:
         ctes.append("zerr AS (SELECT series_key, split, ts, rn_split, err FROM errs)")
     ctes.append("""scores AS (SELECT series_key, split, ts, rn_split, avg(err) AS score FROM zerr
-                 GROUP BY 1, 2, 3, 4 HAVING count(*) = 3)""")
+                 GROUP BY 1, 2, 3, 4)""")
     if method == "quantile":
         ctes.append(f"""thr AS (SELECT series_key, quantile_cont(score, {d(DEFAULT_Q)}) AS threshold
                  FROM scores WHERE split = 'val' GROUP BY 1)""")
@@ -351,14 +353,19 @@ SELECT series_key, split, ts, round(err, 6) AS err FROM errs WHERE model = 'loca
 ORACLE["err_window"] = with_(*DETECT) + """
 SELECT series_key, split, ts, model, round(err, 6) AS err FROM errs"""
 
-ORACLE["err_timestep"] = with_(*P1_SCALED, *rows_ctes("scaled", P1_FEATURES), f"""ends AS (
-    SELECT series_key, split, ts, rn FROM (
-      SELECT *, count(rowerr__ewma) OVER (PARTITION BY series_key ORDER BY rn
-                ROWS BETWEEN {W - 1} PRECEDING AND CURRENT ROW) AS _c FROM rows)
-    WHERE rn_split >= {W - 1} AND _c = {W})""") + f"""
-SELECT e.series_key, e.split, e.ts AS win_end_ts, CAST(r.rn - (e.rn - {W - 1}) AS INTEGER) AS pos,
-       round(r.rowerr__ewma, 6) AS err
-FROM ends e JOIN rows r ON r.series_key = e.series_key AND r.rn BETWEEN e.rn - {W - 1} AND e.rn"""
+ORACLE["err_timestep"] = with_(*P1_SCALED, *rows_ctes("scaled", P1_FEATURES), """terms AS (
+    SELECT *, lead(h3_left_prev) OVER w AS h3_left, lead(h3_mid_prev) OVER w AS h3_mid FROM rows
+    WINDOW w AS (PARTITION BY series_key ORDER BY rn))""", f"""pos AS (
+    SELECT e.series_key, e.split, e.ts AS win_end_ts, CAST(r.rn - (e.rn - {W - 1}) AS INTEGER) AS pos, r.rowerr__seasonal,
+           r.rowerr__ewma, r.h3_left, r.h3_mid, r.h3_right
+    FROM rows e JOIN terms r ON r.series_key = e.series_key AND r.rn BETWEEN e.rn - {W - 1} AND e.rn
+    WHERE e.rn_split >= {W - 1})""") + f"""
+SELECT 'seasonal' AS model, series_key, split, win_end_ts, pos, round(rowerr__seasonal, 6) AS err FROM pos WHERE rowerr__seasonal IS NOT NULL
+UNION ALL
+SELECT 'ewma', series_key, split, win_end_ts, pos, round(rowerr__ewma, 6) FROM pos WHERE rowerr__ewma IS NOT NULL
+UNION ALL
+SELECT 'local', series_key, split, win_end_ts, pos,
+       round(CASE pos WHEN 0 THEN h3_left WHEN {W - 1} THEN h3_right ELSE h3_mid END, 6) FROM pos"""
 
 ORACLE["ensemble_none"] = with_(*DETECT, *ensemble_ctes("none")) + """
 SELECT series_key, split, ts, round(score, 6) AS score FROM scores"""
@@ -387,6 +394,9 @@ FROM m GROUP BY metric"""
 ORACLE["flags"] = with_(*DETECT, *ensemble_ctes()) + """
 SELECT series_key, split, ts, round(score, 6) AS score, round(threshold, 6) AS threshold, flag FROM flagged"""
 
+ORACLE["score_frozen"] = with_(*DETECT, *ensemble_ctes()) + """
+SELECT series_key, ts, round(score, 6) AS score, round(threshold, 6) AS threshold, flag FROM flagged WHERE split = 'test'"""
+
 ORACLE["results_table"] = with_(*DETECT, *ensemble_ctes()) + """
 SELECT series_key, ts AS timestamp, round(score, 6) AS ensemble_error, flag FROM flagged WHERE split = 'test'"""
 
@@ -804,7 +814,7 @@ FROM orders o LEFT JOIN cp ON o.o_orderpriority = cp.c LEFT JOIN cs ON o.o_order
 _SL = ["avg_value"]
 ORACLE["minimum_slice"] = with_(
     "p1v AS (SELECT series_key, ts, avg_value FROM (" + P1.split(" AS (", 1)[1].rsplit(")", 1)[0] + "))",
-    *resample_ctes("p1v", "prep", _SL), *split_ctes("prep"), *scale_ctes("sp", _SL), *rows_ctes("scaled", _SL),
+    *resample_ctes("p1v", "prep", _SL), *split_ctes("prep"), *scale_ctes("sp", _SL), *rows_ctes("scaled", _SL, full_lags=True),
     f"""we AS (SELECT series_key, split, ts, rn_split, CASE WHEN count(rowerr__ewma) OVER f = {W}
           THEN avg(rowerr__ewma) OVER f END AS err FROM rows
           WINDOW f AS (PARTITION BY series_key ORDER BY rn ROWS BETWEEN {W - 1} PRECEDING AND CURRENT ROW))""",

@@ -254,8 +254,12 @@ def err_window(spark, sf_dir):
 
 @query
 def err_timestep(spark, sf_dir):
-    laid = _rows(spark, sf_dir, ["ewma"])
-    return _final(ensemble.err_timesteps(laid, KEYS, "ewma", W, 1))
+    laid = stages.stage(spark, sf_dir, "p1_laid", lambda: _rows(spark, sf_dir, recon.MODELS))
+    out = None
+    for m in recon.MODELS:
+        one = ensemble.err_timesteps(laid, KEYS, m, W, 1).withColumn("model", F.lit(m))
+        out = one if out is None else out.unionByName(one)
+    return _final(out)
 
 
 @query
@@ -302,6 +306,16 @@ def flags(spark, sf_dir):
     return _final(fl.select("series_key", "split", "ts", "score", "threshold", "flag"))
 
 
+@query
+def score_frozen(spark, sf_dir):
+    """Fitted on train and validation, saved, loaded, and the test rows scored as a new table."""
+    path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
+    p1_fitted(spark, sf_dir).params.save(path)
+    new = p1_split(spark, sf_dir).where(F.col("split") == "test").select("series_key", "ts", *P1_FEATURES)
+    out = flows.score(new, flows.Params.load(spark, path))
+    return _final(out.select("series_key", "ts", "score", "threshold", "flag"))
+
+
 @query
 def results_table(spark, sf_dir):
     return _final(ensemble.results_table(p1_fitted(spark, sf_dir).flagged, KEYS))
@@ -709,7 +723,7 @@ def p1_slice(spark, sf_dir) -> flows.Fitted:
     def build():
         prep = flows.prepare(panels.hourly_panel(spark, sf_dir).select("series_key", "ts", "avg_value"),
                              KEYS, ["avg_value"])
-        return flows.fit_score(prep, KEYS, ["avg_value"], W=W, models=["ewma"])
+        return flows.fit_score(prep, KEYS, ["avg_value"], W=W, models=["ewma"], full_lags=True)
     return stages.stage(spark, sf_dir, "p1_slice", build)
 
 
