@@ -11,24 +11,28 @@ The Jaccard distance is a metric. Two documents link at a distance of at most r
    A set is replicated into the regions of its own band and, as a boundary case, of larger bands that
    may hold partners. Sets with so many empty slices that a pair could share only those go, in addition,
    to the regions of their smallest shingles (prefix).
-3. Inside regions, documents are pivots. Each document meets the smallest of its regions' pivots first:
-   that one is its home, at a known distance. Then, round by round, every region whose members aren't all
-   connected yet takes a new pivot; the members of other components meet it, unless the triangle inequality on a
-   common home rules the pair out (|d(x,h) - d(p,h)| > r); then the pivot leaves the region. In regions of up to
-   ``SMALL`` members all are pivots at once. Rounds end when no region holds two components. A region costs a bounded
-   number of pairs for each member in a round, and a group of near copies is connected after a few
-   rounds without all its pairs.
+3. Second regions. Only documents that share a top-level region go on. A sketch of how often their shingles occur
+   (``SKETCH`` counters, whatever the corpus) orders all shingles, rare ones first; a pair that links shares a shingle among
+   the first n - ceil(t n) + 1 of each set, so each of these shingles is the pivot of a region, and the sets that hold it
+   within that window are its members. Near copies whose own edits outweigh the threshold meet nobody here.
+4. Inside regions, documents are pivots. Each document meets the smallest of its regions' pivots first: that one is
+   its home, at a known distance. Then, round by round, every region whose members aren't all connected yet takes
+   new pivots (more in each round); the members of other components meet them, unless the triangle inequality on a common
+   home rules the pair out (|d(x,h) - d(p,h)| > r); then the pivots leave the region. Rounds end when no region
+   holds two components. A region costs a bounded number of pairs for each member in a round, and a group of near
+   copies is connected after a few rounds without all its pairs.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +44,10 @@ from .graph import components
 BAND = 1.4
 #: Ids are broadcast up to this many (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-#: Regions with at most this many members left are finished in one round, by all their pairs.
-SMALL = 16
+#: Counters of the shingle sketch (by the top 16 bits of the hash).
+SKETCH = 1 << 16
+#: Pivots that a region takes in the first rounds, and in each later one.
+PIVOTS = (16, 64, 256)
 _WORDS_HELD = 500_000
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _U = np.uint64
@@ -158,6 +164,55 @@ def _meet(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return joined.select("x", "p", (1 - F.col("common") / union).alias("distance"), (100 * F.col("common") >= pct * union).alias("link"))
 
 
+def _sketch(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall into each counter; tasks hand on their own counters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            h = batch.column(0).flatten().to_numpy().view(_U)
+            total += np.bincount((h >> _U(48)).astype(np.int64), minlength=SKETCH)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["counter", "n"])
+
+    rows = sets.select("shingles").mapInArrow(run, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SKETCH, np.int64)
+    out[rows["counter"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
+
+def _rare_first(sets: DataFrame, pct: int) -> DataFrame:
+    """``region`` (a shingle), ``rep`` and ``n`` for the first shingles of each set in the sketch's order."""
+    shipped = sets.sparkSession.sparkContext.broadcast(_sketch(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = shipped.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                lengths = part.column(1).value_lengths().to_numpy()
+                h = part.column(1).flatten().to_numpy().view(_U)
+                first, sizes = [], []
+                for a, n in zip(np.cumsum(lengths) - lengths, lengths, strict=True):
+                    own = h[a:a + n]
+                    sizes.append(int(n) - -(-int(n) * pct // 100) + 1)
+                    first.append(own[np.lexsort((own, count[(own >> _U(48)).astype(np.int64)]))[:sizes[-1]]])
+                owner = np.repeat(np.arange(part.num_rows), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(first).view(np.int64)), part.column(0).take(pa.array(owner)), pa.array(lengths[owner].astype(np.int64))],
+                    names=["region", "rep", "n"])
+
+    schema = T.StructType([T.StructField("region", T.LongType()), T.StructField("rep", sets.schema["id"].dataType),
+                           T.StructField("n", T.LongType())])
+    return sets.select("id", "shingles").mapInArrow(run, schema)
+
+
+def _shared(member: DataFrame) -> DataFrame:
+    """The members of regions with more than one, and each region's smallest member ``p``; written."""
+    shared = member.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("p")).where("m > 1").select("region", "p")
+    return materialize(member.join(shared, "region").select("region", "rep", "n", "p"), "members")
+
+
 def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` (long) and ``component_id``, one row for each row of ``docs``.
 
@@ -171,14 +226,9 @@ def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: st
     classes = known.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regions").alias("regions"))
     classes = materialize(classes, "classes")
     member = classes.select("rep", "n", F.explode("regions").alias("region"))
-    shared = member.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"), F.max("n").alias("most"),
-                                          F.min("rep").alias("p"))
-    shared = shared.where("m > 1").select("region", "p")
-    member = materialize(member.join(shared, "region").select("region", "rep", "n", "p"), "members")
-
-    links = None
-    if not member.isEmpty():
-        links = _links(docs, member, n_words, pct, id_col, text_col)
+    shared = member.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
+    active = materialize(member.join(shared, "region").select("rep").distinct(), "active")
+    links = _links(docs, active, n_words, pct, id_col, text_col)
     reps = classes.select("d1", "d2", "rep")
     if links is not None:
         labels = links.select(F.col("node").alias("rep"), "label")
@@ -188,15 +238,17 @@ def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: st
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("rep", "id").alias("component_id"))
 
 
-def _links(docs: DataFrame, member: DataFrame, n_words: int, pct: int, id_col: str, text_col: str) -> DataFrame | None:
-    """Component labels of the representatives in ``member`` (region, rep, n, p), None without any link."""
-    active = materialize(member.select("rep").distinct(), "active")
-    few = active.count() <= BROADCAST_IDS
+def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: str, text_col: str) -> DataFrame | None:
+    """Component labels of the representatives in ``active``, None without any link."""
+    n_active = active.count()
+    if not n_active:
+        return None
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(
-        F.broadcast(active) if few else active, F.col("doc") == F.col("rep"))
+        F.broadcast(active) if n_active <= BROADCAST_IDS else active, F.col("doc") == F.col("rep"))
     sets = materialize(shingle_sets(texts.select("doc", "text"), n_words, None, "doc", "text", True)
                        .select("id", "shingles").dropDuplicates(["id"]), "shingles")
-    size = member.select("rep", "n").distinct()
+    member = _shared(_rare_first(sets, pct))
+    size = sets.select(F.col("id").alias("rep"), F.size("shingles").cast("long").alias("n"))
     r = 1 - pct / 100
 
     # every document meets its smallest pivot of a fitting size: its home
@@ -213,24 +265,20 @@ def _links(docs: DataFrame, member: DataFrame, n_words: int, pct: int, id_col: s
     tested = met.select("x", "p")
     left = member.select("region", "rep", "n")
     labels = components(links)
-    while True:
+    for k in itertools.count():
         named = left.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
         named = named.select("region", "rep", "n", F.coalesce("label", "rep").alias("label"))
-        # regions that still hold two components, and their next pivot: from the component with the largest label, so
-        # that single documents are taken before the groups they may belong to
-        mixed = named.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"),
-                                            F.max(F.struct("label", "rep", "n")).alias("pivot")).where("low <> high")
-        mixed = mixed.select("region", "m", F.col("pivot.rep").alias("p"), F.col("pivot.label").alias("p_label"), F.col("pivot.n").alias("np"))
+        mixed = named.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
         left = materialize(named.join(mixed, "region"), "left")
         if left.isEmpty():
             return labels
-        apart = (F.col("label") != F.col("p_label")) & fits("n", "np")
-        small = left.where(F.col("m") <= SMALL)  # every member is a pivot at once
-        others = small.select("region", F.col("rep").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("nq"))
-        pairs = small.select("region", "rep", "n", "label").join(others, "region").where(
-            (F.col("rep") > F.col("q")) & (F.col("label") != F.col("q_label")) & fits("n", "nq")).select(F.col("rep").alias("x"), F.col("q").alias("p"))
-        pairs = pairs.unionByName(left.where((F.col("m") > SMALL) & apart).select(F.col("rep").alias("x"), "p"))
-        pairs = pairs.select(F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
+        # the next pivots: components with large labels first, so that single documents come before the groups they may belong to
+        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.col("label").desc(), F.col("rep").desc()))
+        pivots = left.withColumn("rank", rank).where(F.col("rank") <= PIVOTS[min(k, len(PIVOTS) - 1)]).select(
+            F.col("region").alias("of"), F.col("rep").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("nq"))
+        pivots = materialize(pivots, "pivots")
+        pairs = left.join(pivots, (F.col("region") == F.col("of")) & (F.col("label") != F.col("q_label"))).where(fits("n", "nq"))
+        pairs = pairs.select(F.greatest("rep", "q").alias("x"), F.least("rep", "q").alias("p")).distinct()
         of_x = homes.select(F.col("rep").alias("x"), F.col("home").alias("hx"), F.col("distance").alias("dx"))
         of_p = homes.select(F.col("rep").alias("p"), F.col("home").alias("hp"), F.col("distance").alias("dp"))
         far = (F.col("hx") == F.col("hp")) & (F.abs(F.col("dx") - F.col("dp")) > r + 1e-9)
@@ -241,4 +289,4 @@ def _links(docs: DataFrame, member: DataFrame, n_words: int, pct: int, id_col: s
         if not new.isEmpty():
             links = links.unionByName(new)
             labels = components(links)
-        left = left.where((F.col("rep") != F.col("p")) & (F.col("m") > SMALL)).select("region", "rep", "n")
+        left = left.join(pivots, (F.col("region") == F.col("of")) & (F.col("rep") == F.col("q")), "left_anti").select("region", "rep", "n")

@@ -139,7 +139,7 @@ def test_jaccard_components(spark, corpus, n, pct):
 
 
 def test_jaccard_large_region_takes_pivot_rounds(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "SMALL", 2)
+    monkeypatch.setattr(jaccard, "PIVOTS", (1, 3))
     r = random.Random(9)
     base = [f"v{i}" for i in range(80)]
     rows = []
