@@ -23,15 +23,6 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """ANSI-safe ratio: null when the divisor is 0 or null."""
-    return F.try_divide(a, b)
-
-
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """B1: numeric columns in schema order; booleans are not numeric."""
     return [f.name for f in df.schema.fields
@@ -43,11 +34,3 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
-
-def nan_to_null(col: Column) -> Column:
-    """NaN becomes SQL NULL so that ``ignorenulls`` and ``count`` see it as missing."""
-    return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col.cast("double"))
-
-
-def to_ntz(col: Column) -> Column:
-    return col.cast("timestamp_ntz")

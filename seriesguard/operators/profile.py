@@ -1,9 +1,12 @@
 """Column profile, ingestion gate and time-column detection.
 
-Every column of the table becomes rows of one long form ``(column, order, value, parses...)``; all
-per-column quantities come from one aggregate over it (C1-C4, C10), one ordered pass (the skew-safe
-layout, C5) and one exact median per numeric column. Detection (C6-C9) is then plain expressions over
-the small per-column profile table.
+A profile takes two passes over the table. One wide aggregate has every per-column quantity (C1-C4, C10) as
+columns of one row, without exploding rows. One ordered pass (C5) range-partitions the parsed times by the input
+order, compares each with the last one before it inside a range, and the ranges' ends with each other. Detection
+(C6-C9) is then plain expressions over the small per-column profile table.
+
+Shares follow the reference: a string column's parsed share is over all rows, an epoch column's over its
+non-null rows, and in-range shares are over all rows.
 
 Parsing rules (the oracle uses the same): strings parse with ``try_to_timestamp``; native timestamps are
 taken as they are; a number is read as seconds or milliseconds since the epoch only when the result is
@@ -14,12 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesguard.functions.columns import q
-from seriesguard.functions.quantiles import group_quantile
 from seriesguard.plans import layout as L
 
 # Fixed values of the reference detector and ingestion gate.
@@ -49,78 +51,118 @@ def _epoch(x: Column, unit: str) -> Column:
     return F.when(F.abs(x) <= F.lit(lim), fn(F.floor(x).cast("long")))
 
 
-def long_form(df: DataFrame, order: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(column, kind, o, raw_null, x, t, t_s, t_ms)`` for every profiled column of every row."""
+def _parses(df: DataFrame, order: str, columns: Sequence[str] | None) -> list[tuple[str, str, Column, dict[str, Column]]]:
+    """``(column, kind, value as double, parses)`` of every profiled column; ``parses`` maps t, t_s, t_ms to times."""
     kinds = {f.name: _kind(f.dataType) for f in df.schema.fields}
-    cols = [c for c in (columns or df.columns) if kinds.get(c) and c != order]
-    entries = []
-    for c in cols:
-        k = kinds[c]
+    out = []
+    for c in columns or df.columns:
+        k = kinds.get(c)
+        if not k or c == order:
+            continue
         src = F.col(q(c))
-        x = src.cast("double") if k == "numeric" else F.lit(None).cast("double")
         if k == "numeric":
+            x = src.cast("double")
             x = F.when(~F.isnan(x), x)
-            t = F.when(x.isNotNull(), F.lit("1970-01-01 00:00:00").cast("timestamp"))
-        elif k == "string":
-            t = F.try_to_timestamp(src)
+            out.append((c, k, x, {"t_s": _epoch(x, "s"), "t_ms": _epoch(x, "ms")}))
         else:
-            t = src.cast("timestamp")
-        raw_null = x.isNull() if k == "numeric" else src.isNull()
-        entries.append(F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), raw_null.alias("raw_null"),
-                                x.alias("x"), t.alias("t"), _epoch(x, "s").alias("t_s"), _epoch(x, "ms").alias("t_ms")))
-    return df.select(F.col(q(order)).alias("o"), F.explode(F.array(*entries)).alias("_e")).select("o", "_e.*")
+            out.append((c, k, F.lit(None).cast("double"), {"t": F.try_to_timestamp(src) if k == "string" else src.cast("timestamp")}))
+    return out
 
 
 def _in_range(t: Column, now: Column) -> Column:
     return (t >= F.lit(EARLIEST).cast("timestamp")) & (t <= F.add_months(now, 12 * RANGE_YEARS))
 
 
-def monotonic(long: DataFrame, rows_per_block: int = L.ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
-    """Per column and parse, are the non-null parsed times non-decreasing in input order?
+def monotonic(df: DataFrame, order: str, parses: Sequence[tuple[str, str, Column, dict[str, Column]]],
+              rows_per_range: int = L.ROWS_PER_SEGMENT) -> DataFrame:
+    """Per column and parse, are the non-null parsed times non-decreasing in input order (``order`` unique)?
 
     A column with no parsed value counts as monotonic (as an empty pandas series does)."""
-    variants = []
-    for v in ("t", "t_s", "t_ms"):
-        variants.append(long.where(F.col(v).isNotNull())
-                        .select("column", F.lit(v).alias("variant"), "o", F.col(v).alias("tv")))
-    allv = variants[0].unionByName(variants[1]).unionByName(variants[2])
-    idx = L.row_index(allv, ["column", "variant"], "o", ["tv"], count_col=None, max_rows=max_rows)
-    laid = L.with_blocks(idx, ["column", "variant"], 1, rows_per_block=rows_per_block, max_rows=max_rows)
-    prev = F.lag("tv").over(L.seq_window(laid, ["column", "variant"]))
-    laid = laid.withColumn("_ok", F.coalesce(F.col("tv") >= prev, F.lit(True)))
-    out = L.drop_halo(laid).groupBy("column").pivot("variant", ["t", "t_s", "t_ms"]).agg(F.bool_and("_ok"))
-    return out.select("column", F.col("t").alias("mono_t"), F.col("t_s").alias("mono_s"),
-                      F.col("t_ms").alias("mono_ms"))
+    from seriesguard.session import materialize
+
+    names = [(c, v) for c, _, _, times in parses for v in times]
+    cols = [t.alias(f"_v{i}") for i, t in enumerate(t for _, _, _, times in parses for t in times.values())]
+    slim = df.select(F.col(q(order)).alias("_o"), *cols)
+    n = max(1, -(-slim.count() // rows_per_range))
+    if n > 1:
+        slim = materialize(slim.repartitionByRange(n, "_o").withColumn("_part", F.spark_partition_id()), "ordered")
+    else:
+        slim = slim.withColumn("_part", F.lit(0))
+    before = Window.partitionBy("_part").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    own = range(len(names))
+    checked = slim.select("_part", "_o", *[F.col(f"_v{i}") for i in own],
+                          *[F.coalesce(F.col(f"_v{i}") >= F.last(f"_v{i}", ignorenulls=True).over(before), F.lit(True)).alias(f"_ok{i}")
+                            for i in own])
+    known = lambda i: F.when(F.col(f"_v{i}").isNotNull(), F.col("_o"))
+    ranges = checked.groupBy("_part").agg(*[x for i in own for x in (
+        F.bool_and(f"_ok{i}").alias(f"_ok{i}"), F.min_by(f"_v{i}", known(i)).alias(f"_first{i}"), F.max_by(f"_v{i}", known(i)).alias(f"_last{i}"))])
+    # one row for each range
+    ends = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    joined = ranges.select(*[(F.col(f"_ok{i}") & F.coalesce(F.col(f"_first{i}") >= F.last(f"_last{i}", ignorenulls=True).over(ends), F.lit(True)))
+                             .alias(f"_ok{i}") for i in own])
+    row = joined.agg(*[F.bool_and(f"_ok{i}").alias(f"_ok{i}") for i in own])
+    by_column = {}
+    for i, (c, v) in enumerate(names):
+        by_column.setdefault(c, {})[v] = F.coalesce(F.col(f"_ok{i}"), F.lit(True))
+    entries = [F.struct(F.lit(c).alias("column"), *[oks.get(v, F.lit(True)).alias(f"mono{v[1:] or '_t'}") for v in ("t", "t_s", "t_ms")])
+               for c, oks in by_column.items()]
+    return row.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
 
 
 def profile_columns(df: DataFrame, order: str, columns: Sequence[str] | None = None, now: str | None = None,
-                    rows_per_block: int = L.ROWS_PER_BLOCK) -> DataFrame:
+                    rows_per_range: int = L.ROWS_PER_SEGMENT) -> DataFrame:
     """One row per profiled column with every quantity C1-C10 need."""
     now_c = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    long = long_form(df, order, columns)
-    n = F.count(F.lit(1))
-    agg = long.groupBy("column", "kind").agg(
-        n.alias("n_rows"),
-        F.sum(F.col("raw_null").cast("long")).alias("n_null"),
-        F.min("x").alias("num_min"), F.max("x").alias("num_max"),
-        F.count("t").alias("n_parsed"), F.count("t_s").alias("n_parsed_s"), F.count("t_ms").alias("n_parsed_ms"),
-        F.sum(_in_range(F.col("t"), now_c).cast("long")).alias("n_in_range"),
-        F.sum(_in_range(F.col("t_s"), now_c).cast("long")).alias("n_in_range_s"),
-        F.sum(_in_range(F.col("t_ms"), now_c).cast("long")).alias("n_in_range_ms"),
-        F.min(F.year("t")).alias("min_year"), F.max(F.year("t")).alias("max_year"))
-    n_rows = df.count()  # one job; bounds every per-column group below
-    med = group_quantile(long.where(F.col("kind") == "numeric"), ["column"], "x", 0.5, out="median",
-                         max_group=n_rows)
-    mono = monotonic(long, rows_per_block, max_rows=n_rows)
-    tot = F.col("n_rows").cast("double")
-    return (agg.join(med, "column", "left").join(mono, "column", "left")
-            .withColumn("parse_ratio", F.col("n_parsed") / tot)
-            .withColumn("frac_in_range", F.coalesce(F.col("n_in_range"), F.lit(0)) / tot)
-            .withColumn("parse_ratio_s", F.col("n_parsed_s") / tot)
-            .withColumn("frac_in_range_s", F.coalesce(F.col("n_in_range_s"), F.lit(0)) / tot)
-            .withColumn("parse_ratio_ms", F.col("n_parsed_ms") / tot)
-            .withColumn("frac_in_range_ms", F.coalesce(F.col("n_in_range_ms"), F.lit(0)) / tot)
-            .fillna(True, ["mono_t", "mono_s", "mono_ms"]))
+    parses = _parses(df, order, columns)
+    null_time = F.lit(None).cast("timestamp")
+    aggs, entries = [F.count(F.lit(1)).alias("_n")], []
+    for i, (c, kind, x, times) in enumerate(parses):
+        numeric = kind == "numeric"
+        raw_null = x.isNull() if numeric else F.col(q(c)).isNull()
+        found = {"n_null": F.sum(raw_null.cast("long"))}
+        for v, t in times.items():
+            found[f"n_parsed{v[1:]}"] = F.count(t)
+            found[f"n_in_range{v[1:]}"] = F.sum(_in_range(t, now_c).cast("long"))
+        if numeric:
+            found |= {"num_min": F.min(x), "num_max": F.max(x)}
+            for name, limit in (("s", EPOCH_S_MEDIAN), ("ms", EPOCH_MS_MEDIAN)):
+                # an exact test of the median against the limit: how many values reach it, and the values beside it
+                found |= {f"reach_{name}": F.sum((x >= limit).cast("long")), f"under_{name}": F.max(F.when(x < limit, x)),
+                          f"over_{name}": F.min(F.when(x >= limit, x))}
+        else:
+            found |= {"min_year": F.min(F.year(times["t"])), "max_year": F.max(F.year(times["t"]))}
+        aggs += [agg.alias(f"_{name}_{i}") for name, agg in found.items()]
+        get = lambda name, other, i=i, found=found: F.col(f"_{name}_{i}") if name in found else other
+        zero, n_known = F.lit(0).cast("long"), F.col("_n") - F.coalesce(F.col(f"_n_null_{i}"), F.lit(0))
+        reaches = {}
+        for name, limit in (("s", EPOCH_S_MEDIAN), ("ms", EPOCH_MS_MEDIAN)):
+            if numeric:
+                half = (F.col(f"_under_{name}_{i}") + F.col(f"_over_{name}_{i}")) / 2 >= limit
+                reach = 2 * F.col(f"_reach_{name}_{i}")
+                reaches[name] = F.coalesce((reach > n_known) | ((reach == n_known) & half), F.lit(False))
+            else:
+                reaches[name] = F.lit(False)
+        # the year span of a number read without a unit (nanoseconds) is 1970
+        year = F.when(n_known > 0, F.lit(1970)) if numeric else None
+        parsed = n_known if numeric else get("n_parsed", zero)
+        entries.append(F.struct(
+            F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col("_n").alias("n_rows"), get("n_null", zero).alias("n_null"),
+            n_known.alias("n_known"), get("num_min", F.lit(None).cast("double")).alias("num_min"),
+            get("num_max", F.lit(None).cast("double")).alias("num_max"), parsed.alias("n_parsed"),
+            get("n_parsed_s", zero).alias("n_parsed_s"), get("n_parsed_ms", zero).alias("n_parsed_ms"),
+            (parsed if numeric else F.coalesce(get("n_in_range", zero), zero)).alias("n_in_range"),
+            F.coalesce(get("n_in_range_s", zero), zero).alias("n_in_range_s"), F.coalesce(get("n_in_range_ms", zero), zero).alias("n_in_range_ms"),
+            (year if numeric else get("min_year", None)).cast("int").alias("min_year"),
+            (year if numeric else get("max_year", None)).cast("int").alias("max_year"),
+            reaches["s"].alias("median_is_s"), reaches["ms"].alias("median_is_ms")))
+    agg = df.agg(*aggs).select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").where(F.col("n_rows") > 0)
+    mono = monotonic(df, order, parses, rows_per_range)
+    tot, known = F.col("n_rows").cast("double"), F.nullif(F.col("n_known").cast("double"), F.lit(0.0))
+    share = lambda a, b: F.coalesce(F.col(a) / b, F.lit(0.0))
+    return (agg.join(mono, "column")
+            .withColumn("parse_ratio", share("n_parsed", tot)).withColumn("frac_in_range", share("n_in_range", tot))
+            .withColumn("parse_ratio_s", share("n_parsed_s", known)).withColumn("frac_in_range_s", share("n_in_range_s", tot))
+            .withColumn("parse_ratio_ms", share("n_parsed_ms", known)).withColumn("frac_in_range_ms", share("n_in_range_ms", tot)))
 
 
 def plausible(prof: DataFrame) -> DataFrame:
@@ -149,11 +191,9 @@ def detect_scores(prof: DataFrame, threshold: float = PARSE_THRESHOLD) -> DataFr
     mono = lambda c: F.when(F.col(c), F.lit(0.1)).otherwise(F.lit(0.0))
     s_score = F.col("parse_ratio_s") + F.lit(0.2) * F.col("frac_in_range_s") + mono("mono_s")
     ms_score = F.col("parse_ratio_ms") + F.lit(0.2) * F.col("frac_in_range_ms") + mono("mono_ms")
-    epoch = F.greatest(F.lit(0.0), F.when(F.col("median") >= EPOCH_S_MEDIAN, s_score),
-                       F.when(F.col("median") >= EPOCH_MS_MEDIAN, ms_score))
-    unit = (F.when((F.col("median") >= EPOCH_MS_MEDIAN) & (ms_score > F.coalesce(
-        F.when(F.col("median") >= EPOCH_S_MEDIAN, s_score), F.lit(0.0))), F.lit("ms"))
-        .when(F.col("median") >= EPOCH_S_MEDIAN, F.lit("s")))
+    as_s, as_ms = F.when(F.col("median_is_s"), s_score), F.when(F.col("median_is_ms"), ms_score)
+    epoch = F.greatest(F.lit(0.0), as_s, as_ms)
+    unit = F.when(F.col("median_is_ms") & (as_ms > F.coalesce(as_s, F.lit(0.0))), F.lit("ms")).when(F.col("median_is_s"), F.lit("s"))
     score = (F.when(F.col("kind") == "datetime",
                     F.col("frac_in_range") + F.when(F.col("mono_t"), F.lit(0.2)).otherwise(F.lit(0.0)))
              .when(F.col("kind") == "string",
@@ -167,16 +207,16 @@ def detect_time_column(prof: DataFrame, column_order: Sequence[str], candidates:
                        threshold: float = PARSE_THRESHOLD) -> DataFrame:
     """Named candidates first, then the best datetime column (no threshold), then the best
     string column, then the best epoch number (both need ``score >= threshold``); ties go to the
-    column that comes first. One row: ``column, stage, unit``."""
+    column that comes first. One row: ``column, stage, unit``, all null when no column is found."""
     pos = F.array_position(F.array(*[F.lit(c) for c in column_order]), F.col("column"))
     sc = detect_scores(prof, threshold).join(prof.select("column", "parse_ratio", "parse_ratio_s",
-                                                          "parse_ratio_ms", "median"), "column")
+                                                          "parse_ratio_ms", "median_is_s", "median_is_ms"), "column")
     cand_pos = F.array_position(F.array(*[F.lit(c) for c in candidates]), F.col("column")) if candidates \
         else F.lit(0)
     cand_ok = (F.when(F.col("kind") == "datetime", F.lit(True))
                .when(F.col("kind") == "string", F.col("parse_ratio") >= threshold)
-               .otherwise(((F.col("median") >= EPOCH_S_MEDIAN) & (F.col("parse_ratio_s") >= threshold))
-                          | ((F.col("median") >= EPOCH_MS_MEDIAN) & (F.col("parse_ratio_ms") >= threshold))))
+               .otherwise((F.col("median_is_s") & (F.col("parse_ratio_s") >= threshold))
+                          | (F.col("median_is_ms") & (F.col("parse_ratio_ms") >= threshold))))
     stage = (F.when((cand_pos > 0) & cand_ok, F.lit(0))
              .when(F.col("kind") == "datetime", F.lit(1))
              .when((F.col("kind") == "string") & (F.col("score") >= threshold), F.lit(2))
@@ -186,9 +226,9 @@ def detect_time_column(prof: DataFrame, column_order: Sequence[str], candidates:
         F.struct("column", "_stage", "unit"),
         F.struct("_stage", F.when(F.col("_stage") == 0, F.col("_cpos")).otherwise(F.lit(0)),
                  -F.col("score"), "_pos")).alias("_b"))
+    stages = F.array(F.lit("candidate"), F.lit("datetime"), F.lit("string"), F.lit("epoch"))
     return best.select(F.col("_b.column").alias("column"),
-                       F.element_at(F.array(F.lit("candidate"), F.lit("datetime"), F.lit("string"), F.lit("epoch")),
-                                    F.col("_b._stage") + 1).alias("stage"),
+                       F.when(F.col("_b").isNotNull(), F.get(stages, F.col("_b._stage"))).alias("stage"),
                        F.when(F.col("_b._stage") == 3, F.col("_b.unit")).alias("unit"))
 
 

@@ -83,14 +83,5 @@ def window_summary(win: DataFrame, keys: Sequence[str], col: str = "win") -> Dat
                       F.size(flat).alias("n_elems"))
 
 
-def frame_sum(col: Column, df: DataFrame, keys: Sequence[str], W: int) -> Column:
-    """Sum of a row quantity over the ``W`` rows of the window ending at the current row."""
-    return F.sum(col).over(L.seq_window(df, keys).rowsBetween(-(W - 1), 0))
-
-
-def frame_count(col: Column, df: DataFrame, keys: Sequence[str], W: int) -> Column:
-    return F.count(col).over(L.seq_window(df, keys).rowsBetween(-(W - 1), 0))
-
-
 __all__ = ["ensure_split", "sliding_windows", "short_series", "window_shape", "window_summary",
-           "window_count", "window_end", "frame_sum", "frame_count"]
+           "window_count", "window_end"]

@@ -3,10 +3,11 @@
 A series may hold a third of all rows, so ``Window.partitionBy(series_key)`` would put it on one task.
 Instead:
 
-1. ``row_index`` numbers rows inside each series. It cuts every series into time segments of about
-   ``rows_per_segment`` rows (width from one per-series aggregate), runs ``row_number`` per
-   ``(series, segment)`` and adds an offset from a small per-segment count table. Segments are a pure
-   function of the data, so a lost executor recomputes the same numbers.
+1. ``row_index`` numbers rows inside each series. It range-partitions all rows by ``(series, time, tie-break)`` into
+   segments of about ``rows_per_segment`` rows, runs ``row_number`` per ``(series, segment)`` and adds an offset from a
+   small per-segment count table. Bounds come from sampled rows, so outliers, bursts and equal times (split by the
+   tie-break) don't fill a segment. The segmented rows are written once: counts and numbers see the same bounds, and a
+   lost executor reads them again.
 2. ``with_blocks`` cuts the numbered rows into blocks of ``rows_per_block`` rows and copies the last
    ``lookback`` rows of each block into the next one (``_halo``). Any window function that looks back at
    most ``lookback`` rows then runs with ``partitionBy(series, _blk)`` and gives the same answer as over the
@@ -22,8 +23,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesguard.functions.columns import micros
-
 ROWS_PER_SEGMENT = 1 << 20
 ROWS_PER_BLOCK = 1 << 20
 BLK = "_blk"
@@ -55,27 +54,23 @@ def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[st
         if count_col:
             res = res.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
         return res
-    dtype = dict(df.dtypes)[ts]
-    pos = micros(F.col(ts)) if dtype.startswith("timestamp") or dtype == "date" else F.col(ts).cast("double")
-    us = F.coalesce(pos, F.lit(-(1 << 62)))
-    base = df.withColumn("_us", us)
-    stats = (base.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-             .withColumn("_nseg", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_segment))))
-             .withColumn("_width", (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-                         / F.col("_nseg").cast("double")))
-    seg = F.least(F.col("_nseg") - 1,
-                  F.floor((F.col("_us") - F.col("_lo")).cast("double") / F.col("_width"))).cast("long")
-    with_seg = base.join(stats, keys).withColumn("_seg", seg)
-    counts = with_seg.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
+    from seriesguard.session import materialize
+
+    total = df.count()
+    n_seg = max(1, -(-total * 4 // (3 * rows_per_segment)))  # room for uneven samples below the target
+    ranged = df.repartitionByRange(n_seg, *[F.col(k).asc_nulls_first() for k in keys], *order)
+    ranged = materialize(ranged.withColumn("_seg", F.spark_partition_id()), "segments")
+    counts = ranged.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
+    series = Window.partitionBy(*keys)
+    before = series.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_seg", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_cnt").over(series).alias("_n"))
     w = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    res = (with_seg.join(offsets, keys + ["_seg"])
+    res = (ranged.join(offsets, keys + ["_seg"])
            .withColumn(out, F.col("_off") + F.row_number().over(w) - F.lit(1)))
     if count_col:
         res = res.withColumn(count_col, F.col("_n"))
-    return res.drop("_us", "_n", "_lo", "_hi", "_nseg", "_width", "_seg", "_off")
+    return res.drop("_seg", "_off", "_n")
 
 
 def max_series_rows(df: DataFrame, keys: Sequence[str], rn: str | None = None) -> int:

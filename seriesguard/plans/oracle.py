@@ -62,11 +62,19 @@ P3B = """p3b AS (SELECT CAST(user_id AS VARCHAR) AS series_key, event_id, ts, va
 
 P4 = """p4 AS (
   SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS ts_iso,
-         epoch(ts) AS ts_epoch_s, epoch_ms(ts) AS ts_epoch_ms, year(ts) AS year,
+         CASE WHEN event_id % 2 = 1 THEN epoch(ts) END AS ts_epoch_s, CASE WHEN event_id % 5 <> 0 THEN epoch_ms(ts) END AS ts_epoch_ms,
+         year(ts) AS year,
          CASE WHEN event_id % 2 = 0 THEN 'n/a' ELSE event_type END AS junk, ts AS ts_native, value
   FROM events)"""
 
 
+def given_step_ctes(src: str, name: str, step_us: int) -> list[str]:
+    """Irregularity against a given grid step."""
+    return [f"""{name}_irreg AS (SELECT *, CAST(floor((max_us - min_us) / freq_us) AS BIGINT) + 1 <> n_rows AS is_irregular FROM (
+                 SELECT series_key, count(*) AS n_rows, min(epoch_us(ts)) AS min_us, max(epoch_us(ts)) AS max_us, {step_us} AS freq_us
+                 FROM {src} GROUP BY 1))"""]
+
+
 def freq_ctes(src: str, name: str) -> list[str]:
     """Deltas, modal delta (ties: first seen), inferred kind and grid step, irregularity."""
     return [
@@ -100,11 +108,11 @@ def freq_ctes(src: str, name: str) -> list[str]:
     ]
 
 
-def resample_ctes(src: str, name: str, cols: list[str]) -> list[str]:
+def resample_ctes(src: str, name: str, cols: list[str], step_us: int | None = None) -> list[str]:
     """Grid anchored at midnight of the first day, as-of last row at or before each point;
     points before the first row dropped; regular series unchanged."""
     collist = ", ".join(f"s.{c}" for c in cols)
-    return freq_ctes(src, name) + [
+    return (given_step_ctes(src, name, step_us) if step_us else freq_ctes(src, name)) + [
         f"""{name}_g0 AS (SELECT series_key, min_us, freq_us,
                  epoch_us(date_trunc('day', make_timestamp(min_us))) AS anchor, max_us
                FROM {name}_irreg WHERE is_irregular AND freq_us IS NOT NULL)""",
@@ -245,6 +253,15 @@ ORACLE["row_index"] = with_(P3B) + """
 SELECT series_key, event_id, row_number() OVER (PARTITION BY series_key ORDER BY ts, event_id) - 1 AS rn,
        count(*) OVER (PARTITION BY series_key) AS n_rows FROM p3b"""
 
+ORACLE["row_index_uneven"] = """
+WITH e AS (
+  SELECT CAST(event_id % 3 AS VARCHAR) AS series_key, event_id,
+         CASE WHEN event_id < 3 THEN TIMESTAMP '1970-01-01 00:00:00' WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
+              WHEN event_id % 8 = 1 THEN NULL ELSE make_timestamp(1706745600000000 + (epoch_us(ts) // 1000000) % 1000) END AS ts
+  FROM events)
+SELECT series_key, event_id, row_number() OVER (PARTITION BY series_key ORDER BY ts NULLS FIRST, event_id) - 1 AS rn,
+       count(*) OVER (PARTITION BY series_key) AS n_rows FROM e"""
+
 ORACLE["dedup_first"] = with_(P2, P2_CLEAN) + """
 SELECT series_key, ts, event_id, round(v, 6) AS v, tie FROM p2c"""
 
@@ -298,6 +315,9 @@ ANTI JOIN p1 USING (series_key, ts)"""
 ORACLE["resample_ffill"] = with_(*P1_PREP) + "SELECT series_key, ts, " + ", ".join(
     f"round({c}, 6) AS {c}" for c in P1_FEATURES) + " FROM prep"
 
+ORACLE["resample_given_step"] = with_(P1, *resample_ctes("p1", "prep", P1_FEATURES, 1_800_000_000)) + "SELECT series_key, ts, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in P1_FEATURES) + " FROM prep"
+
 ORACLE["chrono_split"] = with_(*P1_SPLIT) + "SELECT series_key, ts, rn, split, rn_split FROM sp"
 
 ORACLE["split_bounds"] = with_(*P1_SPLIT) + """
@@ -632,9 +652,9 @@ PROFILE = [P4, "plong AS (" + " UNION ALL ".join(_col_rows(n, k) for n, k in P4_
            "pmono AS (" + " UNION ALL ".join(_mono(v) for v in ("t", "t_s", "t_ms")) + ")",
            """prof AS (SELECT a.*, CAST(n_parsed AS DOUBLE) / n_rows AS parse_ratio,
                  CAST(COALESCE(n_in_range, 0) AS DOUBLE) / n_rows AS frac_in_range,
-                 CAST(n_parsed_s AS DOUBLE) / n_rows AS parse_ratio_s,
+                 COALESCE(CAST(n_parsed_s AS DOUBLE) / nullif(n_rows - n_null, 0), 0.0) AS parse_ratio_s,
                  CAST(COALESCE(n_in_range_s, 0) AS DOUBLE) / n_rows AS frac_in_range_s,
-                 CAST(n_parsed_ms AS DOUBLE) / n_rows AS parse_ratio_ms,
+                 COALESCE(CAST(n_parsed_ms AS DOUBLE) / nullif(n_rows - n_null, 0), 0.0) AS parse_ratio_ms,
                  CAST(COALESCE(n_in_range_ms, 0) AS DOUBLE) / n_rows AS frac_in_range_ms,
                  COALESCE((SELECT mono FROM pmono m WHERE m.col = a.col AND m.variant = 't'), true) AS mono_t,
                  COALESCE((SELECT mono FROM pmono m WHERE m.col = a.col AND m.variant = 't_s'), true) AS mono_s,

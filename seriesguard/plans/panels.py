@@ -65,14 +65,14 @@ def user_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The time in several encodings, for profiling and detection."""
+    """The time in several encodings, for profiling and detection; half of the epoch seconds are null."""
     ev = events(spark, sf_dir)
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     return ev.select(
         "event_id",
         F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(iso).alias("ts_iso"),
-        F.unix_seconds("ts").alias("ts_epoch_s"),
-        F.unix_millis("ts").alias("ts_epoch_ms"),
+        F.when(F.col("event_id") % 2 == 1, F.unix_seconds("ts")).alias("ts_epoch_s"),
+        F.when(F.col("event_id") % 5 != 0, F.unix_millis("ts")).alias("ts_epoch_ms"),
         F.year("ts").alias("year"),
         F.when(F.col("event_id") % 2 == 0, F.lit("n/a")).otherwise(F.col("event_type")).alias("junk"),
         F.col("ts").cast("timestamp").alias("ts_native"),

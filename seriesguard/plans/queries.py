@@ -95,7 +95,20 @@ def sort_series(spark, sf_dir):
 @query
 def row_index(spark, sf_dir):
     p3b = panels.user_series(spark, sf_dir)
-    out = layout.row_index(p3b, KEYS, "ts", ["event_id"], rows_per_segment=16)
+    out = layout.row_index(p3b, KEYS, "ts", ["event_id"], rows_per_segment=400, max_rows=401)
+    return _final(out.select("series_key", "event_id", "rn", "n_rows"))
+
+
+@query
+def row_index_uneven(spark, sf_dir):
+    """Outliers, a burst, null times and half of the rows at one time, through the segments."""
+    ev = panels.events(spark, sf_dir)
+    i = F.col("event_id")
+    burst = F.timestamp_micros(F.lit(1_706_745_600_000_000) + F.unix_seconds("ts") % 1000)
+    ts = (F.when(i < 3, F.lit("1970-01-01 00:00:00").cast("timestamp")).when(i % 2 == 0, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+          .when(i % 8 != 1, burst))
+    rows = ev.select((i % 3).cast("string").alias("series_key"), "event_id", ts.alias("ts"))
+    out = layout.row_index(rows, KEYS, "ts", ["event_id"], rows_per_segment=200)
     return _final(out.select("series_key", "event_id", "rn", "n_rows"))
 
 
@@ -159,6 +172,13 @@ def resample_ffill(spark, sf_dir):
     return _final(p1_prepared(spark, sf_dir).select("series_key", "ts", *P1_FEATURES))
 
 
+@query
+def resample_given_step(spark, sf_dir):
+    """The hourly panel on a given grid of 30 minutes."""
+    p1 = panels.hourly_panel(spark, sf_dir)
+    return _final(grid.resample_ffill(p1, KEYS, P1_FEATURES, freq_us=1_800_000_000).select("series_key", "ts", *P1_FEATURES))
+
+
 # ---------------------------------------------------------------- E: split
 
 @query
