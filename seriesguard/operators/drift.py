@@ -2,7 +2,11 @@
 
 The metric table is long: ``(metric, feature, model_version, env, ts, value)``; ``feature`` is the
 feature name or ``''`` for unlabelled gauges (feature names as labels, defect X7 fixed). A series is one
-``model_version``. Rules are a tiny constant table broadcast to the evaluation.
+``model_version``, all of its keys joined by ``/``. Rules are a tiny constant table broadcast to the evaluation.
+
+A gauge keeps its value until the next sample, so rules are evaluated on the intervals between samples: conditions,
+hold times and messages at ticks of 30 s cost one row per sample, not per tick. ``metric_asof`` gives the ticks
+themselves.
 """
 
 from __future__ import annotations
@@ -13,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesguard.functions.columns import micros
-from seriesguard.functions.quantiles import group_quantiles
+from seriesguard.functions.quantiles import SMALL_GROUP, group_quantiles
 from seriesguard.operators import stats
+from seriesguard.operators.grid import explode_range
 
 LABELS = ["metric", "feature", "model_version", "env"]
 BLOCK_US = 6 * 3600 * 1_000_000
-TICK_US = 30 * 60 * 1_000_000
-LOOKBACK_US = 24 * 3600 * 1_000_000
+# Fixed value of the reference alert rules: evaluation interval of 30 s.
+TICK_US = 30 * 1_000_000
 
 # Fixed values of the reference alert rules: name, metric, comparison, constant, hold, severity, summary.
 # The mean-shift rule is applied to every feature (defect X7); ``{feature}`` and ``{model_version}``
@@ -41,34 +46,44 @@ def rules_table(spark: SparkSession) -> DataFrame:
         RULES, "alert string, base string, kind string, c double, hold_s int, severity string, summary string")
 
 
-def _long_features(df: DataFrame, keys: Sequence[str], metric_mean: str, metric_std: str, ts) -> DataFrame:
-    a = df.select(F.lit(metric_mean).alias("metric"), "feature", F.col(keys[0]).alias("model_version"),
-                  ts.alias("ts"), F.col("mean").alias("value"))
-    b = df.select(F.lit(metric_std).alias("metric"), "feature", F.col(keys[0]).alias("model_version"),
-                  ts.alias("ts"), F.col("std").alias("value"))
-    return a.unionByName(b)
+def _version(keys: Sequence[str]):
+    """All keys of a series as one label."""
+    return F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]).alias("model_version")
+
+
+def _samples(df: DataFrame, keys: Sequence[str], ts: str, suffix: str, scalars: Sequence[tuple[str, str]], features: bool) -> DataFrame:
+    """Wide statistics as samples: one row per gauge, and per feature for ``features``."""
+    entry = lambda m, f, v: F.struct(F.lit(m + suffix).alias("metric"), f.alias("feature"), v.cast("double").alias("value"))
+    entries = F.array(*[entry(m, F.lit(""), F.col(c)) for m, c in scalars])
+    if features:
+        entries = F.concat(entries, F.transform("features", lambda e: entry("feature_mean", e["feature"], e["mean"])),
+                           F.transform("features", lambda e: entry("feature_std", e["feature"], e["std"])))
+    return (df.select(_version(keys), F.col(ts).alias("ts"), F.explode(entries).alias("_e"))
+            .select("_e.metric", "_e.feature", "model_version", "ts", "_e.value"))
+
 
+GLOBALS = [("feature_global_mean", "global_mean"), ("feature_global_std", "global_std")]
+ERRORS = [("error_median", "median"), ("error_p95", "p95"), ("anomaly_rate", "anomaly_rate")]
 
-def _scalars(df: DataFrame, keys: Sequence[str], pairs: Sequence[tuple[str, str]], ts) -> DataFrame:
-    entries = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for m, c in pairs])
-    return (df.select(F.col(keys[0]).alias("model_version"), ts.alias("ts"), F.explode(entries).alias("_e"))
-            .select("_e.metric", F.lit("").alias("feature"), "model_version", "ts", "_e.value"))
+
+def _error_stats(win: DataFrame, by: Sequence[str], n_max: int | None) -> DataFrame:
+    """Median, p95 and anomaly rate of scored windows; one aggregate when the groups are known to be small."""
+    if n_max is not None and n_max <= SMALL_GROUP:
+        return win.groupBy(*by).agg(F.percentile("score", 0.5).alias("median"), F.percentile("score", 0.95).alias("p95"),
+                                    F.avg("flag").alias("anomaly_rate")).where(F.col("median").isNotNull())
+    es = group_quantiles(win, by, "score", {"median": 0.5, "p95": 0.95}, max_group=n_max)
+    return es.join(win.groupBy(*by).agg(F.avg("flag").alias("anomaly_rate")), list(by))
 
 
 def reference_samples(fitted, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1) -> DataFrame:
     """Reference gauges of every series, stamped at the end of its validation split."""
     keys = list(keys)
-    ref_ts = (fitted.split.where(F.col("split") == "val").groupBy(*keys).agg(F.max("ts").alias("_ref_ts")))
-    fs = stats.feature_stats_ref(fitted.scaled, keys, cols, W, step).join(ref_ts, keys)
-    gs = stats.global_stats_ref(fitted.scaled, keys, cols, W, step).join(ref_ts, keys)
-    es = stats.error_stats(fitted.scores, keys, max_group=fitted.n_max).join(ref_ts, keys)
-    rate = stats.anomaly_rate(fitted.flagged.where(F.col("split") == "val"), keys).join(ref_ts, keys)
-    t = F.col("_ref_ts")
-    return (_long_features(fs, keys, "feature_mean_ref", "feature_std_ref", t)
-            .unionByName(_scalars(gs, keys, [("feature_global_mean_ref", "global_mean"),
-                                             ("feature_global_std_ref", "global_std")], t))
-            .unionByName(_scalars(es, keys, [("error_median_ref", "median"), ("error_p95_ref", "p95")], t))
-            .unionByName(_scalars(rate, keys, [("anomaly_rate_ref", "anomaly_rate")], t)))
+    ref_ts = fitted.scaled.where(F.col("split") == "val").groupBy(*keys).agg(F.max("ts").alias("_ref_ts"))
+    ref = stats.reference_stats(fitted.scaled, keys, cols, W, step)
+    es = _error_stats(fitted.flagged.where(F.col("split") == "val"), keys, fitted.n_max)
+    both = ref_ts.join(ref, keys, "left").join(es, keys, "left")
+    out = _samples(both.where("features is not null"), keys, "_ref_ts", "_ref", GLOBALS, True)
+    return out.unionByName(_samples(both.where("median is not null"), keys, "_ref_ts", "_ref", ERRORS, False))
 
 
 def block_end(ts, block_us: int = BLOCK_US):
@@ -81,17 +96,9 @@ def live_samples(fitted, keys: Sequence[str], cols: Sequence[str], split: str =
     keys = list(keys)
     rows = fitted.scaled.where(F.col("split") == split).withColumn("_blk_ts", block_end(F.col("ts"), block_us))
     win = fitted.flagged.where(F.col("split") == split).withColumn("_blk_ts", block_end(F.col("ts"), block_us))
-    fs = stats.feature_stats_live(rows, keys, cols, None, by=["_blk_ts"])
-    gs = stats.global_stats_live(rows, keys, cols, None, by=["_blk_ts"])
-    by = keys + ["_blk_ts"]
-    es = group_quantiles(win, by, "score", {"median": 0.5, "p95": 0.95}, max_group=fitted.n_max)
-    rate = win.groupBy(*by).agg(F.avg("flag").alias("anomaly_rate"))
-    t = F.col("_blk_ts")
-    return (_long_features(fs, keys, "feature_mean_live", "feature_std_live", t)
-            .unionByName(_scalars(gs, keys, [("feature_global_mean_live", "global_mean"),
-                                             ("feature_global_std_live", "global_std")], t))
-            .unionByName(_scalars(es, keys, [("error_median_live", "median"), ("error_p95_live", "p95")], t))
-            .unionByName(_scalars(rate, keys, [("anomaly_rate_live", "anomaly_rate")], t)))
+    live = stats.live_stats(rows, keys, cols, None, by=["_blk_ts"])
+    es = _error_stats(win, [*keys, "_blk_ts"], fitted.n_max)
+    return _samples(live, keys, "_blk_ts", "_live", GLOBALS, True).unionByName(_samples(es, keys, "_blk_ts", "_live", ERRORS, False))
 
 
 def metric_samples(fitted, keys: Sequence[str], cols: Sequence[str], env: str = "prod", **kw) -> DataFrame:
@@ -105,51 +112,66 @@ def metric_latest(samples: DataFrame) -> DataFrame:
     return samples.groupBy(*LABELS).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
 
 
-def metric_asof(samples: DataFrame, tick_us: int = TICK_US, lookback_us: int = LOOKBACK_US,
-                suffix: str = "_live") -> DataFrame:
-    """K3: value of every live gauge at evaluation ticks (last sample at or before the tick, if it is
-    not older than ``lookback_us``). Ticks cover each model version's live range."""
+def live_intervals(samples: DataFrame, tick_us: int = TICK_US, lookback_us: int | None = None,
+                   suffix: str = "_live") -> DataFrame:
+    """Every live sample with the evaluation ticks at which it is the gauge's value: from the first tick at or after it up to
+    the last one before the next sample (or at the model version's last sample). ``_lo``, ``_hi`` in microseconds;
+    samples without a tick are left out. A gauge keeps its value for good unless ``lookback_us`` is given."""
     live = samples.where(F.col("metric").endswith(suffix))
-    rng = (live.groupBy("model_version").agg(F.min(micros(F.col("ts"))).alias("_lo"),
-                                             F.max(micros(F.col("ts"))).alias("_hi")))
-    first_tick = F.ceil(F.col("_lo") / F.lit(tick_us)) * F.lit(tick_us)
-    ticks = rng.select("model_version", F.explode(F.sequence(first_tick, F.col("_hi"), F.lit(tick_us))).alias("_t"))
-    label_sets = live.select(*LABELS).distinct()
-    tick_rows = (label_sets.join(ticks, "model_version")
-                 .select(*LABELS, F.timestamp_micros("_t").alias("ts"), F.lit(None).cast("double").alias("value"),
-                         F.lit(1).alias("_is_tick")))
-    both = live.select(*LABELS, "ts", "value", F.lit(0).alias("_is_tick")).unionByName(tick_rows)
-    w = (Window.partitionBy(*LABELS).orderBy("ts", "_is_tick")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sample_ts = F.when(F.col("_is_tick") == 0, F.col("ts"))
-    asof = (both.withColumn("_v", F.last("value", ignorenulls=True).over(w))
-            .withColumn("_vts", F.last(sample_ts, ignorenulls=True).over(w))
-            .where(F.col("_is_tick") == 1))
-    fresh = (micros(F.col("ts")) - micros(F.col("_vts"))) <= F.lit(lookback_us)
-    return asof.where(F.col("_vts").isNotNull() & fresh).select(*LABELS, "ts", F.col("_v").alias("value"))
+    # the last write of a label set and time wins
+    live = live.groupBy(*LABELS, "ts").agg(F.max("value").alias("value"))
+    us = micros(F.col("ts"))
+    end = live.groupBy("model_version").agg(F.max(us).alias("_end"))
+    following = F.lead(us).over(Window.partitionBy(*LABELS).orderBy("ts"))
+    rows = live.withColumn("_us", us).withColumn("_next", following).join(end, "model_version")
+    last = F.coalesce(F.col("_next") - 1, F.col("_end"))
+    if lookback_us is not None:
+        last = F.least(last, F.col("_us") + F.lit(lookback_us))
+    tick = F.lit(tick_us)
+    rows = rows.select(*LABELS, "value", (F.ceil(F.col("_us") / tick) * tick).cast("long").alias("_lo"),
+                       (F.floor(last / tick) * tick).cast("long").alias("_hi"))
+    return rows.where(F.col("_lo") <= F.col("_hi"))
+
+
+def metric_asof(samples: DataFrame, tick_us: int = TICK_US, lookback_us: int | None = None,
+                suffix: str = "_live") -> DataFrame:
+    """K3: value of every live gauge at evaluation ticks (the last sample at or before the tick)."""
+    rows = live_intervals(samples, tick_us, lookback_us, suffix).withColumn("_step", F.lit(tick_us).cast("long"))
+    ticks = explode_range(rows, "_lo", "_hi", "_step", "_t", spread=False)
+    return ticks.select(*LABELS, F.timestamp_micros("_t").alias("ts"), "value")
+
+
+def _reference(samples: DataFrame) -> DataFrame:
+    return (metric_latest(samples.where(F.col("metric").endswith("_ref")))
+            .select(F.regexp_replace("metric", "_ref$", "").alias("base"), "feature", "model_version", "env",
+                    F.col("value").alias("ref")))
+
+
+def _paired(live: DataFrame, samples: DataFrame) -> DataFrame:
+    live = live.withColumn("base", F.regexp_replace("metric", "_live$", "")).withColumnRenamed("value", "live")
+    return live.drop("metric").join(_reference(samples), ["base", "feature", "model_version", "env"])
 
 
 def drift_pairs(samples: DataFrame, **kw) -> DataFrame:
     """K4: live value at each tick next to the latest reference value with equal labels."""
-    live = metric_asof(samples, **kw).withColumn("base", F.regexp_replace("metric", "_live$", ""))
-    ref = (metric_latest(samples.where(F.col("metric").endswith("_ref")))
-           .select(F.regexp_replace("metric", "_ref$", "").alias("base"), "feature", "model_version", "env",
-                   F.col("value").alias("ref")))
-    return (live.join(ref, ["base", "feature", "model_version", "env"])
-            .select("base", "feature", "model_version", "env", "ts", F.col("value").alias("live"), "ref"))
+    return _paired(metric_asof(samples, **kw), samples).select("base", "feature", "model_version", "env", "ts", "live", "ref")
+
+
+def drift_intervals(samples: DataFrame, **kw) -> DataFrame:
+    """K4 on intervals: ``_lo`` and ``_hi`` are the first and last tick of a pair."""
+    return _paired(live_intervals(samples, **kw), samples)
 
 
-def evaluate_rules(pairs: DataFrame, rules: DataFrame, mode: str = "guarded") -> DataFrame:
-    """K5-K7: rule conditions at every tick.
+def evaluate_rules(pairs: DataFrame, rules: DataFrame, samples: DataFrame, mode: str = "guarded") -> DataFrame:
+    """K5-K7: rule conditions for every pair (of ``drift_pairs`` or ``drift_intervals``).
 
     ``ratio``: ``live / ref > c`` when ``ref > 0``; when ``ref <= 0`` (z-scored errors, defect X8) the
     guarded mode fires on ``live - ref > (c - 1) * (p95_ref - median_ref)``; ``mode='ratio'`` keeps the
     plain ratio. ``scaled``: ``live > c * ref``. ``shift``: ``|live - ref| > c``.
     """
-    spread = (pairs.where(F.col("base").isin("error_median", "error_p95")).groupBy("model_version", "env")
-              .agg((F.max(F.when(F.col("base") == "error_p95", F.col("ref")))
-                    - F.max(F.when(F.col("base") == "error_median", F.col("ref")))).alias("_spread"))
-              .distinct())
+    at = [c for c in ("ts", "_lo", "_hi") if c in pairs.columns]
+    of = lambda m: F.max(F.when(F.col("base") == m, F.col("ref")))
+    spread = _reference(samples).groupBy("model_version", "env").agg((of("error_p95") - of("error_median")).alias("_spread"))
     j = pairs.join(F.broadcast(rules), pairs["base"] == rules["base"]).drop(rules["base"])
     j = j.join(spread, ["model_version", "env"], "left")
     ratio = F.try_divide(F.col("live"), F.col("ref")) > F.col("c")
@@ -158,30 +180,36 @@ def evaluate_rules(pairs: DataFrame, rules: DataFrame, mode: str = "guarded") ->
     cond = (F.when(F.col("kind") == "ratio", ratio if mode == "ratio" else guarded)
             .when(F.col("kind") == "scaled", F.col("live") > F.col("c") * F.col("ref"))
             .otherwise(F.abs(F.col("live") - F.col("ref")) > F.col("c")))
-    return j.select("alert", "feature", "model_version", "env", "ts", "live", "ref",
+    return j.select("alert", "feature", "model_version", "env", *at, "live", "ref",
                     F.coalesce(cond, F.lit(False)).alias("active"), "hold_s", "severity", "summary")
 
 
-def alert_states(conds: DataFrame) -> DataFrame:
-    """K8: gaps and islands over ticks; an island is pending until it has held for ``hold_s``, then firing."""
+def alert_states(conds: DataFrame, tick_us: int = TICK_US) -> DataFrame:
+    """K8: gaps and islands over intervals. An island of active intervals is pending until it has held for ``hold_s``,
+    then firing. One row per label set and run of equal states: ``state``, ``from_ts`` and ``to_ts`` (its first and last
+    tick), ``n_ticks`` and ``active_since``."""
     key = ["alert", "feature", "model_version", "env"]
-    w = Window.partitionBy(*key).orderBy("ts")
-    isl = conds.withColumn("_brk", F.when(
-        F.col("active") & ~F.coalesce(F.lag("active").over(w), F.lit(False)), 1).otherwise(0))
-    isl = isl.withColumn("_island", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    since = F.min(F.col("ts")).over(Window.partitionBy(*key, "_island", "active"))
-    out = isl.withColumn("active_since", F.when(F.col("active"), since))
-    age = micros(F.col("ts")) - micros(F.col("active_since"))
-    state = (F.when(~F.col("active"), F.lit("inactive"))
-             .when(age >= F.col("hold_s").cast("long") * F.lit(1_000_000), F.lit("firing")).otherwise(F.lit("pending")))
-    return out.withColumn("state", state).drop("_brk", "_island")
+    w = Window.partitionBy(*key).orderBy("_lo")
+    turn = (F.col("active") != F.coalesce(F.lag("active").over(w), ~F.col("active"))).cast("int")
+    runs = (conds.withColumn("_turn", turn).withColumn("_run", F.sum("_turn").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy(*key, "severity", "summary", "hold_s", "_run", "active").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")))
+    tick = F.lit(tick_us)
+    held = (F.ceil((F.col("_lo") + F.col("hold_s").cast("long") * 1_000_000) / tick) * tick).cast("long")
+    part = lambda state, lo, hi: F.struct(F.lit(state).alias("state"), lo.alias("lo"), hi.alias("hi"))
+    parts = F.when(F.col("active"), F.array(part("pending", F.col("_lo"), F.least(F.col("_hi"), held - tick)),
+                                            part("firing", held, F.col("_hi")))).otherwise(F.array(part("inactive", F.col("_lo"), F.col("_hi"))))
+    out = runs.select(*key, "severity", "summary", F.when(F.col("active"), F.timestamp_micros("_lo")).alias("active_since"),
+                      F.explode(parts).alias("_p")).where(F.col("_p.lo") <= F.col("_p.hi"))
+    return out.select(*key, "severity", "summary", "_p.state", F.timestamp_micros("_p.lo").alias("from_ts"),
+                      F.timestamp_micros("_p.hi").alias("to_ts"),
+                      ((F.col("_p.hi") - F.col("_p.lo")) / tick + 1).cast("long").alias("n_ticks"), "active_since")
 
 
 def alert_messages(states: DataFrame) -> DataFrame:
     """K9: one message per firing episode, at the tick it starts firing."""
     key = ["alert", "feature", "model_version", "env", "active_since"]
     first = states.where(F.col("state") == "firing").groupBy(*key, "severity", "summary").agg(
-        F.min("ts").alias("fired_at"))
+        F.min("from_ts").alias("fired_at"))
     msg = F.replace(F.replace(F.col("summary"), F.lit("{model_version}"), F.col("model_version")),
                     F.lit("{feature}"), F.col("feature"))
     return first.select("alert", "feature", "model_version", "env", "severity", "active_since", "fired_at",

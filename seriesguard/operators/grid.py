@@ -125,7 +125,7 @@ def grid_verdicts(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak:
     return ir.select(*keys, "n_rows", reason.alias("reason"), (~bad).alias("valid"))
 
 
-def _explode_range(df: DataFrame, lo: str, hi: str, step: str, out: str, chunk: int = GRID_CHUNK,
+def explode_range(df: DataFrame, lo: str, hi: str, step: str, out: str, chunk: int = GRID_CHUNK,
                    spread: bool = True) -> DataFrame:
     """Rows for ``lo, lo+step, ... <= hi`` in two levels; with ``spread`` the chunks are dealt over the tasks."""
     span = F.col(step) * F.lit(chunk)
@@ -143,7 +143,7 @@ def expected_grid(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak:
     ``max_grid_ratio`` allows are left out (``grid_verdicts``)."""
     ir = irregularity(df, keys, ts, tiebreak).where(~_too_large(max_grid_ratio))
     ir = ir.withColumn("_hi", F.col("min_us") + (F.col("expected_len") - 1) * F.col("freq_us"))
-    g = _explode_range(ir.where(F.col("freq_us") > 0), "min_us", "_hi", "freq_us", "_g")
+    g = explode_range(ir.where(F.col("freq_us") > 0), "min_us", "_hi", "freq_us", "_g")
     return g.select(*keys, F.timestamp_micros("_g").alias(ts))
 
 
@@ -189,7 +189,7 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts:
     # the points from the previous row up to this one take the previous row's values, a last row on the grid its own
     gaps = L.drop_halo(laid.select("*", lo.alias("_lo"), F.when(on_grid_last, us).otherwise(us - F.lit(1)).alias("_hi"), us.alias("_us"), *before))
     big = max_rows is not None and max_rows > rows_per_block
-    points = _explode_range(gaps, "_lo", "_hi", "_f", "_g", spread=big)
+    points = explode_range(gaps, "_lo", "_hi", "_f", "_g", spread=big)
     if not keep_leading:
         points = points.where((F.col("rn") > 0) | (F.col("_g") == F.col("_us")))
     out = points.select(*keys, F.timestamp_micros("_g").alias(ts),

@@ -46,50 +46,79 @@ def _weighted_rows(df: DataFrame, keys: Sequence[str], W: int, step: int, split:
     return rows.join(n, list(keys)).withColumn("_w", coverage_weight(F.col("rn_split"), F.col("_T"), W, step))
 
 
+def _sums(rows: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """J3 and J4 in one aggregate: weighted sums of every feature and its square, and the sum of weights."""
+    x = lambda c: F.col(q(c)).cast("double")
+    aggs = [a for i, c in enumerate(cols) for a in (F.sum(F.col("_w") * x(c)).alias(f"_sx{i}"), F.sum(F.col("_w") * x(c) * x(c)).alias(f"_sxx{i}"))]
+    return rows.groupBy(*by).agg(F.sum("_w").alias("_sw"), *aggs).where(F.col("_sw") > 0)
+
+
+def _spread(mean, square):
+    return F.sqrt(F.greatest(square - mean * mean, F.lit(VAR_FLOOR)))
+
+
+def reference_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
+                    split: str = "train") -> DataFrame:
+    """J3 and J4 as one row per series: ``features`` (feature, mean, std; by feature order), ``global_mean``, ``global_std``.
+
+    Rows count once per window that holds them: ``std = sqrt(max(E[x^2] - mean^2, 1e-12))``."""
+    sums = _sums(_weighted_rows(df, keys, W, step, split), keys, cols)
+    sw = F.col("_sw")
+    entries = []
+    for i, c in enumerate(cols):
+        mean = F.col(f"_sx{i}") / sw
+        entries.append(F.struct(F.lit(c).alias("feature"), mean.alias("mean"), _spread(mean, F.col(f"_sxx{i}") / sw).alias("std")))
+    total = sw * F.lit(float(len(cols)))
+    mean = sum((F.col(f"_sx{i}") for i in range(1, len(cols))), F.col("_sx0")) / total
+    square = sum((F.col(f"_sxx{i}") for i in range(1, len(cols))), F.col("_sxx0")) / total
+    return sums.select(*keys, F.array(*entries).alias("features"), mean.alias("global_mean"), _spread(mean, square).alias("global_std"))
+
+
+def live_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str], split: str | None = "test",
+               by: Sequence[str] = ()) -> DataFrame:
+    """J5 and J6 as one row per series (and ``by``): mean and population std over plain rows, per feature and over all
+    values. The global variance is put together from the features' own, so nothing cancels."""
+    rows = df.where(F.col("split") == split) if split else df
+    x = lambda c: F.col(q(c)).cast("double")
+    own = range(len(cols))
+    agg = rows.groupBy(*keys, *by).agg(*[a for i, c in enumerate(cols) for a in (
+        F.count(x(c)).alias(f"_n{i}"), F.avg(x(c)).alias(f"_m{i}"), F.stddev_pop(x(c)).alias(f"_s{i}"))])
+    entries = [F.struct(F.lit(c).alias("feature"), F.col(f"_m{i}").alias("mean"), F.col(f"_s{i}").alias("std")) for i, c in enumerate(cols)]
+    part = lambda e, i: F.coalesce(e, F.lit(0.0))
+    total = sum((F.col(f"_n{i}") for i in own), F.lit(0))
+    mean = F.try_divide(sum((part(F.col(f"_n{i}") * F.col(f"_m{i}"), i) for i in own), F.lit(0.0)), total)
+    agg = agg.withColumn("global_mean", mean)
+    dev = lambda i: F.col(f"_m{i}") - F.col("global_mean")
+    var = F.try_divide(sum((part(F.col(f"_n{i}") * (F.col(f"_s{i}") * F.col(f"_s{i}") + dev(i) * dev(i)), i) for i in own), F.lit(0.0)), total)
+    return agg.select(*keys, *by, F.array(*entries).alias("features"), "global_mean", F.sqrt(var).alias("global_std"))
+
+
+def _per_feature(stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    return stats.select(*by, F.explode("features").alias("_e")).select(*by, "_e.feature", "_e.mean", "_e.std")
+
+
 def feature_stats_ref(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
                       split: str = "train") -> DataFrame:
-    """Per-feature mean and std over windowed rows: ``std = sqrt(max(E[x^2] - mean^2, 1e-12))``."""
-    rows = _weighted_rows(df, keys, W, step, split)
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(q(c)).cast("double").alias("x")) for c in cols])
-    long = rows.select(*keys, "_w", F.explode(entries).alias("_e")).select(*keys, "_w", "_e.feature", "_e.x")
-    agg = long.groupBy(*keys, "feature").agg(
-        F.sum(F.col("_w") * F.col("x")).alias("_sx"), F.sum(F.col("_w") * F.col("x") * F.col("x")).alias("_sxx"),
-        F.sum("_w").alias("_sw"))
-    mean = F.col("_sx") / F.col("_sw")
-    var = F.col("_sxx") / F.col("_sw") - mean * mean
-    return agg.where(F.col("_sw") > 0).select(*keys, "feature", mean.alias("mean"),
-                                               F.sqrt(F.greatest(var, F.lit(VAR_FLOOR))).alias("std"))
+    """Per-feature mean and std over windowed rows."""
+    return _per_feature(reference_stats(df, keys, cols, W, step, split), keys)
 
 
 def global_stats_ref(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
                      split: str = "train") -> DataFrame:
     """Mean and std over all windowed values (every feature of every covered row)."""
-    rows = _weighted_rows(df, keys, W, step, split)
-    sx = sum((F.col(q(c)) for c in cols[1:]), F.col(q(cols[0])))
-    sxx = sum((F.col(q(c)) * F.col(q(c)) for c in cols[1:]), F.col(q(cols[0])) * F.col(q(cols[0])))
-    agg = rows.groupBy(*keys).agg(F.sum(F.col("_w") * sx).alias("_sx"), F.sum(F.col("_w") * sxx).alias("_sxx"),
-                                  (F.sum("_w") * F.lit(float(len(cols)))).alias("_sw"))
-    mean = F.col("_sx") / F.col("_sw")
-    var = F.col("_sxx") / F.col("_sw") - mean * mean
-    return agg.where(F.col("_sw") > 0).select(*keys, mean.alias("global_mean"),
-                                               F.sqrt(F.greatest(var, F.lit(VAR_FLOOR))).alias("global_std"))
+    return reference_stats(df, keys, cols, W, step, split).drop("features")
 
 
 def feature_stats_live(df: DataFrame, keys: Sequence[str], cols: Sequence[str], split: str | None = "test",
                        by: Sequence[str] = ()) -> DataFrame:
     """Per-feature mean and population std over plain rows."""
-    rows = df.where(F.col("split") == split) if split else df
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(q(c)).cast("double").alias("x")) for c in cols])
-    long = rows.select(*keys, *by, F.explode(entries).alias("_e")).select(*keys, *by, "_e.feature", "_e.x")
-    return long.groupBy(*keys, *by, "feature").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    return _per_feature(live_stats(df, keys, cols, split, by), [*keys, *by])
 
 
 def global_stats_live(df: DataFrame, keys: Sequence[str], cols: Sequence[str], split: str | None = "test",
                       by: Sequence[str] = ()) -> DataFrame:
     """Mean and population std over every value of every feature."""
-    rows = df.where(F.col("split") == split) if split else df
-    long = rows.select(*keys, *by, F.explode(F.array(*[F.col(q(c)).cast("double") for c in cols])).alias("x"))
-    return long.groupBy(*keys, *by).agg(F.avg("x").alias("global_mean"), F.stddev_pop("x").alias("global_std"))
+    return live_stats(df, keys, cols, split, by).drop("features")
 
 
 def anomaly_rate(flagged: DataFrame, keys: Sequence[str], label: str | None = None) -> DataFrame:
@@ -98,29 +127,29 @@ def anomaly_rate(flagged: DataFrame, keys: Sequence[str], label: str | None = No
     return flagged.groupBy(*keys, "split").agg(F.avg(val).alias("anomaly_rate"))
 
 
-def meta_record(fitted, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
-                normalization: str = "zscore", method: str = "quantile", q_: float = 0.99, k: float = 3.0) -> DataFrame:
-    """The ensemble meta record per series as one nested row (normalisers as a map)."""
-    keys = list(keys)
-    norms = (fitted.normalizers.groupBy(*keys)
-             .agg(F.map_from_entries(F.collect_list(F.struct("model", F.struct("mean", "std")))).alias("normalizers")))
+def meta_record(fitted, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The ensemble meta record per series as one nested row (normalisers as a map, null without them). Options
+    come from the fit itself."""
+    keys, info = list(keys), fitted.info
+    if info["pooled"]:
+        raise ValueError("the meta record is per series; a pooled fit has one set of parameters")
     es = error_stats(fitted.scores, keys, max_group=fitted.n_max)
     rate = anomaly_rate(fitted.flagged.where(F.col("split") == "val"), keys).drop("split")
-    fs = feature_stats_ref(fitted.scaled, keys, cols, W, step)
-    fs_arr = (fs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
-        F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("feature")).alias("pos"),
-        "mean", "std"))).alias("_fs"))
-        .select(*keys, F.transform("_fs", lambda e: e["mean"]).alias("mean"),
-                F.transform("_fs", lambda e: e["std"]).alias("std")))
-    gs = global_stats_ref(fitted.scaled, keys, cols, W, step)
-    out = (fitted.thresholds.join(norms, keys, "left").join(es, keys, "left").join(rate, keys, "left")
-           .join(fs_arr, keys, "left").join(gs, keys, "left"))
+    ref = reference_stats(fitted.scaled, keys, cols, info["window_size"], info["step_size"])
+    out = fitted.thresholds.join(es, keys, "left").join(rate, keys, "left").join(ref, keys, "left")
+    if fitted.normalizers is not None:
+        norms = fitted.normalizers.groupBy(*keys).agg(
+            F.map_from_entries(F.collect_list(F.struct("model", F.struct("mean", "std")))).alias("normalizers"))
+        out = out.join(norms, keys, "left")
+    else:
+        out = out.withColumn("normalizers", F.lit(None).cast("map<string,struct<mean:double,std:double>>"))
     return out.select(
-        *keys, F.lit(normalization).alias("normalization"), "normalizers", "threshold",
-        F.lit(method).alias("threshold_method"),
-        F.struct(F.lit(float(q_)).alias("q"), F.lit(float(k)).alias("k")).alias("threshold_params"),
+        *keys, F.lit(info["normalization"]).alias("normalization"), "normalizers", "threshold",
+        F.lit(info["threshold_method"]).alias("threshold_method"),
+        F.struct(F.lit(float(info["q"])).alias("q"), F.lit(float(info["k"])).alias("k")).alias("threshold_params"),
         F.struct("median", "p95").alias("error_stats"), F.col("anomaly_rate").alias("anomaly_rate_ref"),
-        F.struct("mean", "std", "global_mean", "global_std").alias("feature_stats"))
+        F.struct(F.transform("features", lambda e: e["mean"]).alias("mean"), F.transform("features", lambda e: e["std"]).alias("std"),
+                 "global_mean", "global_std").alias("feature_stats"))
 
 
 def hist_bin(x, lo, hi, bins: int = HIST_BINS):

@@ -128,7 +128,7 @@ def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int
     norms = stage(ensemble.normalizers_fit(errs, keys, pooled=pooled), "normalizers") if normalization == "zscore" else None
     scores = stage(ensemble.ensemble(errs, keys, normalization, norms, used, pooled=pooled, ts=ts), "scores")
     thr = stage(ensemble.threshold_fit(scores, keys, method, q, k, pooled=pooled, max_group=n_max), "thresholds")
-    flagged = ensemble.flags(scores, thr, keys, pooled=pooled)
+    flagged = stage(ensemble.flags(scores, thr, keys, pooled=pooled), "flagged")
     info = {"window_size": W, "step_size": step, "feature_order": list(cols), "timestamp_col": ts, "keys": list(keys),
             "models": list(models), "normalization": normalization, "threshold_method": method, "q": q, "k": k,
             "pooled": pooled, "full_lags": full_lags}

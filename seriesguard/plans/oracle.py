@@ -430,27 +430,29 @@ def _unpivot(src: str, cols: list[str], extra: str = "") -> str:
     return " UNION ALL ".join(f"SELECT series_key{extra}, '{c}' AS feature, {c} AS x FROM {src}" for c in cols)
 
 
-WROWS = [f"""wrows AS (SELECT s.*, CASE WHEN t._T >= {W} THEN CAST(greatest(0,
+def stats_ctes(cols: list[str]) -> list[str]:
+    """Reference statistics, error statistics and anomaly rates of a fitted chain over these features."""
+    n, sx, sxx = d(float(len(cols))), " + ".join(cols), " + ".join(f"{c} * {c}" for c in cols)
+    return [
+        f"""wrows AS (SELECT s.*, CASE WHEN t._T >= {W} THEN CAST(greatest(0,
             floor(least(s.rn_split, t._T - {W}) / 1) - ceil(greatest(0, s.rn_split - {W - 1}) / 1) + 1) AS DOUBLE)
             ELSE 0.0 END AS _w
           FROM scaled s JOIN (SELECT series_key, max(rn_split) + 1 AS _T FROM scaled WHERE split = 'train' GROUP BY 1) t
           USING (series_key) WHERE s.split = 'train')""",
-         "wlong AS (SELECT l.*, w._w FROM (" + _unpivot("wrows", P1_FEATURES, ", rn") + ") l "
-         "JOIN wrows w USING (series_key, rn))"]
-FS_REF = """fs_ref AS (SELECT series_key, feature, sum(_w * x) / sum(_w) AS mean,
+        "wlong AS (SELECT l.*, w._w FROM (" + _unpivot("wrows", cols, ", rn") + ") l JOIN wrows w USING (series_key, rn))",
+        """fs_ref AS (SELECT series_key, feature, sum(_w * x) / sum(_w) AS mean,
             sqrt(greatest(sum(_w * x * x) / sum(_w) - (sum(_w * x) / sum(_w)) * (sum(_w * x) / sum(_w)), 1e-12)) AS std
-          FROM wlong GROUP BY 1, 2 HAVING sum(_w) > 0)"""
-_SX = " + ".join(P1_FEATURES)
-_SXX = " + ".join(f"{c} * {c}" for c in P1_FEATURES)
-GS_REF = f"""gs_ref AS (SELECT series_key, sum(_w * ({_SX})) / (sum(_w) * {d(float(len(P1_FEATURES)))}) AS global_mean,
-            sqrt(greatest(sum(_w * ({_SXX})) / (sum(_w) * {d(float(len(P1_FEATURES)))})
-              - (sum(_w * ({_SX})) / (sum(_w) * {d(float(len(P1_FEATURES)))}))
-              * (sum(_w * ({_SX})) / (sum(_w) * {d(float(len(P1_FEATURES)))})), 1e-12)) AS global_std
-          FROM wrows GROUP BY 1 HAVING sum(_w) > 0)"""
-ES_REF = """es_ref AS (SELECT series_key, quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.95) AS p95
-          FROM scores WHERE split = 'val' GROUP BY 1)"""
-RATE = "rate AS (SELECT series_key, split, avg(flag) AS anomaly_rate FROM flagged GROUP BY 1, 2)"
-STATS = FITTED + WROWS + [FS_REF, GS_REF, ES_REF, RATE]
+          FROM wlong GROUP BY 1, 2 HAVING sum(_w) > 0)""",
+        f"""gs_ref AS (SELECT series_key, sum(_w * ({sx})) / (sum(_w) * {n}) AS global_mean,
+            sqrt(greatest(sum(_w * ({sxx})) / (sum(_w) * {n}) - (sum(_w * ({sx})) / (sum(_w) * {n}))
+              * (sum(_w * ({sx})) / (sum(_w) * {n})), 1e-12)) AS global_std
+          FROM wrows GROUP BY 1 HAVING sum(_w) > 0)""",
+        """es_ref AS (SELECT series_key, quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.95) AS p95
+          FROM scores WHERE split = 'val' GROUP BY 1)""",
+        "rate AS (SELECT series_key, split, avg(flag) AS anomaly_rate FROM flagged GROUP BY 1, 2)"]
+
+
+STATS = FITTED + stats_ctes(P1_FEATURES)
 
 ORACLE["error_stats"] = with_(*STATS) + "SELECT series_key, round(median, 6) AS median, round(p95, 6) AS p95 FROM es_ref"
 
@@ -500,18 +502,20 @@ FROM hl JOIN he USING (series_key, feature) WHERE x IS NOT NULL GROUP BY 1, 2, 3
 # ---------------------------------------------------------------- K: drift and alerts
 
 BLK = 6 * 3600 * 1_000_000
-TICK = 30 * 60 * 1_000_000
-LOOKBACK = 24 * 3600 * 1_000_000
+HALF_HOUR = 30 * 60 * 1_000_000
+TICK = 30 * 1_000_000
 
 
 def _blk(col: str) -> str:
     return f"make_timestamp(CAST((floor(epoch_us({col}) / {BLK}) + 1) * {BLK} AS BIGINT))"
 
 
-SAMPLES = STATS + [
+def sample_ctes(cols: list[str]) -> list[str]:
+    """Reference and live statistics as labelled samples."""
+    return [
     "ref_ts AS (SELECT series_key, max(ts) AS rts FROM sp WHERE split = 'val' GROUP BY 1)",
     f"lrows AS (SELECT *, {_blk('ts')} AS bts FROM scaled WHERE split = 'test')",
-    "llong AS (" + _unpivot("lrows", P1_FEATURES, ", bts") + ")",
+    "llong AS (" + _unpivot("lrows", cols, ", bts") + ")",
     f"lwin AS (SELECT *, {_blk('ts')} AS bts FROM flagged WHERE split = 'test')",
     """samples AS (
       SELECT 'feature_mean_ref' AS metric, feature, series_key AS model_version, rts AS ts, mean AS value
@@ -534,15 +538,20 @@ SAMPLES = STATS + [
     """latest AS (SELECT metric, feature, model_version, env, max(ts) AS ts, arg_max(value, ts) AS value
          FROM msamples GROUP BY 1, 2, 3, 4)""",
     "live AS (SELECT * FROM msamples WHERE metric LIKE '%\\_live' ESCAPE '\\')",
+]
+
+
+def rule_ctes(tick: int) -> list[str]:
+    """As-of values at every tick, pairs, conditions, and states per tick."""
+    return [
     """rng AS (SELECT model_version, min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM live GROUP BY 1)""",
     f"""ticks AS (SELECT l.metric, l.feature, l.model_version, l.env, make_timestamp(t.g) AS ts FROM
          (SELECT DISTINCT metric, feature, model_version, env FROM live) l JOIN
-         (SELECT model_version, unnest(generate_series(CAST(ceil(lo / {TICK}) * {TICK} AS BIGINT), hi, {TICK})) AS g
+         (SELECT model_version, unnest(generate_series(CAST(ceil(lo / {tick}) * {tick} AS BIGINT), hi, {tick})) AS g
           FROM rng) t USING (model_version))""",
     f"""asofv AS (SELECT t.metric, t.feature, t.model_version, t.env, t.ts, s.value FROM ticks t
          ASOF JOIN live s ON t.metric = s.metric AND t.feature = s.feature AND t.model_version = s.model_version
-           AND t.env = s.env AND t.ts >= s.ts
-         WHERE epoch_us(t.ts) - epoch_us(s.ts) <= {LOOKBACK})""",
+           AND t.env = s.env AND t.ts >= s.ts)""",
     """pairs AS (SELECT regexp_replace(a.metric, '_live$', '') AS base, a.feature, a.model_version, a.env, a.ts,
            a.value AS live, r.value AS ref
          FROM asofv a JOIN latest r ON regexp_replace(r.metric, '_ref$', '') = regexp_replace(a.metric, '_live$', '')
@@ -557,9 +566,8 @@ SAMPLES = STATS + [
           'Anomaly rate > 3x baseline ({model_version})'),
          ('FeatureMeanShift', 'feature_mean', 'shift', 0.5, 600, 'warning',
           'Feature[{feature}] mean drift > 0.5 ({model_version})'))""",
-    """spread AS (SELECT model_version, env, max(CASE WHEN base = 'error_p95' THEN ref END)
-           - max(CASE WHEN base = 'error_median' THEN ref END) AS sp FROM pairs
-         WHERE base IN ('error_median', 'error_p95') GROUP BY 1, 2)""",
+    """spread AS (SELECT model_version, env, max(CASE WHEN metric = 'error_p95_ref' THEN value END)
+           - max(CASE WHEN metric = 'error_median_ref' THEN value END) AS sp FROM latest GROUP BY 1, 2)""",
     """conds AS (SELECT r.alert, p.feature, p.model_version, p.env, p.ts, p.live, p.ref, r.hold_s, r.severity, r.summary,
            COALESCE(CASE
              WHEN r.kind = 'ratio' THEN CASE WHEN p.ref > 0 THEN p.live / p.ref > CAST(r.c AS DOUBLE)
@@ -578,21 +586,35 @@ SAMPLES = STATS + [
            ELSE 'pending' END AS state FROM states)""",
 ]
 
+
+SAMPLES = STATS + sample_ctes(P1_FEATURES)
+RULED = SAMPLES + rule_ctes(HALF_HOUR)
+HELD = SAMPLES + rule_ctes(TICK)
+
+_TWO = ["sum_value", "avg_value"]
+_P_TWO = """p1 AS (
+  SELECT event_type || '/' || CAST(user_id % 2 AS VARCHAR) AS series_key, date_trunc('hour', ts) AS ts, sum(value) AS sum_value,
+         avg(value) AS avg_value FROM events GROUP BY 1, 2)"""
+ORACLE["metric_samples_two_keys"] = with_(
+    _P_TWO, *resample_ctes("p1", "prep", _TWO), *split_ctes("prep"), *scale_ctes("sp", _TWO), *rows_ctes("scaled", _TWO), *werr_ctes(),
+    *ensemble_ctes(), *stats_ctes(_TWO), *sample_ctes(_TWO)) + """
+SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM msamples"""
+
 ORACLE["metric_samples"] = with_(*SAMPLES) + """
 SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM msamples"""
 
 ORACLE["metric_latest"] = with_(*SAMPLES) + """
 SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM latest"""
 
-ORACLE["metric_asof"] = with_(*SAMPLES) + """
+ORACLE["metric_asof"] = with_(*RULED) + """
 SELECT metric, feature, model_version, env, ts, round(value, 6) AS value FROM asofv"""
 
-ORACLE["drift_pairs"] = with_(*SAMPLES) + """
+ORACLE["drift_pairs"] = with_(*RULED) + """
 SELECT base, feature, model_version, env, ts, round(live, 6) AS live, round(ref, 6) AS ref FROM pairs"""
 
 
 def _rule_sql(kind: str) -> str:
-    return with_(*SAMPLES) + f"""
+    return with_(*RULED) + f"""
 SELECT c.alert, c.feature, c.model_version, c.env, c.ts, round(c.live, 6) AS live, round(c.ref, 6) AS ref, c.active
 FROM conds c JOIN rules r USING (alert) WHERE r.kind = '{kind}'"""
 
@@ -601,10 +623,13 @@ ORACLE["alert_ratio"] = _rule_sql("ratio")
 ORACLE["alert_rate"] = _rule_sql("scaled")
 ORACLE["alert_shift"] = _rule_sql("shift")
 
-ORACLE["alert_firing"] = with_(*SAMPLES) + """
-SELECT alert, feature, model_version, env, ts, active, state, active_since FROM states2"""
+ORACLE["alert_firing"] = with_(*HELD) + """
+SELECT alert, feature, model_version, env, state, min(ts) AS from_ts, max(ts) AS to_ts, count(*) AS n_ticks, active_since
+FROM (SELECT *, row_number() OVER (PARTITION BY alert, feature, model_version, env ORDER BY ts)
+             - row_number() OVER (PARTITION BY alert, feature, model_version, env, state, active_since ORDER BY ts) AS run FROM states2)
+GROUP BY alert, feature, model_version, env, state, active_since, run"""
 
-ORACLE["alert_messages"] = with_(*SAMPLES) + """
+ORACLE["alert_messages"] = with_(*HELD) + """
 SELECT alert, feature, model_version, env, severity, active_since, min(ts) AS fired_at,
        replace(replace(summary, '{model_version}', model_version), '{feature}', feature) AS message
 FROM states2 WHERE state = 'firing' GROUP BY alert, feature, model_version, env, severity, active_since, summary"""

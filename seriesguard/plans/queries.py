@@ -392,7 +392,7 @@ def anomaly_rate(spark, sf_dir):
 
 @query
 def meta_record(spark, sf_dir):
-    m = stats.meta_record(p1_fitted(spark, sf_dir), KEYS, P1_FEATURES, W)
+    m = stats.meta_record(p1_fitted(spark, sf_dir), KEYS, P1_FEATURES)
     cols = [F.col("series_key"), F.col("normalization"), F.col("threshold"), F.col("threshold_method"),
             F.col("threshold_params.q").alias("q"), F.col("threshold_params.k").alias("k"),
             F.col("error_stats.median").alias("error_median"), F.col("error_stats.p95").alias("error_p95"),
@@ -419,9 +419,13 @@ def p1_samples(spark, sf_dir) -> DataFrame:
                         lambda: drift.metric_samples(p1_fitted(spark, sf_dir), KEYS, P1_FEATURES))
 
 
+HALF_HOUR = 1_800_000_000
+
+
 def p1_rule_states(spark, sf_dir) -> DataFrame:
     def build():
-        conds = drift.evaluate_rules(drift.drift_pairs(p1_samples(spark, sf_dir)), drift.rules_table(spark))
+        samples = p1_samples(spark, sf_dir)
+        conds = drift.evaluate_rules(drift.drift_intervals(samples), drift.rules_table(spark), samples)
         return drift.alert_states(conds)
     return stages.stage(spark, sf_dir, "p1_rule_states", build)
 
@@ -431,6 +435,20 @@ def metric_samples(spark, sf_dir):
     return _final(p1_samples(spark, sf_dir))
 
 
+@query
+def metric_samples_two_keys(spark, sf_dir):
+    """Series of two keys: every series keeps its own label set."""
+    keys = ["event_type", "half"]
+
+    def build():
+        ev = panels.events(spark, sf_dir).withColumn("half", F.col("user_id") % 2)
+        rows = ev.groupBy(*keys, F.date_trunc("hour", "ts").alias("ts")).agg(F.sum("value").alias("sum_value"), F.avg("value").alias("avg_value"))
+        feats = ["sum_value", "avg_value"]
+        fx = flows.fit_score(flows.prepare(rows, keys, feats), keys, feats, W=W)
+        return drift.metric_samples(fx, keys, feats)
+    return _final(stages.stage(spark, sf_dir, "samples_two_keys", build))
+
+
 @query
 def metric_latest(spark, sf_dir):
     return _final(drift.metric_latest(p1_samples(spark, sf_dir)))
@@ -438,16 +456,17 @@ def metric_latest(spark, sf_dir):
 
 @query
 def metric_asof(spark, sf_dir):
-    return _final(drift.metric_asof(p1_samples(spark, sf_dir)))
+    return _final(drift.metric_asof(p1_samples(spark, sf_dir), tick_us=HALF_HOUR))
 
 
 @query
 def drift_pairs(spark, sf_dir):
-    return _final(drift.drift_pairs(p1_samples(spark, sf_dir)))
+    return _final(drift.drift_pairs(p1_samples(spark, sf_dir), tick_us=HALF_HOUR))
 
 
 def _rule_kind(spark, sf_dir, kind):
-    conds = drift.evaluate_rules(drift.drift_pairs(p1_samples(spark, sf_dir)), drift.rules_table(spark))
+    samples = p1_samples(spark, sf_dir)
+    conds = drift.evaluate_rules(drift.drift_pairs(samples, tick_us=HALF_HOUR), drift.rules_table(spark), samples)
     alerts = [r[0] for r in drift.RULES if r[2] == kind]
     return _final(conds.where(F.col("alert").isin(alerts))
                   .select("alert", "feature", "model_version", "env", "ts", "live", "ref", "active"))
@@ -471,7 +490,7 @@ def alert_shift(spark, sf_dir):
 @query
 def alert_firing(spark, sf_dir):
     st = p1_rule_states(spark, sf_dir)
-    return _final(st.select("alert", "feature", "model_version", "env", "ts", "active", "state", "active_since"))
+    return _final(st.select("alert", "feature", "model_version", "env", "state", "from_ts", "to_ts", "n_ticks", "active_since"))
 
 
 @query
