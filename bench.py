@@ -81,7 +81,7 @@ def main():
     run(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())  # JVM warm-up
     times = {}
     for name, fn in QUERIES.items():
-        stages.clear()
+        stages.clear(spark)
         t0 = time.time()
         run(fn(spark, sf))
         times[name] = round(time.time() - t0, 3)

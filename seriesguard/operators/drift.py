@@ -56,8 +56,12 @@ def _samples(df: DataFrame, keys: Sequence[str], ts: str, suffix: str, scalars:
     entry = lambda m, f, v: F.struct(F.lit(m + suffix).alias("metric"), f.alias("feature"), v.cast("double").alias("value"))
     entries = F.array(*[entry(m, F.lit(""), F.col(c)) for m, c in scalars])
     if features:
-        entries = F.concat(entries, F.transform("features", lambda e: entry("feature_mean", e["feature"], e["mean"])),
-                           F.transform("features", lambda e: entry("feature_std", e["feature"], e["std"])))
+        none = F.expr("cast(array() as array<struct<metric:string,feature:string,value:double>>)")
+
+        def per_feature(m: str):
+            return F.coalesce(F.transform("features", lambda e: entry(f"feature_{m}", e["feature"], e[m])), none)
+
+        entries = F.concat(entries, per_feature("mean"), per_feature("std"))
     return (df.select(_version(keys), F.col(ts).alias("ts"), F.explode(entries).alias("_e"))
             .select("_e.metric", "_e.feature", "model_version", "ts", "_e.value"))
 
@@ -82,8 +86,7 @@ def reference_samples(fitted, keys: Sequence[str], cols: Sequence[str], W: int =
     ref = stats.reference_stats(fitted.scaled, keys, cols, W, step)
     es = _error_stats(fitted.flagged.where(F.col("split") == "val"), keys, fitted.n_max)
     both = ref_ts.join(ref, keys, "left").join(es, keys, "left")
-    out = _samples(both.where("features is not null"), keys, "_ref_ts", "_ref", GLOBALS, True)
-    return out.unionByName(_samples(both.where("median is not null"), keys, "_ref_ts", "_ref", ERRORS, False))
+    return _samples(both, keys, "_ref_ts", "_ref", [*GLOBALS, *ERRORS], True).where(F.col("value").isNotNull())
 
 
 def block_end(ts, block_us: int = BLOCK_US):
@@ -162,16 +165,18 @@ def drift_intervals(samples: DataFrame, **kw) -> DataFrame:
     return _paired(live_intervals(samples, **kw), samples)
 
 
-def evaluate_rules(pairs: DataFrame, rules: DataFrame, samples: DataFrame, mode: str = "guarded") -> DataFrame:
+def evaluate_rules(pairs: DataFrame, rules: DataFrame, mode: str = "guarded", samples: DataFrame | None = None) -> DataFrame:
     """K5-K7: rule conditions for every pair (of ``drift_pairs`` or ``drift_intervals``).
 
     ``ratio``: ``live / ref > c`` when ``ref > 0``; when ``ref <= 0`` (z-scored errors, defect X8) the
     guarded mode fires on ``live - ref > (c - 1) * (p95_ref - median_ref)``; ``mode='ratio'`` keeps the
-    plain ratio. ``scaled``: ``live > c * ref``. ``shift``: ``|live - ref| > c``.
+    plain ratio. ``scaled``: ``live > c * ref``. ``shift``: ``|live - ref| > c``. The spread is a function of the
+    references: read from ``samples`` if given, else from the pairs.
     """
     at = [c for c in ("ts", "_lo", "_hi") if c in pairs.columns]
     of = lambda m: F.max(F.when(F.col("base") == m, F.col("ref")))
-    spread = _reference(samples).groupBy("model_version", "env").agg((of("error_p95") - of("error_median")).alias("_spread"))
+    refs = _reference(samples) if samples is not None else pairs
+    spread = refs.groupBy("model_version", "env").agg((of("error_p95") - of("error_median")).alias("_spread"))
     j = pairs.join(F.broadcast(rules), pairs["base"] == rules["base"]).drop(rules["base"])
     j = j.join(spread, ["model_version", "env"], "left")
     ratio = F.try_divide(F.col("live"), F.col("ref")) > F.col("c")
@@ -187,8 +192,10 @@ def evaluate_rules(pairs: DataFrame, rules: DataFrame, samples: DataFrame, mode:
 def alert_states(conds: DataFrame, tick_us: int = TICK_US) -> DataFrame:
     """K8: gaps and islands over intervals. An island of active intervals is pending until it has held for ``hold_s``,
     then firing. One row per label set and run of equal states: ``state``, ``from_ts`` and ``to_ts`` (its first and last
-    tick), ``n_ticks`` and ``active_since``."""
+    tick), ``n_ticks`` and ``active_since``. Conditions per tick (``ts``) are intervals of one tick."""
     key = ["alert", "feature", "model_version", "env"]
+    if "_lo" not in conds.columns:
+        conds = conds.withColumn("_lo", micros(F.col("ts"))).withColumn("_hi", F.col("_lo"))
     w = Window.partitionBy(*key).orderBy("_lo")
     turn = (F.col("active") != F.coalesce(F.lag("active").over(w), ~F.col("active"))).cast("int")
     runs = (conds.withColumn("_turn", turn).withColumn("_run", F.sum("_turn").over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -17,13 +17,12 @@ from seriesguard.functions.columns import q
 
 # sklearn StandardScaler treats a scale below 10 * float64 eps as zero variance and uses 1.
 ZERO_SCALE = 10 * 2.220446049250313e-16
-MAX_CATEGORIES = 10_000
 
 
 def _one_row_join(df: DataFrame, params: DataFrame) -> DataFrame:
     """Attach a one-row parameter table (pooled fit) to every row: a broadcast equi-join on a constant."""
     return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(params.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+            .join(F.broadcast(params.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
 
 
 def _fit_rows(df: DataFrame, split_col: str | None, fit_split: str | None) -> DataFrame:
@@ -68,39 +67,56 @@ def scaler_apply(df: DataFrame, fit: DataFrame | None, keys: Sequence[str], cols
 
 
 def onehot_fit(df: DataFrame, keys: Sequence[str], cols: Sequence[str], split_col: str = "split",
-               fit_split: str = "train", pooled: bool = True,
-               max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """sorted categories seen in the fit rows, with a cardinality cap that fails loudly."""
+               fit_split: str = "train", pooled: bool = True) -> DataFrame:
+    """the categories seen in the fit rows, one row each: ``column``, ``category`` and ``pos`` (0-based, in the
+    categories' order). Any number of categories: they are made distinct by a shuffle and numbered like rows."""
+    from seriesguard.plans import layout
+
     rows = _fit_rows(df, split_col, fit_split)
-    aggs = [F.sort_array(F.collect_set(q(c))).alias(f"cats__{c}") for c in cols]
-    fit = rows.agg(*aggs) if pooled else rows.groupBy(*keys).agg(*aggs)
-    for c in cols:
-        cats = F.col(q(f"cats__{c}"))
-        fit = fit.withColumn(f"cats__{c}", F.when(
-            F.size(cats) > max_categories,
-            F.raise_error(F.lit(f"more than {max_categories} categories in {c}")).cast("array<string>"))
-            .otherwise(cats))
-    return fit
+    by = [] if pooled else list(keys)
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(q(c)).cast("string").alias("category")) for c in cols])
+    long = rows.select(*by, F.explode(entries).alias("_e")).select(*by, "_e.*").where(F.col("category").isNotNull()).distinct()
+    return layout.row_index(long, [*by, "column"], "category", out="pos", count_col=None).select(*by, "column", "category", "pos")
 
 
 def onehot_apply(df: DataFrame, fit: DataFrame, keys: Sequence[str], cols: Sequence[str],
                  pooled: bool = True) -> DataFrame:
-    """one 0/1 array per categorical column; unknown or null gives all zeros."""
-    joined = _one_row_join(df, fit) if pooled else df.join(fit, list(keys), "left")
-    out = joined
+    """``<c>__pos`` (position of the category, null if unknown or null) and ``<c>__size`` (number of categories)
+    for every categorical column, by an equi-join on the value. ``assemble`` turns them into a vector."""
+    by = [] if pooled else list(keys)
+    out = df
     for c in cols:
-        val = F.col(q(c))
-        out = out.withColumn(f"{c}__onehot", F.transform(
-            F.col(q(f"cats__{c}")), lambda cat: F.coalesce(cat == val, F.lit(False)).cast("double")))
-    return out.drop(*[f"cats__{c}" for c in cols])
+        own = fit.where(F.col("column") == c)
+        out = out.join(own.select(*by, F.col("category").alias(c), F.col("pos").alias(f"{c}__pos")), [*by, c], "left")
+        size = own.groupBy(*by).agg(F.count(F.lit(1)).alias(f"{c}__size"))
+        out = _one_row_join(out, size) if pooled else out.join(size, by, "left")
+        out = out.withColumn(f"{c}__size", F.coalesce(F.col(f"{c}__size"), F.lit(0)))
+    return out.select(*df.columns, *[f"{c}__{x}" for c in cols for x in ("pos", "size")])
 
 
 def assemble(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
              out: str = "features") -> DataFrame:
-    """numeric features first, then the one-hot blocks; other columns are not part of the vector."""
-    parts = [F.array(*[F.col(q(c)).cast("double") for c in numeric])] if numeric else []
-    parts += [F.col(q(f"{c}__onehot")) for c in categorical]
-    return df.withColumn(out, F.concat(*parts) if len(parts) > 1 else parts[0])
+    """numeric features first, then the one-hot blocks, as a sparse vector ``struct<size, indices, values>`` with every
+    numeric feature and the ones; other columns are not part of it. ``dense`` gives the array."""
+    n = len(numeric)
+    indices = [F.lit(i).cast("long") for i in range(n)]
+    values = [F.col(q(c)).cast("double") for c in numeric]
+    start = F.lit(n).cast("long")
+    for c in categorical:
+        indices.append(start + F.col(q(f"{c}__pos")))
+        values.append(F.lit(1.0))
+        start = start + F.col(q(f"{c}__size"))
+    pairs = F.array(*[F.struct(i.alias("i"), v.alias("v")) for i, v in zip(indices, values, strict=True)])
+    known = F.filter(pairs, lambda p: p["i"].isNotNull())
+    return df.withColumn(out, F.struct(start.alias("size"), F.transform(known, lambda p: p["i"]).alias("indices"),
+                                       F.transform(known, lambda p: p["v"]).alias("values")))
+
+
+def dense(vector: str):
+    """The dense array of a sparse vector (for small sizes: it holds ``size`` numbers)."""
+    v = F.col(vector)
+    entries = F.map_from_arrays(v["indices"], v["values"])
+    return F.transform(F.sequence(F.lit(0).cast("long"), v["size"] - 1), lambda i: F.coalesce(F.element_at(entries, i), F.lit(0.0)))
 
 
 def contract(spark: SparkSession, window_size: int, step_size: int, feature_order: Sequence[str],

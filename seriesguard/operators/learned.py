@@ -2,19 +2,20 @@
 
 * H4 ``recon_pca``: a linear autoencoder. Centre on the training mean, fit principal components with
   MLlib (the covariance is a distributed tree aggregate), back-project in Arrow batches.
-* H5 ``recon_dense``: a dense autoencoder trained data-parallel. Each epoch broadcasts the weights;
-  ``mapInPandas`` returns one gradient-sum row per partition, an aggregate adds them up, and Adam runs on
-  the driver over the small weight vector. Validation loss is computed the same way; the best epoch's
-  weights are copied (defect X1 fixed). The per-epoch history is the run log (H7, A11).
+* H5 ``recon_dense``: a dense autoencoder trained data-parallel. Each epoch takes several steps over random parts of
+  the training windows; a step broadcasts the weights, ``mapInPandas`` returns gradient sums per partition, an
+  aggregate adds them up, and Adam runs on the driver over the small weight vector. Validation loss is
+  computed the same way; the best epoch's weights are copied (defect X1 fixed). The per-epoch history goes
+  to the run log (H7, A11).
 * H6 ``score_windows``: any batch model ``(B, L*C) -> (B, L*C)`` through ``predict_batch_udf``.
 
 Only weights and per-partition sums reach the driver. The window table is materialised once, so every
-epoch re-reads it instead of recomputing its lineage.
+epoch re-reads it instead of recomputing its lineage. ``error_rows`` makes any of them a member of the ensemble.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,20 @@ def flat_windows(win: DataFrame, col: str = "win", out: str = "x") -> DataFrame:
     return win.withColumn(out, F.flatten(F.col(col))).drop(col)
 
 
+#: The covariance is a d x d matrix on the driver (128 MB at this size); wider windows need fewer features or rows.
+MAX_PCA_DIM = 4096
+
+
+def error_rows(errors: DataFrame, keys: Sequence[str], model: str, ts: str = "ts") -> DataFrame:
+    """Window errors of a learned or external model as rows of the error table, for ``flows.fit_score(more_errors=...)``."""
+    return errors.select(*keys, "split", ts, "rn_split", F.lit(model).alias("model"), F.col("err").cast("double").alias("err"))
+
+
 def fit_pca(flat: DataFrame, k: int, fit_split: str = "train", col: str = "x") -> tuple[np.ndarray, np.ndarray]:
     """H4 fit: training mean and the top ``k`` principal directions (columns of a ``d x k`` matrix)."""
+    dim = flat.select(F.size(col)).first()[0]
+    if dim > MAX_PCA_DIM:
+        raise ValueError(f"windows of {dim} values are too wide for a covariance on the driver ({MAX_PCA_DIM})")
     rows = flat.where(F.col("split") == fit_split).select(array_to_vector(col).alias("_v"))
     scaler = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False).fit(rows)
     pca = PCA(k=k, inputCol="_c", outputCol="_p").fit(scaler.transform(rows))
@@ -71,6 +84,15 @@ def score_windows(flat: DataFrame, make_predict_fn: Callable, dim: int, batch_si
     return r.withColumn(out, sq / F.size(F.col(col))).drop("_r")
 
 
+def mean_predict_fn() -> Callable:
+    """A closed-form model for H6: every value of a window is reconstructed by the window's mean."""
+    def make():
+        def predict(x: np.ndarray) -> np.ndarray:
+            return np.repeat(x.mean(axis=1, keepdims=True), x.shape[1], axis=1)
+        return predict
+    return make
+
+
 def pca_predict_fn(mean: np.ndarray, pc: np.ndarray) -> Callable:
     """A ``make_predict_fn`` for H6 built from an H4 fit (any other batch model plugs in the same way)."""
     def make():
@@ -96,6 +118,7 @@ def _forward(X, p):
 
 
 def _grad_rows(params_b, with_grad: bool):
+    """Sums over one partition as rows (i, s): the gradient by position, the loss at -1 and the windows at -2."""
     def run(batches):
         p = params_b.value
         d = p[0].shape[0]
@@ -117,34 +140,28 @@ def _grad_rows(params_b, with_grad: bool):
                 gs[0] += X.T @ dZ
                 gs[1] += dZ.sum(axis=0)
         flat = np.concatenate([g.ravel() for g in gs]) if with_grad else np.zeros(0)
-        yield pd.DataFrame({"loss": [loss], "n": [n], "g": [flat.tolist()]})
+        yield pd.DataFrame({"i": np.concatenate([[-1, -2], np.arange(len(flat))]), "s": np.concatenate([[loss, n], flat])})
     return run
 
 
 def _pass(flat: DataFrame, params, with_grad: bool):
-    sc = flat.sparkSession.sparkContext
-    pb = sc.broadcast(params)
-    schema = "loss double, n long, g array<double>"
-    parts = flat.select("x").mapInPandas(_grad_rows(pb, with_grad), schema).cache()
-    agg = parts.agg(F.sum("loss").alias("loss"), F.sum("n").alias("n")).first()
-    n = max(int(agg["n"] or 0), 1)
-    grad = None
-    if with_grad:
-        # element-wise sum of the per-partition gradients in Spark; only the model-sized vector returns
-        summed = (parts.select(F.posexplode("g").alias("i", "gi")).groupBy("i").agg(F.sum("gi").alias("gi"))
-                  .collect())
-        grad = np.zeros(len(summed))
-        for r in summed:
-            grad[r["i"]] = r["gi"]
-        grad = grad / n
-    parts.unpersist()
+    """Mean loss and gradient over ``flat``: one job; only vectors of the model's size return."""
+    pb = flat.sparkSession.sparkContext.broadcast(params)
+    rows = (flat.select("x").mapInPandas(_grad_rows(pb, with_grad), "i long, s double")
+            .groupBy("i").agg(F.sum("s").alias("s")).collect())
     pb.unpersist()
-    return float(agg["loss"] or 0.0) / n, grad
+    found = {r["i"]: r["s"] for r in rows}
+    n = max(found.get(-2, 0.0), 1.0)
+    size = sum(a.size for a in params)
+    grad = np.array([found.get(i, 0.0) for i in range(size)]) / n if with_grad else None
+    return found.get(-1, 0.0) / n, n, grad
 
 
 def recon_dense(flat: DataFrame, hidden: int = 8, epochs: int = 10, lr: float = 1e-2, clip: float = 1.0,
-                seed: int = 42, run_id: str = "dense") -> tuple[list[np.ndarray], DataFrame]:
-    """H5: returns the best weights and the per-epoch history ``(run_id, epoch, train_loss, val_loss)``."""
+                seed: int = 42, run_id: str = "dense", steps: int = 4) -> tuple[list[np.ndarray], DataFrame]:
+    """H5: returns the best weights and the per-epoch history ``(run_id, epoch, train_loss, val_loss)``.
+
+    An epoch takes ``steps`` Adam steps, each over a random part (by a hash of window and epoch) of the training windows."""
     train = flat.where(F.col("split") == "train").select("x")
     val = flat.where(F.col("split") == "val").select("x")
     d = len(flat.select("x").first()["x"])
@@ -153,23 +170,27 @@ def recon_dense(flat: DataFrame, hidden: int = 8, epochs: int = 10, lr: float =
     m = [np.zeros_like(a) for a in params]
     v = [np.zeros_like(a) for a in params]
     b1, b2, eps = 0.9, 0.999, 1e-8
-    best, best_val, history = None, np.inf, []
+    best, best_val, history, t = None, np.inf, [], 0
     for epoch in range(1, epochs + 1):
-        loss, grad = _pass(train, params, True)
-        norm = np.linalg.norm(grad)
-        if norm > clip:
-            grad = grad * (clip / norm)
-        off = 0
-        for i, shp in enumerate(shapes):
-            size = int(np.prod(shp))
-            g = grad[off:off + size].reshape(shp)
-            off += size
-            m[i] = b1 * m[i] + (1 - b1) * g
-            v[i] = b2 * v[i] + (1 - b2) * g * g
-            mh, vh = m[i] / (1 - b1 ** epoch), v[i] / (1 - b2 ** epoch)
-            params[i] = params[i] - lr * mh / (np.sqrt(vh) + eps)
-        val_loss, _ = _pass(val, params, False)
-        history.append((run_id, epoch, loss, val_loss))
+        losses, seen = 0.0, 0.0
+        part = F.pmod(F.xxhash64(F.col("x").cast("string"), F.lit(seed + epoch)), F.lit(steps))
+        for step in range(steps):
+            loss, n, grad = _pass(train.where(part == step) if steps > 1 else train, params, True)
+            losses, seen, t = losses + loss * n, seen + n, t + 1
+            norm = np.linalg.norm(grad)
+            if norm > clip:
+                grad = grad * (clip / norm)
+            off = 0
+            for i, shp in enumerate(shapes):
+                size = int(np.prod(shp))
+                g = grad[off:off + size].reshape(shp)
+                off += size
+                m[i] = b1 * m[i] + (1 - b1) * g
+                v[i] = b2 * v[i] + (1 - b2) * g * g
+                mh, vh = m[i] / (1 - b1 ** t), v[i] / (1 - b2 ** t)
+                params[i] = params[i] - lr * mh / (np.sqrt(vh) + eps)
+        val_loss = _pass(val, params, False)[0]
+        history.append((run_id, epoch, losses / max(seen, 1.0), val_loss))
         if val_loss < best_val:
             best_val, best = val_loss, [a.copy() for a in params]
     hist = flat.sparkSession.createDataFrame(history, "run_id string, epoch int, train_loss double, val_loss double")
@@ -189,4 +210,4 @@ def dense_errors(flat: DataFrame, params: list[np.ndarray], out: str = "err") ->
 
 
 __all__ = ["flat_windows", "fit_pca", "projection_errors", "recon_pca", "score_windows", "pca_predict_fn",
-           "recon_dense", "dense_errors"]
+           "mean_predict_fn", "error_rows", "recon_dense", "dense_errors"]

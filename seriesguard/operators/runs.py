@@ -32,6 +32,11 @@ def log_metrics(df: DataFrame, run_id: str, key_col: str, step_col: str, value_c
                      F.col(step_col).cast("int").alias("step"), F.col(value_col).cast("double").alias("value"))
 
 
+def append_metrics(log: DataFrame, path: str) -> None:
+    """Appends run log rows to the table at ``path``, one folder per run."""
+    log.select("run_id", "key", "step", "value").write.mode("append").partitionBy("run_id").parquet(path)
+
+
 def best_step(log: DataFrame) -> DataFrame:
     """Step with the lowest value per run and key; ties go to the earliest step."""
     rank = F.struct(F.col("value"), F.col("step"))

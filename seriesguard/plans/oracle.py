@@ -832,26 +832,23 @@ WHERE pos <= 10"""
 
 P9_FIT = "p9fit AS (SELECT * FROM orders WHERE o_orderstatus <> 'P')"
 
-ORACLE["onehot_fit"] = with_(P9_FIT) + """
-SELECT 'o_orderpriority' AS column, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS categories
-FROM p9fit
-UNION ALL
-SELECT 'o_orderstatus', string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) FROM p9fit"""
-
-_CATS_CTE = with_(P9_FIT, """cp AS (SELECT o_orderpriority AS c, CAST(row_number() OVER (ORDER BY o_orderpriority) AS INTEGER)
-        AS pos FROM (SELECT DISTINCT o_orderpriority FROM p9fit))""",
-                  """cs AS (SELECT o_orderstatus AS c, CAST(row_number() OVER (ORDER BY o_orderstatus) AS INTEGER)
-        AS pos FROM (SELECT DISTINCT o_orderstatus FROM p9fit))""")
+_CAT_COLS = ["o_orderpriority", "o_orderstatus", "o_custkey"]
+_CATS = " UNION ALL ".join(f"""SELECT '{c}' AS column, category, row_number() OVER (ORDER BY category) - 1 AS pos
+FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS category FROM p9fit)""" for c in _CAT_COLS)
+ORACLE["onehot_fit"] = with_(P9_FIT) + _CATS
 
-ORACLE["onehot_apply"] = _CATS_CTE + """
-SELECT o.o_orderkey, COALESCE(cp.pos, 0) AS o_orderpriority_pos, COALESCE(cs.pos, 0) AS o_orderstatus_pos
-FROM orders o LEFT JOIN cp ON o.o_orderpriority = cp.c LEFT JOIN cs ON o.o_orderstatus = cs.c"""
+_ENC = with_(P9_FIT, f"cats AS ({_CATS})", "enc AS (SELECT o.o_orderkey, o.o_totalprice, " + ", ".join(
+    f"(SELECT pos FROM cats WHERE cats.column = '{c}' AND category = CAST(o.{c} AS VARCHAR)) AS {c}__pos, "
+    f"(SELECT count(*) FROM cats WHERE cats.column = '{c}') AS {c}__size" for c in _CAT_COLS) + " FROM orders o)")
+ORACLE["onehot_apply"] = _ENC + "SELECT o_orderkey, " + ", ".join(f"{c}__{x}" for c in _CAT_COLS for x in ("pos", "size")) + " FROM enc"
 
-ORACLE["assemble"] = _CATS_CTE + """
-SELECT o.o_orderkey, CAST(1 + (SELECT count(*) FROM cp) + (SELECT count(*) FROM cs) AS INTEGER) AS n_features,
-       round(o.o_totalprice + CASE WHEN cp.pos IS NULL THEN 0.0 ELSE 1.0 END
-             + CASE WHEN cs.pos IS NULL THEN 0.0 ELSE 1.0 END, 6) AS feature_sum
-FROM orders o LEFT JOIN cp ON o.o_orderpriority = cp.c LEFT JOIN cs ON o.o_orderstatus = cs.c"""
+ORACLE["assemble"] = _ENC + """
+SELECT o_orderkey, 1 + o_orderpriority__size + o_orderstatus__size + o_custkey__size AS n_features,
+       round(o_totalprice + CAST(o_orderpriority__pos IS NOT NULL AS INTEGER) + CAST(o_orderstatus__pos IS NOT NULL AS INTEGER)
+             + CAST(o_custkey__pos IS NOT NULL AS INTEGER), 6) AS feature_sum,
+       COALESCE(1 + o_orderpriority__size + o_orderstatus__size + o_custkey__pos, 1 + o_orderpriority__size + o_orderstatus__pos,
+                1 + o_orderpriority__pos, 0) AS last_index
+FROM enc"""
 
 
 # ---------------------------------------------------------------- SURVEY §7 minimum slice (avg_value, ewma only)
@@ -872,3 +869,27 @@ ORACLE["minimum_slice"] = with_(
           WHERE split = 'val' GROUP BY 1)""") + """
 SELECT s.series_key, s.split, s.ts, round(s.score, 6) AS score, CAST(s.score > t.threshold AS INTEGER) AS flag
 FROM scores s JOIN thr t USING (series_key)"""
+
+
+# ---------------------------------------------------------------- H4-H7: learned detectors
+
+ORACLE["recon_pca"] = with_(*P1_SCALED) + f"""
+SELECT series_key, split, ts, CAST(0.0 AS DOUBLE) AS err FROM scaled WHERE rn_split >= {W - 1}"""
+
+ORACLE["recon_dense_losses"] = """
+SELECT * FROM (VALUES ('an epoch each', true), ('train loss falls', true), ('best epoch kept', true)) t("check", holds)"""
+
+_NC = float(len(P1_FEATURES))
+_EXTERNAL = f"""ext AS (SELECT * FROM (
+    SELECT series_key, split, ts, rn_split, sum({" + ".join(f"{c} * {c}" for c in P1_FEATURES)}) OVER f / {d(W * _NC)}
+           - pow(sum({" + ".join(P1_FEATURES)}) OVER f / {d(W * _NC)}, 2) AS err
+    FROM scaled WINDOW f AS (PARTITION BY series_key ORDER BY rn ROWS BETWEEN {W - 1} PRECEDING AND CURRENT ROW))
+  WHERE rn_split >= {W - 1})"""
+ORACLE["score_external"] = with_(*P1_SCALED, _EXTERNAL) + """
+SELECT series_key, split, ts, round(err, 6) AS err FROM ext"""
+
+_FOUR = [c.replace("errs AS (", "errs3 AS (", 1) if c.lstrip().startswith("errs AS (") else c for c in DETECT]
+ORACLE["ensemble_external"] = with_(*_FOUR, _EXTERNAL, """errs AS (SELECT * FROM errs3 UNION ALL
+    SELECT series_key, split, ts, rn_split, 'window_mean', err FROM ext)""", *[
+        c.replace("avg(err) AS score", "avg(err) AS score, count(*) AS n_models") if c.startswith("scores AS") else c for c in ensemble_ctes()]) + """
+SELECT series_key, split, ts, round(score, 6) AS score, n_models, flag FROM flagged"""

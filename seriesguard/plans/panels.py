@@ -103,8 +103,8 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def categorical_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric plus two categorical columns of ``orders``."""
+    """A numeric and three categorical columns of ``orders``, one with many categories."""
     o = table(spark, sf_dir, "orders")
     return o.select(F.lit("orders").alias("series_key"), "o_orderkey",
                     F.col("o_orderdate").cast("timestamp").alias("ts"),
-                    "o_totalprice", "o_orderpriority", "o_orderstatus")
+                    "o_totalprice", "o_orderpriority", "o_orderstatus", F.col("o_custkey").cast("string").alias("o_custkey"))

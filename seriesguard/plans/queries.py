@@ -425,7 +425,7 @@ HALF_HOUR = 1_800_000_000
 def p1_rule_states(spark, sf_dir) -> DataFrame:
     def build():
         samples = p1_samples(spark, sf_dir)
-        conds = drift.evaluate_rules(drift.drift_intervals(samples), drift.rules_table(spark), samples)
+        conds = drift.evaluate_rules(drift.drift_intervals(samples), drift.rules_table(spark), samples=samples)
         return drift.alert_states(conds)
     return stages.stage(spark, sf_dir, "p1_rule_states", build)
 
@@ -466,7 +466,7 @@ def drift_pairs(spark, sf_dir):
 
 def _rule_kind(spark, sf_dir, kind):
     samples = p1_samples(spark, sf_dir)
-    conds = drift.evaluate_rules(drift.drift_pairs(samples, tick_us=HALF_HOUR), drift.rules_table(spark), samples)
+    conds = drift.evaluate_rules(drift.drift_pairs(samples, tick_us=HALF_HOUR), drift.rules_table(spark), samples=samples)
     alerts = [r[0] for r in drift.RULES if r[2] == kind]
     return _final(conds.where(F.col("alert").isin(alerts))
                   .select("alert", "feature", "model_version", "env", "ts", "live", "ref", "active"))
@@ -690,37 +690,57 @@ def latest_n(spark, sf_dir):
     return _final(out.select("series_key", "event_id", "ts", "pos"))
 
 
-# ---------------------------------------------------------------- H4-H7: learned detectors (rows-only checks)
+# ---------------------------------------------------------------- H4-H7: learned detectors
 
 
 def p1_windows(spark, sf_dir) -> DataFrame:
     return stages.stage(spark, sf_dir, "p1_windows", lambda: windows.sliding_windows(
-        p1_scaled(spark, sf_dir), KEYS, P1_FEATURES, W, 1).select("series_key", "split", "ts", "win"))
+        p1_scaled(spark, sf_dir), KEYS, P1_FEATURES, W, 1).select("series_key", "split", "ts", "rn_split", "win"))
 
 
 @query
 def recon_pca(spark, sf_dir):
-    return _final(learned.recon_pca(p1_windows(spark, sf_dir), k=4).select("series_key", "split", "ts", "err"))
+    """With all components the back-projection is the window itself."""
+    dim = W * len(P1_FEATURES)
+    return _final(learned.recon_pca(p1_windows(spark, sf_dir), k=dim).select("series_key", "split", "ts", "err"))
 
 
 @query
 def recon_dense_losses(spark, sf_dir):
+    """What must hold for the recorded losses and the kept weights."""
     flat = learned.flat_windows(p1_windows(spark, sf_dir))
-    _, hist = learned.recon_dense(flat, hidden=8, epochs=5)
-    return _final(hist)
+    best, hist = learned.recon_dense(flat, hidden=8, epochs=4)
+    kept = learned.dense_errors(flat.where("split = 'val'"), best).agg(F.avg("err").alias("kept"))
+    h = hist.agg(F.count(F.lit(1)).alias("n"), F.min_by("train_loss", "epoch").alias("first"), F.max_by("train_loss", "epoch").alias("last"),
+                 F.min("val_loss").alias("best")).withColumn("one", F.lit(1)).join(kept.withColumn("one", F.lit(1)), "one")
+    checks = {"an epoch each": F.col("n") == 4, "train loss falls": F.col("last") < F.col("first"),
+              "best epoch kept": F.abs(F.col("kept") - F.col("best")) < 1e-9}
+    rows = F.array(*[F.struct(F.lit(k).alias("check"), v.alias("holds")) for k, v in checks.items()])
+    return h.select(F.explode(rows).alias("_c")).select("_c.*")
+
+
+def _external(spark, sf_dir) -> DataFrame:
+    flat = learned.flat_windows(p1_windows(spark, sf_dir))
+    return learned.score_windows(flat, learned.mean_predict_fn(), dim=W * len(P1_FEATURES))
 
 
 @query
 def score_external(spark, sf_dir):
-    flat = learned.flat_windows(p1_windows(spark, sf_dir))
-    mean, pc = learned.fit_pca(flat, 4)
-    out = learned.score_windows(flat, learned.pca_predict_fn(mean, pc), dim=W * len(P1_FEATURES))
-    return _final(out.select("series_key", "split", "ts", "err"))
+    """A model of the user's own: every window reconstructed by its mean."""
+    return _final(_external(spark, sf_dir).select("series_key", "split", "ts", "err"))
+
+
+@query
+def ensemble_external(spark, sf_dir):
+    """The external model as a fourth member of the ensemble."""
+    more = learned.error_rows(_external(spark, sf_dir), KEYS, "window_mean")
+    fx = flows.fit_score(p1_prepared(spark, sf_dir), KEYS, P1_FEATURES, W=W, more_errors=more)
+    return _final(fx.flagged.select("series_key", "split", "ts", "score", "n_models", "flag"))
 
 
 # ---------------------------------------------------------------- F3-F5: one-hot on categorical orders
 
-CATS = ["o_orderpriority", "o_orderstatus"]
+CATS = ["o_orderpriority", "o_orderstatus", "o_custkey"]  # the last has thousands of categories
 
 
 def _p9(spark, sf_dir):
@@ -732,17 +752,14 @@ def _p9(spark, sf_dir):
 @query
 def onehot_fit(spark, sf_dir):
     fit = features.onehot_fit(_p9(spark, sf_dir), KEYS, CATS)
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.array_join(F.col(f"cats__{c}"), ",").alias("categories"))
-                        for c in CATS])
-    return fit.select(F.explode(entries).alias("_e")).select("_e.*")
+    return fit.select("column", "category", "pos")
 
 
 @query
 def onehot_apply(spark, sf_dir):
     p9 = _p9(spark, sf_dir)
     enc = features.onehot_apply(p9, features.onehot_fit(p9, KEYS, CATS), KEYS, CATS)
-    pos = [F.array_position(F.col(f"{c}__onehot"), F.lit(1.0)).cast("int").alias(f"{c}_pos") for c in CATS]
-    return enc.select("o_orderkey", *pos)
+    return enc.select("o_orderkey", *[f"{c}__{x}" for c in CATS for x in ("pos", "size")])
 
 
 @query
@@ -750,8 +767,9 @@ def assemble(spark, sf_dir):
     p9 = _p9(spark, sf_dir)
     enc = features.onehot_apply(p9, features.onehot_fit(p9, KEYS, CATS), KEYS, CATS)
     vec = features.assemble(enc, ["o_totalprice"], CATS)
-    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
-    return _final(vec.select("o_orderkey", F.size("features").alias("n_features"), total.alias("feature_sum")))
+    total = F.aggregate(F.col("features.values"), F.lit(0.0), lambda a, x: a + x)
+    return _final(vec.select("o_orderkey", F.col("features.size").alias("n_features"), total.alias("feature_sum"),
+                             F.element_at("features.indices", -1).alias("last_index")))
 
 
 # ---------------------------------------------------------------- SURVEY §7 minimum slice

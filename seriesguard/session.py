@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,11 +77,17 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is read from the session. Only when it is unset
-    (local tests) do we create a scratch folder.
+    On a cluster this is set by the deployment and is read from the session; without it we refuse to go on, because
+    every executor would write to a folder of its own and later reads would miss rows. Only a local session, whose
+    tasks share one machine, gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -91,29 +100,80 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf missing
             configured = None
     if not configured:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="seriesguard-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for a materialised stage table inside the shared checkpoint folder."""
+    """A path for a stage table inside the shared checkpoint folder, in this application's part of it."""
     base = checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    return os.path.join(base, "seriesguard-tables", name)
+    return os.path.join(base, "seriesguard-tables", spark.sparkContext.applicationId, name)
+
+
+#: Stage tables that this process has written and not removed yet.
+_TABLES: list[str] = []
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a stage table under the shared checkpoint folder and read it back.
 
     Cuts lineage (a lost executor re-reads the table instead of recomputing the chain), keeps logical
     plans small when a stage is read several times, and gives the optimizer real size statistics for
     its broadcast decisions. Computed once (unlike an eager RDD checkpoint, which runs the job twice).
+    Tables live until the ``stage_scope`` around them ends, ``drop_tables`` is called or the process ends.
     """
-    import uuid
-
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _TABLES.append(path)
     return spark.read.parquet(path)
+
+
+def drop_tables(spark: SparkSession, since: int = 0) -> int:
+    """Remove the stage tables written since the ``since``-th one; returns how many. Frames that read them end here."""
+    gone, _TABLES[since:] = _TABLES[since:], []
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(gone)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Stage tables written inside are removed at the end; write or collect results before."""
+    since = len(_TABLES)
+    try:
+        yield
+    finally:
+        drop_tables(spark, since)
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    """What is left at the end of the process, if its session still runs."""
+    try:
+        spark = SparkSession.getActiveSession()
+        if spark is not None and _TABLES:
+            drop_tables(spark)
+    except Exception:  # noqa: BLE001 - the JVM may be gone already
+        _TABLES.clear()
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files under ``path`` (two levels), as the file system lists them."""
+    import hashlib
+
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    seen = []
+    for status in fs.listStatus(root):
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        seen += [f"{x.getPath().toString()} {x.getLen()} {x.getModificationTime()}" for x in inside]
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]

@@ -215,10 +215,77 @@ def test_hold_time(spark):
              1.0, 0.1, a, 300, "critical", "s") for i, a in enumerate(pattern)]
     conds = spark.createDataFrame(rows, "alert string, feature string, model_version string, env string, ts timestamp,"
                                   " live double, ref double, active boolean, hold_s int, severity string, summary string")
-    st = sorted(drift.alert_states(conds).collect(), key=lambda r: r.ts)
-    states = [r.state for r in st]
-    assert "firing" not in states[:10]
-    assert states[10:20] == ["pending"] * 10 and states[20] == "firing"
+    st = sorted(drift.alert_states(conds).collect(), key=lambda r: r.from_ts)
+    assert [(r.state, r.n_ticks) for r in st] == [("pending", 9), ("inactive", 1), ("pending", 10), ("firing", 1)]
+    assert st[3].from_ts == dt.datetime(2024, 1, 1) + dt.timedelta(seconds=30 * 20)
+
+
+def test_holds_of_five_and_ten_minutes_differ(spark):
+    """A condition that holds for 8 minutes between two samples fires with a 5 minute hold only."""
+    t0 = dt.datetime(2024, 1, 1)
+    live = [(m, "", "m", "prod", t0 + dt.timedelta(minutes=i), v) for m in ("error_median_live", "anomaly_rate_live")
+            for i, v in ((0, 0.1), (10, 0.9), (18, 0.1), (30, 0.1))]
+    ref = [(m, "", "m", "prod", t0, 0.2) for m in ("error_median_ref", "anomaly_rate_ref")] + [("error_p95_ref", "", "m", "prod", t0, 0.3)]
+    samples = spark.createDataFrame(live + ref, "metric string, feature string, model_version string, env string, ts timestamp, value double")
+    conds = drift.evaluate_rules(drift.drift_intervals(samples), drift.rules_table(spark), samples=samples)
+    fired = drift.alert_messages(drift.alert_states(conds)).collect()
+    assert [(r.alert, r.active_since, r.fired_at) for r in fired] == [
+        ("EnsembleErrorMedianHigh", t0 + dt.timedelta(minutes=10), t0 + dt.timedelta(minutes=15))]
+    ticks = drift.metric_asof(samples).where("metric = 'error_median_live'").orderBy("ts").collect()
+    assert len(ticks) == 61 and ticks[19].value == 0.1 and ticks[20].value == 0.9 and ticks[36].value == 0.1
+    old = drift.metric_asof(samples, lookback_us=60_000_000).where("metric = 'error_median_live'").count()
+    assert old == 3 + 3 + 3 + 1
+
+
+def test_metric_samples_scan_few_tables(spark, tmp_path):
+    """The samples are aggregates over the fitted tables, each scanned a few times."""
+    from seriesguard.plans import flows
+    df = spark.range(300).select(F.lit("a").alias("k"), (F.col("id") % 2).alias("h"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"),
+                                 F.sin("id").alias("v"))
+    fx = flows.fit_score(df, ["k", "h"], ["v"], W=8)
+    samples = drift.metric_samples(fx, ["k", "h"], ["v"])
+    plan = samples._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 6
+    assert {r[0] for r in samples.select("model_version").distinct().collect()} == {"a/0", "a/1"}
+
+
+def test_sparse_series_is_rejected_and_others_go_on(spark):
+    rows = [("sparse", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), float(s)) for s in (0, 1, 2, 100_000)]
+    rows += [("good", ts(h), float(h)) for h in (0, 1, 2, 5)]
+    df = frame(spark, rows)
+    verdicts = {r.k: r for r in grid.grid_verdicts(df, K).collect()}
+    assert verdicts["good"].valid and not verdicts["sparse"].valid and "100001 points for 4 rows" in verdicts["sparse"].reason
+    out = grid.resample_ffill(df, K, ["v"])
+    assert {r.k for r in out.collect()} == {"good"} and out.count() == 6
+    assert {r.k for r in grid.expected_grid(df, K).select("k").distinct().collect()} == {"good"}
+    valid, rejected = runs.route(df, grid.grid_verdicts(df, K), K)
+    assert valid.count() == 4 and [r.k for r in rejected.collect()] == ["sparse"]
+
+
+def test_given_step_on_a_regular_series(spark):
+    df = frame(spark, [("a", ts(h), float(h)) for h in range(10)])
+    out = grid.resample_ffill(df, K, ["v"], freq_us=1_800_000_000).orderBy("ts").collect()
+    assert len(out) == 19 and [r.v for r in out[:4]] == [0.0, 0.0, 1.0, 1.0]
+    assert grid.resample_ffill(df, K, ["v"], freq_us=3_600_000_000).count() == 10
+
+
+def test_long_gap_is_exploded_in_chunks(spark):
+    df = frame(spark, [("a", ts(0), 1.0), ("a", ts(0, 0, 1), 2.0), ("a", ts(3), 3.0), ("a", ts(3, 0, 1), 4.0)])
+    out = grid.resample_ffill(df, K, ["v"], max_grid_ratio=1e6)
+    assert out.count() == 10_802 and out.where("v = 2").count() == 10_799
+
+
+def test_row_index_segments_stay_near_the_target(spark):
+    """An outlier, a burst and half of all rows at one time: no segment holds more than twice the target."""
+    n, target = 6000, 200
+    t = (F.when(F.col("id") == 5, F.lit(0)).when(F.col("id") % 2 == 0, F.lit(1_700_000_000)).when(F.col("id") < 3000, 1_600_000_000 + F.col("id") % 7)
+         .otherwise(F.col("id") * 1000))
+    df = spark.range(n).select(F.lit("s").alias("k"), F.timestamp_seconds(t).alias("ts"), "id")
+    out = layout.row_index(df, K, "ts", ["id"], rows_per_segment=target)
+    got = [(r.rn, r.n_rows) for r in out.orderBy("ts", "id").collect()]
+    assert got == [(i, n) for i in range(n)]
+    sizes = spark.read.parquet(*out.inputFiles()).groupBy("_seg").count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * target and len(sizes) >= n / target
 
 
 def test_share_80_gate_strict_detector_inclusive(spark):
