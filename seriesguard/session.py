@@ -42,8 +42,11 @@ _SHIPPED: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings the operators rely on, applied to a session someone else built."""
+    """Settings the operators rely on, applied to a session someone else built.
+
+    Arrow batches are kept small: rows may hold whole documents, and a Python worker holds a few batches."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     checkpoint_dir(spark)
     ship_package(spark)
     return spark
