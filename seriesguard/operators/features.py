@@ -132,6 +132,14 @@ def contract(spark: SparkSession, window_size: int, step_size: int, feature_orde
                                  "timestamp_col string, encoded_width int, schema_hash string")
 
 
+def name_columns(df: DataFrame, feature_order: Sequence[str], ts: str) -> DataFrame:
+    """Names for a bare matrix, the time column first; the number of columns must fit the contract."""
+    names = [ts, *feature_order]
+    if len(df.columns) != len(names):
+        raise ValueError(f"{len(df.columns)} columns for {len(names)} names")
+    return df.toDF(*names)
+
+
 def enforce_contract(df: DataFrame, feature_order: Sequence[str], ts: str) -> DataFrame:
     """Required columns present (checked at plan time), ordered and cast to double."""
     missing = [c for c in [ts, *feature_order] if c not in df.columns]

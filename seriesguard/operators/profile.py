@@ -243,6 +243,12 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return row.select(F.explode(entries).alias("_e")).select("_e.column", F.coalesce("_e.n_null", F.lit(0)).alias("n_null"))
 
 
+def table_shape(df: DataFrame) -> DataFrame:
+    """C11: number of rows and columns, and the column names in order."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_columns"),
+                                                            F.lit(",".join(df.columns)).alias("columns"))
+
+
 def ingest_metadata(df: DataFrame, keys: Sequence[str], ts: str, features: Sequence[str]) -> DataFrame:
     """Per series first and last time, row count and feature list."""
     return df.groupBy(*keys).agg(F.min(ts).alias("ts_min"), F.max(ts).alias("ts_max"),

@@ -760,6 +760,9 @@ ORACLE["null_profile"] = with_(P2) + " UNION ALL ".join(
 
 ORACLE["head5"] = "SELECT event_id, ts, event_type, round(value, 6) AS value FROM events ORDER BY event_id LIMIT 5"
 
+ORACLE["table_shape"] = """
+SELECT count(*) AS n_rows, 3 AS n_columns, 'o_orderkey,o_custkey,o_totalprice' AS columns FROM orders"""
+
 ORACLE["ingest_metadata"] = with_(P1) + f"""
 SELECT series_key, min(ts) AS ts_min, max(ts) AS ts_max, count(*) AS n_rows, '{",".join(P1_FEATURES)}' AS features
 FROM p1 GROUP BY 1"""

@@ -579,6 +579,11 @@ def head5(spark, sf_dir):
     return _final(ev.orderBy("event_id").limit(5).select("event_id", "ts", "event_type", "value"))
 
 
+@query
+def table_shape(spark, sf_dir):
+    return profile.table_shape(panels.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+
+
 @query
 def ingest_metadata(spark, sf_dir):
     return _final(profile.ingest_metadata(panels.hourly_panel(spark, sf_dir), KEYS, "ts", P1_FEATURES))

@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Schema of an event message: flat fields, or the same fields nested under ``features``.
-EVENT_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.StringType()),
-    T.StructField("source", T.StringType()), T.StructField("value", T.DoubleType()),
-    T.StructField("user", T.DoubleType()),
-    T.StructField("features", T.StructType([T.StructField("value", T.DoubleType()),
-                                            T.StructField("user", T.DoubleType())])),
-])
+from seriesguard.functions.columns import q
+
+def event_schema(features: Sequence[str], ts: str = "ts", source: str = "source", event_id: str = "event_id") -> T.StructType:
+    """Schema of an event message by the contract: flat fields, or the features nested under ``features``."""
+    own = [T.StructField(f, T.DoubleType()) for f in features]
+    return T.StructType([T.StructField(event_id, T.LongType()), T.StructField(ts, T.StringType()), T.StructField(source, T.StringType()),
+                         *own, T.StructField("features", T.StructType(own))])
+
+
+#: Messages of the ``events`` panel.
+EVENT_SCHEMA = event_schema(["value", "user"])
 
 
 def to_events(df: DataFrame, cols: Sequence[str] | None = None, key: str | None = None,
@@ -42,9 +45,9 @@ def parse_events(df: DataFrame, raw: str = "value", schema: T.StructType = EVENT
     cols = []
     for f in schema.fields:
         if isinstance(f.dataType, T.StructType):
-            cols += [F.col(f"_m.{f.name}.{g.name}").alias(f"{f.name}_{g.name}") for g in f.dataType.fields]
+            cols += [F.col("_m")[f.name][g.name].alias(f"{f.name}_{g.name}") for g in f.dataType.fields]
         else:
-            cols.append(F.col(f"_m.{f.name}").alias(f.name))
+            cols.append(F.col("_m")[f.name].alias(f.name))
     return parsed.select(*keep, "_ok", *cols)
 
 
@@ -52,13 +55,13 @@ def expand_features(parsed: DataFrame, names: Sequence[str], nested: str = "feat
     """A feature is read from the nested object when present, else from the top level."""
     out = parsed
     for n in names:
-        out = out.withColumn(n, F.coalesce(F.col(f"{nested}_{n}"), F.col(n)))
+        out = out.withColumn(n, F.coalesce(F.col(q(f"{nested}_{n}")), F.col(q(n))))
     return out.drop(*[f"{nested}_{n}" for n in names])
 
 
 def synth_time(df: DataFrame, ts: str, ordinal: Column) -> DataFrame:
     """A message without time gets 1970-01-01 plus one second per ordinal (message offset)."""
-    return df.withColumn(ts, F.coalesce(F.to_timestamp(F.col(ts)), F.timestamp_seconds(ordinal)))
+    return df.withColumn(ts, F.coalesce(F.try_to_timestamp(F.col(ts)), F.timestamp_seconds(ordinal)))
 
 
 def rejects(df: DataFrame, raw: str = "value", keep: Sequence[str] = (), required: Sequence[str] = ()) -> DataFrame:

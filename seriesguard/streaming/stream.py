@@ -1,15 +1,22 @@
-"""The event stream, scored on executors with state kept per source.
+"""The event stream, scored on executors with state kept per source.
 
-Plan: source (Kafka, or files locally) -> parse with a reject branch -> event time -> watermark ->
-``dropDuplicatesWithinWatermark(source, ts)`` -> scale (stream-static join with the frozen scaler) ->
-``groupBy(source).applyInPandasWithState`` keeping the last ``W - 1 + lags`` rows and a row counter per
-source, so windows span micro-batches and equal the batch windows -> score and flag (stream-static join
-with the frozen normalisers and threshold) -> sink with a checkpoint. Nothing goes through the driver.
+Plan: source (Kafka, or files locally) -> parse by the contract's features, with a reject branch -> scale and H1 row
+errors (stream-static joins with the frozen parameters) -> ``groupBy(source).applyInPandasWithState`` -> score and flag
+with the frozen normalisers and thresholds -> sink with a checkpoint. Nothing goes through the driver.
+
+The stateful step orders rows by event time. A source's watermark is its newest event time minus the allowed delay;
+rows wait in a buffer until the watermark passes them, so disorder within the delay changes nothing, and rows at
+or before the last one released come out as ``late``. Released rows continue the source's series: the last
+``W - 1 + lags`` rows and a row counter are kept, so windows span micro-batches and equal the batch windows. Rows of a
+source that falls silent wait for its next row. When scoring fails for one source, its released rows come out as
+``error`` rows and its series goes on behind them; the other sources aren't touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,20 +25,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from seriesguard.operators.recon import EWMA_WEIGHTS
+from seriesguard.functions.columns import q
+from seriesguard.operators import drift
+from seriesguard.operators.recon import EWMA_WEIGHTS, LOCAL_KERNEL, MODELS
 from seriesguard.sources import events as ev_src
 
-OUT_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType()), T.StructField("ts", T.TimestampType()),
-    T.StructField("event_id", T.LongType()), T.StructField("rn", T.LongType()),
-    T.StructField("err", T.DoubleType()), T.StructField("status", T.StringType()),
-])
+NO_SOURCE = "_"
+DOUBLES = T.ArrayType(T.DoubleType())
 STATE_SCHEMA = T.StructType([
-    T.StructField("buf_us", T.ArrayType(T.LongType())),
-    T.StructField("buf_x", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    T.StructField("n_seen", T.LongType()), T.StructField("last_us", T.LongType()),
+    T.StructField("wait_us", T.ArrayType(T.LongType())), T.StructField("wait_id", T.ArrayType(T.LongType())),
+    T.StructField("wait_x", T.ArrayType(DOUBLES)), T.StructField("kept_x", T.ArrayType(DOUBLES)),
+    T.StructField("n_seen", T.LongType()), T.StructField("newest_us", T.LongType()), T.StructField("last_us", T.LongType()),
 ])
-NO_SOURCE = "_"
+
+
+def out_schema(models: Sequence[str]) -> T.StructType:
+    return T.StructType([
+        T.StructField("source", T.StringType()), T.StructField("ts", T.TimestampType()),
+        T.StructField("event_id", T.LongType()), T.StructField("rn", T.LongType()),
+        *[T.StructField(f"err__{m}", T.DoubleType()) for m in models], T.StructField("x", DOUBLES),
+        T.StructField("status", T.StringType()), T.StructField("message", T.StringType())])
 
 
 def read_event_stream(spark: SparkSession, path: str | None = None, options: dict | None = None,
@@ -51,135 +64,251 @@ def read_event_stream(spark: SparkSession, path: str | None = None, options: dic
     return reader.load(path)
 
 
-def parse_stream(raw: DataFrame, features: Sequence[str], ts: str = "ts",
-                 source: str = "source") -> tuple[DataFrame, DataFrame]:
-    """B10-B13, L3 on a stream: ``(events, rejects)``. Messages without a time are rejected (a
-    stream needs event time); a null source becomes its own group ``'_'``."""
-    parsed = ev_src.parse_events(raw.select(F.col("value").alias("_raw")), raw="_raw")
-    parsed = ev_src.expand_features(parsed, list(features))
-    good = parsed.where(F.col("_ok") & F.col(ts).isNotNull()).select(
-        F.coalesce(F.col(source), F.lit(NO_SOURCE)).alias("source"), F.col("event_id"),
-        F.to_timestamp(F.col(ts)).alias("ts"), *[F.col(c).cast("double").alias(c) for c in features])
-    bad = ev_src.rejects(raw, required=[ts])
+def parse_stream(raw: DataFrame, features: Sequence[str], ts: str = "ts", source: str = "source",
+                 default_source: str | None = NO_SOURCE) -> tuple[DataFrame, DataFrame]:
+    """``(events, rejects)`` of messages with any feature names, flat or under ``features``.
+
+    Messages that aren't objects, lack a time or a feature, or hold one that can't be read (``bad time``, ``bad:<name>``)
+    are rejected with a reason. A null source is ``default_source``; without one it is rejected too."""
+    schema = ev_src.event_schema(features, ts, source)
+    parsed = ev_src.parse_events(raw.select(F.col("value").alias("_raw")), raw="_raw", schema=schema, keep=["_raw"])
+    parsed = ev_src.expand_features(parsed, list(features)).withColumn("_ts", F.try_to_timestamp(F.col(ts)))
+    given = lambda *paths: F.coalesce(*[F.get_json_object("_raw", f"$['{x}']" if n is None else f"$['{n}']['{x}']")
+                                        for n, x in paths]).isNotNull()
+    why = [F.when(F.col(ts).isNull(), F.lit(f"missing:{ts}")), F.when(F.col("_ts").isNull(), F.lit("bad time"))]
+    if default_source is None:
+        why.append(F.when(F.col(source).isNull(), F.lit(f"missing:{source}")))
+    for c in features:
+        value = F.col(q(c)).cast("double")
+        why.append(F.when(value.isNull() | F.isnan(value), F.when(given((None, c), ("features", c)), F.lit(f"bad:{c}"))
+                          .otherwise(F.lit(f"missing:{c}"))))
+    reason = F.when(F.col("_raw").isNull(), F.lit("null")).when(~F.col("_ok"), F.lit("malformed")).otherwise(F.coalesce(*why))
+    judged = parsed.withColumn("_reason", reason)
+    good = judged.where(F.col("_reason").isNull()).select(
+        F.coalesce(F.col(source), F.lit(default_source)).alias("source"), F.col("event_id"), F.col("_ts").alias("ts"),
+        *[F.col(q(c)).cast("double").alias(c) for c in features])
+    bad = judged.where(F.col("_reason").isNotNull()).select(F.col("_raw").alias("raw"), F.col("_reason").alias("reason"))
     return good, bad
 
 
-def _window_fn(features: Sequence[str], W: int, step: int, weights: Sequence[float]):
-    feats = list(features)
-    K = len(weights)
+def _window_errors(X: np.ndarray, seasonal: np.ndarray, start: int, first: int, W: int, step: int, models: Sequence[str],
+                   weights: np.ndarray, kernel: Sequence[float], extra: dict[str, Callable]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Positions in ``X`` (from ``first`` on) where windows end, and each model's window errors.
+
+    ``X`` is a stretch of a series that begins at row ``start``; the formulas are those of the batch detectors."""
+    n, K = len(X), len(weights)
+    g = start + np.arange(n)
+    ends = np.arange(first, n)
+    ends = ends[(ends >= W - 1) & (g[ends] >= W - 1) & ((g[ends] - (W - 1)) % step == 0)]
+    if not len(ends):
+        return ends, {m: np.zeros(0) for m in [*models, *extra]}
+    wins = np.lib.stride_tricks.sliding_window_view(X, W, axis=0)[ends - W + 1].transpose(0, 2, 1)
+    out = {}
+    for m in models:
+        if m == "local":
+            kl, kc, kr = (float(k) for k in kernel)
+            rec = np.empty_like(wins)
+            rec[:, 0] = (kc * wins[:, 0] + kr * wins[:, 1]) / (kc + kr)
+            rec[:, 1:-1] = (kl * wins[:, :-2] + kc * wins[:, 1:-1] + kr * wins[:, 2:]) / (kl + kc + kr)
+            rec[:, -1] = (kl * wins[:, -2] + kc * wins[:, -1]) / (kl + kc)
+            out[m] = ((wins - rec) ** 2).mean(axis=(1, 2))
+            continue
+        if m == "seasonal":
+            row = seasonal
+        else:
+            num, den = np.zeros_like(X), np.zeros(n)
+            for k in range(1, K + 1):
+                has = (g >= k) & (np.arange(n) >= k)
+                num[has] += weights[k - 1] * X[np.flatnonzero(has) - k]
+                den[has] += weights[k - 1]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                row = ((X - num / den[:, None]) ** 2).mean(axis=1)
+        rows = np.lib.stride_tricks.sliding_window_view(row, W)[ends - W + 1]
+        known = ~np.isnan(rows)
+        first_row = (m == "ewma") & (g[ends] == W - 1)  # the series' first row has nothing to be reconstructed from
+        whole = known.sum(axis=1) == W - first_row
+        out[m] = np.where(whole, np.where(known, rows, 0).sum(axis=1) / np.maximum(known.sum(axis=1), 1), np.nan)
+    for m, fn in extra.items():
+        out[m] = np.asarray(fn(wins), dtype=float)
+    return ends, out
+
+
+def _window_fn(features: Sequence[str], W: int, step: int, delay_us: int, models: Sequence[str], weights: Sequence[float],
+               kernel: Sequence[float], extra: dict[str, Callable]):
+    K, C = len(weights), len(features)
     keep = W - 1 + K
-    wts = np.asarray(weights, dtype=float) / float(sum(weights))
+    wts = np.asarray(weights, dtype=float)
+    names = [f.name for f in out_schema([*models, *extra]).fields]
+
+    def rows(n: int, **cols) -> pd.DataFrame:
+        return pd.DataFrame({c: cols.get(c, [None] * n) for c in names})
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
         src = key[0]
-        if state.exists:
-            buf_us, buf_x, n_seen, last_us = state.get
-            buf_us = list(buf_us or [])
-            buf_x = [list(r) for r in (buf_x or [])]
-        else:
-            buf_us, buf_x, n_seen, last_us = [], [], 0, None
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if batch.empty:
-            return
-        batch["_us"] = batch["ts"].astype("datetime64[us]").astype("int64")
-        batch = batch.sort_values(["_us", "event_id"], kind="mergesort")
-        late = batch["_us"] <= (last_us if last_us is not None else np.iinfo(np.int64).min)
-        out = []
-        if late.any():
-            lr = batch[late]
-            out.append(pd.DataFrame({"source": src, "ts": lr["ts"].values, "event_id": lr["event_id"].values,
-                                     "rn": None, "err": np.nan, "status": "late"}))
-        new = batch[~late].drop_duplicates("_us", keep="first")
-        if not new.empty:
-            x_new = new[feats].to_numpy(dtype=float)
-            X = np.vstack([np.asarray(buf_x, dtype=float).reshape(-1, len(feats)), x_new])
-            nb = len(buf_us)
-            start = n_seen - nb
-            n = len(X)
-            rec = np.full_like(X, np.nan)
-            if n > K:
-                rec[K:] = 0.0
-                for k in range(1, K + 1):
-                    rec[K:] += wts[k - 1] * X[K - k:n - k]
-            g = start + np.arange(n)
-            row_err = np.where((g >= K)[:, None], (X - rec) ** 2, np.nan).mean(axis=1)
-            csum = np.concatenate([[0.0], np.cumsum(np.nan_to_num(row_err))])
-            e = np.arange(nb, n)
-            ge = start + e
-            valid = (ge >= W - 1 + K) & ((ge - (W - 1)) % step == 0) & (e >= W - 1)
-            lo = np.clip(e - W + 1, 0, None)
-            errs = np.where(valid, (csum[e + 1] - csum[lo]) / W, np.nan)
-            rns = ge
-            ok = pd.DataFrame({"source": src, "ts": new["ts"].values, "event_id": new["event_id"].values,
-                               "rn": rns, "err": errs, "status": "ok"})
-            out.append(ok[ok["err"].notna()])
-            all_us = buf_us + new["_us"].tolist()
-            all_x = np.vstack([np.asarray(buf_x, dtype=float).reshape(-1, len(feats)), x_new]).tolist()
-            buf_us, buf_x = all_us[-keep:], all_x[-keep:]
-            n_seen += len(new)
-            last_us = int(new["_us"].max())
-        state.update((buf_us, buf_x, int(n_seen), last_us))
-        for o in out:
-            if not o.empty:
-                yield o
+        wait_us, wait_id, wait_x, kept_x, n_seen, newest, last = state.get if state.exists else ([], [], [], [], 0, None, None)
+        wait = [(u, i, list(x)) for u, i, x in zip(wait_us or [], wait_id or [], wait_x or [], strict=True)]
+        kept = [list(x) for x in kept_x or []]
+        late: list[tuple[int, int]] = []
+        for pdf in pdfs:  # one Arrow batch at a time
+            us = pdf["ts"].astype("datetime64[us]").astype("int64").tolist()
+            xs = [[math.nan if v is None else float(v) for v in x] for x in pdf["xs"]]
+            for u, i, x in zip(us, pdf["event_id"].tolist(), xs, strict=True):
+                if last is not None and u <= last:
+                    late.append((u, i))
+                else:
+                    wait.append((u, i, x))
+                newest = u if newest is None else max(newest, u)
+        if late:
+            yield rows(len(late), source=[src] * len(late), ts=pd.to_datetime([u for u, _ in late], unit="us"), event_id=[i for _, i in late],
+                       status=["late"] * len(late))
+        wait.sort(key=lambda r: (r[0], -1 if r[1] is None or r[1] != r[1] else r[1]))
+        n_ready = 0 if newest is None else bisect_right(wait, newest - delay_us, key=lambda r: r[0])
+        released, wait = wait[:n_ready], wait[n_ready:]
+        ready = [r for k, r in enumerate(released) if not k or released[k - 1][0] != r[0]]  # of repeated times the first stays
+        if ready:
+            nb = len(kept)
+            all_x = np.asarray(kept + [r[2] for r in ready], dtype=float).reshape(-1, C + 1)
+            try:
+                ends, errs = _window_errors(all_x[:, :C], all_x[:, C], n_seen - nb, nb, W, step, models, wts, kernel, extra)
+                own = [ready[e - nb] for e in ends]
+                out = rows(len(ends), source=[src] * len(ends), ts=pd.to_datetime([r[0] for r in own], unit="us"),
+                           event_id=[r[1] for r in own], rn=(n_seen - nb + ends).tolist(), status=["ok"] * len(ends),
+                           x=[r[2][:C] for r in own], **{f"err__{m}": v for m, v in errs.items()})
+            except Exception as e:  # noqa: BLE001 - one source's failure is its own
+                out = rows(len(ready), source=[src] * len(ready), ts=pd.to_datetime([r[0] for r in ready], unit="us"),
+                           event_id=[r[1] for r in ready], rn=[n_seen + k for k in range(len(ready))], status=["error"] * len(ready),
+                           message=[f"{type(e).__name__}: {e}"[:500]] * len(ready))
+            if len(out):
+                yield out
+            kept, n_seen, last = all_x[-keep:].tolist(), n_seen + len(ready), ready[-1][0]
+        state.update(([r[0] for r in wait], [r[1] for r in wait], [r[2] for r in wait], kept, int(n_seen), newest, last))
 
     return fn
 
 
-def stateful_windows(events: DataFrame, features: Sequence[str], W: int = 16, step: int = 1,
-                     weights: Sequence[float] = EWMA_WEIGHTS, watermark: str = "1 hour",
-                     dedup: bool = True) -> DataFrame:
-    """Windows of ``W`` rows per source across micro-batches, with the ``ewma`` detector's
-    window error. Rows older than what a source already processed come out with ``status='late'``."""
-    ev = events.withWatermark("ts", watermark)
-    if dedup:
-        ev = ev.dropDuplicatesWithinWatermark(["source", "ts"])
-    fn = _window_fn(features, W, step, weights)
-    return ev.groupBy("source").applyInPandasWithState(
-        fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def _micros_of(delay: str) -> int:
+    return int(pd.Timedelta(delay) / pd.Timedelta(microseconds=1))
 
 
-def score_stream(windows: DataFrame, normalizer: DataFrame, threshold: DataFrame) -> DataFrame:
-    """Frozen parameters joined as static tables (one row per source, or keyed ``'_'`` for all)."""
-    ok = windows.where(F.col("status") == "ok")
-    scored = (ok.join(normalizer, "source", "left")
-              .withColumn("score", (F.col("err") - F.col("mean")) / F.when(F.col("std") > 0, F.col("std"))
-                          .otherwise(F.lit(1.0)))
-              .join(threshold, "source", "left")
-              .withColumn("flag", (F.col("score") > F.col("threshold")).cast("int")))
-    return scored.select("source", "ts", "event_id", "rn", "err", "score", "flag")
+def stateful_windows(events: DataFrame, features: Sequence[str], W: int = 16, step: int = 1, weights: Sequence[float] = EWMA_WEIGHTS,
+                     watermark: str = "1 hour", models: Sequence[str] = ("ewma",), kernel: Sequence[float] = LOCAL_KERNEL,
+                     extra: dict[str, Callable] | None = None) -> DataFrame:
+    """Window errors of each source's ``W`` rows across micro-batches.
+
+    ``events`` has ``source``, ``event_id``, ``ts``, the features and, for H1, ``seasonal_err`` (``with_seasonal``). ``extra`` maps names
+    to functions of a batch of windows (n, W, C) that return n errors. Output rows have ``status`` ``ok`` (one per window:
+    ``err__<model>``, and ``x``, its last row), ``late`` (one per late row) or ``error`` (one per released row, with ``message``)."""
+    unknown = set(models) - set(MODELS)
+    if unknown:
+        raise ValueError(f"unknown models: {sorted(unknown)}")
+    if "seasonal_err" not in events.columns:
+        if "seasonal" in models:
+            raise ValueError("the seasonal model needs with_seasonal() before")
+        events = events.withColumn("seasonal_err", F.lit(None).cast("double"))
+    fn = _window_fn(features, W, step, _micros_of(watermark), list(models), weights, kernel, dict(extra or {}))
+    packed = events.select("source", "event_id", "ts", F.array(*[F.col(q(c)).cast("double") for c in features], "seasonal_err").alias("xs"))
+    out = packed.groupBy("source").applyInPandasWithState(
+        fn, out_schema([*models, *(extra or {})]), STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    # a projection makes plain rows of the columnar ones; joins and exchanges right above the step need them
+    return out.withColumn("status", F.concat(F.col("status"), F.lit("")))
 
 
 def scale_stream(events: DataFrame, scaler: DataFrame, features: Sequence[str]) -> DataFrame:
     """Stream-static join with the frozen scaler (columns ``mean__c``, ``scale__c`` per source)."""
     j = events.join(scaler, "source", "left")
-    return j.select("source", "event_id", "ts", *[((F.col(c) - F.col(f"mean__{c}")) / F.col(f"scale__{c}")).alias(c)
+    return j.select("source", "event_id", "ts", *[((F.col(q(c)) - F.col(q(f"mean__{c}"))) / F.col(q(f"scale__{c}"))).alias(c)
                                                   for c in features])
 
 
-def start(df: DataFrame, path: str | None, checkpoint: str, trigger: str = "5 seconds", fmt: str = "parquet",
-          query_name: str | None = None, output_mode: str = "append"):
-    """L1, A5: write a stream with a processing-time trigger and a checkpoint for exactly-once replay."""
+def with_seasonal(scaled: DataFrame, means: DataFrame, features: Sequence[str], phase=None) -> DataFrame:
+    """H1 on a stream: ``seasonal_err`` of each scaled row against the frozen phase means of its source."""
+    phase = F.hour("ts") if phase is None else phase
+    j = scaled.withColumn("_phase", phase).join(means, ["source", "_phase"], "left")
+    sq = [(F.col(q(c)) - F.col(q(f"seasonal__{c}"))) * (F.col(q(c)) - F.col(q(f"seasonal__{c}"))) for c in features]
+    return j.withColumn("seasonal_err", sum(sq[1:], sq[0]) / F.lit(float(len(sq)))).select(*scaled.columns, "seasonal_err")
+
+
+def score_stream(windows: DataFrame, normalizers: DataFrame | None, thresholds: DataFrame, models: Sequence[str]) -> DataFrame:
+    """The ensemble score with frozen parameters, joined as static tables (a row per source). ``normalizers`` has
+    ``source, model, mean, std``. Late and error rows pass through without a score."""
+    j = windows
+    parts = []
+    for m in models:
+        err = F.col(f"err__{m}")
+        if normalizers is not None:
+            own = normalizers.where(F.col("model") == m).select("source", F.col("mean").alias(f"_mean_{m}"), F.col("std").alias(f"_std_{m}"))
+            j = j.join(own, "source", "left")
+            std = F.col(f"_std_{m}")
+            err = (err - F.col(f"_mean_{m}")) / F.when(std > 0, std).otherwise(F.lit(1.0))
+        parts.append(F.when(~F.isnan(err), err))
+    known = F.filter(F.array(*parts), lambda e: e.isNotNull())
+    score = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, e: a + e) / F.size(known))
+    j = j.join(thresholds.select("source", "threshold"), "source", "left").withColumn("score", score)
+    flag = (F.col("score") > F.col("threshold")).cast("int")
+    status = F.when((F.col("status") == "ok") & flag.isNull(), F.lit("no_validation")).otherwise(F.col("status"))
+    return j.select("source", "ts", "event_id", "rn", *[f"err__{m}" for m in models], "x", "score", flag.alias("flag"),
+                    status.alias("status"), "message")
+
+
+def score_events(events: DataFrame, params, watermark: str = "1 hour") -> DataFrame:
+    """Parsed events through the whole chain with ``flows.Params`` of a single-key fit, as ``flows.score`` does in batch."""
+    info = params.info
+    if len(info["keys"]) != 1 or info["pooled"]:
+        raise ValueError("the stream needs parameters fitted per series of one key")
+    by_source = lambda t: t.withColumnRenamed(info["keys"][0], "source")
+    feats, models = info["feature_order"], info["models"]
+    rows = scale_stream(events, by_source(params.scaler), feats)
+    if "seasonal" in models:
+        rows = with_seasonal(rows, by_source(params.means), feats)
+    win = stateful_windows(rows, feats, info["window_size"], info["step_size"], watermark=watermark, models=models)
+    norms = by_source(params.normalizers) if params.normalizers is not None else None
+    return score_stream(win, norms, by_source(params.thresholds), models)
+
+
+def as_messages(df: DataFrame, key: str = "source") -> DataFrame:
+    """A5: one JSON message per row, with its key, for a message sink."""
+    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+
+
+def start(df: DataFrame, path: str | None, checkpoint: str, trigger: str | None = "5 seconds", fmt: str = "parquet",
+          query_name: str | None = None, output_mode: str = "append", options: dict | None = None):
+    """L1, A5: write a stream with a processing-time trigger and a checkpoint for exactly-once replay. ``options`` go to the
+    sink (brokers and topic of a Kafka sink, whose rows come from ``as_messages``)."""
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     if trigger:
         w = w.trigger(processingTime=trigger)
     w = w.format(fmt)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
     return w.start(path) if path else w.start()
 
 
-def live_stats_sink(out_path: str):
-    """``foreachBatch`` that appends per-source live statistics of each scored micro-batch
-    (aggregated on executors; a micro-batch is bounded by the trigger, so its percentiles are too)."""
+def live_stats_sink(out_path: str, features: Sequence[str] = ()):
+    """``foreachBatch`` that appends per-source live statistics of each scored micro-batch: J1 and J7, and with
+    ``features`` J5 and J6 over the windows' last rows (aggregated on executors; a micro-batch is bounded by
+    the trigger, so its percentiles are too)."""
+    from seriesguard.operators import stats
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        stats = batch.groupBy("source").agg(
+        rows = batch.where(F.col("score").isNotNull())
+        out = rows.groupBy("source").agg(
             F.count(F.lit(1)).alias("n_windows"), F.avg("flag").alias("anomaly_rate"),
             F.percentile("score", 0.5).alias("error_median"), F.percentile("score", 0.95).alias("error_p95"))
-        stats.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        if features:
+            wide = rows.select("source", *[F.col("x")[i].alias(c) for i, c in enumerate(features)])
+            out = out.join(stats.live_stats(wide, ["source"], list(features), None), "source")
+        out.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
     return write
 
 
+def metrics_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Metric samples from JSON files that appear in ``folder``, the last write of each label set (K2)."""
+    schema = "metric string, feature string, model_version string, env string, ts timestamp, value double"
+    return drift.metric_latest(spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).json(folder))
+
+
 def health(query) -> dict:
     """Progress of a running query (rows in the last trigger, state rows)."""
     p = query.lastProgress or {}

@@ -1,134 +1,203 @@
 """Stream = batch: windows scored across micro-batches equal the batch windows."""
 
+import datetime as dt
 import json
 import math
 import os
+import random
 import tempfile
 import time
 
 from pyspark.sql import functions as F
 
 from seriesguard.operators import recon
-from seriesguard.plans import panels
+from seriesguard.plans import flows, panels
 from seriesguard.streaming import stream as S
 from tests.conftest import SF
 
 FEATS = ["value", "user"]
+DELAY = "1 hour"
 
 
-def _write_split_files(spark, folder, n_files, late_dup=False):
-    ev = panels.events(spark, SF).orderBy("event_id").collect()
-    chunks = [ev[i * len(ev) // n_files:(i + 1) * len(ev) // n_files] for i in range(n_files)]
-    paths = []
-    for i, rows in enumerate(chunks):
-        lines = []
-        for r in rows:
-            msg = {"event_id": r.event_id, "ts": r.ts.strftime("%Y-%m-%dT%H:%M:%S.%f"), "source": r.event_type,
-                   "value": r.value, "user": float(r.user_id)}
-            lines.append(json.dumps(msg))
-        if late_dup and i == n_files - 1:
-            lines.append(lines[0])  # a repeated (and late) row from the first file
-        if i == 0:
-            lines.append("{bad")
+def _messages(spark):
+    out = []
+    for r in panels.events(spark, SF).orderBy("ts", "event_id").collect():
+        out.append({"event_id": r.event_id, "ts": r.ts.strftime("%Y-%m-%dT%H:%M:%S.%f"), "source": r.event_type,
+                    "value": r.value, "user": float(r.user_id)})
+    return out
+
+
+def _write(lines, n_files):
+    """``lines`` in order over ``n_files`` files with increasing times."""
+    folder = tempfile.mkdtemp(prefix="sg-stream-in-")
+    for i in range(n_files):
         p = os.path.join(folder, f"part-{i:03d}.json")
         with open(p, "w") as f:
-            f.write("\n".join(lines) + "\n")
-        t = time.time() - 1000 + i * 10
+            f.write("\n".join(lines[i * len(lines) // n_files:(i + 1) * len(lines) // n_files]) + "\n")
+        t = time.time() - 10_000 + i * 10
         os.utime(p, (t, t))
-        paths.append(p)
-    return paths
+    return folder
 
 
-def _run_stream(spark, n_files, late_dup=False):
-    folder = tempfile.mkdtemp(prefix="sg-stream-in-")
-    _write_split_files(spark, folder, n_files, late_dup)
-    raw = S.read_event_stream(spark, folder, max_files_per_trigger=1)
-    good, bad = S.parse_stream(raw, FEATS)
-    win = S.stateful_windows(good, FEATS, W=16, step=1, watermark="3650 days")
-    name = f"win_{n_files}_{int(late_dup)}_{int(time.time() * 1000)}"
-    q = S.start(win, None, tempfile.mkdtemp(prefix="sg-ckpt-"), trigger=None, fmt="memory", query_name=name)
-    q.processAllAvailable()
-    q.stop()
+def _run(spark, lines, n_files, build):
+    """Rows of the memory table that ``build(raw stream)`` was written to."""
+    raw = S.read_event_stream(spark, _write(lines, n_files), max_files_per_trigger=1)
+    name = f"out_{time.time_ns()}"
+    query = S.start(build(raw), None, tempfile.mkdtemp(prefix="sg-ckpt-"), trigger=None, fmt="memory", query_name=name)
+    query.processAllAvailable()
+    query.stop()
     return spark.table(name)
 
 
+def _ewma(features=FEATS, **kw):
+    return lambda raw: S.stateful_windows(S.parse_stream(raw, features)[0], features, W=16, watermark=DELAY, **kw)
+
+
 def _batch(spark):
+    """Window errors by source and time, of windows that the watermark has passed."""
     ev = panels.events(spark, SF).select(F.col("event_type").alias("series_key"), "ts", "event_id",
                                          F.col("value").cast("double").alias("value"),
                                          F.col("user_id").cast("double").alias("user"))
     errs = recon.detect(ev, ["series_key"], FEATS, 16, 1, ["ewma"])
-    return errs.select(F.col("series_key").alias("source"), "ts", "err")
+    newest = ev.groupBy("series_key").agg(F.max("ts").alias("newest"))
+    passed = errs.join(newest, "series_key").where(F.col("ts") <= F.col("newest") - F.expr("interval 1 hour"))
+    return {(r.series_key, r.ts): r.err for r in passed.collect()}
+
+
+def _errors(out):
+    return {(r.source, r.ts): r.err__ewma for r in out.where("status = 'ok'").collect()}
+
+
+def _equal(got, want):
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-9, abs_tol=1e-12) for k in want)
 
 
 def test_stream_equals_batch_for_file_splits(spark):
-    batch = {(r.source, r.ts): r.err for r in _batch(spark).collect()}
-    assert len(batch) == 1000 - 5 * 19
+    want = _batch(spark)
+    assert len(want) > 900
+    lines = [json.dumps(m) for m in _messages(spark)]
     for n in (1, 3, 7):
-        out = _run_stream(spark, n).where(F.col("status") == "ok")
-        got = {(r.source, r.ts): r.err for r in out.select("source", "ts", "err").collect()}
-        assert got.keys() == batch.keys(), f"{n} files"
-        assert all(math.isclose(got[k], batch[k], rel_tol=1e-9) for k in batch), f"{n} files"
+        _equal(_errors(_run(spark, lines, n, _ewma())), want)
 
 
-def test_late_and_repeated_rows_are_routed(spark):
-    out = _run_stream(spark, 3, late_dup=True)
-    ok = out.where(F.col("status") == "ok").count()
-    assert ok == 1000 - 5 * 19
-    # the repeated copy of an old row is dropped by the watermark dedup, never scored twice
-    assert out.where(F.col("status") == "ok").select("source", "ts").distinct().count() == ok
+def _disordered(messages, seconds, seed=1):
+    """The messages in the order of their times plus up to ``seconds``."""
+    rnd = random.Random(seed)
+    at = lambda m: dt.datetime.fromisoformat(m["ts"]).timestamp()
+    return sorted(messages, key=lambda m: at(m) + rnd.uniform(0, seconds))
 
 
-def test_rejects_branch(spark):
-    folder = tempfile.mkdtemp(prefix="sg-rej-")
-    with open(os.path.join(folder, "a.json"), "w") as f:
-        f.write('{"event_id": 1, "ts": "2024-01-01T00:00:00", "source": "x", "value": 1.0}\n{bad\n[1, 2]\n'
-                '{"event_id": 2, "source": "x", "value": 2.0}\n')
-    raw = spark.read.text(folder)
-    good, bad = S.parse_stream(raw, ["value"])
-    assert good.count() == 1
-    reasons = sorted(r.reason for r in bad.collect())
-    assert reasons == ["malformed", "malformed", "missing:ts"]
-
-
-def test_scored_stream_with_live_stats_sink(spark):
-    """Frozen parameters joined as static tables, per-batch live statistics appended."""
-    from seriesguard.operators import features
-
-    folder = tempfile.mkdtemp(prefix="sg-stream-score-")
-    _write_split_files(spark, folder, 3)
-    ev = panels.events(spark, SF).select(F.col("event_type").alias("source"),
-                                         F.col("value").cast("double").alias("value"),
-                                         F.col("user_id").cast("double").alias("user"))
-    scaler = features.scaler_fit(ev, ["source"], FEATS, split_col=None)
-    norm = spark.createDataFrame([(s, 1.0, 2.0) for s in ("click", "view", "error", "purchase", "signup")],
-                                 "source string, mean double, std double")
-    thr = spark.createDataFrame([(s, 0.5) for s in ("click", "view", "error", "purchase", "signup")],
-                                "source string, threshold double")
-    raw = S.read_event_stream(spark, folder, max_files_per_trigger=1)
-    good, _ = S.parse_stream(raw, FEATS)
-    scaled = S.scale_stream(good, scaler, FEATS)
-    scored = S.score_stream(S.stateful_windows(scaled, FEATS, W=16, watermark="3650 days"), norm, thr)
-    out = tempfile.mkdtemp(prefix="sg-live-")
-    q = (scored.writeStream.foreachBatch(S.live_stats_sink(os.path.join(out, "stats")))
-         .option("checkpointLocation", tempfile.mkdtemp(prefix="sg-ckpt-")).start())
-    q.processAllAvailable()
-    h = S.health(q)
-    q.stop()
-    stats = spark.read.parquet(os.path.join(out, "stats"))
-    assert stats.agg(F.sum("n_windows")).first()[0] == 1000 - 5 * 19
-    assert stats.select("batch_id").distinct().count() >= 2
-    assert h["batch_id"] is not None
+def test_disorder_within_the_watermark_changes_nothing(spark):
+    shuffled = _disordered(_messages(spark), 3500)
+    assert [m["event_id"] for m in shuffled] != [m["event_id"] for m in _messages(spark)]
+    out = _run(spark, [json.dumps(m) for m in shuffled], 5, _ewma())
+    _equal(_errors(out), _batch(spark))
+    assert out.where("status <> 'ok'").count() == 0
+
+
+def test_late_and_repeated_rows_are_routed(spark):
+    messages = _messages(spark)
+    old = [dict(messages[10], event_id=90_000, ts="2020-01-01T00:00:00.000000"), messages[20]]
+    out = _run(spark, [json.dumps(m) for m in [*messages, *old]], 4, _ewma())
+    assert sorted(r.event_id for r in out.where("status = 'late'").collect()) == sorted([90_000, messages[20]["event_id"]])
+    _equal(_errors(out), _batch(spark))
+
+
+def test_bad_messages_and_features_are_rejected_and_do_not_shift_windows(spark):
+    messages = _messages(spark)
+    lines = [json.dumps(m) for m in messages]
+    first = messages[0]
+    bad = ["{bad", "[1, 2]", json.dumps(dict(first, ts="not-a-time")), json.dumps(dict(first, value=None)), json.dumps(dict(first, value="high")),
+           json.dumps({k: v for k, v in first.items() if k != "user"}), json.dumps({k: v for k, v in first.items() if k != "ts"})]
+    mixed = [x for i, line in enumerate(lines) for x in ([line, bad[i // 100]] if i % 100 == 50 and i // 100 < len(bad) else [line])]
+    out = _run(spark, mixed, 3, _ewma())
+    _equal(_errors(out), _batch(spark))
+    rejected = S.parse_stream(spark.createDataFrame([(x,) for x in bad], "value string"), FEATS)[1]
+    assert sorted(r.reason for r in rejected.collect()) == ["bad time", "bad:value", "malformed", "malformed", "missing:ts", "missing:user",
+                                                            "missing:value"]
+
+
+def test_other_feature_names_flat_and_nested(spark):
+    names = ["oil temp", "p.1"]
+    lines = []
+    for i, m in enumerate(_messages(spark)):
+        body = {names[0]: m["value"], names[1]: m["user"]}
+        rest = {"event_id": m["event_id"], "ts": m["ts"], "source": m["source"]}
+        lines.append(json.dumps({**rest, "features": body} if i % 3 else {**rest, **body}))
+    _equal(_errors(_run(spark, lines, 3, _ewma(names))), _batch(spark))
+
+
+def test_full_ensemble_on_the_stream_equals_frozen_scoring(spark):
+    panel = panels.events(spark, SF).select(F.col("event_type").alias("series_key"), "ts", "event_id", F.col("value").cast("double").alias("value"),
+                                            F.col("user_id").cast("double").alias("user"))
+    fx = flows.fit_score(panel.drop("event_id"), ["series_key"], FEATS, W=16)
+    batch = flows.score(panel, fx.params, tiebreak=["event_id"])
+    newest = panel.groupBy("series_key").agg(F.max("ts").alias("newest"))
+    want = {(r.series_key, r.ts): (r.score, r.flag) for r in batch.join(newest, "series_key").where("ts <= newest - interval 1 hour").collect()}
+    lines = [json.dumps(m) for m in _disordered(_messages(spark), 1800)]
+    out = _run(spark, lines, 4, lambda raw: S.score_events(S.parse_stream(raw, FEATS)[0], fx.params, watermark=DELAY))
+    got = {(r.source, r.ts): (r.score, r.flag) for r in out.where("status = 'ok'").collect()}
+    assert got.keys() == want.keys() and len(want) > 900
+    assert all(math.isclose(got[k][0], want[k][0], rel_tol=1e-9, abs_tol=1e-9) and got[k][1] == want[k][1] for k in want)
+
+
+def test_failure_of_one_source_is_its_own(spark):
+    def model(wins):
+        if (wins[:, :, 0] > 1e6).any():
+            raise ValueError("out of range")
+        return wins.mean(axis=(1, 2))
+
+    messages = _messages(spark)
+    broken = [dict(m, value=1e7) if m["source"] == "click" else m for m in messages]
+    out = _run(spark, [json.dumps(m) for m in broken], 2, _ewma(extra={"mine": model}))
+    assert {r.source for r in out.where("status = 'error'").select("source").distinct().collect()} == {"click"}
+    assert out.where("status = 'error'").first().message == "ValueError: out of range"
+    rest = {k: v for k, v in _batch(spark).items() if k[0] != "click"}
+    _equal({k: v for k, v in _errors(out).items() if k[0] != "click"}, rest)
+    assert out.where("status = 'ok' and err__mine is null").count() == 0
+
+
+def test_sink_messages_and_options(spark, tmp_path):
+    windows = _ewma()
+    lines = [json.dumps(m) for m in _messages(spark)]
+    raw = S.read_event_stream(spark, _write(lines, 2), max_files_per_trigger=1)
+    query = S.start(S.as_messages(windows(raw)), str(tmp_path / "out"), str(tmp_path / "ckpt"), trigger=None, fmt="json",
+                    options={"compression": "gzip"})
+    query.processAllAvailable()
+    query.stop()
+    rows = spark.read.json(str(tmp_path / "out")).collect()
+    assert len(rows) == len(_batch(spark)) and any(f.endswith(".gz") for f in os.listdir(tmp_path / "out"))
+    body = json.loads(rows[0].value)
+    assert body["source"] == rows[0].key and {"ts", "rn", "err__ewma", "status"} <= set(body)
+
+
+def test_live_statistics_of_each_batch(spark, tmp_path):
+    """Frozen parameters as static tables, per-batch live statistics appended."""
+    sources = ("click", "view", "error", "purchase", "signup")
+    norm = spark.createDataFrame([(s, "ewma", 1.0, 2.0) for s in sources], "source string, model string, mean double, std double")
+    thr = spark.createDataFrame([(s, 0.5) for s in sources], "source string, threshold double")
+    lines = [json.dumps(m) for m in _messages(spark)]
+    raw = S.read_event_stream(spark, _write(lines, 3), max_files_per_trigger=1)
+    scored = S.score_stream(_ewma()(raw), norm, thr, ["ewma"])
+    out = str(tmp_path / "stats")
+    query = (scored.writeStream.foreachBatch(S.live_stats_sink(out, FEATS))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    query.processAllAvailable()
+    h = S.health(query)
+    query.stop()
+    stats = spark.read.parquet(out)
+    assert stats.agg(F.sum("n_windows")).first()[0] == len(_batch(spark))
+    assert stats.select("batch_id").distinct().count() >= 2 and h["batch_id"] is not None
+    row = stats.first()
+    assert [f["feature"] for f in row.features] == FEATS and row.global_mean is not None
 
 
 def test_metrics_folder_reload(spark):
     """New metric files are picked up incrementally; last write wins per label set (K2)."""
-    from seriesguard.operators import drift
-
     folder = tempfile.mkdtemp(prefix="sg-metrics-")
-    schema = "metric string, feature string, model_version string, env string, ts timestamp, value double"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
-    name = f"latest_{int(time.time() * 1000)}"
-    q = (drift.metric_latest(stream).writeStream.outputMode("complete").format("memory").queryName(name)
+    name = f"latest_{time.time_ns()}"
+    q = (S.metrics_stream(spark, folder).writeStream.outputMode("complete").format("memory").queryName(name)
          .option("checkpointLocation", tempfile.mkdtemp(prefix="sg-ckpt-")).start())
     for i, v in enumerate([0.1, 0.4]):
         p = os.path.join(folder, f"live-{i}.json")
@@ -151,3 +220,5 @@ def test_null_source_is_its_own_group(spark):
                 '{"event_id": 3, "ts": "2024-01-01T00:00:02", "source": "s", "value": 3.0}\n')
     good, _ = S.parse_stream(spark.read.text(folder), ["value"])
     assert sorted((r.source, r.event_id) for r in good.collect()) == [(S.NO_SOURCE, 1), (S.NO_SOURCE, 2), ("s", 3)]
+    strict, rejected = S.parse_stream(spark.read.text(folder), ["value"], default_source=None)
+    assert [r.event_id for r in strict.collect()] == [3] and [r.reason for r in rejected.collect()] == ["missing:source"] * 2
