@@ -46,7 +46,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
     Arrow batches are kept small: rows may hold whole documents, and a Python worker holds a few batches."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     checkpoint_dir(spark)
     ship_package(spark)
     return spark
