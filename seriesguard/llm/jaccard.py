@@ -17,10 +17,11 @@ The Jaccard distance is a metric. Two documents link at a distance of at most r
    within that window are its members. Near copies whose own edits outweigh the threshold meet nobody here.
 4. Inside regions, documents are pivots. Each document meets the smallest of its regions' pivots first: that one is
    its home, at a known distance. Then, round by round, every region whose members aren't all connected yet takes
-   new pivots (more in each round); the members of other components meet them, unless the triangle inequality on a common
-   home rules the pair out (|d(x,h) - d(p,h)| > r); then the pivots leave the region. Rounds end when no region
-   holds two components. A region costs a bounded number of pairs for each member in a round, and a group of near
-   copies is connected after a few rounds without all its pairs.
+   new pivots (more in each round). The members of other components meet them, unless a lower bound of their distance rules the
+   pair out: the triangle inequality on a common home, |d(x,h) - d(p,h)| > r, or the number of hash slices in which
+   the two sets differ (``DIGEST`` longs a set), for sets that link differ in at most (1-t)/(1+t) of their sizes' sum. Then
+   the pivots leave the region. Rounds end when no region holds two components. A region costs a bounded number of pairs for
+   each member in a round, and a group of near copies is connected after a few rounds without all its pairs.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,15 +43,19 @@ from .graph import components
 
 #: Ratio of the largest to the smallest set size of a band.
 BAND = 1.4
-#: Ids are broadcast up to this many (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Ids and regions are broadcast up to this many (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS, BROADCAST_REGIONS = 2_000_000, 6_000_000
 #: Counters of the shingle sketch (by the top 16 bits of the hash).
 SKETCH = 1 << 16
+#: Longs of a set's digest: 16 slices each, 4 bits of content a slice.
+DIGEST = 16
 #: Pivots that a region takes in the first rounds, and in each later one.
 PIVOTS = (16, 64, 256)
-_WORDS_HELD = 500_000
+#: Bytes of text hashed at a time (a longer text is alone).
+CHUNK = 400_000
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _U = np.uint64
+_FIRST = np.ones(1, bool)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -60,27 +65,83 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-class Shingler(dict):
-    """Texts to sorted sets of 64-bit shingle hashes; word hashes are kept, a bounded number of them."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A 64-bit number for each byte, the same for a letter's two cases, and the base that positions count in.
+_BYTES = _mixed(np.frombuffer(bytes(range(256)).translate(_FOLD), np.uint8).astype(_U) + _U(1))
+_BASE = 0x9E3779B97F4A7C15
+
+
+class Shingler:
+    """Texts to sorted sets of 64-bit shingle hashes, some hundred kilobytes of text at a time.
+
+    A word's hash is the polynomial of its bytes' numbers: the difference of two running sums over the whole chunk, divided
+    by the base to the power of the word's position."""
 
     def __init__(self, n_words: int):
-        super().__init__()
         self.n_words = n_words
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS_HELD:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().translate(_FOLD).split()  # ASCII white space
-        h = np.fromiter(map(self.__getitem__, words), _U, len(words))
-        n = min(len(words), self.n_words)
-        out = np.full(len(words) - n + 1 if n else 0, n, _U)
+        self.powers = self.inverse = np.zeros(0, _U)
+
+    def _words(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' hashes, one text after another, and each text's number of words."""
+        buf = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+        if len(self.powers) < len(buf):
+            room = len(buf) + len(buf) // 4
+            self.powers, self.inverse = (np.cumprod(np.full(room, x, _U), dtype=_U) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[buf], [True]]).astype(np.int8)))
+        starts, ends = edge[::2], edge[1::2]
+        sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTES[buf] * self.powers[:len(buf)], dtype=_U)])
+        h = _mixed((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(_U))
+        text_ends = np.cumsum([len(r) + 1 for r in raws])
+        return h, np.diff(np.concatenate([[0], np.searchsorted(starts, text_ends)]))
+
+    def _runs(self, h: np.ndarray, n: int) -> np.ndarray:
+        """The hash of the ``n`` words from each position on."""
+        out = np.full(max(len(h) - n + 1, 0), n, _U)
         for i in range(n):
             out = _mixed(out + h[i:len(h) - n + i + 1])
-        return np.unique(out)
+        return out
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The sets of many texts."""
+        out, held, size = [], [], 0
+        for t in texts:
+            raw = (t or "").encode()
+            if held and size + len(raw) > CHUNK:
+                out += self._sets(held)
+                held, size = [], 0
+            held.append(raw)
+            size += len(raw)
+        return out + self._sets(held) if held else out
+
+    def _sets(self, raws: list[bytes]) -> list[np.ndarray]:
+        h, lengths = self._words(raws)
+        ends = np.cumsum(lengths)
+        n = self.n_words
+        runs = self._runs(h, n)
+        inside = np.ones(len(runs), bool)  # runs that don't reach into the next text
+        for i in range(1, n):
+            at = ends - i
+            inside[at[(at >= 0) & (at < len(runs))]] = False
+        for a, b in zip(ends - lengths, ends, strict=True):
+            if b - a < n:  # a short text
+                inside[a:b] = False
+        runs = runs[inside]
+        sizes = np.maximum(lengths - n + 1, 0)
+        last = np.cumsum(sizes)
+        out = []
+        for a, b, words, end in zip((last - sizes).tolist(), last.tolist(), lengths.tolist(), ends.tolist(), strict=True):
+            if b > a:
+                own = runs[a:b]
+                own.sort()
+                if b - a > 1:
+                    own = own[np.concatenate([_FIRST, own[1:] != own[:-1]])]
+            elif words:  # fewer words than a shingle has: all of them as one
+                own = self._runs(h[end - words:end], words)
+            else:
+                own = runs[:0]
+            out.append(own)
+        return out
 
 
 class Regions:
@@ -88,13 +149,13 @@ class Regions:
 
     def __init__(self, pct: int):
         self.pct = pct
-        self.bands: dict[int, list[tuple[int, int, int, np.ndarray]]] = {}
+        self.bands: dict[int, list[tuple]] = {}
         self.largest = [1]
         while self.largest[-1] < 1 << 40:
             self.largest.append(max(self.largest[-1] + 1, math.ceil(self.largest[-1] * BAND)))
 
-    def _bands(self, n: int) -> list[tuple[int, int, int, np.ndarray]]:
-        """Band, slices, empty slices allowed and the slices' edges, for each band that a set of n may meet."""
+    def _bands(self, n: int) -> list[tuple[int, int, int, np.ndarray, np.ndarray]]:
+        """Band, slices, empty slices allowed, the slices' edges and names, for each band that a set of n may meet."""
         first = int(np.searchsorted(self.largest, n))
         last = int(np.searchsorted(self.largest, n * 100 // self.pct))
         out = []
@@ -104,7 +165,8 @@ class Regions:
                 empty = 1 + differing // 12
                 slices = differing + 1 + empty
                 edges = np.array([(i << 64) // slices for i in range(1, slices)], _U)
-                out.append((band, slices, empty, edges))
+                salt = _mixed(np.arange(slices, dtype=_U) + _U(band << 32))
+                out.append((band, slices, empty, edges, salt))
         return out
 
     def __call__(self, s: np.ndarray) -> np.ndarray:
@@ -117,42 +179,94 @@ class Regions:
             self.bands[n] = self._bands(n)
         out = []
         sums = np.concatenate([np.zeros(1, _U), np.cumsum(_mixed(s), dtype=_U)])
-        for band, slices, empty, edges in self.bands[n]:
+        for band, slices, empty, edges, salt in self.bands[n]:
             at = np.concatenate([[0], np.searchsorted(s, edges), [n]])
             full = np.flatnonzero(at[1:] > at[:-1])
             content = sums[at[1:][full]] - sums[at[:-1][full]]
-            out.append(_mixed(content ^ _mixed(full.astype(_U) + _U(band << 32))))
+            out.append(_mixed(content ^ salt[full]))
             if slices - len(full) > empty:
                 prefix = n - -(-n * self.pct // 100) + 1
                 out.append(_mixed(s[:prefix] ^ _U(0x9E3779B97F4A7C15 + (band << 8) + 1)))
-        return np.unique(np.concatenate(out)) if out else s[:0]
+        return np.concatenate(out) if out else s[:0]
 
 
-def shingle_sets(docs: DataFrame, n_words: int, pct: int | None, id_col: str, text_col: str, with_set: bool = False) -> DataFrame:
-    """``id``, ``n`` (set size), ``d1`` and ``d2`` (a 128-bit digest of the set), and ``regions`` or ``shingles``."""
+def _sets_of(docs: DataFrame, n_words: int, id_col: str, text_col: str, schema: T.StructType, columns) -> DataFrame:
+    """One Arrow pass over ``docs``: ``columns`` gets the ids and the sets of up to 500 texts and returns a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, regions = Shingler(n_words), Regions(pct) if pct else None
+        shingler = Shingler(n_words)
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                sets = [shingler(t) for t in part.column(1).to_pylist()]
-                listed = sets if with_set else [regions(s) for s in sets]
-                at = np.concatenate([[0], np.cumsum([len(x) for x in listed])]).astype(np.int32)
-                flat = np.concatenate([*listed, np.zeros(0, _U)]).astype(_U).view(np.int64)
-                digest = [[xxhash.xxh64_intdigest(s.tobytes(), seed) for s in sets] for seed in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     *(pa.array(np.array(d, _U).view(np.int64)) for d in digest),
-                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=schema.names)
-
-    last = "shingles" if with_set else "regions"
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()),
-                           T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-                           T.StructField(last, T.ArrayType(T.LongType()))])
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                yield pa.RecordBatch.from_arrays(columns(part.column(0), shingler(part.column(1).to_pylist())),
+                                                 names=schema.names)
+
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
+def _listed(sets: list[np.ndarray]) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*sets, np.zeros(0, _U)]).astype(_U).view(np.int64)))
+
+
+def set_digests(docs: DataFrame, n_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``n`` (set size), ``d1`` and ``d2`` (a 128-bit digest of the set)."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("n", "d1", "d2"))])
+
+    def columns(ids, sets):
+        digest = [np.array([xxhash.xxh64_intdigest(s.tobytes(), seed) for s in sets], _U).view(np.int64) for seed in (0, 1)]
+        return [ids, pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, digest)]
+
+    return _sets_of(docs, n_words, id_col, text_col, schema, columns)
+
+
+def shingle_sets(docs: DataFrame, n_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``id`` and ``shingles``, the sorted set."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))])
+    return _sets_of(docs, n_words, id_col, text_col, schema, lambda ids, sets: [ids, _listed(sets)])
+
+
+def top_regions(docs: DataFrame, n_words: int, pct: int, id_col: str, text_col: str) -> DataFrame:
+    """``id`` and ``regions``, the set's top-level regions."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("regions", T.ArrayType(T.LongType()))])
+    regions = []
+
+    def columns(ids, sets):
+        if not regions:
+            regions.append(Regions(pct))
+        return [ids, _listed([regions[0](s) for s in sets])]
+
+    return _sets_of(docs, n_words, id_col, text_col, schema, columns)
+
+
+def _active(docs: DataFrame, n_words: int, pct: int, id_col: str, text_col: str) -> DataFrame:
+    """``rep`` of the documents that share a top-level region with another one. Regions are computed twice, to be counted
+    and to be looked up, and never written."""
+    rows = top_regions(docs, n_words, pct, id_col, text_col)
+    counted = rows.select(F.explode("regions").alias("region")).groupBy("region").agg(F.count(F.lit(1)).alias("m"))
+    shared = materialize(counted.where("m > 1").select("region"), "regions")
+    if shared.count() > BROADCAST_REGIONS:
+        member = rows.select(F.col("id").alias("rep"), F.explode("regions").alias("region"))
+        return materialize(member.join(shared, "region", "left_semi").select("rep").distinct(), "active")
+    known = np.sort(shared.toArrow()["region"].to_numpy().view(_U))
+    shipped = docs.sparkSession.sparkContext.broadcast(known)
+    schema = T.StructType([T.StructField("rep", docs.schema[id_col].dataType)])
+    regions = []
+
+    def columns(ids, sets):
+        if not regions:
+            regions.append(Regions(pct))
+        known = shipped.value
+        hit = []
+        for s in sets:
+            r = regions[0](s)
+            at = np.minimum(np.searchsorted(known, r), len(known) - 1) if len(known) else r[:0]
+            hit.append(bool(len(at)) and bool((known[at] == r).any()))
+        return [ids.filter(pa.array(hit))]
+
+    return materialize(_sets_of(docs, n_words, id_col, text_col, schema, columns).distinct(), "active")
+
+
 def _meet(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """``x``, ``p``, ``distance`` and whether they ``link``, by their whole sets."""
     of_p = sets.select(F.col("id").alias("p"), F.col("shingles").alias("sp"))
@@ -207,6 +321,38 @@ def _rare_first(sets: DataFrame, pct: int) -> DataFrame:
     return sets.select("id", "shingles").mapInArrow(run, schema)
 
 
+def _digests(sets: DataFrame) -> DataFrame:
+    """``rep`` and ``g0``, ``g1``, ...: 4 bits of the content of each of 16 * DIGEST slices of the hash space."""
+    slices = 16 * DIGEST
+    edges = np.array([(i << 64) // slices for i in range(1, slices)], _U)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = _U(4) * np.arange(16, dtype=_U)
+        for batch in batches:
+            out = np.zeros((batch.num_rows, DIGEST), _U)
+            for i, own in enumerate(batch.column(1)):
+                h = own.values.to_numpy().view(_U)
+                sums = np.concatenate([np.zeros(1, _U), np.cumsum(_mixed(h), dtype=_U)])
+                at = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
+                bits = _mixed(sums[at[1:]] - sums[at[:-1]]) >> _U(60)
+                out[i] = (bits.reshape(DIGEST, 16) << shift).sum(1, dtype=_U)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[:, j].view(np.int64)) for j in range(DIGEST))], names=schema.names)
+
+    schema = T.StructType([T.StructField("rep", sets.schema["id"].dataType), *(T.StructField(f"g{j}", T.LongType()) for j in range(DIGEST))])
+    return sets.select("id", "shingles").mapInArrow(run, schema)
+
+
+def _differing(other: str) -> Column:
+    """In how many slices the digests g0, g1, ... and those of the name ``other`` differ."""
+    out = F.lit(0)
+    for j in range(DIGEST):
+        x = F.col(f"g{j}").bitwiseXOR(F.col(f"{other}{j}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        out = out + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
+
+
 def _shared(member: DataFrame) -> DataFrame:
     """The members of regions with more than one, and each region's smallest member ``p``; written."""
     shared = member.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("p")).where("m > 1").select("region", "p")
@@ -219,15 +365,18 @@ def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: st
     A set holds the distinct runs of ``n_words`` words (fewer words: all as one run), A-Z lower-cased, words between
     ASCII white space. Two rows link when 100 * intersection >= ``pct`` * union. A component's id is the
     smallest doc_id in it. Rows without words are linked with nothing. A null id has a null component and
-    takes no part. Rows with the same id are one document: they share their component.
+    takes no part. Rows with the same id are one document; if their texts differ, one of its sets stands for it in links.
     """
-    found = materialize(shingle_sets(docs, n_words, pct, id_col, text_col), "sets")
+    found = materialize(set_digests(docs, n_words, id_col, text_col), "sets")
     known = found.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    classes = known.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regions").alias("regions"))
-    classes = materialize(classes, "classes")
-    member = classes.select("rep", "n", F.explode("regions").alias("region"))
-    shared = member.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
-    active = materialize(member.join(shared, "region").select("rep").distinct(), "active")
+    classes = materialize(known.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "classes")
+    # all but one document of each class of equal sets, and those that take no part, are left out from here on
+    others = known.select("id", "d1", "d2").join(classes, ["d1", "d2"]).where("id <> rep").select(F.col("id").alias("other"))
+    others = others.unionByName(found.where("n = 0 and id is not null").select(F.col("id").alias("other"))).distinct()
+    others = materialize(others.join(classes, F.col("other") == F.col("rep"), "left_anti"), "others")
+    single = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    single = single.join(F.broadcast(others) if others.count() <= BROADCAST_IDS else others, F.col("id") == F.col("other"), "left_anti")
+    active = _active(single, n_words, pct, "id", "text")
     links = _links(docs, active, n_words, pct, id_col, text_col)
     reps = classes.select("d1", "d2", "rep")
     if links is not None:
@@ -245,8 +394,7 @@ def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: s
         return None
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(
         F.broadcast(active) if n_active <= BROADCAST_IDS else active, F.col("doc") == F.col("rep"))
-    sets = materialize(shingle_sets(texts.select("doc", "text"), n_words, None, "doc", "text", True)
-                       .select("id", "shingles").dropDuplicates(["id"]), "shingles")
+    sets = materialize(shingle_sets(texts, n_words, "doc", "text").dropDuplicates(["id"]), "shingles")
     member = _shared(_rare_first(sets, pct))
     size = sets.select(F.col("id").alias("rep"), F.size("shingles").cast("long").alias("n"))
     r = 1 - pct / 100
@@ -264,6 +412,8 @@ def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: s
     links = materialize(met.where("link").select(F.col("x").alias("a"), F.col("p").alias("b")), "links")
     tested = met.select("x", "p")
     left = member.select("region", "rep", "n")
+    digests = materialize(_digests(sets), "digests")
+    names = [f"g{j}" for j in range(DIGEST)]
     labels = components(links)
     for k in itertools.count():
         named = left.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
@@ -276,8 +426,10 @@ def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: s
         rank = F.row_number().over(Window.partitionBy("region").orderBy(F.col("label").desc(), F.col("rep").desc()))
         pivots = left.withColumn("rank", rank).where(F.col("rank") <= PIVOTS[min(k, len(PIVOTS) - 1)]).select(
             F.col("region").alias("of"), F.col("rep").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("nq"))
-        pivots = materialize(pivots, "pivots")
-        pairs = left.join(pivots, (F.col("region") == F.col("of")) & (F.col("label") != F.col("q_label"))).where(fits("n", "nq"))
+        pivots = materialize(pivots.join(digests.select(F.col("rep").alias("q"), *[F.col(g).alias(f"q_{g}") for g in names]), "q"), "pivots")
+        near = _differing("q_g") <= F.floor((100 - pct) * (F.col("n") + F.col("nq")) / (100 + pct))
+        pairs = left.join(digests, "rep").join(pivots, (F.col("region") == F.col("of")) & (F.col("label") != F.col("q_label"))
+                                               & fits("n", "nq") & near)
         pairs = pairs.select(F.greatest("rep", "q").alias("x"), F.least("rep", "q").alias("p")).distinct()
         of_x = homes.select(F.col("rep").alias("x"), F.col("home").alias("hx"), F.col("distance").alias("dx"))
         of_p = homes.select(F.col("rep").alias("p"), F.col("home").alias("hp"), F.col("distance").alias("dp"))
