@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text handled at a time.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:

@@ -29,7 +29,7 @@ from .common import free_name
 
 ORDER = 5
 #: N-grams of one shard (12 bytes each) and, in a counting task, distinct ones held before they are handed on.
-SHARD, HELD = 2_000_000, 3_000_000
+SHARD, HELD = 2_000_000, 600_000
 #: Trusted ids are broadcast up to this many (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Bits per byte of one histogram bin.
@@ -66,6 +66,15 @@ def count_ngrams(docs: DataFrame, text_col: str, mark_col: str) -> DataFrame:
         def rows():
             return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
+        def merged(parts):
+            both = np.concatenate([p[0] for p in parts])
+            amount = np.concatenate([p[1] for p in parts])
+            at = both.argsort(kind="stable")
+            both, amount = both[at], amount[at]
+            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+            return both[first], np.add.reduceat(amount, first) if len(first) else amount
+
+        held, size = [], 0  # counted chunks that aren't merged yet
         for batch in batches:
             texts, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for train in (True, False):
@@ -73,13 +82,15 @@ def count_ngrams(docs: DataFrame, text_col: str, mark_col: str) -> DataFrame:
                     found = ngrams.keys(raws, ORDER)[0]
                     found.sort()
                     found, times = ngrams.counted(found)
-                    both = np.concatenate([key, found])
-                    amount = np.concatenate([n, times if train else np.zeros(len(found), np.int64)])
-                    key, at = np.unique(both, return_inverse=True)
-                    n = np.bincount(at, weights=amount, minlength=len(key)).astype(np.int64)
-            if len(key) > HELD:
-                yield rows()
-                key, n = key[:0], n[:0]
+                    held.append((found, times if train else np.zeros(len(found), np.int64)))
+                    size += len(found)
+                    if size > HELD:
+                        key, n = merged([(key, n), *held])
+                        held, size = [], 0
+                        if len(key) > HELD:
+                            yield rows()
+                            key, n = key[:0], n[:0]
+        key, n = merged([(key, n), *held])
         yield rows()
 
     counts = docs.select(F.col(text_col).alias("text"), F.col(mark_col).alias("mark")).mapInArrow(run, "key long, n long")
@@ -173,14 +184,16 @@ def _score(docs: DataFrame, model: DataFrame, n_shards: int, shard: int, text_co
         found, logp = shipped.value
         index = ngrams.Index(found)
         for batch in batches:
-            total, length = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for start, raws in ngrams.chunks(batch.column(column).to_pylist()):
-                k, lengths = ngrams.keys(raws, ORDER)
-                row = index.find(k)
-                value = np.where(row >= 0, logp[row], np.float32(0)) if len(found) else np.zeros(len(k))
-                total[start:start + len(raws)] = -ngrams.sums(value, lengths)
-                length[start:start + len(raws)] = lengths
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total), pa.array(length)], names=schema.names)
+            for first in range(0, batch.num_rows, 500):  # bounded output batches
+                part = batch.slice(first, 500)
+                total, length = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int64)
+                for start, raws in ngrams.chunks(part.column(column).to_pylist()):
+                    k, lengths = ngrams.keys(raws, ORDER)
+                    row = index.find(k)
+                    value = np.where(row >= 0, logp[row], np.float32(0)) if len(found) else np.zeros(len(k))
+                    total[start:start + len(raws)] = -ngrams.sums(value, lengths)
+                    length[start:start + len(raws)] = lengths
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(total), pa.array(length)], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
