@@ -268,10 +268,15 @@ def _active(docs: DataFrame, n_words: int, pct: int, id_col: str, text_col: str)
 
 
 def _meet(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """``x``, ``p``, ``distance`` and whether they ``link``, by their whole sets."""
-    of_p = sets.select(F.col("id").alias("p"), F.col("shingles").alias("sp"))
-    of_x = sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx"))
-    joined = pairs.select("x", "p").join(of_p, "p").join(of_x, "x")
+    """``x``, ``p``, ``distance`` and whether they ``link``, by their whole sets. Only the sets of these pairs move."""
+    pairs = materialize(pairs.select("x", "p"), "pairs")
+
+    def of(side: str, name: str) -> DataFrame:
+        ids = pairs.select(side).distinct()
+        ids = F.broadcast(ids) if pairs.count() <= BROADCAST_IDS else ids
+        return sets.join(ids, F.col("id") == F.col(side), "left_semi").select(F.col("id").alias(side), F.col("shingles").alias(name))
+
+    joined = pairs.join(of("p", "sp"), "p").join(of("x", "sx"), "x")
     common = F.size(F.array_intersect("sx", "sp")).cast("long").alias("common")
     joined = joined.select("x", "p", common, (F.size("sx") + F.size("sp")).cast("long").alias("both"))
     union = F.col("both") - F.col("common")
