@@ -8,7 +8,8 @@
 3. That table is hashed into shards of about ``SHARD`` n-grams, each small enough to ship, and each shard
    gives every document the part of its code length that lies in it.
 4. A language's limit is its median plus ``margin`` times the distance from there to its ``q`` quantile,
-   over held-back trusted documents (a quarter of them, by id), from a histogram of bits per byte.
+   over held-back trusted documents (a quarter of them, by id), from a histogram of bits per byte. Both are
+   drawn towards those of all languages, the less the more such documents the language has.
 
 Counting and scoring touch whole texts of all documents and move n-gram rows and scores, never texts.
 """
@@ -34,8 +35,11 @@ SHARD, HELD = 2_000_000, 600_000
 BROADCAST_IDS = 2_000_000
 #: Bits per byte of one histogram bin.
 BIN = 0.001
-#: Languages with fewer held-back trusted documents than this share the limit of all languages.
+#: A language with n held-back trusted documents has n / (n + MIN_CALIBRATION) of its own limit and the rest of that of all
+#: languages: the 0.99 quantile of 200 documents rests on two of them.
 MIN_CALIBRATION = 200
+#: Limits are broadcast up to this many languages; more are joined by a shuffle.
+BROADCAST_LANGS = 100_000
 #: Bytes at the language's typical rate that are added to each text, so that short ones aren't judged on noise.
 PRIOR_BYTES = 100
 
@@ -208,8 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def limits(scored: DataFrame, q: float, margin: float) -> DataFrame:
-    """``lang`` (null: all languages), ``typical`` and ``limit`` in bits per byte, from held-back trusted rows
-    (``lang``, ``rate``): the median, and ``margin`` times its distance to the ``q`` quantile above it."""
+    """``pooled``, ``lang`` (null: all languages), ``typical`` and ``limit`` in bits per byte, from held-back trusted
+    rows (``lang``, ``rate``): the median, and ``margin`` times its distance to the ``q`` quantile above it. A language
+    with n rows has the weighted mean of its own values (n) and those of all languages (``MIN_CALIBRATION``)."""
     bins = scored.select("lang", F.round(F.col("rate") / BIN).cast("long").alias("bin"))
     bins = bins.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n"))
     every = bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(True).alias("pooled"))
@@ -218,9 +223,13 @@ def limits(scored: DataFrame, q: float, margin: float) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy("pooled", "lang"))
     bins = bins.withColumn("up_to", up_to).withColumn("total", total)
     at = lambda x: F.min(F.when(F.col("up_to") >= F.lit(x) * F.col("total"), F.col("bin"))) * BIN
-    out = bins.groupBy("pooled", "lang").agg(at(0.5).alias("typical"), at(q).alias("high"), F.max("total").alias("total"))
-    out = out.where(F.col("pooled") | (F.col("total") >= MIN_CALIBRATION))
-    return out.select("pooled", "lang", "typical", (F.col("typical") + margin * (F.col("high") - F.col("typical"))).alias("limit"))
+    own = bins.groupBy("pooled", "lang").agg(at(0.5).alias("typical"), at(q).alias("high"), F.max("total").alias("total"))
+    own = own.select("pooled", "lang", "total", "typical", (F.col("typical") + margin * (F.col("high") - F.col("typical"))).alias("limit"))
+    own = materialize(own, "own_limits")
+    pooled = own.where("pooled").select(F.col("typical").alias("all_typical"), F.col("limit").alias("all_limit"))
+    weight = F.when(F.col("pooled"), F.lit(1.0)).otherwise(F.col("total") / (F.col("total") + MIN_CALIBRATION))
+    drawn = lambda c: (weight * F.col(c) + (1 - weight) * F.col(f"all_{c}")).alias(c)
+    return own.crossJoin(F.broadcast(pooled)).select("pooled", "lang", drawn("typical"), drawn("limit"))  # pooled is one row
 
 
 def classify(docs: DataFrame, labels: DataFrame, q: float = 0.99, margin: float = 2.0, id_col: str = "doc_id",
@@ -228,8 +237,8 @@ def classify(docs: DataFrame, labels: DataFrame, q: float = 0.99, margin: float
     """``docs`` with ``perplexity`` (per byte, double), ``max_perplexity`` (its language's limit) and ``keep``.
 
     ``slim`` leaves the text out, and scores each document once instead of twice. A null or empty text has no
-    perplexity and isn't kept. A null or rare language takes the limit of all languages; without any held-back
-    trusted document there is no limit and every non-empty text is kept. Null ids are scored but never
+    perplexity and isn't kept. A null language and one without held-back trusted documents take the limit of
+    all languages; without any such document there is no limit and every non-empty text is kept. Null ids are scored but never
     trusted. Equal texts of one language are judged alike. Columns of the result's names are replaced.
     """
     out = ["perplexity", "max_perplexity", "keep"]
@@ -248,7 +257,8 @@ def classify(docs: DataFrame, labels: DataFrame, q: float = 0.99, margin: float
     own = found.where("not pooled").select("lang", "typical", "limit").toDF(
         *(free_name(scored, c) for c in ("_limit_lang", "_typical", "_limit")))
     own_lang, own_typical, own_limit = (F.col(c) for c in own.columns)
-    joined = scored.join(F.broadcast(own), F.col(lang_col) == own_lang, "left")  # a row for each frequent language
+    own = F.broadcast(own) if found.count() <= BROADCAST_LANGS else own  # a row for each language
+    joined = scored.join(own, F.col(lang_col) == own_lang, "left")
     typical = F.coalesce(own_typical, F.lit(typical))
     limit = F.coalesce(own_limit, F.lit(limit).cast("double"))
     judged = (F.col(bits) + PRIOR_BYTES * typical) / (F.col(size) + PRIOR_BYTES)

@@ -180,6 +180,33 @@ def test_quality_keeps_clean_documents(spark):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def test_every_language_has_a_limit_of_its_own(spark):
+    r = random.Random(7)
+    sizes = {"aa": 1, "bb": 20, "cc": 199, "dd": 200, "ee": 900, None: 40}
+    rates = {x: [round(1 + k / 2 + r.random() / 5, 3) for _ in range(n)] for k, (x, n) in enumerate(sizes.items())}
+    rows = spark.createDataFrame([(x, v) for x, vs in rates.items() for v in vs], "lang string, rate double")
+    got = {x["lang"]: (x["typical"], x["limit"]) for x in quality.limits(rows, 0.99, 2.0).collect()}
+
+    def own(vs):
+        vs = sorted(vs)
+        typical, high = (vs[math.ceil(p * len(vs)) - 1] for p in (0.5, 0.99))
+        return typical, typical + 2 * (high - typical)
+
+    pooled = own([v for vs in rates.values() for v in vs])
+    assert set(got) == set(sizes) and got[None] == pytest.approx(pooled)
+    for x, n in sizes.items():
+        if x:
+            w = n / (n + quality.MIN_CALIBRATION)
+            assert got[x] == pytest.approx([w * a + (1 - w) * b for a, b in zip(own(rates[x]), pooled, strict=True)], abs=2e-3)
+
+
+def test_small_languages_are_judged_by_their_own_limit(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet"), slim=True)
+    by_lang = {x["lang"]: x["limits"] for x in got.groupBy("lang").agg(F.collect_set("max_perplexity").alias("limits")).collect()}
+    assert all(len(x) == 1 for x in by_lang.values()) and len({x[0] for x in by_lang.values()}) == len(by_lang) == 4
+
+
 # -- language -------------------------------------------------------------------------------------------------
 
 
