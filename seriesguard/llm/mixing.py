@@ -8,8 +8,11 @@ source. These windows are those of Pfair scheduling on one processor, so at ever
 is less than one block away from its exact proportion of the round.
 
 A round's schedule depends only on the quotas. They change only where a source runs out, so there are at
-most 2 * sources + 1 different schedules, however many rounds there are. Each is a fold over the slots of
-one round in a single SQL expression; documents look their slot up. Every document is kept once.
+most 2 * sources + 1 different schedules, however many rounds there are, and all together they have no more slots
+than there are blocks. Each is a fold over the slots of one round in a single SQL expression. Sources of one quota
+have the same windows, so they take turns in the order of their names, and the fold compares quotas, not sources:
+few, as different quotas add up to no more than a round. Blocks get their slots and first positions, and documents
+look their block up. Every document is kept once, and the number of sources has no limit.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import free_name
+from .common import free_name, shuffle_partitions
 
-#: Up to this many sources have streams of their own; the smaller ones share one more stream.
-MAX_STREAMS = 1000
-#: Schedules of up to this many slots in all are broadcast (4 bytes a slot); larger ones are joined.
-BROADCAST_SLOTS = 500_000
+#: Shares of up to this many streams are broadcast; more are joined by a shuffle.
+BROADCAST_STREAMS = 100_000
+#: Blocks are broadcast up to this many (a name and three numbers each); more are joined by a shuffle.
+BROADCAST_BLOCKS = 500_000
+#: Slots whose positions are counted in one task, and slots of a fold's picks that are copied for each slot.
+CHUNK, FOLD = 4096, 512
 
 
 def _stream(source: Column) -> Column:
@@ -32,61 +37,92 @@ def _stream(source: Column) -> Column:
 
 
 def temperature_shares(docs: DataFrame, alpha: float = 0.5, total: int = 200, source_col: str = "source",
-                       max_streams: int = MAX_STREAMS) -> DataFrame:
+                       max_streams: int | None = None) -> DataFrame:
     """``stream`` and ``share`` (blocks in a round, at least 1): shares follow documents ** alpha and add up
-    to about ``total``. The ``max_streams`` largest sources (ties to the smaller name) get rows."""
+    to about ``total`` and the number of sources. Every source gets a row, or with ``max_streams`` only so many of
+    the largest (ties to the smaller name)."""
     sizes = docs.groupBy(_stream(F.col(source_col)).alias("stream")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.orderBy(F.col("n").desc(), "stream").limit(max_streams)
+    if max_streams is not None:
+        sizes = sizes.orderBy(F.col("n").desc(), "stream").limit(max_streams)
     power = F.pow(F.col("n").cast("double"), F.lit(float(alpha)))
-    whole = F.sum(power).over(Window.partitionBy(F.lit(0)))
+    in_order = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "stream")
+    whole = F.sum(power).over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return sizes.select("stream", (F.floor(F.lit(float(total)) * power / whole) + 1).cast("long").alias("share"))
 
 
-def _edf(quota: Column, slots: Column) -> Column:
-    """The picks of one round: for each slot, (index into the quotas, which of its blocks)."""
-    q = lambda i: F.element_at(quota, i + 1)["q"]
+def _edf(classes: Column, slots: Column) -> Column:
+    """The picks of one round: for each slot, (index into the round's sources, which of its blocks).
+
+    ``classes`` has the different quotas ``q`` and the sorted indexes of their ``members``. Blocks of a class are dealt
+    by number, then member: all members' j-th blocks have one window, and end before the next ones are due."""
+    at = lambda i: F.element_at(classes, i + 1)
     done = lambda s, i: F.element_at(s["done"], i + 1)
+    block = lambda s, i: F.floor(done(s, i) / F.size(at(i)["members"]))
+    none = F.expr("cast(array() as array<struct<i:int,j:bigint>>)")
 
     def step(s: Column, t: Column) -> Column:
-        ready = F.filter(F.sequence(F.lit(0), F.size(quota) - 1), lambda i: (done(s, i) < q(i)) & (
-            F.floor(done(s, i) * slots / q(i)) <= t))
+        ready = F.filter(F.sequence(F.lit(0), F.size(classes) - 1), lambda i: (block(s, i) < at(i)["q"]) & (
+            F.floor(block(s, i) * slots / at(i)["q"]) <= t))
         due = F.transform(ready, lambda i: F.struct(
-            F.expr("1L").alias("one") * F.ceil((done(s, i) + 1) * slots / q(i)), i.alias("i")))
-        pick = F.array_min(due)["i"]
-        return F.transform(F.array(pick), lambda p: F.struct(
-            F.transform(s["done"], lambda d, i: d + (i == p).cast("long")).alias("done"),
-            F.array_append(s["picks"], F.struct(p.alias("i"), done(s, p).alias("j"))).alias("picks")))[0]
+            F.ceil((block(s, i) + 1) * slots / at(i)["q"]).alias("due"),
+            F.element_at(at(i)["members"], (F.pmod(done(s, i), F.size(at(i)["members"])) + 1).cast("int")).alias("member"),
+            i.alias("i"), block(s, i).alias("j")))
+        return F.transform(F.array(F.array_min(due)), lambda p: F.struct(
+            F.transform(s["done"], lambda d, i: d + (i == p["i"]).cast("long")).alias("done"),
+            F.array_append(s["picks"], F.struct(p["member"].alias("i"), p["j"].alias("j"))).alias("picks")))[0]
+
+    def steps(s: Column, first: Column) -> Column:
+        ticks = F.sequence(first, F.least(first + F.lit(FOLD - 1).cast("long"), slots - 1))
+        part = F.aggregate(ticks, F.struct(s["done"].alias("done"), none.alias("picks")), step)
+        return F.transform(F.array(part), lambda x: F.struct(
+            x["done"].alias("done"), F.array_append(s["picks"], x["picks"]).alias("picks")))[0]
 
-    start = F.struct(F.transform(quota, lambda x: F.lit(0).cast("long")).alias("done"),
-                     F.expr("cast(array() as array<struct<i:int,j:bigint>>)").alias("picks"))
-    ticks = F.when(slots > 0, F.sequence(F.lit(0).cast("long"), slots - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
-    return F.aggregate(ticks, start, step, lambda s: s["picks"])
+    start = F.struct(F.transform(classes, lambda x: F.lit(0).cast("long")).alias("done"),
+                     F.expr("cast(array() as array<array<struct<i:int,j:bigint>>>)").alias("picks"))
+    firsts = F.sequence(F.lit(0).cast("long"), slots - 1, F.lit(FOLD).cast("long"))
+    return F.aggregate(firsts, start, steps, lambda s: F.flatten(s["picks"]))
 
 
 def schedules(streams: DataFrame) -> DataFrame:
-    """The different rounds of ``streams`` (stream, share, blocks): for each stream and ``r0`` (the first round
-    of its kind) ``base`` (slots before that round), ``slots`` of a round, and ``slot_of``: the slot of
-    each of the stream's blocks in the round."""
-    every = streams.agg(F.sort_array(F.collect_list(F.struct("stream", "share", "blocks"))).alias("every"))
-    full = lambda s: F.floor(s["blocks"] / s["share"])
-    rounds = F.array_distinct(F.concat(F.array(F.lit(0).cast("long")), F.flatten(
-        F.transform("every", lambda s: F.array(full(s), full(s) + 1)))))
-    kinds = every.select("every", F.explode(rounds).alias("r0"))
-    quota = F.filter(F.transform("every", lambda s: F.struct(
-        s["stream"].alias("stream"),
-        F.greatest(F.lit(0).cast("long"), F.least(s["share"], s["blocks"] - F.col("r0") * s["share"])).alias("q"))),
-        lambda s: s["q"] > 0)
-    before = F.aggregate("every", F.lit(0).cast("long"),
-                         lambda a, s: a + F.least(s["blocks"], F.col("r0") * s["share"]))
-    slots = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, s: a + s["q"])
-    kinds = kinds.select("r0", before.alias("base"), quota.alias("quota")).repartition("r0")
-    kinds = kinds.withColumn("slots", slots(F.col("quota"))).where("slots > 0").repartition("r0", "slots")
-    picks = kinds.select("r0", "base", "slots", "quota", _edf(F.col("quota"), F.col("slots")).alias("picks"))
-    rows = picks.select("r0", "base", "slots", "quota", F.posexplode("picks").alias("slot", "pick"))
-    rows = rows.select("r0", "base", "slots", F.expr("element_at(quota, pick.i + 1).stream").alias("stream"),
-                       F.struct(F.col("pick.j").alias("j"), F.col("slot").cast("long").alias("slot")).alias("at"))
-    placed = rows.groupBy("r0", "base", "slots", "stream").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    return placed.select("stream", "r0", "base", "slots", F.col("at.slot").alias("slot_of"))
+    """The blocks of ``streams`` (stream, share, n, blocks) that the different rounds deal out: ``stream``, ``share``, ``n``,
+    ``r0`` and ``r1`` (the first round of a kind and of the next), ``base`` (slots before ``r0``), ``slots`` of a
+    round, ``slot`` in it and ``j``, which of the stream's blocks in the round takes that slot."""
+    spark = streams.sparkSession
+    n_tasks = shuffle_partitions(spark)
+    full = F.floor(F.col("blocks") / F.col("share"))
+    rounds = streams.select(F.explode(F.array(F.lit(0).cast("long"), full, full + 1)).alias("r0")).distinct()
+    rounds = rounds.withColumn("r1", F.lead("r0").over(Window.orderBy("r0"))).where("r1 is not null")  # none begins in the last
+    gone = F.least(F.col("blocks"), F.col("r0") * F.col("share"))
+    q = F.least(F.col("share"), F.col("blocks") - gone)
+    kinds = streams.crossJoin(F.broadcast(rounds)).groupBy("r0", "r1").agg(
+        F.sum(gone).alias("base"), F.sum(q).alias("slots"),
+        F.sort_array(F.collect_list(F.when(q > 0, F.struct("stream", q.alias("q"), "share", "n")))).alias("quota"))
+    kinds = kinds.where("slots > 0").repartition(n_tasks, "r0")
+    places = F.sequence(F.lit(0), F.size("quota") - 1)
+    classes = F.transform(F.array_distinct(F.col("quota.q")), lambda v: F.struct(
+        v.alias("q"), F.filter(places, lambda i: F.element_at(F.col("quota"), i + 1)["q"] == v).alias("members")))
+    kinds = kinds.withColumn("classes", classes)
+    picks = kinds.withColumn("picks", _edf(F.col("classes"), F.col("slots")))
+    named = F.transform("picks", lambda p: F.struct(F.element_at(F.col("quota"), p["i"] + 1).alias("of"), p["j"].alias("j")))
+    rows = picks.select("r0", "r1", "base", "slots", named.alias("named"))
+    rows = rows.select("r0", "r1", "base", "slots", F.posexplode("named").alias("slot", "pick"))
+    return rows.select("pick.of.stream", "pick.of.share", "pick.of.n", "r0", "r1", "base", "slots", F.col("slot").cast("long").alias("slot"),
+                       F.col("pick.j").alias("j"))
+
+
+def _blocks(streams: DataFrame, block_docs: int) -> DataFrame:
+    """Every block's ``stream``, ``block``, ``slot`` and ``first`` position."""
+    plan = schedules(streams).repartition(shuffle_partitions(streams.sparkSession), "r0", "slot")
+    every = plan.withColumn("r", F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)))
+    block = F.col("r") * F.col("share") + F.col("j")
+    every = every.select("stream", block.alias("block"), (F.col("base") + (F.col("r") - F.col("r0")) * F.col("slots") + F.col("slot")).alias("slot"),
+                         F.least(F.lit(block_docs).cast("long"), F.col("n") - block * block_docs).alias("size"))
+    every = materialize(every.withColumn("chunk", F.floor(F.col("slot") / CHUNK)), "blocks")
+    ahead = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunks = every.groupBy("chunk").agg(F.sum("size").alias("size")).select(
+        "chunk", ahead(Window.orderBy("chunk")).alias("before"))  # a row for CHUNK blocks
+    first = F.col("before") + ahead(Window.partitionBy("chunk").orderBy("slot"))
+    return materialize(every.join(chunks, "chunk").select("stream", "block", "slot", first.alias("first")), "positions")
 
 
 def mix(docs: DataFrame, shares: DataFrame, block_docs: int = 32, rest_share: int = 1, id_col: str = "doc_id",
@@ -94,24 +130,24 @@ def mix(docs: DataFrame, shares: DataFrame, block_docs: int = 32, rest_share: in
     """``docs`` with ``mix_block`` (number of the document's block in its stream), ``mix_slot`` (the block's
     slot) and ``mix_position`` (0, 1, ... over all documents); sorting by the last gives the mixture.
 
-    ``shares`` has ``stream`` and ``share`` as ``temperature_shares`` gives them, at most ``MAX_STREAMS`` rows;
+    ``shares`` has ``stream`` and ``share`` as ``temperature_shares`` gives them, any number of rows;
     sources without a row share one stream of ``rest_share``. Null sources are a source of their own. Inside
     a source documents follow the MD5 of their id, then the id; null ids come first. Repeated rows are kept,
     in any order among themselves. Texts aren't read. An empty table gives an empty one. Columns of the
     result's names are replaced.
     """
-    spark = docs.sparkSession
     out = ["mix_block", "mix_slot", "mix_position"]
     docs = docs.select(*(c for c in docs.columns if c.lower() not in out))
     columns = docs.columns
     named = lambda base: free_name(docs, base)
     stream, own, code, bucket, place = (named(c) for c in ("_stream", "_own_stream", "_code", "_bucket", "_rank"))
 
-    wanted = materialize(shares.select("stream", F.col("share").cast("long").alias("share")).limit(MAX_STREAMS), "shares")
+    wanted = materialize(shares.select("stream", F.col("share").cast("long").alias("share")), "shares")
+    small = wanted.count() <= BROADCAST_STREAMS
     names = wanted.select(F.col("stream").alias(own))
     code_of = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = docs.withColumn(named("_named"), _stream(F.col(source_col)))
-    rows = rows.join(F.broadcast(names), F.col(named("_named")) == F.col(own), "left")
+    rows = rows.join(F.broadcast(names) if small else names, F.col(named("_named")) == F.col(own), "left")
     rows = rows.withColumn(stream, F.coalesce(F.col(own), F.lit("rest"))).withColumn(code, code_of)
     rows = rows.withColumn(bucket, F.substring(code, 1, 3)).select(*columns, stream, code, bucket)
 
@@ -125,42 +161,16 @@ def mix(docs: DataFrame, shares: DataFrame, block_docs: int = 32, rest_share: in
     ranked = rows.withColumn(place, local).join(before, (F.col(stream) == s) & (F.col(bucket) == b))
     ranked = ranked.withColumn(place, first + F.col(place) - 1).select(*columns, stream, place)
 
-    # streams: at most MAX_STREAMS + 1 rows
     sizes = counts.groupBy(F.col("s").alias("stream")).agg(F.sum("n").alias("n"))
-    streams = sizes.join(F.broadcast(wanted), "stream", "left").select(
+    streams = sizes.join(F.broadcast(wanted) if small else wanted, "stream", "left").select(
         "stream", "n", F.coalesce("share", F.lit(rest_share).cast("long")).alias("share"),
         F.floor((F.col("n") + block_docs - 1) / block_docs).alias("blocks"))
     streams = materialize(streams, "streams")
-    plan = materialize(schedules(streams), "schedules")
-
-    def slot(table: DataFrame, name: str, block: Column, share: Column, starts: Column, size: int) -> tuple[DataFrame, Column]:
-        """``table`` joined with its schedules, and the slot of ``block``."""
-        r, r0, on = F.floor(block / share), named("_r0"), plan.toDF(*(named(f"_p{i}") for i in range(5)))
-        p_stream, p_r0, base, slots, slot_of = (F.col(c) for c in on.columns)
-        table = table.withColumn(r0, F.array_max(F.filter(starts, lambda x: x <= r)))
-        on = F.broadcast(on) if size <= BROADCAST_SLOTS else on
-        table = table.join(on, (F.col(name) == p_stream) & (F.col(r0) == p_r0))
-        at = base + (r - p_r0) * slots + F.element_at(slot_of, (F.pmod(block, share) + 1).cast("int"))
-        return table, at
-
-    size = plan.agg(F.coalesce(F.sum(F.size("slot_of")), F.lit(0))).first()[0]
-    starts = plan.agg(F.collect_set("r0").alias("starts"))
-    with_starts = F.broadcast(starts.withColumn("one", F.lit(1)))
-    streams = streams.withColumn("one", F.lit(1)).join(with_starts, "one").withColumn("last", F.col("blocks") - 1)
-    ends, last_slot = slot(streams, "stream", F.col("last"), F.col("share"), F.col("starts"), size)
-    ends = ends.select(F.struct(last_slot.alias("slot"), (F.lit(block_docs) * F.col("blocks") - F.col("n")).alias("short")).alias("e"))
-    ends = ends.agg(F.collect_list("e").alias("ends")).withColumn("one", F.lit(1))
-    streams = streams.join(F.broadcast(ends), "one").select("stream", "share", "starts", "ends")
-
-    streams = streams.toDF(*(named(c) for c in ("_t_stream", "_share", "_starts", "_ends")))
-    t_stream, share, starts_col, ends_col = (F.col(c) for c in streams.columns)
-    joined = ranked.join(F.broadcast(streams), F.col(stream) == t_stream)
+    placed = _blocks(streams, block_docs)
+    few = placed.count() <= BROADCAST_BLOCKS
+    placed = placed.toDF(*(named(c) for c in ("_p_stream", "_p_block", "_p_slot", "_p_first")))
+    p_stream, p_block, p_slot, p_first = (F.col(c) for c in placed.columns)
     block = F.floor(F.col(place) / block_docs)
-    joined, at = slot(joined, stream, block, share, starts_col, size)
-    slot_col = named("_slot")
-    joined = joined.withColumn(slot_col, at)
-    missing = F.aggregate(ends_col, F.lit(0).cast("long"),
-                          lambda a, e: a + F.when(e["slot"] < F.col(slot_col), e["short"]).otherwise(F.lit(0)))
-    position = F.col(slot_col) * block_docs + F.pmod(F.col(place), F.lit(block_docs)) - missing
-    return joined.select(*columns, block.alias("mix_block"), F.col(slot_col).alias("mix_slot"),
-                         position.cast("long").alias("mix_position"))
+    joined = ranked.join(F.broadcast(placed) if few else placed, (F.col(stream) == p_stream) & (block == p_block))
+    position = p_first + F.pmod(F.col(place), F.lit(block_docs))
+    return joined.select(*columns, block.alias("mix_block"), p_slot.alias("mix_slot"), position.cast("long").alias("mix_position"))
