@@ -2,7 +2,8 @@
 
 Grids are generated in two levels (chunk starts, then points inside a chunk), so neither a long series nor a
 long gap becomes one object. A grid much larger than the data (defect X14) is a verdict on that series
-(``grid_verdicts``): it is left out and reported, and the others go on.
+(``grid_verdicts``): it gets no grid points, and the others go on. Its rows are left out of the resampled ones, or
+kept as they are (``keep_large``, as ``flows.prepare`` does).
 """
 
 from __future__ import annotations
@@ -156,7 +157,7 @@ def grid_gaps(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequ
 def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
                    tiebreak: Sequence[str] = (), keep_leading: bool = False, only_irregular: bool = True,
                    max_grid_ratio: float = 100.0, rows_per_block: int = L.ROWS_PER_BLOCK,
-                   max_rows: int | None = None, freq_us: int | None = None) -> DataFrame:
+                   max_rows: int | None = None, freq_us: int | None = None, keep_large: bool = False) -> DataFrame:
     """Grid anchored at midnight of the first day; a grid point takes the last row at or before it.
 
     Rows must be unique per ``(series, ts)`` (run D2 first). Each row emits the grid points between the
@@ -164,7 +165,8 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts:
     per-series sort is needed. The point before the first row is null and dropped unless
     ``keep_leading`` (X15). With ``only_irregular`` regular series pass through unchanged (D9).
     ``freq_us`` replaces the inferred step (D6/D7), and a series is regular if it fits that step. Irregular
-    series with a grid larger than ``max_grid_ratio`` allows are left out (``grid_verdicts`` names them).
+    series with a grid larger than ``max_grid_ratio`` allows are left out (``grid_verdicts`` names them), or with
+    ``keep_large`` keep their rows as they are.
     """
     keys = list(keys)
     ir = irregularity(df, keys, ts, tiebreak, max_rows=max_rows, freq_us=freq_us)
@@ -194,6 +196,7 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts:
         points = points.where((F.col("rn") > 0) | (F.col("_g") == F.col("_us")))
     out = points.select(*keys, F.timestamp_micros("_g").alias(ts),
                         *[F.when(F.col("_g") == F.col("_us"), F.col(c)).otherwise(F.col(f"_b_{c}")).alias(c) for c in cols])
-    if only_irregular:
-        out = out.unionByName(base.where(~F.col("_resampled")).select(*keys, ts, *cols))
+    if only_irregular or keep_large:
+        as_is = (~F.col("_resampled") & F.lit(only_irregular)) | (F.col("_resampled") & F.col("_large") & F.lit(keep_large))
+        out = out.unionByName(base.where(as_is).select(*keys, ts, *cols))
     return out

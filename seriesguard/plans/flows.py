@@ -27,6 +27,7 @@ def prepare(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "
 
     ``fill`` is True (forward, then backward), ``"time"`` (linear in time) or False. ``raw_order`` leaves
     the rows as they are: no dedup, fill or resampling, only the columns chosen and null times dropped (X10).
+    A series whose grid would be out of proportion to its rows (X14) keeps its rows, not resampled.
 
     One small aggregate measures the largest series; that bound picks every plan below (single window
     per series, or segments and blocks for huge series) without further jobs. The result is
@@ -52,7 +53,7 @@ def prepare(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "
         if big and resample:
             df = stage(df, "filled")
     if resample:
-        df = grid.resample_ffill(df, keys, cols, ts, keep_leading=keep_leading, max_rows=n_max)
+        df = grid.resample_ffill(df, keys, cols, ts, keep_leading=keep_leading, max_rows=n_max, keep_large=True)
     return stage(df.select(*keys, ts, *cols), "prepared")
 
 
