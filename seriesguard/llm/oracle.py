@@ -73,3 +73,38 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+OP11 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+split AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, id, unnest(w) AS w1, unnest(range(len(w))) AS pos FROM split),
+seq AS (
+  SELECT lang, w1, lead(w1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3
+  FROM words WINDOW piece AS (PARTITION BY id ORDER BY pos)),
+f1 AS (SELECT lang, w1, count(*) AS f FROM seq GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM seq WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM seq WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+held AS (
+  SELECT lang, u, v, max(f) AS most
+  FROM (SELECT lang, w1 AS u, w2 AS v, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  LEFT JOIN held h ON h.lang = c.lang AND h.u = c.w1 AND h.v = c.w2
+  WHERE c.f >= 10 AND (h.most IS NULL OR 100 * h.most < 50 * c.f)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+scored AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS c FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE c = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
