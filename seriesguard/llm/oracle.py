@@ -108,3 +108,29 @@ best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE c = 1)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """
+
+OP12 = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t AS (
+  SELECT *, CASE WHEN conv_id IS NULL THEN 'row ' || row_number() OVER () ELSE 'id ' || conv_id END AS talk,
+         coalesce(role, '') AS who, coalesce(text, '') AS said FROM c),
+esc AS (
+  SELECT *, regexp_replace(said, '([\[<])(\\*)(/?(?:INST|SYS|ROLE|SAYS|s)[\]>])', '\1\2\\\3', 'g') AS written,
+         regexp_replace(who, '([\[<])(\\*)(/?(?:INST|SYS|ROLE|SAYS|s)[\]>])', '\1\2\\\3', 'g') AS name,
+         row_number() OVER (PARTITION BY talk ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rn,
+         count(*) OVER (PARTITION BY talk) AS size
+  FROM t),
+pieces AS (
+  SELECT *, length(CASE who WHEN 'system' THEN '[SYS] ' || written || ' [/SYS]' WHEN 'user' THEN '[INST] ' || written || ' [/INST]'
+                   WHEN 'assistant' THEN '<s>' || written || '</s>' ELSE '[ROLE] ' || name || ' [SAYS] ' || written || ' [/ROLE]' END) AS chars
+  FROM esc),
+upto AS (SELECT *, sum(chars) OVER (PARTITION BY talk ORDER BY rn) AS total FROM pieces)
+SELECT any_value(conv_id) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(who || chr(10) || said || chr(10), '' ORDER BY rn)) AS turns_sha256,
+       length(coalesce(string_agg(said, '' ORDER BY rn) FILTER (who = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(said, '' ORDER BY rn) FILTER (who = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(total) FILTER (who = 'assistant' OR rn = size) AS BIGINT) AS formatted_chars
+FROM upto GROUP BY talk
+"""
