@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_text, jaccard, langid, linededup, mixing, oracle, phrases, quality, simhash, suffixes, topk
+from . import bpe, chat, html_text, jaccard, langid, linededup, mixing, oracle, phrases, quality, simhash, suffixes, topk, whitening
 from .common import table
 
 
@@ -75,9 +75,14 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns.unionByName(spark.createDataFrame(more, "conv_id long, turn long, role string, text string")))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000)
+
+
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_va_topk": op2_va_topk, "op3_site_templates": op3_site_templates,
            "op4_jaccard_join": op4_jaccard_join, "op5_quality_kneser_ney": op5_quality_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
            "op7_line_dedup": op7_line_dedup,
-           "op8_simhash": op8_simhash, "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe, "op11_phrases": op11_phrases, "op12_chat": op12_chat}
+           "op8_simhash": op8_simhash, "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe, "op11_phrases": op11_phrases, "op12_chat": op12_chat,
+           "op13_whitening": op13_whitening}
 ORACLE = {"op1_mix_sources": oracle.OP1, "op2_va_topk": oracle.OP2, "op7_line_dedup": oracle.OP7,
           "op11_phrases": oracle.OP11, "op12_chat": oracle.OP12}
