@@ -1,15 +1,17 @@
 """Phrase collocation mining with stripes: every first word keys a counter of the words that follow it.
 
-1. Each task counts its texts in chunks: the stripe of a word ``w1`` maps (``w2``, ``w3``) to how often they follow it
-   inside a piece. ``w3`` is null where the piece ends behind ``w2``, ``w2`` where it ends behind ``w1``. So a stripe holds every
-   occurrence of its prefix once. Stripes are cut by a hash of ``w2`` into ``SLICES``, so a frequent word is many rows.
-2. One shuffle deals the slices out by (language, ``w1``, slice) and sorts them; equal slices stream by and are added up
-   elementwise. A merged slice gives all that is needed: the counts of its three-word extensions, the totals of the
-   prefixes ``w1 w2``, each prefix's most frequent extension, and its part of the total of ``w1``. Phrases below
-   ``min_count`` go no further; nothing else is dropped.
-3. Joins on candidates alone bring the counts of their parts together; scores are exact (decimal) integers.
-
-Memory is a chunk of text in step 1, and in step 2 ``MERGE_ENTRIES`` entries and the different entries of one slice.
+1. Words are counted, for the languages' sizes, the counts of single words, and the frequent words: those that make up
+   1/1024 of all words or more, at most 1,024 of them.
+2. Each task counts its texts in chunks: the stripe of a word ``w1`` maps (``w2``, ``w3``) to how often they follow it
+   inside a piece, with an end mark for ``w3`` where the piece ends behind ``w2``. So a stripe holds every occurrence of its
+   prefixes ``w1 w2`` once. Stripes of frequent words are cut into ``SLICES`` by a hash of ``w2``, others are one row of a chunk.
+3. One shuffle deals the stripes out by (language, ``w1``, slice) and sorts them; equal ones stream by and are added up
+   elementwise. A merged stripe gives all that is needed: the counts of its three-word extensions, the totals of the
+   prefixes ``w1 w2``, and each prefix's most frequent extension. Phrases below ``min_count`` go no further; nothing else
+   is dropped.
+4. Joins on candidates alone bring the counts of their parts together; scores are exact (decimal) integers.
+
+Memory is a chunk of text in steps 1 and 2, and in step 3 ``MERGE_ENTRIES`` entries and the different entries of one slice.
 """
 
 from __future__ import annotations
@@ -19,159 +21,207 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import shuffle_partitions
 
-SLICES = 32
+SLICES, FREQUENT = 64, 1024
 #: Bytes of text counted at a time, and entries gathered before stripes are added up.
 CHUNK_BYTES, MERGE_ENTRIES = 16_000_000, 400_000
 #: Code points that end a piece (fixed values of the contract); the byte that stands for them occurs in no UTF-8 text.
 BREAKS, BREAK = b".,;:!?\x0a\x0b\x0c\x0d", b"\xff"
 _TABLE = bytes(BREAK[0] if bytes([b]) in BREAKS else 0x20 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Stands for ``w3`` in a stripe where the piece ends; no word holds it.
+END = b"."
 
-ENTRY = pa.struct([("w2", pa.string()), ("w3", pa.string()), ("n", pa.int64())])
-STRIPE_SCHEMA = "lang string, w1 string, slice int, stripe array<struct<w2:string,w3:string,n:bigint>>"
+#: ``nexts`` is ``w2 w3 w2 w3 ...``, separated by spaces; ``counts`` has 8 little-endian bytes for each pair.
+STRIPE_SCHEMA = "lang string, w1 string, slice int, nexts binary, counts binary"
 PHRASE_SCHEMA = "lang string, w1 string, w2 string, w3 string, a long, extended long"
 
 
 class _Words(dict):
-    """Word -> its number in this chunk, from 1; the break is 0."""
+    """Word -> its number, from 1; 0 is what it is made with."""
 
-    def __init__(self):
-        super().__init__({BREAK: 0})
+    def __init__(self, zero: bytes):
+        super().__init__({zero: 0})
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self)
         return n
 
+    def number(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+
 
 def _numbered(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """The words of all texts as numbers, with a 0 behind each piece, and the words by number."""
-    words = _Words()
+    words = _Words(BREAK)
     raw = BREAK.join([*texts, b"", b""]).translate(_TABLE)
-    tokens = raw.replace(BREAK, b" \xff ").split()  # only spaces are left to split at
-    return np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens)), list(words)
+    ids = words.number(raw.replace(BREAK, b" \xff ").split())  # only spaces are left to split at
+    return ids, list(words)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Languages and texts, of about ``CHUNK_BYTES`` at a time (a longer text is alone)."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held.setdefault(lang, []).append(text)
+            size += len(text)
+            if size >= CHUNK_BYTES:
+                yield from held.items()
+                held, size = {}, 0
+    yield from held.items()
+
+
+def _rows(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
+                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+
+
+def word_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``lang``, ``w1`` and ``f``, how often the word occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in _chunks(batches):
+            ids, words = _numbered(texts)
+            n = np.bincount(ids, minlength=len(words))
+            for lo in range(1, len(words), 20_000):
+                own = words[lo:lo + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(own, pa.binary()).cast(pa.string()),
+                                                  pa.array(n[lo:lo + len(own)], pa.int64())], names=["lang", "w1", "f"])
+
+    parts = _rows(docs, lang_col, text_col).mapInArrow(run, "lang string, w1 string, f long")
+    return parts.groupBy("lang", "w1").agg(F.sum("f").alias("f"))
 
 
-def _count(ids: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Different (w1, w2, w3) sorted by w1, slice of w2, w2 and w3, and how often each occurs. Number 0 is the end."""
+def _count(ids: np.ndarray, words: list[bytes], sliced: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different (w1, w2, w3) sorted by w1, slice, w2 and w3, and how often each occurs; w3 is 0 where the piece ends."""
     size = len(words)
     part = np.fromiter((zlib.crc32(w) % SLICES for w in words), np.int64, size)
-    part[0] = 0
-    at = np.flatnonzero(ids)
-    first, second = ids[at], ids[at + 1]  # a break stands at the end, so there is always a next one
-    third = np.where(second > 0, ids[np.minimum(at + 2, len(ids) - 1)], 0)
-    pairs, rank = np.unique((first * SLICES + part[second]) * size + second, return_inverse=True)
+    at = np.flatnonzero(ids[:-2] * ids[1:-1])  # two breaks stand at the end
+    first, second, third = ids[at], ids[at + 1], ids[at + 2]
+    pairs, rank = np.unique((first * SLICES + part[second] * sliced[first]) * size + second, return_inverse=True)
     keys, n = np.unique(rank * size + third, return_counts=True)
     pair = pairs[keys // size]
     slot = pair // size
     return slot // SLICES, slot % SLICES, pair % size, keys % size, n
 
 
-def _stripes(lang: str, texts: list[bytes], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """One row for each word and slice of a chunk, in batches."""
+def _packed(second: np.ndarray, third: np.ndarray, n: np.ndarray, edges: np.ndarray, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """``nexts`` and ``counts`` of the runs between edges; ``words[0]`` is the end mark."""
+    flat = list(map(words.__getitem__, np.column_stack([second, third]).ravel().tolist()))
+    raw = n.astype("<u8").tobytes()
+    spans = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+    return [b" ".join(flat[2 * a:2 * b]) for a, b in spans], [raw[8 * a:8 * b] for a, b in spans]
+
+
+def _stripes(lang: str, texts: list[bytes], frequent: set[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
+    """One row for each word (of a frequent one, for each slice) of a chunk, in batches."""
     ids, words = _numbered(texts)
-    if not ids.any():
+    words[0] = END
+    sliced = np.fromiter(((lang, w) in frequent for w in words), np.int64, len(words))
+    first, part, second, third, n = _count(ids, words, sliced)
+    if not len(first):
         return
-    first, part, second, third, n = _count(ids, words)
-    spelt = pa.array([None, *words[1:]], pa.binary()).cast(pa.string())
-    starts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (part[1:] != part[:-1])]))
-    edges = np.append(starts, len(first))
-    for lo in range(0, len(starts), 20_000):
-        hi = min(lo + 20_000, len(starts))
-        inside = slice(edges[lo], edges[hi])
-        entries = pa.StructArray.from_arrays(
-            [spelt.take(pa.array(second[inside])), spelt.take(pa.array(third[inside])), pa.array(n[inside], pa.int64())], fields=list(ENTRY))
-        lists = pa.ListArray.from_arrays(pa.array(edges[lo:hi + 1] - edges[lo], pa.int32()), entries)
-        rows = starts[lo:hi]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * (hi - lo), pa.string()), spelt.take(pa.array(first[rows])),
-                                          pa.array(part[rows], pa.int32()), lists], names=names)
-
-
-def stripes(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """``lang``, ``w1``, ``slice`` and ``stripe``, the slice's counter, of each chunk of texts."""
-    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    names = ["lang", "w1", "slice", "stripe"]
-
+    edges = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (part[1:] != part[:-1]), [True]]))
+    for lo in range(0, len(edges) - 1, 20_000):
+        own = edges[lo:lo + 20_001]
+        inside, rows = slice(own[0], own[-1]), own[:-1]
+        nexts, counts = _packed(second[inside], third[inside], n[inside], own - own[0], words)
+        prefixes = [words[i] for i in first[rows].tolist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(rows), pa.string()), pa.array(prefixes, pa.binary()).cast(pa.string()), pa.array(part[rows], pa.int32()),
+             pa.array(nexts, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "w1", "slice", "nexts", "counts"])
+
+
+def stripes(docs: DataFrame, frequent: set[tuple[str, bytes]] = frozenset(), lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``lang``, ``w1``, ``slice``, ``nexts`` and ``counts`` (see ``STRIPE_SCHEMA``) of each chunk of texts. Words in ``frequent`` are sliced."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {}
-        size = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(lang, []).append(text)
-                size += len(text)
-                if size >= CHUNK_BYTES:
-                    for k in held:
-                        yield from _stripes(k, held[k], names)
-                    held, size = {}, 0
-        for k in held:
-            yield from _stripes(k, held[k], names)
-
-    return rows.mapInArrow(run, STRIPE_SCHEMA)
-
-
-def _entries(batch: pa.RecordBatch) -> pa.Table:
-    """A row for each entry of a batch of stripes."""
-    lists = batch.column(3)
-    at, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
-    return pa.table([*(batch.column(i).take(at) for i in range(3)), *(flat.field(i) for i in range(3))],
-                    names=["lang", "w1", "slice", "w2", "w3", "n"])
-
-
-def _added(parts: list[pa.Table]) -> pa.Table:
-    """Stripes merged elementwise."""
-    keys = ["lang", "w1", "slice", "w2", "w3"]
-    return pa.concat_tables(parts).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
-
-
-def _finished(whole: pa.Table, min_count: int, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """What merged slices hold: word totals (``w2`` null), two-word phrases (``w3`` null) with their most frequent
-    extension, and three-word phrases."""
-    def rows(t: pa.Table, a: str, *given: str, extended: str | None = None) -> pa.Table:
-        none = lambda kind: pa.nulls(len(t), kind)
-        cols = [t["lang"], t["w1"], *(t[c] if c in given else none(pa.string()) for c in ("w2", "w3"))]
-        return pa.table([*cols, t[a], t[extended] if extended else none(pa.int64())], names=names)
-
-    if not len(whole):
-        return
-    words = whole.group_by(["lang", "w1"]).aggregate([("n", "sum")])
-    inside = whole.filter(pc.is_valid(whole["w2"]))
-    longest = pc.if_else(pc.is_valid(inside["w3"]), inside["n"], pa.scalar(0, pa.int64()))
-    pairs = inside.append_column("longest", longest).group_by(["lang", "w1", "w2"]).aggregate([("n", "sum"), ("longest", "max")])
-    pairs = pairs.filter(pc.greater_equal(pairs["n_sum"], min_count))
-    triples = inside.filter(pc.and_(pc.is_valid(inside["w3"]), pc.greater_equal(inside["n"], min_count)))
-    for t in (rows(words, "n_sum"), rows(pairs, "n_sum", "w2", extended="longest_max"), rows(triples, "n", "w2", "w3")):
-        yield from t.combine_chunks().to_batches(max_chunksize=20_000)
+        for lang, texts in _chunks(batches):
+            yield from _stripes(lang, texts, frequent)
+
+    return _rows(docs, lang_col, text_col).mapInArrow(run, STRIPE_SCHEMA)
+
+
+class _Merged:
+    """Stripes added up elementwise. Rows are (lang, w1, slice, nexts, counts), equal keys next to each other."""
+
+    def __init__(self, rows: list[tuple]):
+        words = _Words(END)
+        pairs = words.number(b" ".join([r[3] for r in rows]).split(b" ")).reshape(-1, 2)
+        n = np.frombuffer(b"".join([r[4] for r in rows]), "<u8").astype(np.int64)
+        group, last, self.keys = [], None, []
+        for r in rows:
+            if r[:3] != last:
+                last = r[:3]
+                self.keys.append(last)
+            group.append(len(self.keys) - 1)
+        groups = np.repeat(np.array(group, np.int64), [len(r[4]) // 8 for r in rows])
+        self.words = list(words)
+        size = len(self.words)
+        slots, rank = np.unique(groups * size + pairs[:, 0], return_inverse=True)
+        key = rank * size + pairs[:, 1]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        self.n = np.add.reduceat(n[order], starts)
+        self.slot, self.third = key[starts] // size, key[starts] % size
+        self.group, self.second = slots[self.slot] // size, slots[self.slot] % size
+
+    def __len__(self) -> int:
+        return len(self.n)
+
+    def last(self) -> tuple:
+        """The last key's merged stripe as a row."""
+        a = int(np.searchsorted(self.group, len(self.keys) - 1))
+        nexts, counts = _packed(self.second[a:], self.third[a:], self.n[a:], np.array([0, len(self) - a]), self.words)
+        return (*self.keys[-1], nexts[0], counts[0])
+
+    def phrases(self, min_count: int, whole: int) -> Iterator[pa.RecordBatch]:
+        """Phrases of the first ``whole`` keys: two words (``w3`` null) with their most frequent extension, and three words."""
+        end = int(np.searchsorted(self.group, whole))
+        if not end:
+            return
+        slot, n = self.slot[:end], self.n[:end]
+        starts = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        total = np.add.reduceat(n, starts)
+        longest = np.maximum.reduceat(np.where(self.third[:end] > 0, n, 0), starts)
+        two, three = np.flatnonzero(total >= min_count), np.flatnonzero((n >= min_count) & (self.third[:end] > 0))
+        rows = np.concatenate([starts[two], three])
+        spelt = lambda ids: pa.array([self.words[i] for i in ids], pa.binary()).cast(pa.string())
+        keys = [self.keys[g] for g in self.group[rows].tolist()]
+        none = [None] * len(two)
+        third = pa.concat_arrays([pa.nulls(len(two), pa.string()), spelt(self.third[three].tolist())])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), spelt(self.second[rows].tolist()), third,
+             pa.array(np.concatenate([total[two], n[three]]), pa.int64()), pa.array(longest[two].tolist() + [None] * len(three), pa.int64())],
+            names=["lang", "w1", "w2", "w3", "a", "extended"])
 
 
 def merged(parts: DataFrame, min_count: int, merge_entries: int = MERGE_ENTRIES) -> DataFrame:
-    """Adds up the stripes: ``lang``, ``w1``, ``w2``, ``w3``, ``a`` and, of two-word phrases, ``extended``, the count of the most frequent
-    phrase of one more word behind. Phrases have ``a`` >= ``min_count``; rows without ``w2`` are parts of word totals."""
+    """Adds up the stripes: ``lang``, ``w1``, ``w2``, ``w3``, ``a`` and, of two-word phrases (``w3`` null), ``extended``, the count of the
+    most frequent phrase of one more word behind. Phrases have ``a`` >= ``min_count``."""
     keys = ["lang", "w1", "slice"]
-    names = ["lang", "w1", "w2", "w3", "a", "extended"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        held: list[tuple] = []
         size, limit = 0, merge_entries
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(_entries(batch))
-            size += len(held[-1])
-            if size >= limit:  # rows come sorted, so only the last slice can go on
-                whole, last = _added(held), [batch.column(i)[-1] for i in range(3)]
-                same = pc.and_(pc.and_(pc.equal(whole["lang"], last[0]), pc.equal(whole["w1"], last[1])), pc.equal(whole["slice"], last[2]))
-                yield from _finished(whole.filter(pc.invert(same)), min_count, names)
-                held = [whole.filter(same)]
-                size = len(held[0])
-                limit = merge_entries + 2 * size
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(row)
+                size += len(row[4]) // 8
+                if size >= limit:  # rows come sorted, so only the last key can go on
+                    added = _Merged(held)
+                    yield from added.phrases(min_count, len(added.keys) - 1)
+                    held = [added.last()]
+                    size = len(held[0][4]) // 8
+                    limit = merge_entries + 2 * size
         if held:
-            yield from _finished(_added(held), min_count, names)
+            added = _Merged(held)
+            yield from added.phrases(min_count, len(added.keys))
 
     dealt = parts.repartition(shuffle_partitions(parts.sparkSession), *keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, PHRASE_SCHEMA)
@@ -201,12 +251,14 @@ def collocations(docs: DataFrame, min_count: int = 10, inside_pct: int = 50, top
     words add nothing. Repeated rows count each. An empty table gives an empty result. Only the two columns are read. Counts up
     to 10^16 are exact.
     """
-    found = materialize(merged(stripes(docs, lang_col, text_col), min_count), "phrases")
-    words = found.where("w2 is null").groupBy("lang", "w1").agg(F.sum("a").alias("f"))
-    words = materialize(words, "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    words = materialize(word_counts(docs, lang_col, text_col), "words")
+    totals = materialize(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    often = words.where(F.col("f") * FREQUENT >= n).select("lang", F.col("w1").cast("binary")).collect()
+    frequent = {(r[0], bytes(r[1])) for r in often}
+    found = materialize(merged(stripes(docs, frequent, lang_col, text_col), min_count), "phrases")
     words = words.where(F.col("f") >= min_count)
-    pairs = found.where("w2 is not null and w3 is null")
+    pairs = found.where("w3 is null")
     triples = found.where("w3 is not null")
 
     def word(name: str, out: str) -> DataFrame:
