@@ -1,5 +1,8 @@
 """Frequency inference, expected grid, irregularity, resampling with forward fill, gaps.
 
+Frequencies are fixed steps or calendar rules (``operators.calendar``: months, quarters, years, business days, weeks); grids
+of both are numbered points, so one plan explodes and fills them.
+
 Grids are generated in two levels (chunk starts, then points inside a chunk), so neither a long series nor a
 long gap becomes one object. A grid much larger than the data (defect X14) is a verdict on that series
 (``grid_verdicts``): it gets no grid points, and the others go on. Its rows are left out of the resampled ones, or
@@ -14,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesguard.functions.columns import micros
+from seriesguard.operators import calendar
+from seriesguard.operators.calendar import DAY_US
 from seriesguard.plans import layout as L
 
-DAY_US = 86_400_000_000
 GRID_CHUNK = 4096
 
 
@@ -36,19 +40,9 @@ def with_deltas(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Se
 def _delta_groups(d: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """One partial aggregate per ``(series, step)`` that all frequency statistics are derived from."""
     t = F.col(ts)
-    midnight = F.date_trunc("day", t) == t
-    dow = F.dayofweek(t)  # 1 = Sunday ... 7 = Saturday
-    prev_dow = F.dayofweek(F.timestamp_micros(micros(t) - F.col("delta_us")))
-    bday_step = F.col("delta_us").isNull() | (F.col("delta_us") == DAY_US) | (
-        (F.col("delta_us") == 3 * DAY_US) & (prev_dow == 6))
-    month_idx = F.year(t) * 12 + F.month(t)
     return d.groupBy(*keys, "delta_us").agg(
         F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_seen"),
-        F.min(micros(t)).alias("min_us"), F.max(micros(t)).alias("max_us"),
-        F.min(month_idx).alias("min_month"), F.max(month_idx).alias("max_month"),
-        F.bool_and(midnight & (F.dayofmonth(t) == 1)).alias("month_start"),
-        F.bool_and(midnight & (dow >= 2) & (dow <= 6)).alias("weekday"),
-        F.bool_and(bday_step).alias("bday"))
+        F.min(micros(t)).alias("min_us"), F.max(micros(t)).alias("max_us"), *calendar.step_columns(ts))
 
 
 def _frequency(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,18 +50,14 @@ def _frequency(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     step = F.col("delta_us")
     rank = F.when(step.isNotNull(), F.struct(F.col("n"), (-micros(F.col("first_seen"))).alias("neg_first")))
     agg = groups.groupBy(*keys).agg(
-        F.sum("n").alias("n_rows"), F.count(step).alias("n_steps"), F.min(step).alias("min_step"),
+        F.sum("n").alias("n_rows"), F.count(step).alias("n_steps"), F.min(step).alias("min_step"), F.max(step).alias("max_step"),
+        F.sum(step).alias("sum_steps"),
         F.max_by(step, rank).alias("modal_us"), F.max_by(F.when(step.isNotNull(), F.col("n")), rank).alias("modal_n"),
-        F.min("min_us").alias("min_us"), F.max("max_us").alias("max_us"),
-        (F.max("max_month") - F.min("min_month") + 1).alias("month_span"),
-        F.bool_and("month_start").alias("all_month_start"), F.bool_and("weekday").alias("all_weekday"),
-        F.bool_and("bday").alias("bday_steps"))
-    kind = (F.when(F.col("n_rows") < 3, F.lit(None).cast("string"))
-            .when(F.col("n_steps") == 1, F.lit("fixed"))
-            .when(F.col("all_month_start") & (F.col("month_span") == F.col("n_rows")), F.lit("month"))
-            .when(F.col("all_weekday") & F.col("bday_steps"), F.lit("business_day")))
-    return agg.withColumn("freq_kind", kind).withColumn(
-        "freq_us", F.coalesce(F.when(kind == "fixed", F.col("min_step")), F.col("modal_us")))
+        F.min("min_us").alias("min_us"), F.max("max_us").alias("max_us"), *calendar.merged_steps())
+    ruled = calendar.with_rule(agg)
+    kind = calendar.kind_of()
+    return ruled.select(*keys, "n_rows", "n_steps", "min_step", "modal_us", "modal_n", "min_us", "max_us", "rule", "rule_n", "anchor",
+                        kind.alias("freq_kind"), F.coalesce(F.when(kind == "fixed", F.col("min_step")), F.col("modal_us")).alias("freq_us"))
 
 
 def frequency(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
@@ -83,10 +73,11 @@ def modal_delta(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Se
 
 
 def infer_freq(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """``fixed`` (one distinct step), ``month`` (consecutive month starts), ``business_day``
-    (weekday midnights, steps of 1 day or Friday-to-Monday) or null; needs at least 3 rows."""
+    """``freq_kind`` (``fixed``: one distinct step, ``freq_us``; a calendar rule such as ``month`` (starts), ``quarter_end``, ``business_day``,
+    ``week_of_month``; or null) and ``freq``, the rule's full name, such as ``15min``, ``ME``, ``2QS-OCT``; needs at least 3 rows."""
     f = frequency(df, keys, ts, tiebreak)
-    return f.select(*keys, "freq_kind", F.when(F.col("freq_kind") == "fixed", F.col("min_step")).alias("freq_us"))
+    return f.select(*keys, "freq_kind", calendar.alias_of().alias("freq"),
+                    F.when(F.col("freq_kind") == "fixed", F.col("min_step")).alias("freq_us"))
 
 
 def series_bounds(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
@@ -95,20 +86,39 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFra
                                  F.max(us).alias("max_us"))
 
 
+def _time_of_day():
+    """What an expected range adds to its points: the first row's time of day, where points lie at midnight."""
+    midnight = (F.col("_g_unit") != "us") | F.col("_g_wd").isNotNull()
+    return F.when(midnight, F.pmod(F.col("min_us"), F.lit(DAY_US))).otherwise(F.lit(0).cast("long"))
+
+
 def irregularity(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
-                 max_rows: int | None = None, freq_us: int | None = None) -> DataFrame:
-    """Expected grid length from first to last row at the step, compared by length only.
+                 max_rows: int | None = None, freq_us: int | None = None, rule: str | None = None) -> DataFrame:
+    """Expected grid length from first to last row at the series' frequency, compared by length only.
 
-    A given ``freq_us`` takes the place of the inferred step, also for calendar frequencies."""
+    A given ``freq_us`` or ``rule`` (an alias, such as ``ME`` or ``W-MON``) takes the place of the inferred frequency. Series with
+    the rhythm of business hours count as regular."""
     f = frequency(df, keys, ts, tiebreak, max_rows=max_rows)
+    if freq_us is not None and rule is not None:
+        raise ValueError("give a step or a rule")
     if freq_us is not None:
-        f = f.withColumn("freq_us", F.lit(int(freq_us)).cast("long"))
-    expected = F.when(F.col("freq_us") > 0,
-                      F.floor((F.col("max_us") - F.col("min_us")) / F.col("freq_us")) + F.lit(1))
-    uneven = F.coalesce(F.col("expected_len") != F.col("n_rows"), F.lit(False))
-    if freq_us is None:
-        uneven = F.when(F.coalesce(F.col("freq_kind").isin("month", "business_day"), F.lit(False)), F.lit(False)).otherwise(uneven)
-    return f.withColumn("expected_len", expected.cast("long")).withColumn("is_irregular", uneven)
+        f = f.withColumn("freq_us", F.lit(int(freq_us)).cast("long")).withColumn("rule", F.lit(None).cast("string"))
+    if rule is not None:
+        name, n, anchor = calendar.parse_rule(rule)
+        step = {**calendar.FIXED_US, "W": 7 * DAY_US}.get(name)
+        f = f.withColumns({"rule": F.lit(name), "rule_n": F.lit(n).cast("long"), "anchor": F.lit(anchor).cast("string")})
+        if step:
+            f = f.withColumn("freq_us", F.lit(n * step).cast("long"))
+    if freq_us is not None or rule is not None:
+        f = f.withColumn("freq_kind", calendar.kind_of())
+    g = calendar.with_grid(f, forward=True).withColumn("_past", F.col("max_us") - _time_of_day() + F.lit(1))
+    g = calendar.with_first_at(g, "_past", "_points").drop("_past")
+    g = g.withColumn("expected_len", F.when(F.col("_g_step") > 0, F.greatest("_points", F.lit(0).cast("long")))).drop("_points")
+    uneven = F.coalesce(F.col("expected_len") != F.col("n_rows"), F.lit(False)) & ~F.coalesce(F.col("freq_kind") == "business_hour", F.lit(False))
+    g = g.withColumn("is_irregular", uneven)
+    # one row a series already; without this step the optimizer would copy filters on these columns into all expressions above
+    found = g.groupBy(*keys).agg(F.any_value(F.struct(*[c for c in g.columns if c not in keys])).alias("_found"))
+    return found.select(*keys, "_found.*")
 
 
 def _too_large(max_grid_ratio: float):
@@ -139,13 +149,14 @@ def explode_range(df: DataFrame, lo: str, hi: str, step: str, out: str, chunk: i
 
 
 def expected_grid(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = (),
-                  max_grid_ratio: float = 100.0) -> DataFrame:
-    """Every grid point from the first row to the last at the series step; series with a grid larger than
-    ``max_grid_ratio`` allows are left out (``grid_verdicts``)."""
-    ir = irregularity(df, keys, ts, tiebreak).where(~_too_large(max_grid_ratio))
-    ir = ir.withColumn("_hi", F.col("min_us") + (F.col("expected_len") - 1) * F.col("freq_us"))
-    g = explode_range(ir.where(F.col("freq_us") > 0), "min_us", "_hi", "freq_us", "_g")
-    return g.select(*keys, F.timestamp_micros("_g").alias(ts))
+                  max_grid_ratio: float = 100.0, rule: str | None = None) -> DataFrame:
+    """Every grid point from the first row to the last at the series' frequency (or at ``rule``); series with a grid larger
+    than ``max_grid_ratio`` allows are left out (``grid_verdicts``)."""
+    ir = irregularity(df, keys, ts, tiebreak, rule=rule).where(~_too_large(max_grid_ratio) & (F.col("_g_step") > 0))
+    one = F.lit(1).cast("long")
+    ir = ir.withColumns({"_lo": one - 1, "_hi": F.col("expected_len") - 1, "_one": one})
+    g = calendar.with_point(explode_range(ir, "_lo", "_hi", "_one", "_k"), "_k", "_g")
+    return g.select(*keys, F.timestamp_micros(F.col("_g") + _time_of_day()).alias(ts))
 
 
 def grid_gaps(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -157,45 +168,52 @@ def grid_gaps(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: Sequ
 def resample_ffill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
                    tiebreak: Sequence[str] = (), keep_leading: bool = False, only_irregular: bool = True,
                    max_grid_ratio: float = 100.0, rows_per_block: int = L.ROWS_PER_BLOCK,
-                   max_rows: int | None = None, freq_us: int | None = None, keep_large: bool = False) -> DataFrame:
+                   max_rows: int | None = None, freq_us: int | None = None, keep_large: bool = False,
+                   rule: str | None = None) -> DataFrame:
     """Grid anchored at midnight of the first day; a grid point takes the last row at or before it.
 
+    Grids of calendar rules lie on the rule's dates, at midnight: of rules at starts (``MS``, ``QS-OCT``, ``B``, ``WOM-2TUE``) from the last date
+    at or before the first row, of rules at ends and weeks (``ME``, ``YE-DEC``, ``W-MON``) up to the first date that covers the last row.
+
     Rows must be unique per ``(series, ts)`` (run D2 first). Each row emits the grid points between the
     previous row and itself, with the previous row's values (one ``lag``), so no as-of join and no
     per-series sort is needed. The point before the first row is null and dropped unless
     ``keep_leading`` (X15). With ``only_irregular`` regular series pass through unchanged (D9).
-    ``freq_us`` replaces the inferred step (D6/D7), and a series is regular if it fits that step. Irregular
+    ``freq_us`` or ``rule`` replaces the inferred frequency (D6/D7), and a series is regular if it fits that. Irregular
     series with a grid larger than ``max_grid_ratio`` allows are left out (``grid_verdicts`` names them), or with
     ``keep_large`` keep their rows as they are.
     """
     keys = list(keys)
-    ir = irregularity(df, keys, ts, tiebreak, max_rows=max_rows, freq_us=freq_us)
-    resampled = F.col("freq_us").isNotNull() & (F.col("is_irregular") if only_irregular else F.lit(True))
-    anchor = micros(F.date_trunc("day", F.timestamp_micros(F.col("min_us"))))
-    params = ir.select(*keys, F.col("n_rows").alias("_n_rows"), F.col("freq_us").alias("_f"), anchor.alias("_a"),
-                       resampled.alias("_resampled"), _too_large(max_grid_ratio).alias("_large"))
-    f, a = F.col("_f"), F.col("_a")
+    ir = irregularity(df, keys, ts, tiebreak, max_rows=max_rows, freq_us=freq_us, rule=rule)
+    resampled = F.col("_g_step").isNotNull() & (F.col("is_irregular") if only_irregular else F.lit(True))
+    series = ir.select(*[c for c in ir.columns if not c.startswith("_g_")], resampled.alias("_resampled"), _too_large(max_grid_ratio).alias("_large"))
+    series = calendar.with_grid(series)
+    params = series.select(*keys, F.col("n_rows").alias("_n_rows"), "_resampled", "_large", *[c for c in series.columns if c.startswith("_g_")])
     base = df.join(params, keys)
     work = base.where(F.col("_resampled") & ~F.col("_large"))
+    us = micros(F.col(ts))
+    work = work.withColumns({"_us": us, "_past_us": us + F.lit(1), "_day_us": us - F.pmod(us, F.lit(DAY_US))})
+    for at, of in (("_at", "_us"), ("_past", "_past_us"), ("_day_at", "_day_us")):
+        work = calendar.with_first_at(work, of, at)
     if "rn" not in work.columns:
         work = L.row_index(work, keys, ts, tiebreak, count_col=None, max_rows=max_rows)
     laid = L.with_blocks(work, keys, 1, rows_per_block=rows_per_block, max_rows=max_rows)
     w = L.seq_window(laid, keys)
-    us = micros(F.col(ts))
-    prev_us = F.lag(us, 1).over(w)
-    floor_g = lambda x: a + F.floor((x - a) / f) * f
-    ceil_g = lambda x: a + F.ceil((x - a) / f) * f
-    lo = F.when(F.col("rn") == 0, floor_g(us)).otherwise(ceil_g(prev_us)).cast("long")
-    on_grid_last = (F.col("rn") == F.col("_n_rows") - 1) & (floor_g(us) == us)
     before = [F.when(F.col("rn") > 0, F.lag(F.col(c), 1).over(w)).alias(f"_b_{c}") for c in cols]
-    # the points from the previous row up to this one take the previous row's values, a last row on the grid its own
-    gaps = L.drop_halo(laid.select("*", lo.alias("_lo"), F.when(on_grid_last, us).otherwise(us - F.lit(1)).alias("_hi"), us.alias("_us"), *before))
+    laid = L.drop_halo(laid.select("*", F.lag("_at", 1).over(w).alias("_prev_at"), *before))
+    # a row gives the points from the previous row on up to itself, with the previous row's values; the last one also those
+    # that it closes or lies on, with its own
+    up_to = F.col("_past") - 1  # the last point at or before the row
+    lo = F.when(F.col("rn") == 0, F.greatest(up_to, F.lit(0).cast("long"))).otherwise(F.col("_prev_at"))
+    closed = F.when(F.col("_g_right"), F.greatest(F.col("_day_at"), F.col("_at") - 1)).otherwise(up_to)
+    hi = F.when(F.col("rn") == F.col("_n_rows") - 1, closed).otherwise(F.col("_at") - 1)
+    gaps = laid.withColumns({"_lo": lo, "_hi": hi, "_one": F.lit(1).cast("long")})
     big = max_rows is not None and max_rows > rows_per_block
-    points = explode_range(gaps, "_lo", "_hi", "_f", "_g", spread=big)
+    points = calendar.with_point(explode_range(gaps, "_lo", "_hi", "_one", "_k", spread=big), "_k", "_g")
     if not keep_leading:
-        points = points.where((F.col("rn") > 0) | (F.col("_g") == F.col("_us")))
+        points = points.where((F.col("rn") > 0) | (F.col("_g") >= F.col("_us")))
     out = points.select(*keys, F.timestamp_micros("_g").alias(ts),
-                        *[F.when(F.col("_g") == F.col("_us"), F.col(c)).otherwise(F.col(f"_b_{c}")).alias(c) for c in cols])
+                        *[F.when(F.col("_g") >= F.col("_us"), F.col(c)).otherwise(F.col(f"_b_{c}")).alias(c) for c in cols])
     if only_irregular or keep_large:
         as_is = (~F.col("_resampled") & F.lit(only_irregular)) | (F.col("_resampled") & F.col("_large") & F.lit(keep_large))
         out = out.unionByName(base.where(as_is).select(*keys, ts, *cols))

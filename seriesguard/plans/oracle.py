@@ -7,10 +7,14 @@ whole series, ``ASOF JOIN`` for resampling, ``quantile_cont`` for thresholds.
 
 from __future__ import annotations
 
-from seriesguard.operators.ensemble import DEFAULT_K, DEFAULT_Q, STD_EPS
-from seriesguard.operators.features import ZERO_SCALE
-from seriesguard.operators.recon import EWMA_WEIGHTS, LOCAL_KERNEL
-from seriesguard.plans.panels import P1_FEATURES
+# Constants of the queries, written out here so that a change of the engine's own shows.
+DEFAULT_K = 3.0
+DEFAULT_Q = 0.99
+STD_EPS = 1e-12
+ZERO_SCALE = 2.220446049250313e-15
+EWMA_WEIGHTS = (0.4, 0.3, 0.2, 0.1)
+LOCAL_KERNEL = (0.25, 0.5, 0.25)
+P1_FEATURES = ['n_events', 'sum_value', 'avg_value', 'max_value', 'avg_k']
 
 ORACLE: dict[str, str] = {}
 W = 16
@@ -60,6 +64,23 @@ P3 = """p3 AS (
 
 P3B = """p3b AS (SELECT CAST(user_id AS VARCHAR) AS series_key, event_id, ts, value FROM events)"""
 
+P10 = """cal AS (
+  SELECT series_key, ts, count(*) AS n_orders, max(o_totalprice) AS max_total FROM (
+    SELECT 'month_end' AS series_key, last_day(o_orderdate)::TIMESTAMP AS ts, o_totalprice FROM orders
+    UNION ALL SELECT 'month_noon', date_trunc('month', o_orderdate) + INTERVAL 12 HOURS, o_totalprice FROM orders
+    UNION ALL SELECT 'two_months', date_trunc('month', o_orderdate), o_totalprice FROM orders WHERE month(o_orderdate) % 2 = 1
+    UNION ALL SELECT 'quarter_start', date_trunc('quarter', o_orderdate), o_totalprice FROM orders
+    UNION ALL SELECT 'year_start', date_trunc('year', o_orderdate), o_totalprice FROM orders
+    UNION ALL SELECT 'year_end', make_date(year(o_orderdate), 12, 31), o_totalprice FROM orders
+    UNION ALL SELECT 'week_monday', date_trunc('week', o_orderdate), o_totalprice FROM orders
+    UNION ALL SELECT 'business_day', date_trunc('day', o_orderdate), o_totalprice FROM orders WHERE dayofweek(o_orderdate) BETWEEN 1 AND 5
+    UNION ALL SELECT 'month_end_gaps', last_day(o_orderdate), o_totalprice FROM orders WHERE month(o_orderdate) NOT IN (2, 3, 7)
+    UNION ALL SELECT 'quarter_gaps', date_trunc('quarter', o_orderdate), o_totalprice FROM orders
+      WHERE year(o_orderdate) % 3 <> 1 OR quarter(o_orderdate) <> 2
+    UNION ALL SELECT 'year_gaps', date_trunc('year', o_orderdate), o_totalprice FROM orders WHERE year(o_orderdate) NOT IN (1994, 1996)
+    UNION ALL SELECT 'week_gaps', date_trunc('week', o_orderdate) + INTERVAL 2 DAYS, o_totalprice FROM orders WHERE weekofyear(o_orderdate) % 5 <> 0)
+  GROUP BY 1, 2)"""
+
 P4 = """p4 AS (
   SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS ts_iso,
          CASE WHEN event_id % 2 = 1 THEN epoch(ts) END AS ts_epoch_s, CASE WHEN event_id % 5 <> 0 THEN epoch_ms(ts) END AS ts_epoch_ms,
@@ -318,6 +339,62 @@ ORACLE["resample_ffill"] = with_(*P1_PREP) + "SELECT series_key, ts, " + ", ".jo
 ORACLE["resample_given_step"] = with_(P1, *resample_ctes("p1", "prep", P1_FEATURES, 1_800_000_000)) + "SELECT series_key, ts, " + ", ".join(
     f"round({c}, 6) AS {c}" for c in P1_FEATURES) + " FROM prep"
 
+# Calendar rules: inferred from gaps between months and years and from positions in the month; grids by generate_series of intervals.
+CAL_RULE = [
+    """cd AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER w) AS step, date_diff('month', lag(ts) OVER w, ts) AS months,
+         year(ts) - year(lag(ts) OVER w) AS years FROM cal WINDOW w AS (PARTITION BY series_key ORDER BY ts))""",
+    """ca AS (SELECT series_key, count(*) AS n_rows, min(ts) AS lo, max(ts) AS hi, count(DISTINCT step) AS n_steps, min(step) AS step,
+         max(step) AS longest, mode(step) AS usual, count(DISTINCT months) AS n_months, min(months) AS months, count(DISTINCT years) AS n_years,
+         min(years) AS years, count(DISTINCT month(ts)) AS month_names, min(month(ts)) AS in_month, min(isodow(ts)) AS dow,
+         bool_and(day(ts) = 1) AS starts, bool_and(ts::DATE = last_day(ts)) AS ends,
+         bool_and(step IS NULL OR step = 86400000000 AND isodow(ts) > 1 OR step = 259200000000 AND isodow(ts) = 1) AS bdays
+       FROM cd GROUP BY 1)""",
+    """cr AS (SELECT *, CASE WHEN n_rows < 3 THEN NULL
+         WHEN (starts OR ends) AND n_years = 1 AND month_names = 1 THEN IF(ends, 'YE', 'YS')
+         WHEN (starts OR ends) AND n_months = 1 AND months % 3 = 0 THEN IF(ends, 'QE', 'QS')
+         WHEN (starts OR ends) AND n_months = 1 THEN IF(ends, 'ME', 'MS')
+         WHEN n_steps = 1 AND step % 604800000000 = 0 THEN 'W' WHEN n_steps = 1 THEN 'D'
+         WHEN n_steps = 2 AND step = 86400000000 AND longest = 259200000000 AND bdays THEN 'B' END AS rule FROM ca)""",
+    """cg AS (SELECT *, CASE rule WHEN 'YE' THEN list_transform(generate_series(lo, hi + INTERVAL 1 DAY, to_years(years::INTEGER)), lambda x: x)
+           WHEN 'YS' THEN generate_series(lo, hi, to_years(years::INTEGER))
+           WHEN 'QS' THEN generate_series(lo, hi, to_months(months::INTEGER)) WHEN 'MS' THEN generate_series(lo, hi, to_months(months::INTEGER))
+           WHEN 'ME' THEN list_transform(generate_series(date_trunc('month', lo), hi, to_months(months::INTEGER)), lambda x: last_day(x)::TIMESTAMP)
+           WHEN 'B' THEN list_filter(generate_series(lo, hi, INTERVAL 1 DAY), lambda x: isodow(x) < 6)
+           ELSE generate_series(lo, hi, to_microseconds(IF(rule IN ('W', 'D'), step, usual))) END AS grid
+       FROM cr WHERE series_key NOT LIKE '%gaps')""",
+]
+
+ORACLE["infer_calendar"] = with_(P10, *CAL_RULE[:3]) + """
+SELECT series_key,
+       CASE rule WHEN 'YE' THEN 'year_end' WHEN 'YS' THEN 'year' WHEN 'QE' THEN 'quarter_end' WHEN 'QS' THEN 'quarter' WHEN 'ME' THEN 'month_end'
+         WHEN 'MS' THEN 'month' WHEN 'B' THEN 'business_day' ELSE IF(rule IS NULL, NULL, 'fixed') END AS freq_kind,
+       CASE WHEN rule IN ('YE', 'YS') THEN IF(years > 1, years || '', '') || rule || '-' || upper(strftime(make_date(2000, in_month, 1), '%b'))
+            WHEN rule IN ('QE', 'QS') THEN IF(months > 3, (months // 3) || '', '') || rule || '-' || ['DEC', 'OCT', 'NOV'][in_month % 3 + 1]
+            WHEN rule IN ('ME', 'MS') THEN IF(months > 1, months || '', '') || rule
+            WHEN rule = 'W' THEN IF(step > 604800000000, (step // 604800000000) || '', '') || 'W-'
+              || ['MON', 'TUE', 'WED', 'THU', 'FRI', 'SAT', 'SUN'][dow]
+            WHEN rule = 'D' THEN IF(step > 86400000000, (step // 86400000000) || '', '') || 'D' ELSE rule END AS freq
+FROM cr"""
+
+ORACLE["calendar_irregular"] = with_(P10, *CAL_RULE) + """
+SELECT series_key, n_rows, len(grid) AS expected_len, len(grid) <> n_rows AS is_irregular FROM cg"""
+
+ORACLE["calendar_grid"] = with_(P10, *CAL_RULE) + "SELECT series_key, unnest(grid) AS ts FROM cg"
+
+
+def _resample_rule(series: str, points: str) -> str:
+    """As of the points that ``points`` lists between ``lo`` and ``hi``, the first and last time of the series."""
+    return with_(P10, f"""own AS (SELECT * FROM cal WHERE series_key = '{series}')""",
+                 f"""pts AS (SELECT unnest({points}) AS ts FROM (SELECT min(ts) AS lo, max(ts) AS hi FROM own))""") + """
+SELECT o.series_key, p.ts, o.n_orders, round(o.max_total, 6) AS max_total FROM pts p ASOF JOIN own o ON p.ts >= o.ts"""
+
+
+ORACLE["resample_month_end"] = _resample_rule(
+    "month_end_gaps", "list_transform(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH), lambda x: last_day(x)::TIMESTAMP)")
+ORACLE["resample_quarter_start"] = _resample_rule("quarter_gaps", "generate_series(lo, hi, INTERVAL 3 MONTHS)")
+ORACLE["resample_year_start"] = _resample_rule("year_gaps", "generate_series(lo, hi, INTERVAL 1 YEAR)")
+ORACLE["resample_weekly"] = _resample_rule("week_gaps", "generate_series(lo + INTERVAL 5 DAYS, hi + INTERVAL 5 DAYS, INTERVAL 7 DAYS)")
+
 ORACLE["chrono_split"] = with_(*P1_SPLIT) + "SELECT series_key, ts, rn, split, rn_split FROM sp"
 
 ORACLE["split_bounds"] = with_(*P1_SPLIT) + """

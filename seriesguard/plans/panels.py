@@ -108,3 +108,19 @@ def categorical_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.lit("orders").alias("series_key"), "o_orderkey",
                     F.col("o_orderdate").cast("timestamp").alias("ts"),
                     "o_totalprice", "o_orderpriority", "o_orderstatus", F.col("o_custkey").cast("string").alias("o_custkey"))
+
+
+def calendar_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: orders on the dates of calendar rules, one series for each rule; ``*_gaps`` miss some dates."""
+    o = table(spark, sf_dir, "orders").selectExpr("CAST(o_orderdate AS TIMESTAMP) AS d", "o_totalprice")
+    rules = {"month_end": "CAST(last_day(d) AS TIMESTAMP)", "month_noon": "date_trunc('month', d) + INTERVAL 12 HOURS",
+             "two_months": "IF(month(d) % 2 = 1, date_trunc('month', d), NULL)", "quarter_start": "date_trunc('quarter', d)",
+             "year_start": "date_trunc('year', d)", "year_end": "date_trunc('year', d) + INTERVAL 1 YEAR - INTERVAL 1 DAY",
+             "week_monday": "date_trunc('week', d)", "business_day": "IF(weekday(d) < 5, date_trunc('day', d), NULL)",
+             "month_end_gaps": "IF(month(d) NOT IN (2, 3, 7), CAST(last_day(d) AS TIMESTAMP), NULL)",
+             "quarter_gaps": "IF(year(d) % 3 <> 1 OR quarter(d) <> 2, date_trunc('quarter', d), NULL)",
+             "year_gaps": "IF(year(d) NOT IN (1994, 1996), date_trunc('year', d), NULL)",
+             "week_gaps": "IF(weekofyear(d) % 5 <> 0, date_trunc('week', d) + INTERVAL 2 DAYS, NULL)"}
+    stack = ", ".join(f"'{k}', {v}" for k, v in rules.items())
+    rows = o.selectExpr(f"stack({len(rules)}, {stack}) AS (series_key, ts)", "o_totalprice").where("ts is not null")
+    return rows.groupBy("series_key", "ts").agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_total"))

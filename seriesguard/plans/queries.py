@@ -179,6 +179,52 @@ def resample_given_step(spark, sf_dir):
     return _final(grid.resample_ffill(p1, KEYS, P1_FEATURES, freq_us=1_800_000_000).select("series_key", "ts", *P1_FEATURES))
 
 
+@query
+def infer_calendar(spark, sf_dir):
+    return _final(grid.infer_freq(panels.calendar_series(spark, sf_dir), KEYS).select("series_key", "freq_kind", "freq"))
+
+
+def _calendar_series(spark, sf_dir, gaps: bool) -> DataFrame:
+    return panels.calendar_series(spark, sf_dir).where(F.col("series_key").endswith("_gaps") == F.lit(gaps))
+
+
+@query
+def calendar_irregular(spark, sf_dir):
+    ir = grid.irregularity(_calendar_series(spark, sf_dir, False), KEYS)
+    return _final(ir.select("series_key", "n_rows", "expected_len", "is_irregular"))
+
+
+@query
+def calendar_grid(spark, sf_dir):
+    return _final(grid.expected_grid(_calendar_series(spark, sf_dir, False), KEYS))
+
+
+def _resample_rule(spark, sf_dir, series: str, rule: str) -> DataFrame:
+    rows = panels.calendar_series(spark, sf_dir).where(F.col("series_key") == series)
+    return _final(grid.resample_ffill(rows, KEYS, ["n_orders", "max_total"], rule=rule).select("series_key", "ts", "n_orders", "max_total"))
+
+
+@query
+def resample_month_end(spark, sf_dir):
+    return _resample_rule(spark, sf_dir, "month_end_gaps", "ME")
+
+
+@query
+def resample_quarter_start(spark, sf_dir):
+    return _resample_rule(spark, sf_dir, "quarter_gaps", "QS-JAN")
+
+
+@query
+def resample_year_start(spark, sf_dir):
+    return _resample_rule(spark, sf_dir, "year_gaps", "YS-JAN")
+
+
+@query
+def resample_weekly(spark, sf_dir):
+    """Wednesdays, some missing, as of the Mondays that follow."""
+    return _resample_rule(spark, sf_dir, "week_gaps", "W-MON")
+
+
 # ---------------------------------------------------------------- E: split
 
 @query

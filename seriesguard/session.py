@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # each column expression would ask the JVM for its call site several times; plans of a few hundred take seconds
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
