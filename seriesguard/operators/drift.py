@@ -47,8 +47,13 @@ def rules_table(spark: SparkSession) -> DataFrame:
 
 
 def _version(keys: Sequence[str]):
-    """All keys of a series as one label."""
-    return F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]).alias("model_version")
+    """All keys of a series as one label, different for different keys: a backslash or slash inside a key has a backslash before
+    it, and a null key is ``\\N``."""
+    def escaped(k: str):
+        text = F.col(k).cast("string")
+        return F.coalesce(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("/"), F.lit("\\/")), F.lit("\\N"))
+
+    return F.concat_ws("/", *map(escaped, keys)).alias("model_version")
 
 
 def _samples(df: DataFrame, keys: Sequence[str], ts: str, suffix: str, scalars: Sequence[tuple[str, str]], features: bool) -> DataFrame:

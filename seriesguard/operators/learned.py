@@ -9,19 +9,24 @@
   to the run log (H7, A11).
 * H6 ``score_windows``: any batch model ``(B, L*C) -> (B, L*C)`` through ``predict_batch_udf``.
 
+A fitted model is a ``Model``: its arrays, with a version that is a hash of them. ``models_table`` and ``load_models`` write and
+read any number of them as one table, and ``model_errors`` scores windows with a loaded one, in batch and on the stream.
+
 Only weights and per-partition sums reach the driver. The window table is materialised once, so every
 epoch re-reads it instead of recomputing its lineage. ``error_rows`` makes any of them a member of the ensemble.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +89,79 @@ def score_windows(flat: DataFrame, make_predict_fn: Callable, dim: int, batch_si
     return r.withColumn(out, sq / F.size(F.col(col))).drop("_r")
 
 
+@dataclass(frozen=True)
+class Model:
+    """A fitted detector of windows: ``pca`` (mean, directions) or ``dense`` (the layers' weights and biases)."""
+
+    kind: str
+    arrays: tuple[np.ndarray, ...]
+
+    @property
+    def version(self) -> str:
+        """The same for the same kind and values, wherever the model was fitted."""
+        h = hashlib.sha256(self.kind.encode())
+        for a in self.arrays:
+            h.update(repr(a.shape).encode() + np.ascontiguousarray(a, "<f8").tobytes())
+        return h.hexdigest()[:16]
+
+    def errors(self, x: np.ndarray) -> np.ndarray:
+        """Mean squared reconstruction error of flat windows (n, W * C)."""
+        if self.kind == "pca":
+            mean, pc = self.arrays
+            off = x - mean
+            return ((off - off @ pc @ pc.T) ** 2).mean(axis=1)
+        return ((_forward(x, self.arrays)[1] - x) ** 2).mean(axis=1)
+
+    def window_errors(self, wins: np.ndarray) -> np.ndarray:
+        """``errors`` of windows (n, W, C)."""
+        return self.errors(wins.reshape(len(wins), -1))
+
+
+def fit_model(flat: DataFrame, kind: str, **options) -> Model:
+    """Fits on the flat windows of the ``train`` split (``fit_pca`` or ``recon_dense`` with their options)."""
+    if kind == "pca":
+        return Model(kind, fit_pca(flat, **options))
+    if kind == "dense":
+        return Model(kind, tuple(recon_dense(flat, **options)[0]))
+    raise ValueError(f"unknown kind of model: {kind}")
+
+
+MODEL_SCHEMA = "model string, version string, kind string, part int, shape array<int>, data binary"
+
+
+def models_table(spark: SparkSession, models: Mapping[str, Model]) -> DataFrame:
+    """One row for each array of each model; ``data`` holds little-endian doubles."""
+    rows = [(name, m.version, m.kind, i, list(a.shape), np.ascontiguousarray(a, "<f8").tobytes())
+            for name, m in sorted(models.items()) for i, a in enumerate(m.arrays)]
+    return spark.createDataFrame(rows, MODEL_SCHEMA)
+
+
+def load_models(table: DataFrame) -> dict[str, Model]:
+    """The models of ``models_table``, as large as their weights; a table whose values don't fit its versions is an error."""
+    parts: dict[str, list] = {}
+    for r in table.select("model", "version", "kind", "part", "shape", "data").collect():
+        parts.setdefault(r["model"], []).append(r)
+    out = {}
+    for name, rows in parts.items():
+        rows.sort(key=lambda r: r["part"])
+        arrays = tuple(np.frombuffer(bytes(r["data"]), "<f8").reshape(r["shape"]) for r in rows)
+        out[name] = Model(rows[0]["kind"], arrays)
+        if {r["version"] for r in rows} != {out[name].version}:
+            raise ValueError(f"the stored model {name} is damaged or mixed from several versions")
+    return out
+
+
+def model_errors(flat: DataFrame, model: Model, col: str = "x", out: str = "err") -> DataFrame:
+    """``flat`` with the model's error of each window; the model is shipped to each worker once."""
+    shipped = flat.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.DoubleType())
+    def err(xs: pd.Series) -> pd.Series:
+        return pd.Series(shipped.value.errors(np.vstack(xs.to_numpy())))
+
+    return flat.withColumn(out, err(F.col(col)))
+
+
 def mean_predict_fn() -> Callable:
     """A closed-form model for H6: every value of a window is reconstructed by the window's mean."""
     def make():
@@ -210,4 +288,5 @@ def dense_errors(flat: DataFrame, params: list[np.ndarray], out: str = "err") ->
 
 
 __all__ = ["flat_windows", "fit_pca", "projection_errors", "recon_pca", "score_windows", "pca_predict_fn",
-           "mean_predict_fn", "error_rows", "recon_dense", "dense_errors"]
+           "mean_predict_fn", "error_rows", "recon_dense", "dense_errors", "Model", "fit_model", "models_table", "load_models",
+           "model_errors"]

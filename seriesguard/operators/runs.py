@@ -51,10 +51,15 @@ def best_model(by_model: DataFrame, keys: Sequence[str], split: str = "val") ->
     return rows.groupBy(*keys).agg(F.min_by("model", rank).alias("best_model"), F.min("err_mean").alias("val_err"))
 
 
-def flag_summary(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Flagged windows and the message the scoring call returns."""
-    agg = flagged.groupBy(*keys).agg(F.sum("flag").cast("long").alias("n_flagged"),
-                                     F.count(F.lit(1)).alias("n_windows"))
-    msg = (F.when(F.col("n_windows") == 0, F.lit("Not enough rows for one window"))
+def flag_summary(flagged: DataFrame, keys: Sequence[str], series: DataFrame | None = None) -> DataFrame:
+    """Flagged windows and the message the scoring call returns.
+
+    ``n_flagged`` counts over judged windows (those with a flag) and is null if there is none. With ``series`` (rows with the keys) also
+    series without any window have a row."""
+    agg = flagged.groupBy(*keys).agg(F.sum("flag").cast("long").alias("n_flagged"), F.count(F.lit(1)).alias("n_windows"),
+                                     F.count("flag").alias("_judged"))
+    if series is not None:
+        agg = series.select(*keys).distinct().join(agg, list(keys), "left").fillna(0, ["n_windows", "_judged"])
+    msg = (F.when(F.col("n_windows") == 0, F.lit("Not enough rows for one window")).when(F.col("_judged") == 0, F.lit("No threshold to judge by"))
            .when(F.col("n_flagged") == 0, F.lit("No anomalies detected")).otherwise(F.lit("OK")))
-    return agg.withColumn("message", msg)
+    return agg.withColumn("message", msg).drop("_judged")

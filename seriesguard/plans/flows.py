@@ -8,13 +8,13 @@ threshold on val, flags. Returns every intermediate table so queries and tests c
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesguard.operators import clean, ensemble, features, grid, recon, split
+from seriesguard.operators import clean, ensemble, features, grid, learned, recon, split, windows
 from seriesguard.plans import layout
 from seriesguard.session import materialize
 from seriesguard.sources import files
@@ -57,15 +57,35 @@ def prepare(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "
     return stage(df.select(*keys, ts, *cols), "prepared")
 
 
+#: Stands for a phase that was given as a column and can't be saved.
+OWN_PHASE = "?"
+
+
+def _phase(phase: Column | str | None) -> Column | None:
+    return F.expr(phase) if isinstance(phase, str) else phase
+
+
+def _learned_errors(rows: DataFrame, models: Mapping[str, learned.Model], keys: Sequence[str], cols: Sequence[str], W: int, step: int, ts: str,
+                    n_max: int | None) -> DataFrame:
+    """Error rows of learned models over the windows of scaled rows."""
+    flat = learned.flat_windows(windows.sliding_windows(rows, keys, cols, W, step, ts, max_rows=n_max))
+    out = None
+    for name, model in sorted(models.items()):
+        errs = learned.error_rows(learned.model_errors(flat, model), keys, name, ts).where(F.col("err").isNotNull() & ~F.isnan("err"))
+        out = errs if out is None else out.unionByName(errs)
+    return out
+
+
 @dataclass
 class Params:
-    """What scoring needs, as tables: scaler, phase means, normalisers and thresholds, and the options."""
+    """What scoring needs, as tables: scaler, phase means, normalisers, thresholds and learned models, and the options."""
 
     scaler: DataFrame
     means: DataFrame | None
     normalizers: DataFrame | None
     thresholds: DataFrame
     info: dict
+    learned: Mapping[str, learned.Model] | None = None
 
     def save(self, path: str) -> None:
         """Writes the tables and the options (one JSON row) under ``path``."""
@@ -73,6 +93,8 @@ class Params:
             table = getattr(self, name)
             if table is not None:
                 table.write.mode("overwrite").parquet(f"{path}/{name}")
+        if self.learned:
+            learned.models_table(self.scaler.sparkSession, self.learned).write.mode("overwrite").parquet(f"{path}/learned")
         files.save_record(self.scaler.sparkSession, self.info, f"{path}/info")
 
     @classmethod
@@ -80,7 +102,15 @@ class Params:
         info = files.load_record(spark, f"{path}/info")
         read = lambda name: spark.read.parquet(f"{path}/{name}")
         return cls(read("scaler"), read("means") if "seasonal" in info["models"] else None,
-                   read("normalizers") if info["normalization"] == "zscore" else None, read("thresholds"), info)
+                   read("normalizers") if info["normalization"] == "zscore" else None, read("thresholds"), info,
+                   learned.load_models(read("learned")) if info.get("learned") else None)
+
+    def phase(self, given: Column | str | None = None) -> Column | None:
+        """H1's phase as it was fitted: the saved SQL text, or what the caller passes."""
+        text = self.info.get("phase")
+        if given is None and text == OWN_PHASE:
+            raise ValueError("the fit has a phase of its own that was given as a column: pass it again, or fit with SQL text")
+        return _phase(text if given is None else given)
 
 
 @dataclass
@@ -96,20 +126,26 @@ class Fitted:
     n_max: int | None = None  # rows of the largest series: bounds every per-series group downstream
     means: DataFrame | None = None
     info: dict | None = None
+    learned: Mapping[str, learned.Model] | None = None
 
     @property
     def params(self) -> Params:
-        return Params(self.scaler, self.means, self.normalizers, self.thresholds, self.info)
+        return Params(self.scaler, self.means, self.normalizers, self.thresholds, self.info, self.learned)
 
 
 def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
               models: Sequence[str] = recon.MODELS, normalization: str = "zscore",
               method: str = "quantile", q: float = ensemble.DEFAULT_Q, k: float = ensemble.DEFAULT_K,
-              ts: str = "ts", phase: Column | None = None, pooled: bool = False,
+              ts: str = "ts", phase: Column | str | None = None, pooled: bool = False,
               val_ratio: float = 0.2, test_ratio: float = 0.2, rows_per_block: int | None = None,
-              checkpoint: bool = True, full_lags: bool = False, more_errors: DataFrame | None = None) -> Fitted:
+              checkpoint: bool = True, full_lags: bool = False, more_errors: DataFrame | None = None,
+              weights: Sequence[float] = recon.EWMA_WEIGHTS, kernel: Sequence[float] = recon.LOCAL_KERNEL,
+              learn: Mapping[str, dict] | None = None) -> Fitted:
     """Fits on the train and validation part of ``panel`` and scores all of it.
 
+    ``phase`` (SQL text, such as ``"dayofweek(ts)"``, or a column; the text is saved), ``weights`` and ``kernel`` are options of H1-H3.
+    ``learn`` names learned models, fitted here and saved with the parameters: ``{"lin": {"kind": "pca", "k": 4}}`` (``learned.fit_model``).
+
     ``more_errors`` are error rows of further models (``keys, split, ts, rn_split, model, err``, e.g. of H4-H6) that
     join the ensemble. The scaled rows, errors and scores are written once; everything else reads them."""
     extra = {"rows_per_block": rows_per_block} if rows_per_block else {}
@@ -119,9 +155,17 @@ def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int
     sp = stage(sp, "split")
     scaler = stage(features.scaler_fit(sp, keys, cols, pooled=pooled), "scaler")
     scaled = stage(features.scaler_apply(sp, scaler, keys, cols, pooled=pooled), "scaled")
-    means = stage(recon.phase_means(scaled, keys, cols, phase, ts), "means") if "seasonal" in models else None
-    errs = recon.detect(scaled, keys, cols, W, step, models, ts, phase, max_rows=n_max, means=means, full_lags=full_lags, **extra)
+    own_phase = _phase(phase)
+    means = stage(recon.phase_means(scaled, keys, cols, own_phase, ts), "means") if "seasonal" in models else None
+    errs = recon.detect(scaled, keys, cols, W, step, models, ts, own_phase, weights=weights, kernel=kernel, max_rows=n_max, means=means,
+                        full_lags=full_lags, **extra)
     used = list(models)
+    fitted = None
+    if learn:
+        flat = stage(learned.flat_windows(windows.sliding_windows(scaled, keys, cols, W, step, ts, max_rows=n_max)), "windows")
+        fitted = {name: learned.fit_model(flat, **options) for name, options in learn.items()}
+        errs = errs.unionByName(_learned_errors(scaled, fitted, keys, cols, W, step, ts, n_max).select(*errs.columns))
+        used = None
     if more_errors is not None:
         errs = errs.unionByName(more_errors.select(*errs.columns))
         used = None
@@ -132,11 +176,12 @@ def fit_score(panel: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int
     flagged = stage(ensemble.flags(scores, thr, keys, pooled=pooled), "flagged")
     info = {"window_size": W, "step_size": step, "feature_order": list(cols), "timestamp_col": ts, "keys": list(keys),
             "models": list(models), "normalization": normalization, "threshold_method": method, "q": q, "k": k,
-            "pooled": pooled, "full_lags": full_lags}
-    return Fitted(sp, scaler, scaled, errs, norms, scores, thr, flagged, n_max, means, info)
+            "pooled": pooled, "full_lags": full_lags, "phase": phase if phase is None or isinstance(phase, str) else OWN_PHASE,
+            "weights": list(weights), "kernel": list(kernel), "learned": {name: m.version for name, m in sorted((fitted or {}).items())}}
+    return Fitted(sp, scaler, scaled, errs, norms, scores, thr, flagged, n_max, means, info, fitted)
 
 
-def score(new: DataFrame, params: Params, phase: Column | None = None, tiebreak: Sequence[str] = (), raw_order: bool = False,
+def score(new: DataFrame, params: Params, phase: Column | str | None = None, tiebreak: Sequence[str] = (), raw_order: bool = False,
           more_errors: DataFrame | None = None) -> DataFrame:
     """Scores new rows with frozen parameters: every window of ``window_size`` rows of each series, without any split.
 
@@ -162,8 +207,11 @@ def score(new: DataFrame, params: Params, phase: Column | None = None, tiebreak:
         rows = layout.row_index(rows, keys, ts, tiebreak, count_col=None, max_rows=n_max)
     rows = rows.withColumn("split", F.lit("new")).withColumn("rn_split", F.col("rn"))
     scaled = features.scaler_apply(rows, params.scaler, keys, cols, pooled=info["pooled"])
-    errs = recon.detect(scaled, keys, cols, info["window_size"], info["step_size"], info["models"], ts, phase, max_rows=n_max,
-                        means=params.means, full_lags=info["full_lags"])
+    W, step = info["window_size"], info["step_size"]
+    errs = recon.detect(scaled, keys, cols, W, step, info["models"], ts, params.phase(phase), weights=info.get("weights", recon.EWMA_WEIGHTS),
+                        kernel=info.get("kernel", recon.LOCAL_KERNEL), max_rows=n_max, means=params.means, full_lags=info["full_lags"])
+    if params.learned:
+        errs = errs.unionByName(_learned_errors(scaled, params.learned, keys, cols, W, step, ts, n_max).select(*errs.columns))
     if more_errors is not None:
         errs = errs.unionByName(more_errors.select(*errs.columns))
     scores = ensemble.ensemble(errs, keys, info["normalization"], params.normalizers, None, info["pooled"], ts)

@@ -956,6 +956,9 @@ FROM scores s JOIN thr t USING (series_key)"""
 ORACLE["recon_pca"] = with_(*P1_SCALED) + f"""
 SELECT series_key, split, ts, CAST(0.0 AS DOUBLE) AS err FROM scaled WHERE rn_split >= {W - 1}"""
 
+ORACLE["score_frozen_learned"] = """
+SELECT * FROM (VALUES ('same windows', true), ('same scores', true), ('same flags', true), ('five models', true)) t("check", holds)"""
+
 ORACLE["recon_dense_losses"] = """
 SELECT * FROM (VALUES ('an epoch each', true), ('train loss falls', true), ('best epoch kept', true)) t("check", holds)"""
 

@@ -382,6 +382,23 @@ def score_frozen(spark, sf_dir):
     return _final(out.select("series_key", "ts", "score", "threshold", "flag"))
 
 
+@query
+def score_frozen_learned(spark, sf_dir):
+    """What must hold when learned models, a phase and weights are saved, loaded, and score the test rows as a new table."""
+    path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
+    fx = flows.fit_score(p1_prepared(spark, sf_dir), KEYS, P1_FEATURES, W=W, phase="dayofweek(ts)", weights=(0.6, 0.4),
+                         learn={"linear": {"kind": "pca", "k": 6}, "dense": {"kind": "dense", "hidden": 6, "epochs": 2}})
+    fx.params.save(path)
+    new = p1_split(spark, sf_dir).where(F.col("split") == "test").select("series_key", "ts", *P1_FEATURES)
+    out = flows.score(new, flows.Params.load(spark, path)).select("series_key", "ts", F.col("score").alias("again"), F.col("flag").alias("flag_again"),
+                                                                  F.col("n_models").alias("models_again"))
+    both = fx.flagged.where("split = 'test'").join(out, ["series_key", "ts"], "full")
+    checks = {"same windows": F.col("again").isNotNull() & F.col("score").isNotNull(), "same scores": F.abs(F.col("again") - F.col("score")) < 1e-9,
+              "same flags": F.col("flag_again").eqNullSafe(F.col("flag")), "five models": F.col("models_again") == 5}
+    rows = F.array(*[F.struct(F.lit(k).alias("check"), F.coalesce(v, F.lit(False)).alias("holds")) for k, v in checks.items()])
+    return both.select(F.explode(rows).alias("_c")).groupBy("_c.check").agg(F.bool_and("_c.holds").alias("holds"))
+
+
 @query
 def results_table(spark, sf_dir):
     return _final(ensemble.results_table(p1_fitted(spark, sf_dir).flagged, KEYS))

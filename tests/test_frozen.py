@@ -102,3 +102,25 @@ def test_dedup_without_tiebreak_is_deterministic(spark):
     df = spark.createDataFrame(rows, "k string, ts timestamp, v double, s string")
     for n in (1, 3):
         assert clean.dedup_first(df.repartition(n), K).first()["v"] == 3.0
+
+
+def test_phase_given_as_a_column_must_be_passed_again(spark):
+    panel = hourly(spark, 200)
+    params = flows.fit_score(panel, K, ["f0", "f1"], phase=F.dayofweek("ts")).params
+    with pytest.raises(ValueError, match="phase of its own"):
+        flows.score(panel, params)
+    assert flows.score(panel, params, phase="dayofweek(ts)").count() == 185
+
+
+def test_flag_summary_of_unjudged_and_missing_series(spark):
+    from seriesguard.operators import drift, runs
+
+    rows = [("a", 1), ("a", 0), ("b", 0), ("c", None), ("c", None)]
+    flagged = spark.createDataFrame(rows, "k string, flag int")
+    series = spark.createDataFrame([(k,) for k in "abcd" for _ in range(2)], "k string")
+    got = {r.k: (r.n_flagged, r.n_windows, r.message) for r in runs.flag_summary(flagged, K, series).collect()}
+    assert got == {"a": (1, 2, "OK"), "b": (0, 1, "No anomalies detected"), "c": (None, 2, "No threshold to judge by"),
+                   "d": (None, 0, "Not enough rows for one window")}
+    keys = [("a/b", "c"), ("a", "b/c"), ("a\\", "/b"), ("a\\/", "b"), (None, "x"), ("null", "x"), ("\\N", "x"), ("a", "b")]
+    labels = [r.model_version for r in spark.createDataFrame(keys, "p string, q string").select(drift._version(["p", "q"])).collect()]
+    assert len(set(labels)) == len(keys) and labels[-1] == "a/b"

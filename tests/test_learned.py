@@ -36,3 +36,23 @@ def test_dense_losses_fall_and_best_is_kept(flat):
     best_val = min(r.val_loss for r in rows)
     errs = learned.dense_errors(flat.where("split = 'val'"), best).agg(F.avg("err")).first()[0]
     assert errs == pytest.approx(best_val, rel=1e-6)
+
+
+def test_models_are_saved_as_a_table(flat, tmp_path):
+    """Loaded models give the errors of the fitted ones; a damaged table is noticed."""
+    spark = flat.sparkSession
+    models = {"lin": learned.fit_model(flat, "pca", k=3), "net": learned.fit_model(flat, "dense", hidden=3, epochs=1)}
+    learned.models_table(spark, models).write.parquet(str(tmp_path / "m"))
+    table = spark.read.parquet(str(tmp_path / "m"))
+    again = learned.load_models(table)
+    assert {n: m.version for n, m in again.items()} == {n: m.version for n, m in models.items()}
+    x = np.vstack([r.x for r in flat.limit(50).collect()])
+    for n in models:
+        assert np.array_equal(again[n].errors(x), models[n].errors(x))
+    mean, pc = models["lin"].arrays
+    want = {(r.k, r.ts): r.err for r in learned.projection_errors(flat, mean, pc).collect()}
+    assert {(r.k, r.ts): r.err for r in learned.model_errors(flat, again["lin"]).collect()} == pytest.approx(want)
+    with pytest.raises(ValueError, match="damaged"):
+        learned.load_models(table.withColumn("version", F.when(F.col("part") == 0, F.lit("x")).otherwise(F.col("version"))))
+    with pytest.raises(ValueError, match="unknown kind"):
+        learned.fit_model(flat, "forest")

@@ -222,3 +222,57 @@ def test_null_source_is_its_own_group(spark):
     assert sorted((r.source, r.event_id) for r in good.collect()) == [(S.NO_SOURCE, 1), (S.NO_SOURCE, 2), ("s", 3)]
     strict, rejected = S.parse_stream(spark.read.text(folder), ["value"], default_source=None)
     assert [r.event_id for r in strict.collect()] == [3] and [r.reason for r in rejected.collect()] == ["missing:source"] * 2
+
+
+def test_a_silent_source_gives_its_tail(spark):
+    """Rows that wait for a watermark come out by a timer, as in batch; nothing of it changes the windows before."""
+    messages = _messages(spark)
+    ev = panels.events(spark, SF).select(F.col("event_type").alias("series_key"), "ts", "event_id", F.col("value").cast("double").alias("value"),
+                                         F.col("user_id").cast("double").alias("user"))
+    want = {(r.series_key, r.ts): r.err for r in recon.detect(ev, ["series_key"], FEATS, 16, 1, ["ewma"]).collect()}
+    assert len(want) > len(_batch(spark))
+    early = [dict(messages[0], event_id=80_000 + i, ts="2999-01-01T00:00:00.000000") for i in range(2)]
+    raw = S.read_event_stream(spark, _write([json.dumps(m) for m in [*early, *messages]], 3), max_files_per_trigger=1)
+    name = f"out_{time.time_ns()}"
+    query = S.start(_ewma(idle="6 seconds")(raw), None, tempfile.mkdtemp(prefix="sg-ckpt-"), trigger=None, fmt="memory", query_name=name)
+    end = time.time() + 120
+    while time.time() < end and query.exception() is None and spark.table(name).where("status = 'ok'").count() < len(want):
+        time.sleep(1)
+    query.stop()
+    out = spark.table(name)
+    _equal(_errors(out), want)
+    assert sorted(r.event_id for r in out.where("status = 'ahead'").collect()) == [80_000, 80_001]
+
+
+def test_learned_models_and_options_on_the_stream_equal_batch(spark, tmp_path):
+    """Saved and loaded: PCA, a phase, weights and a pooled fit score the stream as they score a table."""
+    panel = panels.events(spark, SF).select(F.col("event_type").alias("series_key"), "ts", "event_id", F.col("value").cast("double").alias("value"),
+                                            F.col("user_id").cast("double").alias("user"))
+    fx = flows.fit_score(panel.drop("event_id"), ["series_key"], FEATS, W=16, phase="hour(ts) % 6", weights=(0.7, 0.3), kernel=(0.2, 0.6, 0.2),
+                         pooled=True, learn={"lin": {"kind": "pca", "k": 3}})
+    fx.params.save(str(tmp_path / "p"))
+    params = flows.Params.load(spark, str(tmp_path / "p"))
+    assert params.info["learned"] == {"lin": fx.learned["lin"].version} == {"lin": params.learned["lin"].version}
+    batch = flows.score(panel, params, tiebreak=["event_id"])
+    assert {r.n_models for r in batch.select("n_models").distinct().collect()} == {4}
+    newest = panel.groupBy("series_key").agg(F.max("ts").alias("newest"))
+    want = {(r.series_key, r.ts): (r.score, r.flag) for r in batch.join(newest, "series_key").where("ts <= newest - interval 1 hour").collect()}
+    lines = [json.dumps(m) for m in _messages(spark)]
+    out = _run(spark, lines, 2, lambda raw: S.score_events(S.parse_stream(raw, FEATS)[0], params, watermark=DELAY))
+    got = {(r.source, r.ts): (r.score, r.flag) for r in out.where("status = 'ok'").collect()}
+    assert got.keys() == want.keys() and len(want) > 900
+    assert all(math.isclose(got[k][0], want[k][0], rel_tol=1e-9, abs_tol=1e-9) and got[k][1] == want[k][1] for k in want)
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0.5, 1, [1.0, 2.0]), ("a", 1.5, 0, [2.0, 2.0]), ("b", 2.5, 1, [3.0, 2.0])],
+                                 "source string, score double, flag int, x array<double>")
+    out = str(tmp_path / "live")
+    write = S.live_stats_sink(out, FEATS)
+    write(rows, 0)
+    write(rows.where("source = 'b'"), 1)
+    before = sorted(map(str, spark.read.parquet(out).collect()))
+    write(rows, 0)  # the batch failed after its write, and runs again
+    assert sorted(map(str, spark.read.parquet(out).collect())) == before and len(before) == 3
+    S.table_sink(str(tmp_path / "t"), lambda b: b.select("source"))(rows, 4)
+    assert {(r.source, r.batch_id) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {("a", 4), ("b", 4)}
