@@ -6,12 +6,14 @@
 2. The slim rows are range-partitioned by hash (and a slice of the documents, so that a line found in a
    third of all documents still spreads over ``SLICES`` ranges) and sorted by document, largest first, and
    position. Streaming each run marks the first row of each document and the run's first document.
-3. Runs are summed to one row for each key (partial aggregates first): in how many documents, and which
-   document comes first. Keys in at least ``min_docs`` documents lose all other documents' lines.
+3. Runs are summed to one row for each key (partial aggregates first): in how many documents, which document comes first,
+   and which slices have it. Keys in at least ``min_docs`` documents lose all other documents' lines; occurrences meet
+   their key slice by slice, so that a line found everywhere isn't one task.
 4. The dropped positions of a document become a run-length keep bitmap: the runs of kept lines. No text
    moves up to here.
 
-``apply_bitmaps`` joins the bitmaps with the documents and cuts the texts. DataFrame functions only.
+``apply_bitmaps`` joins the bitmaps with the documents and cuts the texts: by the same plan at every size, in which each text moves
+once. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -53,13 +55,15 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col
     found = materialize(found.select(h1.alias("h1"), h2.alias("h2"), "doc_id", "row_key", "n_lines", "pos"), "lines")
 
     run = ["h1", "h2", "slice"]
+    slices = F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")
     by_doc = Window.partitionBy(*run).orderBy(F.col("doc_id").desc(), "pos")
-    ranged = found.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))).repartitionByRange(
-        shuffle_partitions(docs.sparkSession), *run)
+    ranged = found.withColumn("slice", slices).repartitionByRange(shuffle_partitions(docs.sparkSession), *run)
     seen = ranged.withColumn("new_doc", F.lag("doc_id").over(by_doc).eqNullSafe(F.col("doc_id")) == F.lit(False))
-    heads = seen.where("new_doc").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder"))
-    common = heads.where(F.col("n_docs") >= min_docs).select("h1", "h2", "holder")
-    dropped = found.join(common, ["h1", "h2"]).where(F.col("doc_id") != F.col("holder"))
+    heads = seen.where("new_doc").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder"),
+                                                          F.expr("bit_or(shiftleft(1L, slice))").alias("in_slices"))
+    here = F.expr(f"filter(sequence(0, {SLICES - 1}), i -> shiftright(in_slices, i) & 1L = 1L)")
+    common = heads.where(F.col("n_docs") >= min_docs).select("h1", "h2", "holder", F.explode(here).alias("slice"))
+    dropped = found.withColumn("slice", slices).join(common, run).where(F.col("doc_id") != F.col("holder"))
     per_row = dropped.groupBy("doc_id", "row_key", "n_lines").agg(F.sort_array(F.collect_set("pos")).alias("drops"))
     edges = F.concat(F.array(F.lit(-1)), F.col("drops"), F.array(F.col("n_lines")))
     runs = F.transform(F.array(edges), lambda e: F.filter(
@@ -81,7 +85,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     marks = marks.toDF(bid, *(free_name(docs, c) for c in ("_marked_key", "_marked_drops", "_marked_runs")))
     key, drops, runs = (F.col(c) for c in marks.columns[1:])
     left = docs.select(*rest).withColumn(rk, _row_key(F.col(text_col)))
-    joined = left.join(marks, (F.col(id_col) == F.col(bid)) & (F.col(rk) == key), "left")
+    joined = left.join(marks.hint("shuffle_hash"), (F.col(id_col) == F.col(bid)) & (F.col(rk) == key), "left")
     cut = F.transform(F.array(_lines(F.col(text_col))), lambda lines: F.array_join(F.transform(
         runs, lambda r: F.array_join(F.slice(lines, r["first"] + 1, r["length"]), "\n")), "\n"))[0]
     text = F.when(drops > 0, cut).otherwise(F.col(text_col)).alias(text_col)
