@@ -58,11 +58,13 @@ def _spread(mean, square):
 
 
 def reference_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str], W: int = 16, step: int = 1,
-                    split: str = "train") -> DataFrame:
-    """J3 and J4 as one row per series: ``features`` (feature, mean, std; by feature order), ``global_mean``, ``global_std``.
+                    split: str = "train", pooled: bool = False) -> DataFrame:
+    """J3 and J4 as one row per series (``pooled``: one row): ``features`` (feature, mean, std; by feature order), ``global_mean``, ``global_std``.
 
     Rows count once per window that holds them: ``std = sqrt(max(E[x^2] - mean^2, 1e-12))``."""
-    sums = _sums(_weighted_rows(df, keys, W, step, split), keys, cols)
+    rows = _weighted_rows(df, keys, W, step, split)
+    keys = [] if pooled else keys
+    sums = _sums(rows, keys, cols)
     sw = F.col("_sw")
     entries = []
     for i, c in enumerate(cols):
@@ -128,21 +130,24 @@ def anomaly_rate(flagged: DataFrame, keys: Sequence[str], label: str | None = No
 
 
 def meta_record(fitted, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """The ensemble meta record per series as one nested row (normalisers as a map, null without them). Options
-    come from the fit itself."""
-    keys, info = list(keys), fitted.info
-    if info["pooled"]:
-        raise ValueError("the meta record is per series; a pooled fit has one set of parameters")
-    es = error_stats(fitted.scores, keys, max_group=fitted.n_max)
-    rate = anomaly_rate(fitted.flagged.where(F.col("split") == "val"), keys).drop("split")
-    ref = reference_stats(fitted.scaled, keys, cols, info["window_size"], info["step_size"])
-    out = fitted.thresholds.join(es, keys, "left").join(rate, keys, "left").join(ref, keys, "left")
+    """The ensemble meta record per series as one nested row (normalisers as a map, null without them); of a pooled fit
+    one record for all series. Options come from the fit itself."""
+    info = fitted.info
+    pooled = info["pooled"]
+    by = [] if pooled else list(keys)
+    one = F.lit(1).alias("_one")  # the rows of a pooled fit, one each, meet on a constant
+    joined = lambda a, b: a.join(b, by, "left") if by else a.select("*", one).join(b.select("*", one), "_one", "left").drop("_one")
+    es = error_stats(fitted.scores, by, max_group=None if pooled else fitted.n_max)
+    rate = anomaly_rate(fitted.flagged.where(F.col("split") == "val"), by).drop("split")
+    ref = reference_stats(fitted.scaled, keys, cols, info["window_size"], info["step_size"], pooled=pooled)
+    out = joined(joined(joined(fitted.thresholds, es), rate), ref)
     if fitted.normalizers is not None:
-        norms = fitted.normalizers.groupBy(*keys).agg(
+        norms = fitted.normalizers.groupBy(*by).agg(
             F.map_from_entries(F.collect_list(F.struct("model", F.struct("mean", "std")))).alias("normalizers"))
-        out = out.join(norms, keys, "left")
+        out = joined(out, norms)
     else:
         out = out.withColumn("normalizers", F.lit(None).cast("map<string,struct<mean:double,std:double>>"))
+    keys = by
     return out.select(
         *keys, F.lit(info["normalization"]).alias("normalization"), "normalizers", "threshold",
         F.lit(info["threshold_method"]).alias("threshold_method"),

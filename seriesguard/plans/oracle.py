@@ -339,6 +339,18 @@ ORACLE["resample_ffill"] = with_(*P1_PREP) + "SELECT series_key, ts, " + ", ".jo
 ORACLE["resample_given_step"] = with_(P1, *resample_ctes("p1", "prep", P1_FEATURES, 1_800_000_000)) + "SELECT series_key, ts, " + ", ".join(
     f"round({c}, 6) AS {c}" for c in P1_FEATURES) + " FROM prep"
 
+GRID_VERDICTS = with_(P3B, """own AS (SELECT series_key, ts FROM (SELECT *, row_number() OVER (PARTITION BY series_key, ts ORDER BY event_id) AS _r FROM p3b)
+  WHERE _r = 1)""", *freq_ctes("own", "f"), """verdict AS (
+  SELECT *, is_irregular AND coalesce(expected_len > n_rows * 100.0 + 16, false) AS large FROM f_irreg)""")
+
+ORACLE["grid_verdicts"] = GRID_VERDICTS + """
+SELECT series_key, n_rows, CASE WHEN large THEN format('grid of {} points for {} rows', expected_len, n_rows) END AS reason, NOT large AS valid
+FROM verdict"""
+
+ORACLE["grid_routed"] = GRID_VERDICTS + """
+SELECT 'valid' AS route, CAST(coalesce(sum(n_rows) FILTER (NOT large), 0) AS BIGINT) AS n_rows FROM verdict
+UNION ALL SELECT 'rejected', CAST(coalesce(sum(n_rows) FILTER (large), 0) AS BIGINT) FROM verdict"""
+
 # Calendar rules: inferred from gaps between months and years and from positions in the month; grids by generate_series of intervals.
 CAL_RULE = [
     """cd AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER w) AS step, date_diff('month', lag(ts) OVER w, ts) AS months,

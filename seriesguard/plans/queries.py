@@ -225,6 +225,25 @@ def resample_weekly(spark, sf_dir):
     return _resample_rule(spark, sf_dir, "week_gaps", "W-MON")
 
 
+def _user_rows(spark, sf_dir) -> DataFrame:
+    return clean.dedup_first(panels.user_series(spark, sf_dir), KEYS, "ts", ["event_id"])
+
+
+@query
+def grid_verdicts(spark, sf_dir):
+    """Sparse series, of which some would need a grid out of proportion."""
+    return _final(grid.grid_verdicts(_user_rows(spark, sf_dir), KEYS).select("series_key", "n_rows", "reason", "valid"))
+
+
+@query
+def grid_routed(spark, sf_dir):
+    """Rows of valid and rejected series: together all rows."""
+    rows = _user_rows(spark, sf_dir)
+    valid, rejected = runs.route(rows, grid.grid_verdicts(rows, KEYS), KEYS)
+    kept = valid.agg(F.lit("valid").alias("route"), F.count(F.lit(1)).alias("n_rows"))
+    return kept.unionByName(rejected.agg(F.lit("rejected").alias("route"), F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows")))
+
+
 # ---------------------------------------------------------------- E: split
 
 @query

@@ -124,3 +124,23 @@ def test_flag_summary_of_unjudged_and_missing_series(spark):
     keys = [("a/b", "c"), ("a", "b/c"), ("a\\", "/b"), ("a\\/", "b"), (None, "x"), ("null", "x"), ("\\N", "x"), ("a", "b")]
     labels = [r.model_version for r in spark.createDataFrame(keys, "p string, q string").select(drift._version(["p", "q"])).collect()]
     assert len(set(labels)) == len(keys) and labels[-1] == "a/b"
+
+
+def test_meta_record_of_a_pooled_fit(spark):
+    """One record; with one series it equals the record of that series."""
+    from seriesguard.operators import stats
+
+    one = hourly(spark, 300)
+    cols = ["threshold", "error_stats", "anomaly_rate_ref", "feature_stats", "normalizers"]
+    def flat(r):
+        return [r.threshold, *r.error_stats, r.anomaly_rate_ref, *r.feature_stats["mean"], *r.feature_stats["std"], r.feature_stats["global_mean"],
+                r.feature_stats["global_std"], *(x for m in sorted(r.normalizers) for x in r.normalizers[m])]
+
+    own = stats.meta_record(flows.fit_score(one, K, ["f0", "f1"]), K, ["f0", "f1"]).select(*cols).collect()
+    pooled = stats.meta_record(flows.fit_score(one, K, ["f0", "f1"], pooled=True), K, ["f0", "f1"])
+    assert "k" not in pooled.columns
+    pooled = pooled.select(*cols).collect()
+    assert len(own) == len(pooled) == 1 and flat(pooled[0]) == pytest.approx(flat(own[0]), rel=1e-9)
+    fx = flows.fit_score(one.unionByName(hourly(spark, 200, "b")), K, ["f0", "f1"], pooled=True)
+    both = stats.meta_record(fx, K, ["f0", "f1"]).collect()
+    assert len(both) == 1 and both[0].threshold == fx.thresholds.first().threshold
