@@ -7,18 +7,18 @@ followers of which t are different, a byte met c times gets c/(n+t) and the esca
 frozen after training, so a text's code length under a language is a sum over its bytes, and the language
 with the shortest code wins.
 
-Training takes a bounded sample: ``sample_docs`` documents for each of at most ``MAX_LANGS`` languages. Spark
-counts the sample's n-grams; the merged trees are shipped to the workers. Every text is then scored whole
-in one Arrow pass without a shuffle.
+Training takes a bounded sample: ``sample_docs`` documents for each language, however many there are. Spark counts the sample's
+n-grams; the merged trees are shipped to the workers, those of ``GROUP_LANGS`` languages at a time. Every text is then
+scored whole in one Arrow pass a group, without a shuffle.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,10 +29,12 @@ from .common import free_name
 
 #: Longest context in bytes.
 DEPTH = 3
-#: The most frequent languages up to this number are learned (ties to the smaller name).
-MAX_LANGS = 64
+#: Languages whose trees are held at a time; with more of them the texts pass by once for each group.
+GROUP_LANGS = 64
+#: Ids of a sample are broadcast up to this many (with their languages); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def is_held_out(id_col: Column) -> Column:
@@ -47,13 +49,12 @@ def training_sample(docs: DataFrame, sample_docs: int, id_col: str, text_col: st
     usable = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() &
                         ~is_held_out(F.col(id_col)))
     slim = usable.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("_sample_id"))
-    langs = slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_sample_id"), "_sample_id"))
     chosen = slim.withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "_sample_id").distinct()
-    chosen = materialize(chosen.join(F.broadcast(langs), "lang").select("lang", "_sample_id"), "sample")
+    chosen = materialize(chosen, "sample")
     texts = usable.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("text"))
-    # at most sample_docs * MAX_LANGS ids
-    return texts.join(F.broadcast(chosen), (F.col("_id") == F.col("_sample_id")) & (F.col("_lang") == F.col("lang"))).select("lang", "text")
+    few = chosen.count() <= BROADCAST_IDS
+    return texts.join(F.broadcast(chosen) if few else chosen, (F.col("_id") == F.col("_sample_id")) & (F.col("_lang") == F.col("lang"))).select("lang", "text")
 
 
 def count_contexts(sample: DataFrame) -> DataFrame:
@@ -119,47 +120,73 @@ class Trees:
 
 
 def train(docs: DataFrame, sample_docs: int = 400, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> tuple[list[str], dict]:
-    """The languages (sorted) and their counts by order, from ``training_sample``."""
+          lang_col: str = "lang") -> tuple[list[str], DataFrame]:
+    """Every language with usable documents (sorted) and the counts of their contexts, from ``training_sample``."""
     counts = materialize(count_contexts(training_sample(docs, sample_docs, id_col, text_col, lang_col)), "contexts")
-    rows = counts.toArrow()  # bounded by the sample
-    langs = sorted(set(rows["lang"].to_pylist()))
+    return sorted(r["lang"] for r in counts.select("lang").distinct().collect()), counts
+
+
+def _arrays(counts: DataFrame, langs: list[str]) -> dict:
+    """The counts of some languages by order: keys, the languages' numbers, counts. Their size is bounded by the sample."""
+    rows = counts.where(F.col("lang").isin(langs)).toArrow()
     number = {x: i for i, x in enumerate(langs)}
     lang = np.array([number[x] for x in rows["lang"].to_pylist()], np.int64)
     order, key, n = rows["order"].to_numpy(), rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy()
-    return langs, {k: (key[order == k], lang[order == k], n[order == k]) for k in range(1, DEPTH + 2)}
+    return {k: (key[order == k], lang[order == k], n[order == k]) for k in range(1, DEPTH + 2)}
 
 
-def identify(docs: DataFrame, model: tuple[list[str], dict], text_col: str = "text", drop_text: bool = False) -> DataFrame:
+def identify(docs: DataFrame, model: tuple[list[str], DataFrame], text_col: str = "text", drop_text: bool = False,
+             group_langs: int = GROUP_LANGS) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the share of the winner in 2^(-code length / 16), from 0 to 1.
 
-    A text that is null or has no letter gives ``und`` and score 0; so does every text without a learned
-    language. Ties go to the smaller name. Only the text is read. Columns of the result's names are
-    replaced; repeated rows get equal results.
+    Any number of languages: ``group_langs`` of them are scored at a time, and the shortest code of all wins. A text that is null or
+    has no letter gives ``und`` and score 0; so does every text without a learned language. Ties go to the smaller name.
+    Only the text is read. Columns of the result's names are replaced; repeated rows get equal results.
     """
     out = ["lang_pred", "score"]
     docs = docs.select(*(c for c in docs.columns if c.lower() not in out))
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema if not (drop_text and f.name == text_col)]
-    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    column, keep_at = docs.columns.index(text_col), [docs.columns.index(f.name) for f in kept]
+    kept = [c for c in docs.columns if not (drop_text and c == text_col)]
+    langs, counts = model
+    bits, total = free_name(docs, "_bits"), free_name(docs, "_total")
+    scored = docs
+    for a in range(0, len(langs), group_langs):
+        scored = _scored(scored, langs[a:a + group_langs], counts, text_col, bits, total, first=not a)
+    if not langs:
+        return docs.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    return scored.select(*kept, F.coalesce("lang_pred", F.lit(UNKNOWN)).alias("lang_pred"),
+                         F.when(F.col("lang_pred").isNotNull(), 1 / F.col(total)).otherwise(0.0).alias("score"))
+
+
+def _scored(docs: DataFrame, langs: list[str], counts: DataFrame, text_col: str, bits: str, total: str, first: bool) -> DataFrame:
+    """``docs`` with the best language up to this group, its code length, and the sum of all languages' shares against it."""
+    shipped = docs.sparkSession.sparkContext.broadcast(_arrays(counts, langs))
+    rest = [c for c in docs.columns if c not in ("lang_pred", bits, total)]
+    at = [docs.columns.index(c) for c in rest]
+    text_at = docs.columns.index(text_col)
+    found = [T.StructField("lang_pred", T.StringType()), T.StructField(bits, T.DoubleType()), T.StructField(total, T.DoubleType())]
+    schema = T.StructType([*(docs.schema[c] for c in rest), *found])
+    before = None if first else [docs.columns.index(f.name) for f in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, rows = shipped.value
-        trees = Trees(langs, rows) if langs else None
+        trees = Trees(langs, shipped.value)
         for batch in batches:
-            texts = batch.column(column).to_pylist()
-            pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if trees:
-                for start, raws in ngrams.chunks(texts):
-                    total = _totals(trees, raws)
-                    best = total.argmin(1)
-                    share = 1 / np.exp2((total.min(1)[:, None] - total) / 16).sum(1)
-                    for i in range(len(raws)):
-                        if raws[i] and _LETTER.search(texts[start + i]):
-                            pred[start + i], score[start + i] = langs[best[i]], share[i]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep_at), pa.array(pred, pa.string()), pa.array(score)],
-                                             names=schema.names)
+            texts = batch.column(text_at).to_pylist()
+            name, best, share = ([None] * len(texts) for _ in range(3)) if first else (batch.column(i).to_pylist() for i in before)
+            for start, raws in ngrams.chunks(texts):
+                code = _totals(trees, raws)
+                least = code.min(1)
+                own = np.exp2((least[:, None] - code) / 16).sum(1)
+                for i in range(len(raws)):
+                    k = start + i
+                    if not raws[i] or not _LETTER.search(texts[k]):
+                        continue
+                    if name[k] is None or least[i] < best[k]:
+                        kept = 0.0 if name[k] is None else share[k] * 2 ** ((least[i] - best[k]) / 16)
+                        name[k], best[k], share[k] = langs[int(code[i].argmin())], float(least[i]), float(own[i]) + kept
+                    else:
+                        share[k] += float(own[i]) * 2 ** ((best[k] - least[i]) / 16)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in at), pa.array(name, pa.string()), pa.array(best, pa.float64()),
+                                              pa.array(share, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

@@ -259,6 +259,21 @@ def test_language_of_held_out_documents(spark):
     assert [x[0] for x in untrained] == ["und"]
 
 
+def test_any_number_of_languages(spark):
+    """70 languages with alphabets of their own, scored in groups; the groups' size changes nothing."""
+    def text(k, seed):
+        return " ".join(chr(0x4E00 + 40 * k + (seed * j * j + 3 * j) % 40) for j in range(60))
+
+    rows = [(100 * k + i, text(k, i + 2), f"l{k:02d}") for k in range(70) for i in range(6)]
+    docs = spark.createDataFrame([*rows, (9001, "½ ² Ⅷ", None), (9002, "١٢ _", None)], "doc_id long, text string, lang string")
+    model = langid.train(docs, sample_docs=50)
+    assert len(model[0]) == 70
+    first = {x["doc_id"]: (x["lang_pred"], x["score"]) for x in langid.identify(docs, model).collect()}
+    assert all(first[i][0] == lang for i, _, lang in rows) and first[9001] == first[9002] == ("und", 0.0)
+    again = {x["doc_id"]: (x["lang_pred"], x["score"]) for x in langid.identify(docs, model, group_langs=9).collect()}
+    assert all(again[i][0] == first[i][0] and abs(again[i][1] - first[i][1]) < 1e-9 for i in first)
+
+
 # -- n-grams --------------------------------------------------------------------------------------------------
 
 
