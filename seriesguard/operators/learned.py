@@ -1,9 +1,10 @@
 """H4-H7: learned reconstruction detectors over flattened window vectors.
 
-* H4 ``recon_pca``: a linear autoencoder. Centre on the training mean, fit principal components with
-  MLlib (the covariance is a distributed tree aggregate), back-project in Arrow batches.
-* H5 ``recon_dense``: a dense autoencoder trained data-parallel. Each epoch takes several steps over random parts of
-  the training windows; a step broadcasts the weights, ``mapInPandas`` returns gradient sums per partition, an
+* H4 ``recon_pca``: a linear autoencoder. Centre on the training mean, fit principal components, back-project in Arrow
+  batches. The components come from MLlib's covariance (a distributed tree aggregate) while that fits the driver, and from block
+  power iteration beyond: tasks return products of their windows with a d x k basis, so nothing of size d x d exists.
+* H5 ``recon_dense``: a dense autoencoder trained data-parallel. Training windows are written once into numbered buckets; each
+  epoch takes a step for each bucket, in another order, and a step reads its bucket only. It broadcasts the weights, ``mapInPandas`` returns gradient sums per partition, an
   aggregate adds them up, and Adam runs on the driver over the small weight vector. Validation loss is
   computed the same way; the best epoch's weights are copied (defect X1 fixed). The per-epoch history goes
   to the run log (H7, A11).
@@ -36,8 +37,8 @@ def flat_windows(win: DataFrame, col: str = "win", out: str = "x") -> DataFrame:
     return win.withColumn(out, F.flatten(F.col(col))).drop(col)
 
 
-#: The covariance is a d x d matrix on the driver (128 MB at this size); wider windows need fewer features or rows.
-MAX_PCA_DIM = 4096
+#: Up to this many values a window the covariance, a d x d matrix on the driver (128 MB), is used; block power iteration beyond.
+COVARIANCE_DIM = 4096
 
 
 def error_rows(errors: DataFrame, keys: Sequence[str], model: str, ts: str = "ts") -> DataFrame:
@@ -45,17 +46,71 @@ def error_rows(errors: DataFrame, keys: Sequence[str], model: str, ts: str = "ts
     return errors.select(*keys, "split", ts, "rn_split", F.lit(model).alias("model"), F.col("err").cast("double").alias("err"))
 
 
-def fit_pca(flat: DataFrame, k: int, fit_split: str = "train", col: str = "x") -> tuple[np.ndarray, np.ndarray]:
-    """H4 fit: training mean and the top ``k`` principal directions (columns of a ``d x k`` matrix)."""
+def fit_pca(flat: DataFrame, k: int, fit_split: str = "train", col: str = "x", method: str | None = None, **options) -> tuple[np.ndarray, np.ndarray]:
+    """H4 fit: training mean and the top ``k`` principal directions (columns of a ``d x k`` matrix).
+
+    ``method`` is ``covariance`` or ``power`` (``power_pca`` with its options); by default the first up to ``COVARIANCE_DIM`` values a window."""
     dim = flat.select(F.size(col)).first()[0]
-    if dim > MAX_PCA_DIM:
-        raise ValueError(f"windows of {dim} values are too wide for a covariance on the driver ({MAX_PCA_DIM})")
+    if method is None:
+        method = "covariance" if dim <= COVARIANCE_DIM else "power"
+    if method == "power":
+        return power_pca(flat.where(F.col("split") == fit_split), dim, k, col, **options)
+    if method != "covariance":
+        raise ValueError(f"unknown method: {method}")
     rows = flat.where(F.col("split") == fit_split).select(array_to_vector(col).alias("_v"))
     scaler = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False).fit(rows)
     pca = PCA(k=k, inputCol="_c", outputCol="_p").fit(scaler.transform(rows))
     return np.asarray(scaler.mean.toArray()), np.asarray(pca.pc.toArray())
 
 
+def _summed(rows: DataFrame, fn: Callable, width: int) -> np.ndarray:
+    """The sum of the (d, width) arrays that ``fn`` makes of each partition's batches: rows are added up by Spark."""
+    names = [f"s{j}" for j in range(width)]
+
+    def run(batches):
+        total = None
+        for pdf in batches:
+            if len(pdf):
+                part = fn(np.vstack(pdf.iloc[:, 0].to_numpy()))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame(total, columns=names).assign(i=np.arange(len(total)))
+
+    parts = rows.mapInPandas(run, ", ".join(f"{n} double" for n in names) + ", i long")
+    found = parts.groupBy("i").agg(*[F.sum(n).alias(n) for n in names]).toPandas().sort_values("i")
+    return found[names].to_numpy()
+
+
+def power_pca(rows: DataFrame, dim: int, k: int, col: str = "x", extra: int = 8, max_iter: int = 100, tol: float = 1e-12,
+              seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and top ``k`` principal directions by block power iteration with ``k + extra`` directions.
+
+    Each step broadcasts the basis Q and adds up Xc^T (Xc Q) over the partitions; the driver holds d x (k + extra) numbers and
+    makes them orthonormal. It ends when the k directions turn by less than ``tol`` (one minus the cosine of the largest angle)."""
+    spark = rows.sparkSession
+    x = rows.select(col)
+    n = x.count()
+    mean = _summed(x, lambda m: m.sum(axis=0)[:, None], 1)[:, 0] / max(n, 1)
+    width = min(dim, k + extra)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, width)))[0]
+    for _ in range(max_iter):
+        shipped = spark.sparkContext.broadcast((mean, basis))
+
+        def product(m: np.ndarray, shipped=shipped) -> np.ndarray:
+            centre, q = shipped.value
+            c = m - centre
+            return c.T @ (c @ q)
+
+        moved = _summed(x, product, width)
+        shipped.unpersist()
+        values, turn = np.linalg.eigh(basis.T @ moved)  # Rayleigh-Ritz: the best directions inside the basis
+        old = (basis @ turn)[:, ::-1][:, :k]
+        basis = np.linalg.qr((moved @ turn)[:, ::-1])[0]
+        if width == dim or np.linalg.svd(old.T @ basis[:, :k], compute_uv=False).min() > 1 - tol:
+            break
+    return mean, basis[:, :k]
+
+
 def projection_errors(flat: DataFrame, mean: np.ndarray, pc: np.ndarray, col: str = "x",
                       out: str = "err") -> DataFrame:
     """Mean squared error between each vector and its back-projection ``mean + P P^T (x - mean)``."""
@@ -239,8 +294,13 @@ def recon_dense(flat: DataFrame, hidden: int = 8, epochs: int = 10, lr: float =
                 seed: int = 42, run_id: str = "dense", steps: int = 4) -> tuple[list[np.ndarray], DataFrame]:
     """H5: returns the best weights and the per-epoch history ``(run_id, epoch, train_loss, val_loss)``.
 
-    An epoch takes ``steps`` Adam steps, each over a random part (by a hash of window and epoch) of the training windows."""
-    train = flat.where(F.col("split") == "train").select("x")
+    An epoch takes ``steps`` Adam steps, each over one bucket (by a hash of the row) of the training windows, so it reads every
+    window once; the buckets' order changes from epoch to epoch."""
+    from seriesguard.session import materialize
+
+    bucket = F.pmod(F.xxhash64(*[c for c in flat.columns if c != "split"]), F.lit(steps)).cast("int").alias("bucket")
+    train = materialize(flat.where(F.col("split") == "train").select("x", bucket), "buckets", ("bucket",))
+    order = np.random.default_rng(seed + 1)
     val = flat.where(F.col("split") == "val").select("x")
     d = len(flat.select("x").first()["x"])
     params = _init(d, hidden, seed)
@@ -251,9 +311,8 @@ def recon_dense(flat: DataFrame, hidden: int = 8, epochs: int = 10, lr: float =
     best, best_val, history, t = None, np.inf, [], 0
     for epoch in range(1, epochs + 1):
         losses, seen = 0.0, 0.0
-        part = F.pmod(F.xxhash64(F.col("x").cast("string"), F.lit(seed + epoch)), F.lit(steps))
-        for step in range(steps):
-            loss, n, grad = _pass(train.where(part == step) if steps > 1 else train, params, True)
+        for step in order.permutation(steps).tolist():
+            loss, n, grad = _pass(train.where(F.col("bucket") == step), params, True)
             losses, seen, t = losses + loss * n, seen + n, t + 1
             norm = np.linalg.norm(grad)
             if norm > clip:
@@ -287,6 +346,6 @@ def dense_errors(flat: DataFrame, params: list[np.ndarray], out: str = "err") ->
     return flat.withColumn(out, err(F.col("x")))
 
 
-__all__ = ["flat_windows", "fit_pca", "projection_errors", "recon_pca", "score_windows", "pca_predict_fn",
+__all__ = ["flat_windows", "fit_pca", "projection_errors", "power_pca", "recon_pca", "score_windows", "pca_predict_fn",
            "mean_predict_fn", "error_rows", "recon_dense", "dense_errors", "Model", "fit_model", "models_table", "load_models",
            "model_errors"]

@@ -56,3 +56,30 @@ def test_models_are_saved_as_a_table(flat, tmp_path):
         learned.load_models(table.withColumn("version", F.when(F.col("part") == 0, F.lit("x")).otherwise(F.col("version"))))
     with pytest.raises(ValueError, match="unknown kind"):
         learned.fit_model(flat, "forest")
+
+
+def test_block_power_iteration_equals_the_covariance(spark, flat):
+    """The same directions at 80 values a window; and a run at 16,000, where no covariance would fit."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(300, 6)) @ r.normal(size=(6, 80)) * 2 + r.normal(size=(300, 80)) * 0.1 + 5
+    df = spark.createDataFrame([("train", v.tolist()) for v in x] + [("val", [1e6] * 80)], "split string, x array<double>").repartition(3)
+    mean, exact = learned.fit_pca(df, 4, method="covariance")
+    again, power = learned.fit_pca(df, 4, method="power")
+    assert np.allclose(mean, again) and np.linalg.svd(exact.T @ power, compute_uv=False).min() > 1 - 1e-9
+    assert np.allclose(power.T @ power, np.eye(4))
+    wide = r.normal(size=(40, 2)) @ r.normal(size=(2, 16_000)) + r.normal(size=(40, 16_000)) * 1e-3
+    df = spark.createDataFrame([("train", v.tolist()) for v in wide], "split string, x array<double>")
+    mean, pc = learned.fit_pca(df, 2, max_iter=10)
+    off = wide - mean
+    assert pc.shape == (16_000, 2) and ((off - off @ pc @ pc.T) ** 2).mean() < 1e-5
+
+
+def test_an_epoch_reads_every_window_once(flat, monkeypatch):
+    """Steps read disjoint buckets that together hold all training windows."""
+    seen = []
+    real = learned._pass
+    monkeypatch.setattr(learned, "_pass", lambda df, p, g: (seen.append(real(df, p, g)) or seen[-1]))
+    learned.recon_dense(flat, hidden=2, epochs=2, steps=3)
+    n = flat.where("split = 'train'").count()
+    steps = [s[1] for s in seen if s[2] is not None]
+    assert len(steps) == 6 and sum(steps[:3]) == sum(steps[3:]) == n and min(steps) > n / 6
