@@ -20,6 +20,7 @@ from seriesguard.functions.columns import micros
 from seriesguard.functions.quantiles import SMALL_GROUP, group_quantiles
 from seriesguard.operators import stats
 from seriesguard.operators.grid import explode_range
+from seriesguard.plans import layout as L
 
 LABELS = ["metric", "feature", "model_version", "env"]
 BLOCK_US = 6 * 3600 * 1_000_000
@@ -120,18 +121,29 @@ def metric_latest(samples: DataFrame) -> DataFrame:
     return samples.groupBy(*LABELS).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
 
 
-def live_intervals(samples: DataFrame, tick_us: int = TICK_US, lookback_us: int | None = None,
-                   suffix: str = "_live") -> DataFrame:
+def live_intervals(samples: DataFrame, tick_us: int = TICK_US, lookback_us: int | None = None, suffix: str = "_live",
+                   rows_per_block: int = L.ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
     """Every live sample with the evaluation ticks at which it is the gauge's value: from the first tick at or after it up to
     the last one before the next sample (or at the model version's last sample). ``_lo``, ``_hi`` in microseconds;
-    samples without a tick are left out. A gauge keeps its value for good unless ``lookback_us`` is given."""
+    samples without a tick are left out. A gauge keeps its value for good unless ``lookback_us`` is given.
+
+    A label set with more than ``rows_per_block`` samples is cut into blocks; the next sample across a border comes from a copied row.
+    ``max_rows`` (samples of the largest label set) saves the job that counts them."""
     live = samples.where(F.col("metric").endswith(suffix))
     # the last write of a label set and time wins
     live = live.groupBy(*LABELS, "ts").agg(F.max("value").alias("value"))
     us = micros(F.col("ts"))
     end = live.groupBy("model_version").agg(F.max(us).alias("_end"))
-    following = F.lead(us).over(Window.partitionBy(*LABELS).orderBy("ts"))
-    rows = live.withColumn("_us", us).withColumn("_next", following).join(end, "model_version")
+    if max_rows is None:
+        max_rows = L.max_series_rows(live, LABELS)
+    if max_rows <= rows_per_block:
+        rows = live.withColumn("_us", us).withColumn("_next", F.lead(us).over(Window.partitionBy(*LABELS).orderBy("ts")))
+    else:  # numbered from the last sample, so that looking back one row is looking at the next sample
+        numbered = L.row_index(live, LABELS, "ts", rows_per_segment=rows_per_block, max_rows=max_rows)
+        numbered = numbered.withColumn("_us", us).withColumn("rn", F.col("n_rows") - 1 - F.col("rn"))
+        laid = L.with_blocks(numbered, LABELS, 1, rows_per_block=rows_per_block, max_rows=max_rows)
+        rows = L.drop_halo(laid.withColumn("_next", F.lag("_us", 1).over(L.seq_window(laid, LABELS))))
+    rows = rows.join(end, "model_version")
     last = F.coalesce(F.col("_next") - 1, F.col("_end"))
     if lookback_us is not None:
         last = F.least(last, F.col("_us") + F.lit(lookback_us))
@@ -194,16 +206,34 @@ def evaluate_rules(pairs: DataFrame, rules: DataFrame, mode: str = "guarded", sa
                     F.coalesce(cond, F.lit(False)).alias("active"), "hold_s", "severity", "summary")
 
 
-def alert_states(conds: DataFrame, tick_us: int = TICK_US) -> DataFrame:
+def _runs(conds: DataFrame, key: list[str], rows_per_block: int, max_rows: int | None) -> DataFrame:
+    """``conds`` with ``_run``, the number of the run of equal conditions that an interval belongs to. Label sets of more than
+    ``rows_per_block`` intervals are scanned in blocks: each counts its own turns, and the turns of the blocks before are added."""
+    if max_rows is None:
+        max_rows = L.max_series_rows(conds, key)
+    turn = lambda w: (F.col("active") != F.coalesce(F.lag("active").over(w), ~F.col("active"))).cast("int")
+    if max_rows <= rows_per_block:
+        w = Window.partitionBy(*key).orderBy("_lo")
+        return conds.withColumn("_turn", turn(w)).withColumn("_run", F.sum("_turn").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    numbered = L.row_index(conds, key, "_lo", count_col=None, rows_per_segment=rows_per_block, max_rows=max_rows)
+    laid = L.with_blocks(numbered, key, 1, rows_per_block=rows_per_block, max_rows=max_rows)
+    w = L.seq_window(laid, key)
+    own = laid.withColumn("_turn", turn(w)).where(~F.col(L.HALO)).drop(L.HALO)
+    own = own.withColumn("_inside", F.sum("_turn").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    before = Window.partitionBy(*key).orderBy(L.BLK).rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    turns = own.groupBy(*key, L.BLK).agg(F.sum("_turn").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    joined = own.join(turns.drop("_n"), [*key, L.BLK])
+    return joined.withColumn("_run", F.col("_before") + F.col("_inside")).drop(L.BLK, "rn", "_inside", "_before")
+
+
+def alert_states(conds: DataFrame, tick_us: int = TICK_US, rows_per_block: int = L.ROWS_PER_BLOCK, max_rows: int | None = None) -> DataFrame:
     """K8: gaps and islands over intervals. An island of active intervals is pending until it has held for ``hold_s``,
     then firing. One row per label set and run of equal states: ``state``, ``from_ts`` and ``to_ts`` (its first and last
     tick), ``n_ticks`` and ``active_since``. Conditions per tick (``ts``) are intervals of one tick."""
     key = ["alert", "feature", "model_version", "env"]
     if "_lo" not in conds.columns:
         conds = conds.withColumn("_lo", micros(F.col("ts"))).withColumn("_hi", F.col("_lo"))
-    w = Window.partitionBy(*key).orderBy("_lo")
-    turn = (F.col("active") != F.coalesce(F.lag("active").over(w), ~F.col("active"))).cast("int")
-    runs = (conds.withColumn("_turn", turn).withColumn("_run", F.sum("_turn").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = (_runs(conds, key, rows_per_block, max_rows)
             .groupBy(*key, "severity", "summary", "hold_s", "_run", "active").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")))
     tick = F.lit(tick_us)
     held = (F.ceil((F.col("_lo") + F.col("hold_s").cast("long") * 1_000_000) / tick) * tick).cast("long")

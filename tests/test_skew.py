@@ -57,3 +57,28 @@ def test_windows_blocks(hot):
     b = windows.sliding_windows(sp, K, ["v"], 16, 2, max_rows=1)
     key = lambda d: sorted((r.series_key, r.ts, tuple(x[0] for x in r.win)) for r in d.collect())
     assert key(a) == key(b)
+
+
+def test_alerts_of_a_huge_label_set_spread_over_blocks(spark):
+    """One label set in many blocks: next samples, runs and states equal those of a single window."""
+    import datetime as dt
+    import random
+
+    from seriesguard.operators import drift
+
+    r = random.Random(2)
+    t0, at, rows, high = dt.datetime(2024, 1, 1), 0, [], False
+    for i in range(600):
+        at += r.choice([5, 45, 90, 400])
+        high = high ^ (r.random() < 0.08)
+        rows.append(("anomaly_rate_live", "", "m" if i % 10 else "n", "prod", t0 + dt.timedelta(seconds=at), 0.5 if high else 0.0))
+    rows += [("anomaly_rate_ref", "", v, "prod", t0, 0.01) for v in "mn"]
+    samples = spark.createDataFrame(rows, "metric string, feature string, model_version string, env string, ts timestamp, value double")
+
+    def states(**kw):
+        conds = drift.evaluate_rules(drift.drift_intervals(samples, **kw), drift.rules_table(spark), samples=samples)
+        return drift.alert_states(conds, **kw)
+
+    whole, blocks = states(max_rows=600), states(rows_per_block=64)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, blocks.collect())) and whole.count() > 20
+    assert drift.alert_messages(blocks).count() > 3
