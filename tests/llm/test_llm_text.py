@@ -242,6 +242,25 @@ def test_repeated_passages(spark, corpus):
     assert suffixes.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_of_one_id_with_several_texts(spark):
+    """Each text keeps its own spans; what two texts of one id share is no repeat."""
+    r = random.Random(8)
+    passage, own = ([" ".join(f"{c}{r.randrange(900)}" for _ in range(n)) for c, n in (("p", 70), ("q", 60))], lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n)))
+    rows = [(5, own(30) + " " + passage[0] + " " + own(900)), (5, own(12) + " " + passage[1]), (9, passage[0]), (9, passage[0]), (7, own(700) + " " + passage[1]),
+            (8, own(80)), (8, own(10) + " " + own(50))]
+    inside = own(55)
+    rows += [(20, inside + " " + own(20)), (20, own(40) + " " + inside)]
+    found = sorted((x["doc_id"], x["start_word"], x["end_word"], x["partner_id"]) for x in suffixes.repeated_passages(frame(spark, rows)).collect())
+    assert found == [(5, 12, 72, 7), (5, 30, 100, 9), (7, 700, 760, 5), (9, 0, 70, 5)]
+
+
+def test_lines_found_everywhere_are_dropped_slice_by_slice(spark):
+    common = "a line that most of all documents hold, longer than forty"
+    rows = [(i, f"own {i}\n{common}\n" + (common if i % 3 else "x")) for i in range(400)] + [(None, common), (7, common)]
+    cut = {(x["doc_id"], x["n_lines"], x["n_dropped"]) for x in linededup.dedup_lines(frame(spark, rows)).collect()}
+    assert cut == {(i, 3, 0 if i == 399 else 1 + (i % 3 > 0)) for i in range(400)} | {(None, 1, 0), (7, 1, 1)}
+
+
 def test_components_of_random_graphs(spark):
     r = random.Random(11)
     for n, m in ((60, 40), (200, 190), (50, 300)):
