@@ -134,3 +134,23 @@ SELECT any_value(conv_id) AS conv_id, count(*) AS n_turns,
        CAST(sum(total) FILTER (who = 'assistant' OR rn = size) AS BIGINT) AS formatted_chars
 FROM upto GROUP BY talk
 """
+
+OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+seq AS (SELECT doc_id, unnest(w) AS w1, unnest(range(len(w))) AS pos FROM d WHERE len(w) >= 3),
+runs AS (
+  SELECT doc_id, w1 || ' ' || lead(w1) OVER o || ' ' || lead(w1, 2) OVER o AS s FROM seq WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, s FROM runs WHERE s IS NOT NULL),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n_both >= 90 * (x.n + y.n - n_both)),
+near AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON n.a = r.b)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes z USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY 1) m USING (doc_id)
+"""

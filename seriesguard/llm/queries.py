@@ -84,5 +84,5 @@ QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_va_topk": op2_va_topk, "op3_
            "op7_line_dedup": op7_line_dedup,
            "op8_simhash": op8_simhash, "op9_ppm_language": op9_ppm_language, "op10_byte_bpe": op10_byte_bpe, "op11_phrases": op11_phrases, "op12_chat": op12_chat,
            "op13_whitening": op13_whitening}
-ORACLE = {"op1_mix_sources": oracle.OP1, "op2_va_topk": oracle.OP2, "op7_line_dedup": oracle.OP7,
+ORACLE = {"op1_mix_sources": oracle.OP1, "op2_va_topk": oracle.OP2, "op4_jaccard_join": oracle.OP4, "op7_line_dedup": oracle.OP7,
           "op11_phrases": oracle.OP11, "op12_chat": oracle.OP12}
