@@ -42,7 +42,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group whose sets of 5-word shingles are linked at a Jaccard
-    similarity of at least 0.8. Of rows with the same id one stays; rows with a null id all stay."""
+    similarity of at least 0.8. Of rows with the same id the one with the smallest text stays; rows with a null id all stay."""
     configure(spark)
     found = materialize(jaccard.near_components(docs, n_words=5, pct=80), "components")
     removed = found.where("doc_id <> component_id").select(F.col("doc_id").alias("removed_id")).distinct()
@@ -54,7 +54,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if repeated.isEmpty():
         return kept
     once = repeated.where("doc_id = component_id").select(F.col("doc_id").alias("of"))
-    again = docs.join(once, F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id"])
+    again = docs.join(once, F.col("doc_id") == F.col("of"), "left_semi")
+    by_text = F.struct("text", "lang", "source", "n_chars")  # the same one whenever a task runs again
+    again = again.groupBy("doc_id").agg(F.min_by(F.struct(*_columns(docs)), by_text).alias("row")).select("row.*")
     return kept.unionByName(again.select(*_columns(docs)))
 
 

@@ -29,6 +29,8 @@ BROADCAST_STREAMS = 100_000
 BROADCAST_BLOCKS = 500_000
 #: Slots whose positions are counted in one task, and slots of a fold's picks that are copied for each slot.
 CHUNK, FOLD = 4096, 512
+#: Slots of a round for each source, at least, so that a share of one block is a small weight.
+SLOTS_OF_SOURCE = 20
 
 
 def _stream(source: Column) -> Column:
@@ -38,16 +40,18 @@ def _stream(source: Column) -> Column:
 
 def temperature_shares(docs: DataFrame, alpha: float = 0.5, total: int = 200, source_col: str = "source",
                        max_streams: int | None = None) -> DataFrame:
-    """``stream`` and ``share`` (blocks in a round, at least 1): shares follow documents ** alpha and add up
-    to about ``total`` and the number of sources. Every source gets a row, or with ``max_streams`` only so many of
-    the largest (ties to the smaller name)."""
+    """``stream`` and ``share`` (blocks in a round, at least 1): target weights follow documents ** alpha, and a share is the
+    weight's part of a round, rounded, so less than one block from it. A round has ``total`` slots, or ``SLOTS_OF_SOURCE`` for each
+    source if that is more, so that many sources don't distort the weights. Every source gets a row, or with
+    ``max_streams`` only so many of the largest (ties to the smaller name)."""
     sizes = docs.groupBy(_stream(F.col(source_col)).alias("stream")).agg(F.count(F.lit(1)).alias("n"))
     if max_streams is not None:
         sizes = sizes.orderBy(F.col("n").desc(), "stream").limit(max_streams)
     power = F.pow(F.col("n").cast("double"), F.lit(float(alpha)))
     in_order = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "stream")
     whole = F.sum(power).over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return sizes.select("stream", (F.floor(F.lit(float(total)) * power / whole) + 1).cast("long").alias("share"))
+    slots = F.greatest(F.lit(total), F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) * SLOTS_OF_SOURCE).cast("double")
+    return sizes.select("stream", F.greatest(F.floor(slots * power / whole + 0.5), F.lit(1)).cast("long").alias("share"))
 
 
 def _edf(classes: Column, slots: Column) -> Column:

@@ -6,7 +6,7 @@ WITH RECURSIVE src AS (
   FROM documents),
 sized AS (SELECT stream, count(*) AS n FROM src GROUP BY 1),
 st AS (
-  SELECT stream, n, CAST(floor(200.0::DOUBLE * pow(n::DOUBLE, 0.5) / sum(pow(n::DOUBLE, 0.5)) OVER ()) AS BIGINT) + 1 AS share,
+  SELECT stream, n, greatest(1, CAST(floor(greatest(200, 20 * count(*) OVER ())::DOUBLE * pow(n::DOUBLE, 0.5) / sum(pow(n::DOUBLE, 0.5)) OVER () + 0.5) AS BIGINT)) AS share,
          (n + 31) // 32 AS blocks
   FROM sized),
 kinds AS (SELECT DISTINCT unnest([0, blocks // share, blocks // share + 1]) AS r0 FROM st),

@@ -46,3 +46,18 @@ def test_positions_count_short_blocks(spark, monkeypatch):
     blocks = plain_slots([("a", 5, 13), ("b", 2, 9), ("c", 1, 2), ("d", 2, 2)])
     assert list(dict.fromkeys(runs)) == blocks and all(n <= 4 for n in Counter(runs).values())
     assert [x["mix_slot"] for x in got] == sorted(x["mix_slot"] for x in got)
+
+
+def test_shares_are_the_target_weights(spark):
+    """400 small sources beside a large one: every share is less than a block from its weight's part of the round."""
+    sizes = {"big": 40_000, **{f"s{k:03d}": 200 + k for k in range(400)}}
+    docs = spark.range(sum(sizes.values())).select("id")
+    edges, at = [], 0
+    for s, n in sizes.items():
+        edges.append((s, at, at + n))
+        at += n
+    spans = spark.createDataFrame(edges, "source string, a long, b long").selectExpr("source", "explode(sequence(a, b - 1)) AS id")
+    shares = {x["stream"][1:]: x["share"] for x in mixing.temperature_shares(docs.join(spans, "id")).collect()}
+    whole, slots = sum(n ** 0.5 for n in sizes.values()), max(200, mixing.SLOTS_OF_SOURCE * len(sizes))
+    assert all(abs(shares[s] - slots * n ** 0.5 / whole) < 1 for s, n in sizes.items())
+    assert abs(shares["big"] / sum(shares.values()) - 40_000 ** 0.5 / whole) < 0.001

@@ -122,7 +122,7 @@ def plain_mix(docs):
     for found in streams.values():
         found.sort(key=lambda x: (hashlib.md5(str(x["doc_id"]).encode()).hexdigest(), x["doc_id"]))
     whole = sum(math.sqrt(len(v)) for v in streams.values())
-    share = {s: math.floor(200.0 * math.sqrt(len(v)) / whole) + 1 for s, v in streams.items()}
+    share = {s: max(1, math.floor(max(200.0, 20.0 * len(streams)) * math.sqrt(len(v)) / whole + 0.5)) for s, v in streams.items()}
     blocks = {s: [v[i:i + 32] for i in range(0, len(v), 32)] for s, v in streams.items()}
     out, r = [], 0
     while any(r * share[s] < len(b) for s, b in blocks.items()):
