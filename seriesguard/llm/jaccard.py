@@ -19,9 +19,11 @@ The Jaccard distance is a metric. Two documents link at a distance of at most r
    its home, at a known distance. Then, round by round, every region whose members aren't all connected yet takes
    new pivots (more in each round). The members of other components meet them, unless a lower bound of their distance rules the
    pair out: the triangle inequality on a common home, |d(x,h) - d(p,h)| > r, or the number of hash slices in which
-   the two sets differ (``DIGEST`` longs a set), for sets that link differ in at most (1-t)/(1+t) of their sizes' sum. Then
-   the pivots leave the region. Rounds end when no region holds two components. A region costs a bounded number of pairs for
-   each member in a round, and a group of near copies is connected after a few rounds without all its pairs.
+   the two sets differ, for sets that link differ in at most (1-t)/(1+t) of their sizes' sum. Slices are compared twice:
+   ``DIGEST`` longs a set inside the join, then, for the pairs it leaves, digests that grow with the sets (2 to 4 bits a shingle).
+   Whole sets move for the pairs that are left after that. Then the pivots leave the region. Rounds end when no region holds two
+   components. A region costs a bounded number of pairs for each member in a round, and a group of near copies is connected
+   after a few rounds without all its pairs.
 """
 
 from __future__ import annotations
@@ -267,20 +269,69 @@ def _active(docs: DataFrame, n_words: int, pct: int, id_col: str, text_col: str)
     return materialize(_sets_of(docs, n_words, id_col, text_col, schema, columns).distinct(), "active")
 
 
-def _meet(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """``x``, ``p``, ``distance`` and whether they ``link``, by their whole sets. Only the sets of these pairs move."""
-    pairs = materialize(pairs.select("x", "p"), "pairs")
+def _fine(h: np.ndarray) -> np.ndarray:
+    """The sums modulo 16 of the scrambled shingles of 2^k slices of the hash space, two to a byte; at least half as many slices
+    as shingles. Sums of neighbouring slices add up, so a digest can be halved."""
+    k = max(8, (max(len(h) - 1, 1) >> 1).bit_length())
+    slot = (h >> _U(64 - k)).astype(np.int64)
+    sums = np.bincount(slot, weights=(_mixed(h) & _U(15)).astype(np.float64), minlength=1 << k).astype(np.int64) & 15
+    return (sums[::2] | sums[1::2] << 4).astype(np.uint8)
+
+
+def _halved(fine: np.ndarray) -> np.ndarray:
+    sums = (fine & 15) + (fine >> 4) & 15
+    return sums[::2] | sums[1::2] << 4
+
+
+def _fine_differing(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many slices two digests differ, at the coarser one's number of slices."""
+    while len(a) > len(b):
+        a = _halved(a)
+    while len(b) > len(a):
+        b = _halved(b)
+    other = a ^ b
+    return int(np.count_nonzero(other & 15) + np.count_nonzero(other >> 4))
+
+
+def _bounded(pairs: DataFrame, digests: DataFrame, pct: int) -> DataFrame:
+    """``x``, ``p``, ``low``, a lower bound of their distance by their digests, and ``near``: the bound lets them link."""
+    def of(side: str) -> DataFrame:
+        return digests.select(F.col("rep").alias(side), F.col("n").alias(f"n{side}"), F.col("fine").alias(f"f{side}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, other = ([np.frombuffer(v, np.uint8) for v in batch.column(i).to_pylist()] for i in (3, 4))
+            differing = np.fromiter(map(_fine_differing, own, other), np.int64, batch.num_rows)
+            both = batch.column(2).to_numpy()
+            low = 2 * differing / (both + differing)  # difference / union, which is half of both and the difference
+            near = differing * (100 + pct) <= both * (100 - pct)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low), pa.array(near)], names=schema.names)
+
+    joined = pairs.join(of("p"), "p").join(of("x"), "x").select("x", "p", (F.col("nx") + F.col("np")).alias("both"), "fx", "fp")
+    schema = T.StructType([*joined.select("x", "p").schema, T.StructField("low", T.DoubleType()), T.StructField("near", T.BooleanType())])
+    return joined.mapInArrow(run, schema)
+
+
+def _meet(pairs: DataFrame, sets: DataFrame, digests: DataFrame, pct: int) -> DataFrame:
+    """``x``, ``p``, bounds ``low`` and ``high`` of their distance, and whether they ``link``. Pairs that their digests don't rule out
+    meet by their whole sets (both bounds are the distance then), and only the sets of these pairs move."""
+    bounded = materialize(_bounded(pairs.select("x", "p"), digests, pct), "bounded")
+    ruled_out = bounded.where(~F.col("near")).select("x", "p", "low", F.lit(1.0).alias("high"), F.lit(False).alias("link"))
+    pairs = bounded.where("near").select("x", "p")
+    few = pairs.count() <= BROADCAST_IDS
 
     def of(side: str, name: str) -> DataFrame:
         ids = pairs.select(side).distinct()
-        ids = F.broadcast(ids) if pairs.count() <= BROADCAST_IDS else ids
+        ids = F.broadcast(ids) if few else ids
         return sets.join(ids, F.col("id") == F.col(side), "left_semi").select(F.col("id").alias(side), F.col("shingles").alias(name))
 
     joined = pairs.join(of("p", "sp"), "p").join(of("x", "sx"), "x")
     common = F.size(F.array_intersect("sx", "sp")).cast("long").alias("common")
     joined = joined.select("x", "p", common, (F.size("sx") + F.size("sp")).cast("long").alias("both"))
     union = F.col("both") - F.col("common")
-    return joined.select("x", "p", (1 - F.col("common") / union).alias("distance"), (100 * F.col("common") >= pct * union).alias("link"))
+    distance = 1 - F.col("common") / union
+    met = joined.select("x", "p", distance.alias("low"), distance.alias("high"), (100 * F.col("common") >= pct * union).alias("link"))
+    return met.unionByName(ruled_out)
 
 
 def _sketch(sets: DataFrame) -> np.ndarray:
@@ -327,7 +378,8 @@ def _rare_first(sets: DataFrame, pct: int) -> DataFrame:
 
 
 def _digests(sets: DataFrame) -> DataFrame:
-    """``rep`` and ``g0``, ``g1``, ...: 4 bits of the content of each of 16 * DIGEST slices of the hash space."""
+    """``rep``, ``n`` (set size), ``fine`` (see ``_fine``) and ``g0``, ``g1``, ...: 4 bits of the content of each of 16 * DIGEST slices
+    of the hash space."""
     slices = 16 * DIGEST
     edges = np.array([(i << 64) // slices for i in range(1, slices)], _U)
 
@@ -335,15 +387,20 @@ def _digests(sets: DataFrame) -> DataFrame:
         shift = _U(4) * np.arange(16, dtype=_U)
         for batch in batches:
             out = np.zeros((batch.num_rows, DIGEST), _U)
+            fine = []
             for i, own in enumerate(batch.column(1)):
                 h = own.values.to_numpy().view(_U)
                 sums = np.concatenate([np.zeros(1, _U), np.cumsum(_mixed(h), dtype=_U)])
                 at = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
                 bits = _mixed(sums[at[1:]] - sums[at[:-1]]) >> _U(60)
                 out[i] = (bits.reshape(DIGEST, 16) << shift).sum(1, dtype=_U)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[:, j].view(np.int64)) for j in range(DIGEST))], names=schema.names)
+                fine.append(_fine(h).tobytes())
+            n = batch.column(1).value_lengths().cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(fine, pa.binary()),
+                                              *(pa.array(out[:, j].view(np.int64)) for j in range(DIGEST))], names=schema.names)
 
-    schema = T.StructType([T.StructField("rep", sets.schema["id"].dataType), *(T.StructField(f"g{j}", T.LongType()) for j in range(DIGEST))])
+    schema = T.StructType([T.StructField("rep", sets.schema["id"].dataType), T.StructField("n", T.LongType()), T.StructField("fine", T.BinaryType()),
+                           *(T.StructField(f"g{j}", T.LongType()) for j in range(DIGEST))])
     return sets.select("id", "shingles").mapInArrow(run, schema)
 
 
@@ -370,7 +427,8 @@ def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: st
     A set holds the distinct runs of ``n_words`` words (fewer words: all as one run), A-Z lower-cased, words between
     ASCII white space. Two rows link when 100 * intersection >= ``pct`` * union. A component's id is the
     smallest doc_id in it. Rows without words are linked with nothing. A null id has a null component and
-    takes no part. Rows with the same id are one document; if their texts differ, one of its sets stands for it in links.
+    takes no part. Rows with the same id are one document; if their texts differ, one of its sets (the smallest, compared as
+    sorted lists) stands for it in links.
     """
     found = materialize(set_digests(docs, n_words, id_col, text_col), "sets")
     known = found.where(F.col("id").isNotNull() & (F.col("n") > 0))
@@ -382,7 +440,8 @@ def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: st
     single = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     single = single.join(F.broadcast(others) if others.count() <= BROADCAST_IDS else others, F.col("id") == F.col("other"), "left_anti")
     active = _active(single, n_words, pct, "id", "text")
-    links = _links(docs, active, n_words, pct, id_col, text_col)
+    repeated = known.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("id")
+    links = _links(docs, active, materialize(repeated, "repeated"), n_words, pct, id_col, text_col)
     reps = classes.select("d1", "d2", "rep")
     if links is not None:
         labels = links.select(F.col("node").alias("rep"), "label")
@@ -392,16 +451,20 @@ def near_components(docs: DataFrame, n_words: int = 5, pct: int = 80, id_col: st
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("rep", "id").alias("component_id"))
 
 
-def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: str, text_col: str) -> DataFrame | None:
-    """Component labels of the representatives in ``active``, None without any link."""
+def _links(docs: DataFrame, active: DataFrame, repeated: DataFrame, n_words: int, pct: int, id_col: str, text_col: str) -> DataFrame | None:
+    """Component labels of the representatives in ``active``, None without any link. ``repeated`` has the ids of several rows."""
     n_active = active.count()
     if not n_active:
         return None
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(
         F.broadcast(active) if n_active <= BROADCAST_IDS else active, F.col("doc") == F.col("rep"))
-    sets = materialize(shingle_sets(texts, n_words, "doc", "text").dropDuplicates(["id"]), "shingles")
+    sets = materialize(shingle_sets(texts, n_words, "doc", "text"), "shingles")
+    if not repeated.isEmpty():  # other sets don't move
+        one = sets.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("shingles").alias("shingles"))
+        sets = materialize(sets.join(repeated, "id", "left_anti").unionByName(one), "shingles")
+    digests = materialize(_digests(sets), "digests")
     member = _shared(_rare_first(sets, pct))
-    size = sets.select(F.col("id").alias("rep"), F.size("shingles").cast("long").alias("n"))
+    size = digests.select("rep", "n")
     r = 1 - pct / 100
 
     # every document meets its smallest pivot of a fitting size: its home
@@ -409,15 +472,14 @@ def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: s
     fits = lambda a, b: (100 * F.col(a) >= pct * F.col(b)) & (100 * F.col(b) >= pct * F.col(a))
     first = first.join(size.select(F.col("rep").alias("p"), F.col("n").alias("np")), "p").where(fits("n", "np"))
     first = first.groupBy("x").agg(F.min("p").alias("p"))
-    met = materialize(_meet(first, sets, pct), "met")
-    homes = met.select(F.col("x").alias("rep"), F.col("p").alias("home"), "distance")
-    homes = homes.unionByName(homes.select(F.col("home").alias("rep"), "home", F.lit(0.0).alias("distance")).distinct().join(
-        homes.select("rep"), "rep", "left_anti"))
+    met = materialize(_meet(first, sets, digests, pct), "met")
+    homes = met.select(F.col("x").alias("rep"), F.col("p").alias("home"), "low", "high")
+    at_home = homes.select(F.col("home").alias("rep"), "home", F.lit(0.0).alias("low"), F.lit(0.0).alias("high")).distinct()
+    homes = homes.unionByName(at_home.join(homes.select("rep"), "rep", "left_anti"))
     homes = materialize(homes, "homes")
     links = materialize(met.where("link").select(F.col("x").alias("a"), F.col("p").alias("b")), "links")
     tested = met.select("x", "p")
     left = member.select("region", "rep", "n")
-    digests = materialize(_digests(sets), "digests")
     names = [f"g{j}" for j in range(DIGEST)]
     labels = components(links)
     for k in itertools.count():
@@ -433,14 +495,15 @@ def _links(docs: DataFrame, active: DataFrame, n_words: int, pct: int, id_col: s
             F.col("region").alias("of"), F.col("rep").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("nq"))
         pivots = materialize(pivots.join(digests.select(F.col("rep").alias("q"), *[F.col(g).alias(f"q_{g}") for g in names]), "q"), "pivots")
         near = _differing("q_g") <= F.floor((100 - pct) * (F.col("n") + F.col("nq")) / (100 + pct))
-        pairs = left.join(digests, "rep").join(pivots, (F.col("region") == F.col("of")) & (F.col("label") != F.col("q_label"))
+        pairs = left.join(digests.select("rep", *names), "rep").join(pivots, (F.col("region") == F.col("of")) & (F.col("label") != F.col("q_label"))
                                                & fits("n", "nq") & near)
         pairs = pairs.select(F.greatest("rep", "q").alias("x"), F.least("rep", "q").alias("p")).distinct()
-        of_x = homes.select(F.col("rep").alias("x"), F.col("home").alias("hx"), F.col("distance").alias("dx"))
-        of_p = homes.select(F.col("rep").alias("p"), F.col("home").alias("hp"), F.col("distance").alias("dp"))
-        far = (F.col("hx") == F.col("hp")) & (F.abs(F.col("dx") - F.col("dp")) > r + 1e-9)
+        of_x, of_p = (homes.select(F.col("rep").alias(s), F.col("home").alias(f"h{s}"), F.col("low").alias(f"low_{s}"),
+                                   F.col("high").alias(f"high_{s}")) for s in ("x", "p"))
+        apart = F.greatest(F.col("low_x") - F.col("high_p"), F.col("low_p") - F.col("high_x"))
+        far = (F.col("hx") == F.col("hp")) & (apart > r + 1e-9)
         pairs = pairs.join(of_x, "x", "left").join(of_p, "p", "left").where(~F.coalesce(far, F.lit(False))).select("x", "p")
-        met = materialize(_meet(pairs.join(tested, ["x", "p"], "left_anti"), sets, pct), "met")
+        met = materialize(_meet(pairs.join(tested, ["x", "p"], "left_anti"), sets, digests, pct), "met")
         tested = tested.unionByName(met.select("x", "p"))
         new = met.where("link").select(F.col("x").alias("a"), F.col("p").alias("b"))
         if not new.isEmpty():

@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -151,6 +152,40 @@ def test_jaccard_large_region_takes_pivot_rounds(spark, monkeypatch):
     assert sorted(((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got), key=str) == brute_components(rows, 3, 90)
 
 
+def test_jaccard_digests_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for n, kept in ((1, 1), (40, 30), (700, 650), (3000, 2900), (3000, 100), (5000, 4000)):
+        a = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        b = np.unique(np.concatenate([a[rng.permutation(len(a))[:kept]], rng.integers(0, 1 << 64, n - kept, np.uint64)]))
+        fine = jaccard._fine(a), jaccard._fine(b)
+        assert jaccard._fine_differing(fine[0], fine[0]) == 0
+        assert jaccard._fine_differing(*fine) == jaccard._fine_differing(*fine[::-1]) <= len(np.setxor1d(a, b))
+        half = jaccard._halved(fine[0])  # halving gives what fewer slices would have given
+        slot = (a >> np.uint64(64 - (2 * len(half)).bit_length() + 1)).astype(np.int64)
+        sums = np.bincount(slot, weights=(jaccard._mixed(a) & np.uint64(15)).astype(float), minlength=2 * len(half)).astype(int) % 16
+        assert (sums[::2] + 16 * sums[1::2]).tolist() == half.tolist()
+
+
+def test_jaccard_long_texts_and_repeated_ids(spark):
+    """Long texts that share passages, below and above the limit, and one id with several texts."""
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(4000)}" for _ in range(2500)] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        own, share = list(base[i % 6]), (0.999, 0.97, 0.9, 0.6)[i // 6 % 4]
+        for at in range(0, len(own), 25):
+            if rng.random() > share:
+                own[at:at + 25] = [f"v{rng.randrange(4000)}" for _ in range(25)]
+        rows.append((i, " ".join(own)))
+    got = jaccard.near_components(frame(spark, rows), 5, 80).collect()
+    assert sorted(((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got), key=str) == brute_components(rows, 5, 80)
+    assert 6 < len({r.component_id for r in got}) < 60
+    twice = [(1, "a b c d e f g h"), (1, "p q r s t u v w"), (2, "p q r s t u v w"), (3, "x y"), (3, "x y"), (None, "x y")]
+    got = [jaccard.near_components(frame(spark, rows), 3, 90).collect() for rows in (twice, twice[::-1])]
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1])) and len(got[0]) == 6
+    assert {r.component_id for r in got[0] if r.doc_id == 3} == {3}
+
+
 def test_jaccard_empty(spark):
     assert jaccard.near_components(frame(spark, []), 5, 80).count() == 0
     alone = jaccard.near_components(frame(spark, [(1, None), (2, ""), (3, "a b")]), 5, 80).collect()
