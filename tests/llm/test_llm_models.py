@@ -2,7 +2,9 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +104,64 @@ def test_extract_removes_what_recurs_on_a_host(spark, broadcast):
     assert all(got[i] == f"text {i}" for i in range(30)) and got[100] == "welcome to our site" and len(got) == 35
 
 
+def brute_templates(rows, min_pages, min_share):
+    """Texts without recurring subtrees, by ElementTree: subtrees as strings, counted in plain Python."""
+    hosts, trees, seen = defaultdict(int), [], defaultdict(list)
+    prose = set("p h1 li".split())
+    for _, url, source in rows:
+        host = re.match(r"https://([^/]+)", url)[1]
+        body = ElementTree.fromstring(source).find("body")
+        blocks = [e.text for e in body.iter() if e.text]
+        longest = max(blocks, key=len, default="")
+        hosts[host] += 1
+        trees.append((host, body))
+        for key in {ElementTree.tostring(e) for e in body.iter() if e.tag not in prose | {"body", "article"} and any(x.text for x in e.iter())}:
+            seen[host, key].append(longest)
+    gone = {k for k, longest in seen.items() if max(min_pages, min_share * hosts[k[0]]) <= len(set(longest))
+            or max(min_pages, 12, 0.6 * hosts[k[0]]) <= len(longest)}
+
+    def kept(host, e):
+        if (host, ElementTree.tostring(e)) not in gone:
+            yield from [e.text] if e.text else []
+            for x in e:
+                yield from kept(host, x)
+
+    return {i: "\n".join(kept(host, body)) for (i, _, _), (host, body) in zip(rows, trees, strict=True)}, gone
+
+
+@pytest.mark.parametrize("article", ["article", "div"])
+def test_templates_by_counting_alone(spark, article):
+    """Menus, notices and adverts of no listed name go by their counts; copied and near copied articles stay whole."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdefgh", k=6))
+    line = lambda n: " ".join(word() for _ in range(n))
+    rows, texts, quoted = [], {}, line(30)
+    for host, size in (("one.example", 120), ("two.example", 14), ("three.example", 2)):
+        menus = [f"<div class='top'><ul>{''.join(f'<li>{word()}</li>' for _ in range(5))}</ul></div>" for _ in range(4)]
+        boxes = [f"<div class='box'><div><p>{line(6)}</p></div><p>{line(4)}</p></div>" for _ in range(3)]
+        copied = [line(40), line(25), line(9)]
+        for k in range(size):
+            body = list(copied) if k % 5 == 0 else [line(40), *copied[1:]] if k % 7 == 0 else [line(35), quoted, line(20)]
+            i = len(rows)
+            texts[i] = [f"{line(3)} {i}" if k % 5 else "a title", *body]
+            inside = f"<h1>{texts[i][0]}</h1>" + "".join(f"<p>{x}</p>" for x in body)
+            rows.append((i, f"https://{host}/{k}", f"<html><body>{r.choice(menus)}<{article} id='a'>{inside}</{article}>"
+                         f"{r.choice(boxes)}<div id='end'><p>{line(5)}</p></div></body></html>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {x["page_id"]: x["text"] for x in html_text.extract(pages, lists=False).collect()}
+    want, gone = brute_templates(rows, 3, 0.05)
+    assert got == want and len(gone) >= 14
+    assert all("\n".join(texts[i]) in got[i] for i in texts)
+    assert all(got[i].count("\n") == len(texts[i]) for i in range(120))  # the article and the line of its own at the end
+    if article == "article":
+        assert {x["page_id"]: x["text"] for x in html_text.extract(pages).collect()} == {i: "\n".join(t) for i, t in texts.items()}
+
+
+def test_implied_ends_below_many_open_elements():
+    deep = html_text.Page("<ul><li>one" + "<b>" * 200 + "x<li>two</ul>", "h")
+    assert deep.blocks == ["onex", "two"]
+
+
 def test_deep_and_broken_markup():
     assert html_text.Page("<b>" * 50_000 + "x" + "</i>" * 1000, "h").blocks == ["x"]
     assert html_text.Page("<div>" * 5_000 + "x", "h").blocks == ["x"]
