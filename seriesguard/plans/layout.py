@@ -3,11 +3,12 @@
 A series may hold a third of all rows, so ``Window.partitionBy(series_key)`` would put it on one task.
 Instead:
 
-1. ``row_index`` numbers rows inside each series. It range-partitions all rows by ``(series, time, tie-break)`` into
-   segments of about ``rows_per_segment`` rows, runs ``row_number`` per ``(series, segment)`` and adds an offset from a
-   small per-segment count table. Bounds come from sampled rows, so outliers, bursts and equal times (split by the
-   tie-break) don't fill a segment. The segmented rows are written once: counts and numbers see the same bounds, and a
-   lost executor reads them again.
+1. ``row_index`` numbers rows inside each series. It range-partitions all rows by ``(series, time, tie-break)``, cuts each
+   sorted partition into segments of ``rows_per_segment`` rows, runs ``row_number`` per ``(series, segment)`` and adds an
+   offset from a small per-segment count table. Bounds come from sampled rows, so outliers, bursts and equal times (split
+   by the tie-break) don't fill a partition. What the driver gets (samples, sizes and files of the partitions) follows their
+   number, which small segments don't raise. The segmented rows are written once: counts and numbers see the same bounds,
+   and a lost executor reads them again.
 2. ``with_blocks`` cuts the numbered rows into blocks of ``rows_per_block`` rows and copies the last
    ``lookback`` rows of each block into the next one (``_halo``). Any window function that looks back at
    most ``lookback`` rows then runs with ``partitionBy(series, _blk)`` and gives the same answer as over the
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a segment unless a call says otherwise, and of a range partition where there are more than shuffle partitions.
 ROWS_PER_SEGMENT = 1 << 20
 ROWS_PER_BLOCK = 1 << 20
 BLK = "_blk"
@@ -57,20 +59,26 @@ def row_index(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[st
     from seriesguard.session import materialize
 
     total = df.count()
-    n_seg = max(1, -(-total * 4 // (3 * rows_per_segment)))  # room for uneven samples below the target
-    ranged = df.repartitionByRange(n_seg, *[F.col(k).asc_nulls_first() for k in keys], *order)
-    ranged = materialize(ranged.withColumn("_seg", F.spark_partition_id()), "segments")
-    counts = ranged.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
-    series = Window.partitionBy(*keys)
+    room = lambda rows: -(-total * 4 // (3 * rows))  # noqa: E731 - for uneven samples below the target
+    shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = max(1, min(room(rows_per_segment), max(room(ROWS_PER_SEGMENT), shuffle_partitions)))
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *order]
+    ranged = df.repartitionByRange(n_ranges, *by).sortWithinPartitions(*by)
+    ranged = ranged.withColumn("_seg", F.monotonically_increasing_id())  # the partition's number << 33 | the place in it
+    place = F.col("_seg").bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = materialize(ranged.withColumn("_seg", F.col("_seg") - place % F.lit(rows_per_segment)), "segments")
+    ranged = ranged.withColumn("_series", F.struct(*keys))  # structs join where a key is null, too
+    counts = ranged.groupBy("_series", "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
+    series = Window.partitionBy("_series")
     before = series.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_seg", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+    offsets = counts.select("_series", "_seg", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
                             F.sum("_cnt").over(series).alias("_n"))
-    w = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    res = (ranged.join(offsets, keys + ["_seg"])
+    w = Window.partitionBy("_series", "_seg").orderBy(*order)
+    res = (ranged.join(offsets, ["_series", "_seg"])
            .withColumn(out, F.col("_off") + F.row_number().over(w) - F.lit(1)))
     if count_col:
         res = res.withColumn(count_col, F.col("_n"))
-    return res.drop("_seg", "_off", "_n")
+    return res.drop("_series", "_seg", "_off", "_n")
 
 
 def max_series_rows(df: DataFrame, keys: Sequence[str], rn: str | None = None) -> int:

@@ -288,6 +288,19 @@ def test_row_index_segments_stay_near_the_target(spark):
     assert max(r["count"] for r in sizes) <= 2 * target and len(sizes) >= n / target
 
 
+def test_row_index_small_segments_share_range_partitions(spark):
+    """Range partitions, whose samples and files the driver gets, don't follow the number of segments; null keys are a series."""
+    n, target = 6000, 16
+    key = F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string"))
+    df = spark.range(n).select(key.alias("k"), F.timestamp_seconds(F.col("id") * 7919 % n).alias("ts"), "id")
+    out = layout.row_index(df, K, "ts", ["id"], rows_per_segment=target)
+    whole = layout.row_index(df, K, "ts", ["id"], max_rows=1)
+    assert out.count() == n and out.exceptAll(whole.select(*out.columns)).isEmpty()
+    sizes = spark.read.parquet(*out.inputFiles()).groupBy("_seg").count().collect()
+    assert max(r["count"] for r in sizes) <= target and sum(r["count"] for r in sizes) == n
+    assert len(set(out.inputFiles())) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_share_80_gate_strict_detector_inclusive(spark):
     vals = ["2024-01-0%d" % (i % 9 + 1) for i in range(8)] + ["junk", "junk"]
     df = spark.createDataFrame([(i, v, float(i)) for i, v in enumerate(vals)], "o long, s string, x double")
