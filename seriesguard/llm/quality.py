@@ -3,8 +3,8 @@
 1. One Arrow pass over all texts counts byte n-grams (order ``ORDER``): how often each occurs in the trusted
    training texts (0 for n-grams found elsewhere only). Spark sums the tasks' counts.
 2. Continuation counts of the lower orders, discounts (from counts of counts), context totals and back-off
-   weights are aggregates and equi-joins of n-gram tables, from order 1 up. They end in one table with the
-   log-probability of every n-gram of the corpus.
+   weights are aggregates and equi-joins of n-gram tables, from order 1 up, each order's written for the next. They end in
+   one table with the log-probability of every n-gram of the corpus.
 3. That table is hashed into shards of about ``SHARD`` n-grams, each small enough to ship, and each shard
    gives every document the part of its code length that lies in it.
 4. A language's limit is its median plus ``margin`` times the distance from there to its ``q`` quantile,
@@ -117,7 +117,7 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     seen, corpus = {ORDER: counts.where("n > 0").select("key", F.col("n").alias("c"))}, {ORDER: counts.select("key")}
     for k in range(ORDER - 1, 0, -1):  # how many different bytes come before: the lower orders' counts
         seen[k] = seen[k + 1].groupBy(_suffix(k).alias("key")).agg(F.count(F.lit(1)).alias("c"))
-        corpus[k] = corpus[k + 1].select(_suffix(k).alias("key")).distinct()
+        corpus[k] = materialize(corpus[k + 1].select(_suffix(k).alias("key")).distinct(), f"corpus{k}")
     seen = {k: materialize(v, f"seen{k}") for k, v in seen.items()}
     tallies = None
     for k, v in seen.items():
@@ -140,6 +140,8 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
         own = F.coalesce((F.col("c") - F.col("d")) / F.col("total"), F.lit(0.0))
         p = (own + F.coalesce(F.col("backoff"), F.lit(1.0)) * lower).alias("p")
         below = rows.select(F.col("key").alias("low"), p.alias("lower"))
+        if k < ORDER:  # a plan for each order: the driver plans one anew whenever a stage of it ends
+            below = materialize(below, f"below{k}")
     return below.select(F.col("low").alias("key"), F.log2("lower").cast("float").alias("logp"))
 
 

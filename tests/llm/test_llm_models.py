@@ -212,6 +212,16 @@ def test_kneser_ney_equals_brute_force(spark):
         assert abs(x["bits"] + sum(math.log2(p(g)) for g in grams(text))) < 1e-3 and x["size"] == len(text.encode())
 
 
+def test_model_is_planned_order_by_order(spark):
+    """The last plan joins the tables of two orders only, whatever the orders below took."""
+    docs = spark.createDataFrame([("one two", 1), ("two three", 0)], "text string, mark int")
+    model = quality.log_probabilities(quality.count_ngrams(docs, "text", "mark"))
+    plan = model._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3 and plan.count("Aggregate ") <= 2
+    keys = ngrams.keys([b"one two", b"two three"], quality.ORDER)[0]
+    assert model.count() == len(set(keys.tolist()))
+
+
 def test_shards_give_the_same_code_lengths(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60)
     docs = docs.unionByName(spark.createDataFrame([(9001, None), (9002, "")], docs.schema))

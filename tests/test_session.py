@@ -58,3 +58,10 @@ def test_changed_table_gives_new_stages(spark, tmp_path):
     time.sleep(1.1)
     spark.range(7).write.mode("overwrite").parquet(path)
     assert stages.stage(spark, str(tmp_path), "copy", build).count() == 7
+
+
+def test_grown_heap_is_collected_after_a_stage_table(spark, monkeypatch):
+    asked, collect = [], session.collect_garbage
+    monkeypatch.setattr(session, "collect_garbage", lambda s: asked.append(collect(s, 0.0)))
+    assert session.materialize(spark.range(5).toDF("a"), "grown").count() == 5
+    assert asked == [True] and not collect(spark, 1.0)
